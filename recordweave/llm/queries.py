@@ -2,9 +2,13 @@
 
 from __future__ import annotations
 
+from recordweave.llm.quality import op4_quality_classifier
+from recordweave.llm.toxicity import op5_toxicity
 from recordweave.llm.url_filters import op2_url_filters
 
 QUERIES = {
     "op2_url_filters": op2_url_filters,
+    "op4_quality_classifier": op4_quality_classifier,
+    "op5_toxicity": op5_toxicity,
 }
 ORACLE_SQL: dict[str, str] = {}
