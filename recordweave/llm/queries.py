@@ -2,13 +2,17 @@
 
 from __future__ import annotations
 
+from recordweave.llm.html_extraction import op6_html_extraction
 from recordweave.llm.quality import op4_quality_classifier
 from recordweave.llm.toxicity import op5_toxicity
 from recordweave.llm.url_filters import op2_url_filters
+from recordweave.llm.warc import op7_warc
 
 QUERIES = {
     "op2_url_filters": op2_url_filters,
     "op4_quality_classifier": op4_quality_classifier,
     "op5_toxicity": op5_toxicity,
+    "op6_html_extraction": op6_html_extraction,
+    "op7_warc": op7_warc,
 }
 ORACLE_SQL: dict[str, str] = {}
