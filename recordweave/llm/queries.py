@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from recordweave.llm.embedding_dedup import op8_embedding_dedup
 from recordweave.llm.html_extraction import op6_html_extraction
 from recordweave.llm.quality import op4_quality_classifier
 from recordweave.llm.toxicity import op5_toxicity
@@ -14,5 +15,6 @@ QUERIES = {
     "op5_toxicity": op5_toxicity,
     "op6_html_extraction": op6_html_extraction,
     "op7_warc": op7_warc,
+    "op8_embedding_dedup": op8_embedding_dedup,
 }
 ORACLE_SQL: dict[str, str] = {}
