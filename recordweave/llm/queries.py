@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from recordweave.llm.embedding_dedup import op8_embedding_dedup
 from recordweave.llm.html_extraction import op6_html_extraction
+from recordweave.llm.ngram_join import op3_ngram_jaccard_join
 from recordweave.llm.quality import op4_quality_classifier
 from recordweave.llm.toxicity import op5_toxicity
 from recordweave.llm.url_filters import op2_url_filters
@@ -11,6 +12,7 @@ from recordweave.llm.warc import op7_warc
 
 QUERIES = {
     "op2_url_filters": op2_url_filters,
+    "op3_ngram_jaccard_join": op3_ngram_jaccard_join,
     "op4_quality_classifier": op4_quality_classifier,
     "op5_toxicity": op5_toxicity,
     "op6_html_extraction": op6_html_extraction,
