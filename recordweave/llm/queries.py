@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from recordweave.llm import decontamination
+from recordweave.llm.decontamination import op10_decontamination
 from recordweave.llm.embedding_dedup import op8_embedding_dedup
 from recordweave.llm.html_extraction import op6_html_extraction
 from recordweave.llm.ngram_join import op3_ngram_jaccard_join
@@ -18,5 +20,6 @@ QUERIES = {
     "op6_html_extraction": op6_html_extraction,
     "op7_warc": op7_warc,
     "op8_embedding_dedup": op8_embedding_dedup,
+    "op10_decontamination": op10_decontamination,
 }
-ORACLE_SQL: dict[str, str] = {}
+ORACLE_SQL = {"op10_decontamination": decontamination.SQL}
