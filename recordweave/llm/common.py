@@ -40,6 +40,11 @@ def ascii_lower(c: Column) -> Column:
     return F.translate(c, UPPER, LOWER)
 
 
+def bound(value: Column, use) -> Column:
+    """use(value), with value worked out once a row even where the optimizer copies the expression into a filter."""
+    return F.get(F.transform(F.array(value), use), 0)
+
+
 def remainder(doc_id: str, modulus: int) -> Column:
     """crc32 of the id as text modulo `modulus`; a null id counts as remainder 0, so it is never learnt from."""
     return F.coalesce(F.crc32(F.col(doc_id).cast("string").cast("binary")) % modulus, F.lit(0))
@@ -100,3 +105,80 @@ def components(nodes_edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
         before = now
     roots = edges.select(F.col("v").alias("node"), F.col("v").alias("component")).distinct()
     return edges.select(F.col("u").alias("node"), F.col("v").alias("component")).union(roots)
+
+
+def split_key() -> Column:
+    """A number for the piece of a file that a row was read from, the same whenever the file is read.
+
+    Rows that come from no file are dealt by hash instead; that is as correct, only less compact.
+    """
+    rest = F.pmod(F.xxhash64("doc_id", "text"), F.lit(1 << 10))
+    return F.when(F.input_file_name() != "", F.xxhash64(F.input_file_name(), F.input_file_block_start())).otherwise(rest)
+
+
+def with_dictionary(docs: DataFrame, dictionary: DataFrame, values: str, apply, schema: str) -> DataFrame:
+    """Run `apply(lookup, batches)` where lookup is the dictionary of just the split that the batches were read from.
+
+    docs: doc_id, text and split; dictionary: split, key and the columns that `values` names. A global dictionary that
+    grows with the corpus is never broadcast: each split meets the entries that occur in it. Documents travel as
+    compressed blocks; within a partition a split's entries come first, then its documents stream by.
+    """
+    import pandas as pd
+    import pyarrow as pa
+
+    fields = [f.split()[0] for f in values.split(", ")]
+    block_bytes = 1 << 20
+
+    def pack(batches):
+        def block(split, rows):
+            sink = pa.BufferOutputStream()
+            tab = pa.table({"doc_id": pa.array([r[0] for r in rows], pa.int64()), "text": pa.array([r[1] for r in rows], pa.large_string())})
+            with pa.ipc.new_stream(sink, tab.schema, options=pa.ipc.IpcWriteOptions(compression=pa.Codec("zstd", 3))) as w:
+                w.write_table(tab)
+            return {"split": split, "block": sink.getvalue().to_pybytes()}
+
+        for b in batches:
+            rows, size, last, out = [], 0, None, []
+            for split, doc_id, text in zip(b.split, b.doc_id, b.text):
+                if rows and (split != last or size >= block_bytes):
+                    out.append(block(last, rows))
+                    rows, size = [], 0
+                rows.append((None if pd.isna(doc_id) else int(doc_id), text))
+                size += len(text or "")
+                last = split
+            if rows:
+                out.append(block(last, rows))
+            yield pd.DataFrame(out, columns=["split", "block"])
+
+    def unpack(data):
+        return pa.ipc.open_stream(data).read_all().to_pandas(types_mapper={pa.int64(): pd.Int64Dtype()}.get)
+
+    none = {f: F.lit(None).cast(t) for f, t in (x.split() for x in values.split(", "))}
+    key_type = dict(dictionary.dtypes)["key"]
+    entries = dictionary.select("split", "key", *fields, F.lit(None).cast("binary").alias("block"))
+    blocks = docs.select("split", "doc_id", "text").mapInPandas(pack, "split long, block binary")
+    blocks = blocks.select("split", F.lit(None).cast(key_type).alias("key"), *[c.alias(f) for f, c in none.items()], "block")
+    both = entries.unionByName(blocks).repartition(shuffle_width(docs.sparkSession), "split").sortWithinPartitions("split", F.col("block").isNotNull())
+
+    def stream(batches):
+        last, held, lookup = None, [], None
+        for b in batches:
+            splits = b.split.to_numpy()
+            cut = [0, *(1 + (splits[1:] != splits[:-1]).nonzero()[0]).tolist(), len(b)]
+            for s, e in zip(cut, cut[1:]):
+                if s == e:
+                    continue
+                part = b.iloc[s:e]
+                if splits[s] != last:
+                    last, held, lookup = splits[s], [], None
+                is_block = part.block.notna()
+                if (~is_block).any():
+                    held.append(part.loc[~is_block, ["key", *fields]])
+                if is_block.any():
+                    if lookup is None:
+                        lookup = apply.lookup(pd.concat(held, ignore_index=True) if held else part.loc[[], ["key", *fields]])
+                        held = []
+                    for data in part.block[is_block]:
+                        yield apply.score(lookup, unpack(data))
+
+    return both.mapInPandas(stream, schema)

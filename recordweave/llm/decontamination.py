@@ -18,7 +18,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from recordweave.llm.common import SPACE, stage, table
+from recordweave.llm.common import SPACE, bound, stage, table
 
 WIDTH = 5
 NUM, DEN = 75, 100
@@ -31,11 +31,6 @@ def words(text: Column) -> Column:
     return F.filter(F.split(F.lower(F.coalesce(text, F.lit(""))), SPACE), lambda w: w != "")
 
 
-def bound(value: Column, use) -> Column:
-    """use(value), with value worked out once a row even where the optimizer copies the expression into a filter."""
-    return F.get(F.transform(F.array(value), use), 0)
-
-
 def hashed(word_hashes: Column) -> Column:
     """One hash for each run of WIDTH words; the whole sequence if there are fewer; nothing if there are none."""
     n = F.size(word_hashes)

@@ -8,11 +8,13 @@ from recordweave.llm.embedding_dedup import op8_embedding_dedup
 from recordweave.llm.html_extraction import op6_html_extraction
 from recordweave.llm.ngram_join import op3_ngram_jaccard_join
 from recordweave.llm.quality import op4_quality_classifier
+from recordweave.llm.sentencepiece import op1_sentencepiece
 from recordweave.llm.toxicity import op5_toxicity
 from recordweave.llm.url_filters import op2_url_filters
 from recordweave.llm.warc import op7_warc
 
 QUERIES = {
+    "op1_sentencepiece": op1_sentencepiece,
     "op2_url_filters": op2_url_filters,
     "op3_ngram_jaccard_join": op3_ngram_jaccard_join,
     "op4_quality_classifier": op4_quality_classifier,
