@@ -1,12 +1,47 @@
-"""Corpus cleaning: stages over `documents`, each on all that its predecessor kept."""
+"""Corpus cleaning: stages over `documents`, each on all that its predecessor kept.
+
+Every stage but the last returns the columns of `documents`; a stage's decisions are rows that go. Null and empty
+texts pass the filters on their scores, are in no near-duplicate group and hold no benchmark item; a table without
+rows passes through.
+"""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
+from recordweave.llm import decontamination, ngram_join, quality, sentencepiece, toxicity
 from recordweave.llm.common import stage, table
 
-STAGES: list = []
+
+def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    model = toxicity.train(docs, table(spark, sf_dir, "labels"))
+    return toxicity.score(docs, model, "toxicity_").filter(f"toxicity_ < {toxicity.THRESHOLD}").select(docs.columns)
+
+
+def drop_low_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    model = quality.train(docs, table(spark, sf_dir, "labels"))
+    return quality.score(docs, model, "quality_").filter(f"quality_ >= {quality.THRESHOLD}").select(docs.columns)
+
+
+def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    return ngram_join.deduplicated(docs)
+
+
+def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    return decontamination.clean(docs, table(spark, sf_dir, "benchmark"))
+
+
+def tokenize(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    return sentencepiece.encoded(docs)
+
+
+STAGES = [
+    ("toxicity", drop_toxic),
+    ("quality", drop_low_quality),
+    ("near_duplicates", drop_near_duplicates),
+    ("decontamination", drop_contaminated),
+    ("sentencepiece", tokenize),
+]
 ORACLE_SQL = None
 
 

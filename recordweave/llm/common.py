@@ -157,7 +157,7 @@ def with_dictionary(docs: DataFrame, dictionary: DataFrame, values: str, apply,
     key_type = dict(dictionary.dtypes)["key"]
     entries = dictionary.select("split", "key", *fields, F.lit(None).cast("binary").alias("block"))
     blocks = docs.select("split", "doc_id", "text").mapInPandas(pack, "split long, block binary")
-    blocks = blocks.select("split", F.lit(None).cast(key_type).alias("key"), *[c.alias(f) for f, c in none.items()], "block")
+    blocks = blocks.select("split", F.lit("0").cast(key_type).alias("key"), *[c.alias(f) for f, c in none.items()], "block")
     both = entries.unionByName(blocks).repartition(shuffle_width(docs.sparkSession), "split").sortWithinPartitions("split", F.col("block").isNotNull())
 
     def stream(batches):

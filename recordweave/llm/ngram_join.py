@@ -222,7 +222,7 @@ def further_prefixes(texts: DataFrame, heavy: np.ndarray, count: np.ndarray) ->
 
 
 def join_classes(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """(doc_id, n, set) of every document, and (set, component) of the sets that link with another one."""
+    """(doc_id, n, set, key) of every document, and (set, component) of the sets that link with another one."""
     docs = docs.select("doc_id", "text")
     found = stage(survey(docs), "ngram-survey")
     heavy, count = heavy_tokens(found)
@@ -265,7 +265,7 @@ def join_classes(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
             first = left.withColumn("try", F.row_number().over(couple)).filter(F.col("try") <= limit) if limit else left
             links, comp = _merge(verified(first, texts), links)
             left = left.select("a", "b", "c")
-    return found.filter("kind = 0").select("doc_id", "n", "set"), comp
+    return found.filter("kind = 0").select("doc_id", "n", "set", "key"), comp
 
 
 def duplicates(docs: DataFrame) -> DataFrame:
@@ -277,5 +277,24 @@ def duplicates(docs: DataFrame) -> DataFrame:
     return out.select("doc_id", F.col("n").alias("n_shingles"), F.when(F.col("n") > 0, F.coalesce("least", "doc_id")).otherwise(F.col("doc_id")).alias("component_id"))
 
 
+def deduplicated(docs: DataFrame) -> DataFrame:
+    """docs with one document of each connected group: the one with the smallest doc_id. All columns stay.
+
+    Documents without words are in no group and stay. Rows that repeat both doc_id and text are one document.
+    """
+    rows, comp = join_classes(docs)
+    rows = rows.join(comp, "set", "left").withColumn("component", F.coalesce("component", "set"))
+    rank = F.struct(F.col("doc_id").isNull().alias("none"), F.coalesce("doc_id", F.lit(0)).alias("id"), F.col("key").alias("text"))
+    rows = stage(rows.filter("n > 0").select("doc_id", "key", "component", rank.alias("rank")), "ngram-ranked")
+    first = rows.groupBy("component").agg(F.min("rank").alias("first"))
+    gone = rows.join(first, "component").filter("rank != first").select(F.col("doc_id").alias("gone_id"), F.col("key").alias("gone_key")).distinct()
+    gone = stage(gone, "ngram-gone")
+    if gone.count() <= BROADCAST_KEYS:
+        gone = F.broadcast(gone)
+    left = docs.join(gone, F.col("gone_id").eqNullSafe(docs["doc_id"]) & (F.col("gone_key") == F.xxhash64(docs["text"])), "left_anti")
+    repeated = rows.groupBy("doc_id", "key").count().filter("count > 1")
+    return left if repeated.isEmpty() else left.dropDuplicates(["doc_id", "text"])
+
+
 def op3_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return duplicates(table(spark, sf_dir, "documents"))

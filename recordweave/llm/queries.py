@@ -6,6 +6,7 @@ from recordweave.llm import decontamination
 from recordweave.llm.decontamination import op10_decontamination
 from recordweave.llm.embedding_dedup import op8_embedding_dedup
 from recordweave.llm.html_extraction import op6_html_extraction
+from recordweave.llm.lm_scoring import op9_lm_scoring
 from recordweave.llm.ngram_join import op3_ngram_jaccard_join
 from recordweave.llm.quality import op4_quality_classifier
 from recordweave.llm.sentencepiece import op1_sentencepiece
@@ -22,6 +23,7 @@ QUERIES = {
     "op6_html_extraction": op6_html_extraction,
     "op7_warc": op7_warc,
     "op8_embedding_dedup": op8_embedding_dedup,
+    "op9_lm_scoring": op9_lm_scoring,
     "op10_decontamination": op10_decontamination,
 }
 ORACLE_SQL = {"op10_decontamination": decontamination.SQL}
