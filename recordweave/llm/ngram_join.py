@@ -7,7 +7,8 @@ whatever order the tokens are put in, as long as it is one order for all. The st
 1. One pass counts tokens: windows of the input report those that they hold more than once. The HEAVY_KEPT most
    frequent ones go last in every order, rarest first; that only makes prefixes selective, any order is correct.
 2. Under the first order every set's prefix is dealt by token (heavy tokens salted) and met sets are kept.
-3. Families: each set is compared with the neighbour that it shares most prefix tokens with; links make components.
+3. Families: each set is compared with the neighbour that it shares most prefix tokens with, then with the most
+   central set of its crowded tokens; links make components.
 4. The rest: pairs of sets in different components that share a prefix token, pass the size and position bounds, and
    also share prefix tokens under every further order, are verified exactly, likely ones first, so that families are
    joined before their pairs are listed.
@@ -42,20 +43,47 @@ SALT_ROWS = 4000
 ORDERS = (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F)
 BROADCAST_KEYS = 2_000_000
 TRIES = 4
+#: Groups of at most so many sets are compared row by row; sets of larger ones are crowded.
+SMALL_GROUP = 32
+
+
+_RANDOM = np.random.default_rng(20240301)
+_BYTE = _RANDOM.integers(1, 1 << 63, 256, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
+_BASE = 0x9FB21C651E98DF25
+_POWERS: list[np.ndarray] = [np.ones(1, np.uint64), np.ones(1, np.uint64)]
+
+
+def _powers(n: int) -> list[np.ndarray]:
+    """Powers of the base and of its inverse modulo 2^64, at least n of them."""
+    if len(_POWERS[0]) < n:
+        n = 1 << int(n).bit_length()
+        for k, base in enumerate((_BASE, pow(_BASE, -1, 1 << 64))):
+            steps = np.full(n, base, np.uint64)
+            steps[0] = 1
+            _POWERS[k] = np.multiply.accumulate(steps)
+    return _POWERS
+
+
+def mixed(h: np.ndarray, multiplier: int = 0xBF58476D1CE4E5B9) -> np.ndarray:
+    h = (h ^ (h >> np.uint64(30))) * np.uint64(multiplier)
+    h = (h ^ (h >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
+    return h ^ (h >> np.uint64(31))
 
 
 def shingles(text: str | None) -> np.ndarray:
-    """Distinct shingle hashes of a whole text, ascending."""
+    """Distinct shingle hashes of a whole text, ascending: a polynomial over random 64-bit values of the bytes."""
     w = words_of(text)
     if not w:
         return np.zeros(0, np.uint64)
-    h = xxhash.xxh3_64_intdigest
-    if len(w) < WIDTH:
-        return np.array([h(b" ".join(w))], np.uint64)
+    raw = np.frombuffer(b" ".join(w), np.uint8)
     size = np.fromiter(map(len, w), np.int64, len(w))
     end = np.cumsum(size + 1) - 1
-    raw = b" ".join(w)
-    return np.unique(np.array([h(raw[s:e]) for s, e in zip((end - size)[: len(w) - WIDTH + 1].tolist(), end[WIDTH - 1 :].tolist())], np.uint64))
+    run = min(WIDTH, len(w))
+    first, last = (end - size)[: len(w) - run + 1], end[run - 1 :]
+    power, inverse = _powers(len(raw) + 1)
+    sums = np.zeros(len(raw) + 1, np.uint64)
+    np.cumsum(_BYTE[raw] * power[: len(raw)], out=sums[1:])
+    return np.unique(mixed((sums[last] - sums[first]) * inverse[first] + (last - first).astype(np.uint64)))
 
 
 def set_id(tokens: np.ndarray) -> int:
@@ -72,7 +100,7 @@ def ordered(tokens: np.ndarray, heavy: np.ndarray, count: np.ndarray, multiplier
     if len(heavy):
         at = np.minimum(np.searchsorted(heavy, tokens), len(heavy) - 1)
         c = np.where(heavy[at] == tokens, count[at], 0)
-    key = tokens if multiplier is None else (tokens ^ (tokens >> np.uint64(31))) * np.uint64(multiplier)
+    key = tokens if multiplier is None else mixed(tokens, multiplier)
     first = np.lexsort((key, c))[: prefix_length(len(tokens))]
     return tokens[first], c[first]
 
@@ -115,8 +143,39 @@ def heavy_tokens(found: DataFrame) -> tuple[np.ndarray, np.ndarray]:
     return token[order], top.n.to_numpy(np.int64)[order]
 
 
+def _partners(rows: np.ndarray) -> pd.DataFrame:
+    """Rows (token, salt, set, n, pos, parts), sorted, that may have a partner in their token's group.
+
+    A partner is another set that passes the size and position bounds. Of a small group the first partner is named as
+    hub; of a large one or one part of a salted token all rows stay and the first row is the hub.
+    """
+    if len(rows):
+        rows = rows[np.r_[True, (rows[1:, :3] != rows[:-1, :3]).any(1)]]
+    token, set_, n, pos = rows[:, 0], rows[:, 2], rows[:, 3], rows[:, 4]
+    new = np.r_[True, (rows[1:, :2] != rows[:-1, :2]).any(1)] if len(rows) else np.zeros(0, bool)
+    group = np.cumsum(new) - 1
+    start = np.flatnonzero(new)
+    size = np.diff(np.r_[start, len(rows)])[group] if len(rows) else np.zeros(0, int)
+    place = np.arange(len(rows)) - (start[group] if len(rows) else 0)
+    keep, hub = np.zeros(len(rows), bool), np.full(len(rows), -1)
+    for step in range(1, int(min(size.max(initial=1), SMALL_GROUP))):
+        j = np.flatnonzero((place >= step) & (size <= SMALL_GROUP))
+        i = j - step
+        sizes_ok = DEN * np.minimum(n[i], n[j]) >= NUM * np.maximum(n[i], n[j])
+        ok = sizes_ok & ((NUM + DEN) * np.minimum(n[i] - pos[i], n[j] - pos[j]) >= NUM * (n[i] + n[j]))
+        keep[i[ok]] = keep[j[ok]] = True
+        hub[j[ok]] = i[ok]
+    crowd = (size > SMALL_GROUP) | (rows[:, 5] > 1)
+    keep |= crowd
+    hub = np.where(crowd & (place > 0), np.arange(len(rows)) - place, hub)
+    out = pd.DataFrame({"token": token[keep], "set": set_[keep], "n": n[keep], "pos": pos[keep], "crowd": crowd[keep]})
+    out["hub"] = pd.array(np.where(hub[keep] >= 0, set_[hub[keep]], 0), "Int64")
+    out.loc[hub[keep] < 0, "hub"] = pd.NA
+    return out
+
+
 def meetings(docs: DataFrame, heavy: np.ndarray, count: np.ndarray) -> DataFrame:
-    """(token, set, n, pos, hub): prefix rows under the first order whose token at least two sets have."""
+    """(token, set, n, pos, crowd, hub): prefix rows under the first order that may have a partner with the same token."""
     sent = docs.sparkSession.sparkContext.broadcast((heavy, count))
 
     def emit(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -132,46 +191,28 @@ def meetings(docs: DataFrame, heavy: np.ndarray, count: np.ndarray) -> DataFrame
                 seen.add(s)
                 p, c = ordered(t, heavy, count, None)
                 parts = c // SALT_ROWS + 1
-                rows.append((p.view(np.int64), np.full(len(p), s), np.full(len(p), len(t), np.int32), np.arange(len(p), dtype=np.int32), (s % parts).astype(np.int32)))
+                rows.append((p.view(np.int64), np.full(len(p), s), np.full(len(p), len(t), np.int32), np.arange(len(p), dtype=np.int32), (s % parts).astype(np.int32), parts.astype(np.int32)))
                 if len(rows) >= 500:
-                    yield pd.DataFrame(dict(zip(("token", "set", "n", "pos", "salt"), map(np.concatenate, zip(*rows)))))
+                    yield pd.DataFrame(dict(zip(("token", "set", "n", "pos", "salt", "parts"), map(np.concatenate, zip(*rows)))))
                     rows = []
             if rows:
-                yield pd.DataFrame(dict(zip(("token", "set", "n", "pos", "salt"), map(np.concatenate, zip(*rows)))))
+                yield pd.DataFrame(dict(zip(("token", "set", "n", "pos", "salt", "parts"), map(np.concatenate, zip(*rows)))))
 
     def meet(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        last = hub = None  # key and first row of the open group; `alone` while its first row has not been given
-        alone = False
+        rest = np.zeros((0, 6), np.int64)
         for b in batches:
-            if not len(b):
+            rows = np.vstack([rest, b[["token", "salt", "set", "n", "pos", "parts"]].to_numpy(np.int64)])
+            if not len(rows):
                 continue
-            k = b[["token", "salt", "set"]].to_numpy(np.int64)
-            v = b[["n", "pos"]].to_numpy(np.int64)
-            whole = np.vstack([np.r_[last[0], last[1]], np.hstack([k, v])]) if last is not None else np.hstack([k, v])
-            was_given, was_hub = (last is not None and not alone), hub
-            keep = np.r_[True, (whole[1:, :3] != whole[:-1, :3]).any(1)]
-            whole = whole[keep]
-            new = np.r_[True, (whole[1:, :2] != whole[:-1, :2]).any(1)]
-            start = np.flatnonzero(new)
-            group = np.cumsum(new) - 1
-            size = np.diff(np.r_[start, len(whole)])
-            hubs = whole[start, 2]
-            if was_hub is not None:
-                hubs[0] = was_hub
-            shared = size[group] > 1
-            given = np.zeros(len(whole), bool)
-            if was_given:
-                given[0] = True
-                if size[0] >= 1:
-                    shared[group == 0] = True
-            out = shared & ~given
-            yield pd.DataFrame({"token": whole[out, 0], "set": whole[out, 2], "n": whole[out, 3], "pos": whole[out, 4], "hub": hubs[group[out]]})
-            last, hub = (whole[-1, :3], whole[-1, 3:]), hubs[-1]
-            alone = not (shared[-1] or given[-1])
-
-    rows = docs.select("text").mapInPandas(emit, "token long, set long, n int, pos int, salt int")
+            open_ = np.flatnonzero((rows[:, :2] != rows[-1, :2]).any(1))
+            cut = open_[-1] + 1 if len(open_) else 0
+            rest = rows[cut:]
+            yield _partners(rows[:cut])
+        yield _partners(rest)
+
+    rows = docs.select("text").mapInPandas(emit, "token long, set long, n int, pos int, salt int, parts int")
     dealt = rows.repartition(shuffle_width(docs.sparkSession), "token", "salt").sortWithinPartitions("token", "salt", "set")
-    return dealt.mapInPandas(meet, "token long, set long, n long, pos long, hub long")
+    return dealt.mapInPandas(meet, "token long, set long, n long, pos long, crowd boolean, hub long")
 
 
 def texts_of(docs: DataFrame, sets: DataFrame) -> DataFrame:
@@ -185,6 +226,10 @@ def texts_of(docs: DataFrame, sets: DataFrame) -> DataFrame:
 
 def verified(pairs: DataFrame, texts: DataFrame) -> DataFrame:
     """The pairs (a, b) of sets whose similarity reaches the bound, by their whole texts."""
+    pairs = stage(pairs.select("a", "b"), "ngram-tries")
+    need = pairs.select(F.explode(F.array("a", "b")).alias("set")).distinct()
+    if pairs.count() <= BROADCAST_KEYS // 2:
+        texts = texts.join(F.broadcast(need), "set", "left_semi")
     a = texts.select(F.col("set").alias("a"), F.col("text").alias("ta"))
     b = texts.select(F.col("set").alias("b"), F.col("text").alias("tb"))
 
@@ -221,6 +266,54 @@ def further_prefixes(texts: DataFrame, heavy: np.ndarray, count: np.ndarray) ->
     return texts.mapInPandas(emit, "set long, " + ", ".join(f"{n} array<long>" for n in names))
 
 
+def _best(rows: DataFrame) -> DataFrame:
+    """(a, b): for each set the hub it meets most often, if that is often enough to be likely."""
+    met = rows.filter("set != hub").groupBy("set", "hub").agg(F.count("*").alias("c"), F.first("n").alias("n")).filter(F.col("c") >= F.least(F.lit(2), 1 + F.col("n") / 20))
+    return met.groupBy("set").agg(F.max_by("hub", F.struct("c", "hub")).alias("hub")).select(F.col("set").alias("a"), F.col("hub").alias("b"))
+
+
+def _open_rows(met: DataFrame, comp: DataFrame) -> DataFrame:
+    """Rows of tokens that still stand in more than one component."""
+    rows = met.select("token", "set", "n", "pos", "crowd", *(["most"] if "most" in met.columns else [])).join(comp, "set", "left").withColumn("component", F.coalesce("component", "set"))
+    mixed_ = rows.groupBy("token").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).filter("lo != hi").select("token")
+    return rows.join(mixed_, "token")
+
+
+def _possible(rows: DataFrame, texts: DataFrame) -> DataFrame:
+    """Open rows with `most`, the most tokens that a crowded set can share with another crowded one (-1: not crowded).
+
+    Of a crowded set only tokens that a second crowded set has can be shared. Sets that so fall short of every partner
+    go from the crowded groups. Pairs in small groups need no such bound: a row of a small group keeps most = -1.
+    """
+    crowded = texts.join(rows.filter("crowd").select("set").distinct(), "set", "left_semi")
+
+    def explode(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for b in batches:
+            for part in range(0, len(b), 200):
+                t = [shingles(x) for x in b.text[part : part + 200]]
+                yield pd.DataFrame({"set": np.repeat(b.set[part : part + 200].to_numpy(), [len(x) for x in t]), "token": np.concatenate(t).view(np.int64)})
+
+    def shared(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        rest = np.zeros((0, 2), np.int64)
+        for b in batches:
+            both = np.vstack([rest, b[["token", "set"]].to_numpy(np.int64)])
+            if len(both):
+                cut = np.flatnonzero(np.r_[True, both[1:, 0] != both[:-1, 0]])[-1]
+                rest = both[cut:]
+                yield tally(both[:cut])
+        yield tally(rest)
+
+    def tally(both: np.ndarray) -> pd.DataFrame:
+        again = both[1:, 0] == both[:-1, 0]
+        set_, n = np.unique(both[np.r_[False, again] | np.r_[again, False], 1] if len(both) > 1 else both[:0, 1], return_counts=True)
+        return pd.DataFrame({"set": set_, "n": n})
+
+    tokens = crowded.mapInPandas(explode, "set long, token long").repartition(shuffle_width(rows.sparkSession), "token").sortWithinPartitions("token")
+    most = stage(tokens.mapInPandas(shared, "set long, n long").groupBy("set").agg(F.sum("n").alias("most")), "ngram-most")
+    small = rows.filter("not crowd").withColumn("most", F.lit(-1).cast("long"))
+    return stage(small.unionByName(rows.filter("crowd").join(most, "set").filter(DEN * F.col("most") >= NUM * F.col("n"))), "ngram-possible")
+
+
 def join_classes(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     """(doc_id, n, set, key) of every document, and (set, component) of the sets that link with another one."""
     docs = docs.select("doc_id", "text")
@@ -229,21 +322,19 @@ def join_classes(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     met = stage(meetings(docs, heavy, count), "ngram-meetings")
 
     keys = found.filter("kind = 0").groupBy("set").agg(F.min("key").alias("key"))
-    size_ok = DEN * F.least("na", "nb") >= NUM * F.greatest("na", "nb")
-    # families: the neighbour that a set shares most prefix tokens with
-    best = met.filter("set != hub").groupBy("set", "hub").agg(F.count("*").alias("c")).groupBy("set").agg(F.max_by("hub", F.struct("c", "hub")).alias("hub"))
     texts = stage(texts_of(docs, keys.join(met.select("set").distinct(), "set")), "ngram-texts")
-    links, comp = _merge(verified(best.select(F.col("set").alias("a"), F.col("hub").alias("b")), texts), None)
-
-    def open_rows(comp: DataFrame) -> DataFrame:
-        rows = met.select("token", "set", "n", "pos").join(comp, "set", "left").withColumn("component", F.coalesce("component", "set"))
-        mixed = rows.groupBy("token").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).filter("lo != hi").select("token")
-        return rows.join(mixed, "token")
-
-    rows = stage(open_rows(comp), "ngram-open")
-    one = rows.select("token", F.col("set").alias("a"), F.col("n").alias("na"), F.col("pos").alias("pa"), F.col("component").alias("ca"))
-    two = rows.select("token", F.col("set").alias("b"), F.col("n").alias("nb"), F.col("pos").alias("pb"), F.col("component").alias("cb"))
-    room = (NUM + DEN) * F.least(F.col("na") - F.col("pa"), F.col("nb") - F.col("pb")) >= NUM * (F.col("na") + F.col("nb"))
+    # families: the neighbour that a set shares most prefix tokens with
+    links, comp = _merge(verified(_best(met.filter("hub is not null").select("set", "hub", "n")), texts), None)
+    rows = _possible(stage(_open_rows(met, comp), "ngram-open"), texts)
+    # then the most central set of each crowded token, the one with the largest share of its tokens in other sets
+    central = rows.filter("crowd").groupBy("token").agg(F.max_by("set", F.struct(F.col("most") / F.col("n"), "set")).alias("hub"))
+    tries = _best(rows.filter("crowd").select("token", "set", "n").join(central, "token"))
+    links, comp = _merge(verified(tries, texts), links)
+    rows = stage(_open_rows(rows, comp), "ngram-open")
+    one = rows.select("token", F.col("set").alias("a"), F.col("n").alias("na"), F.col("pos").alias("pa"), F.col("component").alias("ca"), F.col("most").alias("ma"))
+    two = rows.select("token", F.col("set").alias("b"), F.col("n").alias("nb"), F.col("pos").alias("pb"), F.col("component").alias("cb"), F.col("most").alias("mb"))
+    size_ok = DEN * F.least("na", "nb") >= NUM * F.greatest("na", "nb")
+    room = (NUM + DEN) * F.least(F.col("na") - F.col("pa"), F.col("nb") - F.col("pb"), F.when(F.col("ma") >= 0, F.col("ma")).otherwise(F.col("na")), F.when(F.col("mb") >= 0, F.col("mb")).otherwise(F.col("nb"))) >= NUM * (F.col("na") + F.col("nb"))
     pairs = one.join(two, "token").filter((F.col("a") < F.col("b")) & (F.col("ca") != F.col("cb")) & size_ok & room).groupBy("a", "b").agg(F.count("*").alias("c"))
     pairs = stage(pairs, "ngram-pairs")
     if not pairs.isEmpty():

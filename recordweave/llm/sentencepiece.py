@@ -84,6 +84,10 @@ class Model:
         self.bytes_ = {int(p[3:5], 16): i for i, (p, _, t) in enumerate(self.pieces) if t == BYTE}
         self.unknown = next((i for i, p in enumerate(self.pieces) if p[2] == UNKNOWN), 0)
         usable = [p for p, _, t in self.pieces if t in (NORMAL, USER)]
+        # pieces that decode on their own: normal ones, and bytes that are ASCII characters
+        ascii_ = {i: chr(b) for b, i in self.bytes_.items() if b < 128}
+        self.shown = [ascii_.get(i, p.replace(BLANK, " ")) for i, (p, _, _) in enumerate(self.pieces)]
+        self.alone = np.array([i in ascii_ or t in (NORMAL, USER) for i, (_, _, t) in enumerate(self.pieces)])
         self.longest = max(map(len, usable), default=1)
         if any(BLANK in p.lstrip(BLANK) for p in usable):
             raise ValueError("a piece has a blank after other characters, so words can't be cut at blanks")
@@ -99,6 +103,12 @@ class Model:
         rows = [(p, float(s), i) for i, (p, s, t) in enumerate(self.pieces) if t in (NORMAL, USER)]
         return spark.createDataFrame(rows, "piece string, score double, id int")
 
+    def raw_words(self, text: str) -> list[str] | None:
+        """Parts between single blanks, each to be cut with a blank before it; None if the text needs `words`."""
+        if not self.prefix or self.squeeze or BLANK in text or "  " in text or text[:1] == " " or text[-1:] == " ":
+            return None
+        return text.split(" ")
+
     def words(self, text: str | None) -> list[str]:
         if not text:
             return []
@@ -109,9 +119,13 @@ class Model:
                 return []
         return self.cut.findall(" " + text if self.prefix else text)
 
-    def decode(self, ids) -> str:
+    def decode(self, ids: np.ndarray) -> str:
+        ids = np.asarray(ids, dtype=np.int64)
+        if self.alone[ids].all():
+            text = "".join(map(self.shown.__getitem__, ids.tolist()))
+            return text[1:] if self.prefix and text.startswith(" ") else text
         out, pending = [], bytearray()
-        for i in ids:
+        for i in ids.tolist():
             piece, _, kind = self.pieces[i]
             if kind == BYTE:
                 pending.append(int(piece[3:5], 16))
@@ -133,16 +147,24 @@ def distinct_words(docs: DataFrame, model: Model) -> DataFrame:
     """(split, word): the distinct words of each part of the input."""
 
     def scan(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        last, held = None, set()
+        last, held, raw = None, set(), set()
+
+        def report() -> pd.DataFrame:
+            for r in raw:
+                held.update(model.cut.findall(" " + r))
+            out = pd.DataFrame({"split": last, "word": list(held)})
+            held.clear(), raw.clear()
+            return out
+
         for b in batches:
             for split, text in zip(b.split, b.text):
-                if held and (split != last or len(held) >= WORDS_HELD):
-                    yield pd.DataFrame({"split": last, "word": list(held)})
-                    held.clear()
+                if (held or raw) and (split != last or len(raw) >= WORDS_HELD):
+                    yield report()
                 last = split
-                held.update(model.words(text))
-        if held:
-            yield pd.DataFrame({"split": last, "word": list(held)})
+                parts = model.raw_words(text) if text else None
+                raw.update(parts) if parts is not None else held.update(model.words(text))
+        if held or raw:
+            yield report()
 
     return docs.select("split", "text").mapInPandas(scan, "split long, word string")
 
@@ -151,8 +173,10 @@ def lattice(words: DataFrame, model: Model) -> DataFrame:
     """(word, n, edges): the pieces that are substrings of each word, as (start, stop, score, id)."""
     spark = words.sparkSession
     n = F.char_length("word")
-    spans = F.flatten(F.transform(F.sequence(F.lit(1), n), lambda i: F.transform(F.sequence(F.lit(1), F.least(F.lit(model.longest), n - i + 1)), lambda k: F.struct((i - 1).alias("start"), (i - 1 + k).alias("stop")))))
-    rows = words.select("word", F.explode(spans).alias("s")).select("word", "s.start", "s.stop", F.translate(F.expr("substring(word, s.start + 1, s.stop - s.start)"), " ", BLANK).alias("piece"))
+    shown = words.select("word", F.translate("word", " ", BLANK).alias("shown"), n.alias("n"))
+    starts = shown.select("word", "shown", "n", F.explode(F.sequence(F.lit(0), F.col("n") - 1)).alias("start"))
+    spans = starts.select("word", "shown", "start", F.explode(F.sequence(F.lit(1), F.least(F.lit(model.longest), F.col("n") - F.col("start")))).alias("size"))
+    rows = spans.select("word", "start", (F.col("start") + F.col("size")).alias("stop"), F.expr("substring(shown, start + 1, size)").alias("piece"))
     edges = rows.join(F.broadcast(model.table(spark)), "piece").groupBy("word").agg(F.collect_list(F.struct("start", "stop", "score", "id")).alias("edges"))
     return words.join(edges, "word", "left").select("word", n.alias("n"), F.coalesce("edges", F.array().cast(edges.schema["edges"].dataType)).alias("edges"))
 
@@ -206,7 +230,7 @@ def path_ids(word: Column, cuts: Column, edges: Column, model: Model) -> Column:
 
     spans = bound(cuts, lambda c: F.transform(F.sequence(F.lit(0), F.size(c) - 2), lambda i: F.struct(F.get(c, i).alias("start"), F.get(c, i + 1).alias("stop"))))
     known = lambda s: F.get(F.filter(edges, lambda e: (e["start"] == s["start"]) & (e["stop"] == s["stop"])), 0)["id"]
-    return F.flatten(F.transform(spans, lambda s: F.when(known(s).isNotNull(), F.array(known(s))).otherwise(spell(s["start"], s["stop"]))))
+    return F.flatten(F.transform(spans, lambda s: bound(known(s), lambda k: F.when(k.isNotNull(), F.array(k)).otherwise(spell(s["start"], s["stop"])))))
 
 
 def _long_merge(n: pd.Series, edges: pd.Series) -> pd.Series:
@@ -248,27 +272,46 @@ def word_ids(words: DataFrame, model: Model) -> DataFrame:
     return cut.select("word", path_ids(F.col("word"), F.col("cuts"), F.col("edges"), model).alias("ids"))
 
 
+class _Packed(dict):
+    """Packed ids of the parts between blanks, worked out once for each part of the input."""
+
+    def __init__(self, ids: dict[str, bytes], cut):
+        self.ids, self.cut = ids, cut
+
+    def __missing__(self, raw: str) -> bytes:
+        out = self[raw] = b"".join(map(self.ids.__getitem__, self.cut.findall(" " + raw)))
+        return out
+
+
 class _Apply:
     """Documents as ids, from the entries of their part of the input."""
 
-    def __init__(self, model: Model):
-        self.model = model
+    def __init__(self, model: Model, check: bool):
+        self.model, self.check = model, check
+
+    def lookup(self, entries: pd.DataFrame) -> _Packed:
+        return _Packed(dict(zip(entries.key, entries.ids)), self.model.cut)
 
-    def lookup(self, entries: pd.DataFrame) -> dict[str, bytes]:
-        return dict(zip(entries.key, entries.ids))
+    def packed(self, lookup: _Packed, text: str | None) -> bytes:
+        parts = self.model.raw_words(text) if text else None
+        if parts is None:
+            return b"".join(map(lookup.ids.__getitem__, self.model.words(text)))
+        return b"".join(map(lookup.__getitem__, parts))
 
-    def score(self, lookup: dict[str, bytes], docs: pd.DataFrame) -> pd.DataFrame:
-        ids = [np.frombuffer(b"".join(map(lookup.__getitem__, self.model.words(t))), ">u4").astype(np.int32) for t in docs.text]
+    def score(self, lookup: _Packed, docs: pd.DataFrame) -> pd.DataFrame:
+        ids = [np.frombuffer(self.packed(lookup, t), ">u4").astype(np.int32) for t in docs.text]
+        if self.check:
+            return pd.DataFrame({"doc_id": docs.doc_id, "ids": ids, "round_trip": [self.model.decode(i) == (t or "") for i, t in zip(ids, docs.text)]})
         return pd.DataFrame({"doc_id": docs.doc_id, "text": docs.text, "ids": ids})
 
 
-def encode(docs: DataFrame, model: Model) -> DataFrame:
-    """(doc_id, text, ids) of every document."""
+def encode(docs: DataFrame, model: Model, check: bool = False) -> DataFrame:
+    """(doc_id, text, ids) of every document; with `check` (doc_id, ids, round_trip): whether the ids decode to the text."""
     docs = docs.select("doc_id", "text").withColumn("split", split_key())
     pairs = stage(distinct_words(docs, model), "words")
     ids = word_ids(pairs.select("word").distinct(), model)
     packed = F.unhex(F.array_join(F.transform("ids", lambda i: F.lpad(F.hex(i), 8, "0")), ""))
-    return with_dictionary(docs, pairs.join(ids.select("word", packed.alias("ids")), "word").select("split", F.col("word").alias("key"), "ids"), "ids binary", _Apply(model), "doc_id long, text string, ids array<int>")
+    return with_dictionary(docs, pairs.join(ids.select("word", packed.alias("ids")), "word").select("split", F.col("word").alias("key"), "ids"), "ids binary", _Apply(model, check), "doc_id long, ids array<int>, round_trip boolean" if check else "doc_id long, text string, ids array<int>")
 
 
 def decode(df: DataFrame, model: Model, ids: str = "ids", name: str = "decoded") -> DataFrame:
@@ -284,8 +327,7 @@ def decode(df: DataFrame, model: Model, ids: str = "ids", name: str = "decoded")
 def encoded(docs: DataFrame, model: Model | None = None) -> DataFrame:
     """(doc_id, n_tokens, ids, round_trip): each document's ids and whether they decode to its text."""
     model = model or Model.load()
-    out = decode(encode(docs, model), model)
-    return out.select("doc_id", F.size("ids").cast("long").alias("n_tokens"), "ids", (F.coalesce("text", F.lit("")) == F.col("decoded")).alias("round_trip"))
+    return encode(docs, model, check=True).select("doc_id", F.size("ids").cast("long").alias("n_tokens"), "ids", "round_trip")
 
 
 def op1_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
