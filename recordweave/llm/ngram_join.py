@@ -144,14 +144,14 @@ def heavy_tokens(found: DataFrame) -> tuple[np.ndarray, np.ndarray]:
 
 
 def _partners(rows: np.ndarray) -> pd.DataFrame:
-    """Rows (token, salt, set, n, pos, parts), sorted, that may have a partner in their token's group.
+    """Rows (token, parts and salt, set, n and pos), sorted, that may have a partner in their token's group.
 
     A partner is another set that passes the size and position bounds. Of a small group the first partner is named as
     hub; of a large one or one part of a salted token all rows stay and the first row is the hub.
     """
     if len(rows):
         rows = rows[np.r_[True, (rows[1:, :3] != rows[:-1, :3]).any(1)]]
-    token, set_, n, pos = rows[:, 0], rows[:, 2], rows[:, 3], rows[:, 4]
+    token, set_, n, pos = rows[:, 0], rows[:, 2], rows[:, 3] >> 32, rows[:, 3] & 0xFFFFFFFF
     new = np.r_[True, (rows[1:, :2] != rows[:-1, :2]).any(1)] if len(rows) else np.zeros(0, bool)
     group = np.cumsum(new) - 1
     start = np.flatnonzero(new)
@@ -165,7 +165,7 @@ def _partners(rows: np.ndarray) -> pd.DataFrame:
         ok = sizes_ok & ((NUM + DEN) * np.minimum(n[i] - pos[i], n[j] - pos[j]) >= NUM * (n[i] + n[j]))
         keep[i[ok]] = keep[j[ok]] = True
         hub[j[ok]] = i[ok]
-    crowd = (size > SMALL_GROUP) | (rows[:, 5] > 1)
+    crowd = (size > SMALL_GROUP) | (rows[:, 1] >> 32 > 1)
     keep |= crowd
     hub = np.where(crowd & (place > 0), np.arange(len(rows)) - place, hub)
     out = pd.DataFrame({"token": token[keep], "set": set_[keep], "n": n[keep], "pos": pos[keep], "crowd": crowd[keep]})
@@ -191,17 +191,17 @@ def meetings(docs: DataFrame, heavy: np.ndarray, count: np.ndarray) -> DataFrame
                 seen.add(s)
                 p, c = ordered(t, heavy, count, None)
                 parts = c // SALT_ROWS + 1
-                rows.append((p.view(np.int64), np.full(len(p), s), np.full(len(p), len(t), np.int32), np.arange(len(p), dtype=np.int32), (s % parts).astype(np.int32), parts.astype(np.int32)))
+                rows.append((p.view(np.int64), np.full(len(p), s), (len(t) << 32) + np.arange(len(p)), (parts << 32) + s % parts))
                 if len(rows) >= 500:
-                    yield pd.DataFrame(dict(zip(("token", "set", "n", "pos", "salt", "parts"), map(np.concatenate, zip(*rows)))))
+                    yield pd.DataFrame(dict(zip(("token", "set", "n_pos", "deal"), map(np.concatenate, zip(*rows)))))
                     rows = []
             if rows:
-                yield pd.DataFrame(dict(zip(("token", "set", "n", "pos", "salt", "parts"), map(np.concatenate, zip(*rows)))))
+                yield pd.DataFrame(dict(zip(("token", "set", "n_pos", "deal"), map(np.concatenate, zip(*rows)))))
 
     def meet(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        rest = np.zeros((0, 6), np.int64)
+        rest = np.zeros((0, 4), np.int64)
         for b in batches:
-            rows = np.vstack([rest, b[["token", "salt", "set", "n", "pos", "parts"]].to_numpy(np.int64)])
+            rows = np.vstack([rest, b[["token", "deal", "set", "n_pos"]].to_numpy(np.int64)])
             if not len(rows):
                 continue
             open_ = np.flatnonzero((rows[:, :2] != rows[-1, :2]).any(1))
@@ -210,8 +210,8 @@ def meetings(docs: DataFrame, heavy: np.ndarray, count: np.ndarray) -> DataFrame
             yield _partners(rows[:cut])
         yield _partners(rest)
 
-    rows = docs.select("text").mapInPandas(emit, "token long, set long, n int, pos int, salt int, parts int")
-    dealt = rows.repartition(shuffle_width(docs.sparkSession), "token", "salt").sortWithinPartitions("token", "salt", "set")
+    rows = docs.select("text").mapInPandas(emit, "token long, set long, n_pos long, deal long")
+    dealt = rows.repartition(shuffle_width(docs.sparkSession), "token", "deal").sortWithinPartitions("token", "deal", "set")
     return dealt.mapInPandas(meet, "token long, set long, n long, pos long, crowd boolean, hub long")
 
 
@@ -254,16 +254,16 @@ def _merge(links: DataFrame, more: DataFrame | None) -> tuple[DataFrame, DataFra
 
 
 def further_prefixes(texts: DataFrame, heavy: np.ndarray, count: np.ndarray) -> DataFrame:
-    """(set, p0, p1, ..): prefixes under the further orders."""
+    """(set, p0, p1, ..): prefixes under the further orders, as 32-bit halves of the hashes: a filter may let more pass."""
     sent = texts.sparkSession.sparkContext.broadcast((heavy, count))
     names = [f"p{k}" for k in range(len(ORDERS))]
 
     def emit(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
             t = [shingles(x) for x in b.text]
-            yield pd.DataFrame({"set": b.set, **{name: [ordered(x, *sent.value, m)[0].view(np.int64) for x in t] for name, m in zip(names, ORDERS)}})
+            yield pd.DataFrame({"set": b.set, **{name: [(ordered(x, *sent.value, m)[0] >> np.uint64(32)).astype(np.uint32).view(np.int32) for x in t] for name, m in zip(names, ORDERS)}})
 
-    return texts.mapInPandas(emit, "set long, " + ", ".join(f"{n} array<long>" for n in names))
+    return texts.mapInPandas(emit, "set long, " + ", ".join(f"{n} array<int>" for n in names))
 
 
 def _best(rows: DataFrame) -> DataFrame:
