@@ -176,8 +176,10 @@ def with_dictionary(docs: DataFrame, dictionary: DataFrame, values: str, apply,
                     held.append(part.loc[~is_block, ["key", *fields]])
                 if is_block.any():
                     if lookup is None:
-                        lookup = apply.lookup(pd.concat(held, ignore_index=True) if held else part.loc[[], ["key", *fields]])
+                        entries = pd.concat(held, ignore_index=True) if held else part.iloc[:0][["key", *fields]]
                         held = []
+                        lookup = apply.lookup(entries)
+                        del entries
                     for data in part.block[is_block]:
                         yield apply.score(lookup, unpack(data))
 

@@ -31,7 +31,9 @@ UNIGRAM, BPE = 1, 2
 NORMAL, UNKNOWN, USER, BYTE = 1, 2, 4, 6
 #: Words beyond this many characters are merged by a Pandas UDF over the same edges.
 FAST = 62
-WORDS_HELD = 1 << 20
+WORDS_HELD = 1 << 18
+#: Parts of texts whose packed ids are kept at hand; the first seen are mostly the frequent ones.
+PARTS_HELD = 1 << 16
 CUT = regex.compile(r" *[\p{L}\p{M}]+| *[^\p{L}\p{M} ]+| +")
 CUT_BLANKS = regex.compile(r" *[^ ]+| +")
 LETTER = regex.compile(r"[\p{L}\p{M}]")
@@ -273,13 +275,15 @@ def word_ids(words: DataFrame, model: Model) -> DataFrame:
 
 
 class _Packed(dict):
-    """Packed ids of the parts between blanks, worked out once for each part of the input."""
+    """Packed ids of the parts between blanks; the first PARTS_HELD are kept."""
 
     def __init__(self, ids: dict[str, bytes], cut):
         self.ids, self.cut = ids, cut
 
     def __missing__(self, raw: str) -> bytes:
-        out = self[raw] = b"".join(map(self.ids.__getitem__, self.cut.findall(" " + raw)))
+        out = b"".join(map(self.ids.__getitem__, self.cut.findall(" " + raw)))
+        if len(self) < PARTS_HELD:
+            self[raw] = out
         return out
 
 
