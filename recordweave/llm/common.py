@@ -107,13 +107,24 @@ def components(nodes_edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
     return edges.select(F.col("u").alias("node"), F.col("v").alias("component")).union(roots)
 
 
-def split_key() -> Column:
-    """A number for the piece of a file that a row was read from, the same whenever the file is read.
+def with_split(docs: DataFrame) -> DataFrame:
+    """doc_id and text with split: a number for the piece of a file that a row stands in.
 
-    Rows that come from no file are dealt by hash instead; that is as correct, only less compact.
+    Where the pieces begin is found once, and stored; a row belongs to the piece that holds its place in the file, in
+    whatever pieces Spark reads the file later. There are as many pieces as tasks that read the files. Rows that have no
+    place in a file are dealt by hash instead; that is as correct, only less compact.
     """
-    rest = F.pmod(F.xxhash64("doc_id", "text"), F.lit(1 << 10))
-    return F.when(F.input_file_name() != "", F.xxhash64(F.input_file_name(), F.input_file_block_start())).otherwise(rest)
+    from pyspark.errors import AnalysisException
+
+    at = [F.col(f"_metadata.{k}").alias(f"{k}_") for k in ("file_path", "file_block_start", "row_index")]
+    try:
+        places, docs_at = docs.select(*at), docs.select("doc_id", "text", at[0], at[2])
+    except AnalysisException:
+        return docs.select("doc_id", "text", F.pmod(F.xxhash64("doc_id", "text"), F.lit(1 << 10)).alias("split"))
+    first = places.groupBy("file_path_", "file_block_start_").agg(F.min("row_index_").alias("first"))
+    starts = stage(first.groupBy("file_path_").agg(F.collect_list("first").alias("starts_")), "starts")
+    piece = F.array_max(F.filter("starts_", lambda x: x <= F.col("row_index_")))
+    return docs_at.join(F.broadcast(starts), "file_path_", "left").select("doc_id", "text", F.xxhash64("file_path_", piece).alias("split"))
 
 
 def with_dictionary(docs: DataFrame, dictionary: DataFrame, values: str, apply, schema: str) -> DataFrame:

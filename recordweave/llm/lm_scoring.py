@@ -25,13 +25,14 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from recordweave.llm.common import remainder, split_key, stage, table, with_dictionary, words_of
+from recordweave.llm.common import remainder, stage, table, with_dictionary, with_split, words_of
 
 DEPTH = 5
 FOLDS = 10
 END = 10
 PIECE = 1 << 21
 HALF = np.log(0.5)
+STRANGE = "a part of the input meets entries that are not its own"
 
 
 def word_key(word: bytes) -> int:
@@ -196,6 +197,14 @@ def gram_logs(counts: DataFrame) -> DataFrame:
     return counts.groupBy(by.alias("two")).applyInPandas(group, "key long, value double")
 
 
+def _places(keys: np.ndarray, wanted: np.ndarray) -> np.ndarray:
+    """Where the wanted keys stand among sorted keys; a key that isn't there is an error, not its neighbour."""
+    at = np.searchsorted(keys, wanted)
+    if len(keys) == 0 or (keys[np.minimum(at, len(keys) - 1)] != wanted).any():
+        raise LookupError(STRANGE)
+    return at
+
+
 class _Lookup:
     """Values by gram (an open table with sorted keys behind it) and by word."""
 
@@ -219,13 +228,18 @@ class _Lookup:
         s = self.slot(key)
         out = self.slot_value[s]
         miss = np.flatnonzero(self.slot_key[s] != key)
-        out[miss] = self.value[np.minimum(np.searchsorted(self.key, key[miss]), len(self.key) - 1)]
+        if len(miss):
+            out[miss] = self.value[_places(self.key, key[miss])]
         return out
 
     def of_word(self, word: bytes) -> float:
         c = self.known.get(word)
         if c is None:
-            c = self.known[word] = float(self.counts[np.searchsorted(self.words, word_key(word))])
+            key = word_key(word)
+            at = np.searchsorted(self.words, key)
+            if at == len(self.words) or self.words[at] != key:
+                raise LookupError(STRANGE)
+            c = self.known[word] = float(self.counts[at])
         return c
 
 
@@ -259,7 +273,7 @@ SCORES = "doc_id long, n_tokens long, n_known long, train_tokens long, base_scor
 
 def score(docs: DataFrame, folds: int = FOLDS) -> DataFrame:
     """Scores of every document under a model of those outside the held-out fold."""
-    docs = docs.select("doc_id", "text").withColumns({"split": split_key(), "train": remainder("doc_id", folds) != 0})
+    docs = with_split(docs).withColumn("train", remainder("doc_id", folds) != 0)
     local = stage(local_counts(docs), "lm-local")
     counts = stage(local.groupBy("key").agg(F.sum("n").alias("n")), "lm-counts")
     n = counts.filter("key < 0").agg(F.coalesce(F.sum("n"), F.lit(0)), F.count_if(F.col("n") > 0)).first()

@@ -23,7 +23,7 @@ import regex
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from recordweave.llm.common import bound, split_key, stage, table, with_dictionary
+from recordweave.llm.common import bound, stage, table, with_dictionary, with_split
 
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 BLANK = "▁"
@@ -311,7 +311,7 @@ class _Apply:
 
 def encode(docs: DataFrame, model: Model, check: bool = False) -> DataFrame:
     """(doc_id, text, ids) of every document; with `check` (doc_id, ids, round_trip): whether the ids decode to the text."""
-    docs = docs.select("doc_id", "text").withColumn("split", split_key())
+    docs = with_split(docs)
     pairs = stage(distinct_words(docs, model), "words")
     ids = word_ids(pairs.select("word").distinct(), model)
     packed = F.unhex(F.array_join(F.transform("ids", lambda i: F.lpad(F.hex(i), 8, "0")), ""))

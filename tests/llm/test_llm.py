@@ -47,6 +47,38 @@ def test_components(spark):
     assert all(got[x] == want[x] for p in pairs if p[0] != p[1] for x in p)
 
 
+def test_parts_do_not_depend_on_how_files_are_split(spark, tmp_path):
+    import pyarrow as pa
+    import pyarrow.parquet as pq
+
+    rng = random.Random(11)
+    texts = [f"t{i} " + words(rng, 30, 500) for i in range(400)]
+    pq.write_table(pa.table({"doc_id": pa.array(range(400), pa.int64()), "text": texts}), tmp_path / "documents.parquet", row_group_size=40)
+    name = "spark.sql.files.maxPartitionBytes"
+    before = spark.conf.get(name)
+    model = sentencepiece.Model.load()
+    want = {r.doc_id: r.score for r in lm_scoring.score(docs_of(spark, texts)).collect()}
+    try:
+        for first, second in ((4_000, 10_000_000), (10_000_000, 4_000)):
+            spark.conf.set(name, first)
+            docs = common.table(spark, str(tmp_path), "documents")
+            scored, ids = lm_scoring.score(docs), sentencepiece.encoded(docs, model)
+            spark.conf.set(name, second)
+            got = {r.doc_id: r.score for r in scored.collect()}
+            assert got.keys() == want.keys() and all(abs(got[i] - want[i]) < 1e-9 for i in want)
+            assert ids.filter("round_trip").count() == len(texts)
+    finally:
+        spark.conf.set(name, before)
+
+
+def test_unknown_keys_are_errors():
+    lookup = lm_scoring._Lookup(np.array([lm_scoring.word_key(b"a"), 5, 9]), np.array([1.0, 2.0, 3.0]))
+    assert lookup.of_grams(np.array([5, 9])).tolist() == [2.0, 3.0] and lookup.of_word(b"a") == 1.0
+    for ask in (lambda: lookup.of_grams(np.array([5, 6])), lambda: lookup.of_word(b"b")):
+        with pytest.raises(LookupError):
+            ask()
+
+
 # --- 1 --------------------------------------------------------------------------------------------------------------
 def test_sentencepiece_equals_library(spark):
     spm = pytest.importorskip("sentencepiece")
