@@ -95,12 +95,37 @@ def combined(sub: Column, dev: Column, sub_in: Column, dev_in: Column) -> Column
     return 0.5 * bonus(sub, sub_in) + 0.5 * bonus(dev, dev_in)
 
 
+def rare_characters(x: Column, share: Column | float) -> Column:
+    """The first characters of x, numbered by occurrence, higher (rarer) numbers first, of which texts that share at least
+    `share` of x's length with x must have one."""
+    chars = F.array_sort(F.filter(F.split(x, ""), lambda ch: ch != ""))
+    numbered = F.transform(chars, lambda ch, i: F.concat(F.lpad((100_000_000 - (i - F.array_position(chars, ch) + 2)).cast("string"), 9, "0"), ch))
+    keep = F.length(x) - F.ceil(F.length(x) * share - 1e-9) + 1
+    return F.slice(F.array_sort(numbered), F.lit(1), keep.cast("int"))
+
+
+def name_pairs(left: DataFrame, rows: DataFrame, ratio: float) -> DataFrame:
+    """left (d) with rows (c): all pairs whose names can have a similarity of `ratio` (0 to 1, exclusive), by an equi-join.
+
+    A ratio r = 2 M / (|d| + |c|) needs |c| >= |d| r / (2 - r), so M >= |d| r / (2 - r), and the same for c. Both
+    names then share one of their first characters in any fixed order, so they meet on it and on the length of c.
+    Distinct names meet, then their rows.
+    """
+    share = ratio / (2 - ratio)
+    lengths = F.sequence(F.ceil(F.length("d") * share - 1e-9), F.floor(F.length("d") / share + 1e-9))
+    d = left.filter("d <> ''").select("d").distinct().withColumn("size_", F.explode(lengths)).withColumn("t_", F.explode(rare_characters(F.col("d"), share)))
+    c = rows.filter("c <> ''").select("c").distinct().select("c", F.length("c").cast("long").alias("size_"), F.explode(rare_characters(F.col("c"), share)).alias("t_"))
+    pairs = d.join(c, ["t_", "size_"]).filter(similarity_bound(F.col("d"), F.col("c")) >= ratio - 1e-9).select("d", "c").distinct()
+    return left.join(pairs, "d").join(rows, "c")
+
+
 def best_match(left: DataFrame, rows: DataFrame, hits: DataFrame, threshold: float = 0.45) -> DataFrame:
     """(left_id, row_idx, id_hits, score): most identifier hits, then the higher score, then the first row.
 
     left: left_id, substation, developer; rows: row_idx, pooling_station, connectivity_applicant; hits: left_id, row_idx,
-    id_hits. Pairs without a hit are compared only where an upper bound of their score reaches the threshold; both sides
-    meet by blocks of the smaller one, which is broadcast if it is small.
+    id_hits. Pairs without a hit are compared only where an upper bound of their score reaches the threshold. Records
+    without a substation meet rows by an equi-join on their names; others by an inequality join, in which the rows are
+    broadcast if they are few.
     """
     a = left.select("left_id", T.normalize(F.col("substation")).alias("s"), T.normalize(F.col("developer")).alias("d"))
     b = rows.select("row_idx", T.normalize(F.col("pooling_station")).alias("p"), T.normalize(F.col("connectivity_applicant")).alias("c"))
@@ -110,8 +135,10 @@ def best_match(left: DataFrame, rows: DataFrame, hits: DataFrame, threshold: flo
     length = lambda x, y: F.when((x == "") | (y == ""), 0.0).otherwise(2.0 * F.least(F.length(x), F.length(y)) / (F.length(x) + F.length(y)))
     possible = combined(length(F.col("s"), F.col("p")), length(F.col("d"), F.col("c")), si, di) >= threshold
     bounded = combined(similarity_bound(F.col("s"), F.col("p")), similarity_bound(F.col("d"), F.col("c")), si, di) >= threshold
-    no_hit = a.join(hits.select("left_id").distinct(), "left_id", "left_anti")
-    fuzzy = checked_broadcast(b).join(no_hit, possible & bounded).withColumn("id_hits", F.lit(0).cast("long"))
+    no_hit = a.join(hits.select("left_id").distinct(), "left_id", "left_anti").withColumn("s", F.coalesce("s", F.lit(""))).withColumn("d", F.coalesce("d", F.lit("")))
+    names_only = name_pairs(no_hit.filter("s = ''"), b, 2 * threshold - 0.15).filter(possible & bounded)
+    others = checked_broadcast(b).join(no_hit.filter("s <> ''"), possible & bounded)
+    fuzzy = names_only.unionByName(others).withColumn("id_hits", F.lit(0).cast("long"))
     names = ["left_id", "row_idx", "id_hits", "s", "d", "p", "c"]
     scored = hit_pairs.select(names).unionByName(fuzzy.select(names)).withColumn("score", combined(similarity("s", "p"), similarity("d", "c"), si, di))
     ok = scored.filter((F.col("id_hits") > 0) | (F.col("score") >= threshold))

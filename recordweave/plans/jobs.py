@@ -142,8 +142,7 @@ def coordination_layer(records: DataFrame, rows: DataFrame) -> DataFrame:
     usable = records.filter((c("application_id") != "") | (c("name_of_applicant") != ""))
     left = usable.select("application_id", "name_of_applicant").distinct().select(F.concat_ws("|", "application_id", "name_of_applicant").alias("left_id"), F.lit("").alias("substation"), c("name_of_applicant").alias("developer"), F.filter(F.array("application_id"), lambda x: x != "").alias("ids"))
     hits = J.id_hits(left, rows, ["connectivity_applicant", "pooling_station"])
-    fuzzy = left.filter(F.size("ids") == 0)
-    best = J.best_match(left.join(hits.select("left_id").distinct(), "left_id", "left_semi").unionByName(fuzzy), rows, hits)
+    best = J.best_match(left, rows, hits)
     out = left.join(best, "left_id", "left").join(rows, "row_idx", "left")
     return out.select("left_id", "row_idx", "id_hits", F.round("score", 9).alias("score"), F.coalesce(T.none_if_empty(c("developer")), c("connectivity_applicant")).alias("developer"), gna_mw(c("status_text"), c("schedule_text")).alias("gna"), tgna_mw(c("status_text"), c("schedule_text")).alias("tgna"))
 

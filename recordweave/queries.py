@@ -302,7 +302,7 @@ def a10(spark, sf):
 
 @query("j4_j5_e8_best_match")
 def j4(spark, sf):
-    """Applications by supplier name against coordination rows of their own block; tested against plain Python."""
+    """Applications by supplier name against all coordination rows; tested against plain Python."""
     return jobs.coordination_layer(A.view(spark, sf, "effectiveness"), A.view(spark, sf, "coordination"))
 
 

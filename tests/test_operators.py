@@ -135,3 +135,28 @@ def test_batch_run(spark):
     assert [r.pdf_name for r in todo.collect()] == ["a"]
     closed = incremental.close_batch(todo, spark.createDataFrame([("a",)], "pdf_name string"), files.limit(0))
     assert closed.count() == 1
+
+
+def test_coordination_layer_equals_plain_python(spark):
+    rng = random.Random(9)
+    w = ["alpha", "beta", "gamma", "power", "solar", "aab", "ltd"]
+    mk = lambda: " ".join(rng.choice(w) for _ in range(rng.randint(1, 4)))
+    records = [("" if i % 3 == 0 else str(9_000_000 + i), mk()) for i in range(60)] + [("1200001", "alpha"), ("7777777", "")]
+    rows = [(i, mk() + (" (1200001)" if i in (4, 7) else ""), f"PS-{i}", "", "Effective") for i in range(40)]
+    left = spark.createDataFrame(records, "application_id string, name_of_applicant string")
+    right = spark.createDataFrame(rows, "row_idx int, connectivity_applicant string, pooling_station string, schedule_text string, status_text string")
+    got = {r.left_id: (r.row_idx, r.id_hits) for r in jobs.coordination_layer(left, right).collect()}
+
+    def one(a, b):
+        s = difflib.SequenceMatcher(None, a, b).ratio() if a and b else 0.0
+        return min(1.0, s + (0.15 if a and b and (a in b or b in a) else 0.0))
+
+    norm = {x: r.n for x in {n for _, n in records} | {r[1] for r in rows} for r in [spark.createDataFrame([(x,)], "x string").select(T.normalize(F.col("x")).alias("n")).first()]}
+    unknown = 0
+    for id_, name in set(records):
+        hit = [r for r in rows if id_ and id_ in r[1]]
+        pool = [(0.5 * one(norm[name], norm[r[1]]), -r[0]) for r in hit or rows]
+        best = max((x for x in pool if hit or x[0] >= 0.45 - 1e-12), default=None)
+        assert got[f"{id_}|{name}"] == ((None, None) if best is None else (-best[1], len(hit) and 1)), (id_, name)
+        unknown += bool(id_ and not hit and best)
+    assert unknown > 3
