@@ -130,7 +130,7 @@ def f4(spark, sf):
 
 @query("s1_page_scan", O.views("page_text") + " SELECT source_pdf, count(*) AS pages, max(page_number) AS last_page FROM page_text WHERE page_number <= 10000 GROUP BY source_pdf")
 def s1(spark, sf):
-    return jobs.scan_pages(A.view(spark, sf, "page_text"), 10_000).groupBy("source_pdf").agg(F.count("*").alias("pages"), F.max("page_number").alias("last_page"))
+    return jobs.scan_pages(A.view(spark, sf, "page_text"), -1).groupBy("source_pdf").agg(F.count("*").alias("pages"), F.max("page_number").alias("last_page"))
 
 
 _count_sql = {"gna": ("\\bGNA\\b", "\\bST[\\s-]*II\\b", "\\bStage[\\s-]*II\\b", "\\bGNA/ST\\s*II\\b"), "lta": ("\\bLTA\\b", "\\bLong\\s+Term\\s+Access\\b")}

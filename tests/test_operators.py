@@ -160,3 +160,10 @@ def test_coordination_layer_equals_plain_python(spark):
         assert got[f"{id_}|{name}"] == ((None, None) if best is None else (-best[1], len(hit) and 1)), (id_, name)
         unknown += bool(id_ and not hit and best)
     assert unknown > 3
+
+
+def test_scan_of_all_pages_has_no_cap(spark, tmp_path):
+    from recordweave import queries
+
+    spark.createDataFrame([(i, "t") for i in (0, 10_000, 10_050, 25_000)], "doc_id long, text string").write.parquet(str(tmp_path / "documents.parquet"))
+    assert [tuple(r) for r in queries.QUERIES["s1_page_scan"](spark, str(tmp_path)).collect()] == [("doc0", 4, 25_000)]
