@@ -203,9 +203,37 @@ def page_voltage(texts: pd.Series) -> pd.Series:
 
 
 def document_chunks(pages: DataFrame, most: int = 10_000) -> DataFrame:
-    """(source_pdf, chunk_no, chunk): pages joined in order into chunks of at most `most` characters."""
-    docs = pages.groupBy("source_pdf").agg(F.transform(F.array_sort(F.collect_list(F.struct("page_number", "text"))), lambda p: p["text"]).alias("pages"))
-    return docs.select("source_pdf", F.posexplode(R.size_chunks(c("pages"), most)).alias("chunk_no", "chunk"))
+    """(source_pdf, chunk_no, first_page, chunk): pages joined in order into chunks of at most `most` characters.
+
+    A chunk closes when one more page would pass `most`. Sorted pages stream by with one open chunk held; a document
+    is walked by one task, however long it is.
+    """
+
+    def walk(batches):
+        doc, no, first, parts, size, seen = None, 0, None, [], 0, False
+        for b in batches:
+            out = []
+            for d, page, text in zip(b.source_pdf, b.page_number, b.text):
+                text = text or ""
+                if seen and d != doc or size and size + len(text) > most:
+                    if size:
+                        out.append((doc, no, first, "".join(parts)))
+                        no += 1
+                    parts, size = [], 0
+                if not seen or d != doc:
+                    doc, no, seen = d, 0, True
+                if not size:
+                    first = page
+                parts.append(text)
+                size += len(text)
+            yield pd.DataFrame(out, columns=["source_pdf", "chunk_no", "first_page", "chunk"])
+        if size:
+            yield pd.DataFrame([(doc, no, first, "".join(parts))], columns=["source_pdf", "chunk_no", "first_page", "chunk"])
+
+    width = int(pages.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    dealt = pages.select("source_pdf", c("page_number").cast("long").alias("page_number"), "text").repartition(width, "source_pdf")
+    ordered = dealt.sortWithinPartitions("source_pdf", "page_number", "text")
+    return ordered.mapInPandas(walk, "source_pdf string, chunk_no int, first_page long, chunk string")
 
 
 # --- stored answers -------------------------------------------------------------------------------------------------

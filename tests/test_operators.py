@@ -167,3 +167,23 @@ def test_scan_of_all_pages_has_no_cap(spark, tmp_path):
 
     spark.createDataFrame([(i, "t") for i in (0, 10_000, 10_050, 25_000)], "doc_id long, text string").write.parquet(str(tmp_path / "documents.parquet"))
     assert [tuple(r) for r in queries.QUERIES["s1_page_scan"](spark, str(tmp_path)).collect()] == [("doc0", 4, 25_000)]
+
+
+def test_chunks_stream_in_order(spark):
+    rng = random.Random(4)
+    rows = [(f"d{rng.randrange(3)}", p, rng.choice([None, "", "x" * rng.randint(1, 60)])) for p in range(300)]
+    rng.shuffle(rows)
+    want = []
+    for doc in {r[0] for r in rows}:
+        open_, first, no = "", None, 0
+        for _, p, t in sorted((r for r in rows if r[0] == doc), key=lambda r: r[1]):
+            t = t or ""
+            if open_ and len(open_) + len(t) > 100:
+                want.append((doc, no, first, open_))
+                open_, no = "", no + 1
+            first = first if open_ else p
+            open_ += t
+        want += [(doc, no, first, open_)] if open_ else []
+    got = jobs.document_chunks(spark.createDataFrame(rows, "source_pdf string, page_number int, text string"), 100)
+    assert sorted(map(tuple, got.collect())) == sorted(want)
+    assert "collect_list" not in got._jdf.queryExecution().toString()
