@@ -1,8 +1,9 @@
 """Main-text extraction from HTML by tag-path ratios.
 
 A page is cut into text blocks, each with its root-to-leaf path of tags (with the class or role words that matter).
-Blocks under tags or classes that never hold an article (menus, headers, footers, forms, adverts, comments ...) have a
-weight of nothing. For every other path the text length and the punctuation of its blocks are aggregated into two
+Blocks under tags that never hold an article (menus, headers, footers ...) and in comments have a weight of nothing.
+Forms and elements with class words of menus, adverts and the like have none either, unless the element holds the
+page's largest article or most of its text: then it is a wrapper of the page. For every other path the text length and the punctuation of its blocks are aggregated into two
 ratios per block; both are fused with those of the enclosing container, smoothed over neighbouring blocks in page
 order, and paths above a share of the best one are the content.
 
@@ -35,12 +36,17 @@ HIDDEN = re.compile(r"(?:^|\s)hidden(?:\s|=|/|$)|display\s*:\s*none|aria-hidden\
 INLINE = frozenset("a abbr acronym b bdi bdo big br cite code data del dfn em font i img ins kbd label mark q s samp small span strike strong sub sup time tt u var wbr".split())
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 #: Tags and class words under which no article text stands.
-NEVER = frozenset("head nav header footer aside form button menu dialog input option label fieldset".split())
+NEVER = frozenset("head nav header footer aside button menu dialog input option label fieldset".split())
 NEVER_WORDS = frozenset(
     "ad ads advert adverts advertisement advertising banner breadcrumb breadcrumbs comment comments consent cookie cookies disqus footer header masthead menu nav navbar navigation "
     "newsletter notice notices pagination popup promo promoted related replies respond share sharing sidebar social sponsor sponsored subscribe toolbar widget".split()
 )
 ARTICLE = frozenset("article main".split())
+#: Class words of readers' comments, which no amount of text makes the article; and words with which a class only says what a page has.
+COMMENT_WORDS = frozenset("comment comments disqus replies respond".split())
+HAS_WORDS = frozenset("has with no without".split())
+#: Vetoes of an element: none, one that a wrapper of the page is spared, one that always holds.
+FREE, WEAK, HARD = range(3)
 #: A tag that opens one of these closes an open one of the same set.
 CLOSES = {"p": ("p",), "li": ("li", "p"), "dt": ("dt", "dd", "p"), "dd": ("dt", "dd", "p"), "tr": ("tr", "td", "th", "p"), "td": ("td", "th", "p"), "th": ("td", "th", "p")}
 BLOCK_CLOSES_P = frozenset("address article aside blockquote div dl fieldset figure footer form h1 h2 h3 h4 h5 h6 header hr main nav ol p pre section table ul".split())
@@ -53,16 +59,26 @@ SHARE = 0.1
 
 def blocks(page: str) -> list[tuple[str, str, str, int, bool]]:
     """(container path, path, text, characters inside links, article?) of each non-empty block in page order."""
-    out: list[tuple[str, str, str, int, bool]] = []
-    stack: list[tuple[str, str, bool, bool]] = []  # tag, step of the path, never?, article?
-    links, buffer, linked = 0, [], 0
+    out: list[tuple[tuple[str, str, str, int, bool], set[int]]] = []
+    stack: list[tuple[str, str, int, bool, int]] = []  # tag, step of the path, veto, article?, number
+    links, buffer, linked, opened = 0, [], 0, 0
+    chars: dict[int, int] = defaultdict(int)  # text outside links by article or vetoed element, 0 for the page
+    in_links: dict[int, int] = defaultdict(int)
+    around: dict[int, set[int]] = {}  # vetoed elements around each article
 
     def flush() -> None:
         nonlocal buffer, linked
         text = WHITE.sub(" ", _html.unescape("".join(buffer))).strip()
-        if text and not any(s[2] for s in stack if s[0] not in INLINE):
+        if text and not any(s[2] == HARD for s in stack if s[0] not in INLINE):
             steps = [s[1] for s in stack if s[0] not in INLINE]
-            out.append(("/".join(steps[:-1]), "/".join(steps), text, min(linked, len(text)), any(s[3] for s in stack)))
+            weak = {s[4] for s in stack if s[2] == WEAK and s[0] not in INLINE}
+            inside = [s[4] for s in stack if s[3]]
+            for k in {0, *weak, *inside}:
+                chars[k] += len(text) - min(linked, len(text))
+                in_links[k] += min(linked, len(text))
+            for k in inside:
+                around.setdefault(k, weak - {x for x in weak if x > k})
+            out.append((("/".join(steps[:-1]), "/".join(steps), text, min(linked, len(text)), bool(inside)), weak))
         buffer, linked = [], 0
 
     def close(names: tuple[str, ...]) -> None:
@@ -94,7 +110,7 @@ def blocks(page: str) -> list[tuple[str, str, str, int, bool]]:
             if m["end"]:
                 close((tag,))
             elif not (m["attrs"] or "").endswith("/"):
-                stack.append((tag, tag, _never(tag, m["attrs"]), False))
+                stack.append((tag, tag, _veto(tag, m["attrs"]), False, -1))
         elif m["end"]:
             flush()
             names = [s[0] for s in stack]
@@ -111,19 +127,24 @@ def blocks(page: str) -> list[tuple[str, str, str, int, bool]]:
             if tag == "body":
                 stack[:] = [s for s in stack if s[0] != "head"]
             if tag not in VOID and not (m["attrs"] or "").endswith("/"):
-                stack.append((tag, tag, _never(tag, m["attrs"]), tag in ARTICLE))
+                opened += 1
+                stack.append((tag, tag, _veto(tag, m["attrs"]), tag in ARTICLE, opened))
     flush()
-    return out
+    spared = around[max(around, key=chars.__getitem__)] if around else set()
+    return [b for b, weak in out if all(k in spared or 2 * chars[k] > chars[0] and chars[k] > in_links[k] for k in weak)]
 
 
-def _never(tag: str, attrs: str | None) -> bool:
+def _veto(tag: str, attrs: str | None) -> int:
     if tag in NEVER:
-        return True
-    if not attrs or tag in ("html", "body", "article", "main"):
-        return False
-    if HIDDEN.search(attrs):
-        return True
-    return any(w in NEVER_WORDS for a in ATTR.findall(attrs) for w in re.split(r"[^a-z]+", "".join(a).lower()))
+        return HARD
+    if not attrs or tag in ("html", "body", "main"):
+        return WEAK if tag == "form" else FREE
+    if tag != "article" and HIDDEN.search(attrs):
+        return HARD
+    classes = [set(re.split(r"[^a-z]+", x)) for a in ATTR.findall(attrs) for x in "".join(a).lower().split()]
+    if any(x & COMMENT_WORDS and not x & HAS_WORDS for x in classes):
+        return HARD
+    return WEAK if tag == "form" or tag != "article" and any(x & NEVER_WORDS for x in classes) else FREE
 
 
 def content(found: list[tuple[str, str, str, int, bool]], share: float = SHARE, reach: int = 1) -> list[str]:

@@ -210,6 +210,19 @@ def test_html_extraction():
         html_extraction.main_text(odd)
 
 
+def test_html_wrappers_and_comments():
+    body = "<p>A long sentence, with some words, that goes on.</p><p>And another one, as long as that, follows it.</p>"
+    want = "A long sentence, with some words, that goes on.\n\nAnd another one, as long as that, follows it."
+    side = "<div class='sidebar'><p>Read this, too.</p></div>"
+    for opens in ("<div class='layout has-sidebar'>", "<div id='page' class='with-nav'>", "<form id='aspnetForm'>", "<div class='has-comments'>"):
+        for inner in (body, f"<article>{body}</article>"):
+            assert html_extraction.main_text(f"<body>{opens}{inner}{side}</div></form></body>") == want, (opens, inner)
+    comment = "<article class='comment'><p>Nice, thanks, great, and many more words of a reader, and more, and more.</p></article>" * 3
+    assert html_extraction.main_text(f"<body><div>{body}</div><div>{comment}</div></body>") == want
+    assert html_extraction.main_text(f"<body><article>{body}</article><div class='related'><article><p>Short, teaser.</p></article></div>{comment}</body>") == want
+    assert html_extraction.main_text("<body><nav>one</nav><div class='menu'><a href=x>one</a> <a href=y>two</a></div></body>") == ""
+
+
 def test_html_extraction_of_tables(spark):
     pages = spark.createDataFrame([(1, "u", None), (2, None, "<article><p>Hi, there.</p></article>")], "page_id long, url string, html string").withColumn("text", F.lit("clash"))
     assert [tuple(r) for r in html_extraction.extract(pages).orderBy("page_id").collect()] == [(1, "u", "", 0), (2, None, "Hi, there.", 10)]
