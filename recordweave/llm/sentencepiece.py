@@ -3,37 +3,53 @@
 The distinct words of the corpus are exploded into their substrings of bounded length, substrings meet the piece
 table in an equi-join, the matched edges are grouped by word, and a higher-order `aggregate` folds each word's edges
 into its pieces: the Viterbi path for a unigram model, merges in order of rank for a BPE model (a best path does not
-give a BPE model's ids). Each part of the input then gets the entries of the words that occur in it, and documents
-are written out as the ids of their words.
+give a BPE model's ids).
+
+Documents are read once. They travel as blocks: a block has its distinct words, dealt by hash into buckets, and its
+documents as numbers of these words. A bucket's words of all blocks meet in one lattice; each block gets the pieces of
+its own words back, bucket by bucket, and its documents are written out as ids.
 
 Words are cut where no piece of the model can reach across: before a run of blanks and between letters and other
 characters (checked against the piece table). Characters without a piece become byte pieces, or the unknown id if the
 model has none. Null and empty texts have no ids. A text's own U+2581 decodes to a blank, as in the original format;
-every other text decodes to itself. Repeated rows and null doc_ids are encoded like any others.
+every other text decodes to itself. Repeated rows and null doc_ids are encoded like any others; other columns are left
+out, so their names don't matter. A table without rows gives no rows.
 """
 
 from __future__ import annotations
 
+import heapq
 import struct
+from array import array
 from collections.abc import Iterator
+from zlib import crc32
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 import regex
+from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from recordweave.llm.common import bound, stage, table, with_dictionary, with_split
+from recordweave.llm.common import bound, shuffle_width, table
 
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 BLANK = "▁"
 UNIGRAM, BPE = 1, 2
 NORMAL, UNKNOWN, USER, BYTE = 1, 2, 4, 6
-#: Words beyond this many characters are merged by a Pandas UDF over the same edges.
+#: Words of more characters are folded in Python over the same edges: a fold's cuts are the bits of a long.
 FAST = 62
-WORDS_HELD = 1 << 18
-#: Parts of texts whose packed ids are kept at hand; the first seen are mostly the frequent ones.
-PARTS_HELD = 1 << 16
+#: A block ends with the document that brings it to so many distinct parts or characters.
+BLOCK_PARTS = 1 << 20
+BLOCK_CHARS = 1 << 25
+#: Distinct words that one task holds before it passes them on.
+WORDS_HELD = 1 << 20
+#: An edge is a long: the piece's place in the order of merges, the start, the size.
+START_BITS, SIZE_BITS = 31, 12
+#: The place of a character without a piece.
+STRANGE = (1 << 20) - 1
 CUT = regex.compile(r" *[\p{L}\p{M}]+| *[^\p{L}\p{M} ]+| +")
 CUT_BLANKS = regex.compile(r" *[^ ]+| +")
 LETTER = regex.compile(r"[\p{L}\p{M}]")
@@ -91,6 +107,15 @@ class Model:
         self.shown = [ascii_.get(i, p.replace(BLANK, " ")) for i, (p, _, _) in enumerate(self.pieces)]
         self.alone = np.array([i in ascii_ or t in (NORMAL, USER) for i, (_, _, t) in enumerate(self.pieces)])
         self.longest = max(map(len, usable), default=1)
+        # places: usable pieces from the best score to the worst
+        order = sorted((i for i, p in enumerate(self.pieces) if p[2] in (NORMAL, USER)), key=lambda i: (-self.pieces[i][1], i))
+        if len(order) >= STRANGE or self.longest >= 1 << SIZE_BITS:
+            raise ValueError("the piece table is too large for packed edges")
+        self.by_place = np.array([*order, -1], np.int64)
+        self.place = {self.pieces[i][0]: k for k, i in enumerate(order)}
+        self.scores = np.array([self.pieces[i][1] for i in order])
+        self.floor = min((s for _, s, t in self.pieces if t == NORMAL), default=0.0) - 10.0
+        self.odd = self._odd(order) if self.kind == BPE else set()
         if any(BLANK in p.lstrip(BLANK) for p in usable):
             raise ValueError("a piece has a blank after other characters, so words can't be cut at blanks")
         mixed = any(len({bool(LETTER.match(c)) for c in p.lstrip(BLANK)}) > 1 for p in usable)
@@ -101,9 +126,25 @@ class Model:
         with open(path, "rb") as f:
             return cls(f.read())
 
+    def _odd(self, order: list[int]) -> set[int]:
+        """Places of pieces that one pass over the merges, best first, may miss: tied scores, and pieces that it doesn't build."""
+        odd = {k for k in range(len(order)) for n in (k - 1, k + 1) if 0 <= n < len(order) and self.pieces[order[k]][1] == self.pieces[order[n]][1]}
+        for k, i in enumerate(order):
+            piece = self.pieces[i][0]
+            n = len(piece)
+            cuts = (1 << (n + 1)) - 1
+            for _, a, b in sorted((self.place[piece[a:b]], a, b) for a in range(n) for b in range(a + 2, n + 1) if piece[a:b] in self.place):
+                ends, inner = 1 << a | 1 << b, (1 << b) - (1 << (a + 1))
+                if cuts & ends == ends and (cuts & inner).bit_count() == 1:
+                    cuts &= ~inner
+            if cuts != 1 | 1 << n:
+                odd.add(k)
+        return odd
+
     def table(self, spark: SparkSession) -> DataFrame:
-        rows = [(p, float(s), i) for i, (p, s, t) in enumerate(self.pieces) if t in (NORMAL, USER)]
-        return spark.createDataFrame(rows, "piece string, score double, id int")
+        """(piece, place, score, odd) of the usable pieces."""
+        rows = [(p, k, float(self.pieces[self.by_place[k]][1]), k in self.odd) for p, k in self.place.items()]
+        return spark.createDataFrame(rows, "piece string, place int, score double, odd boolean")
 
     def raw_words(self, text: str) -> list[str] | None:
         """Parts between single blanks, each to be cut with a blank before it; None if the text needs `words`."""
@@ -145,177 +186,366 @@ class Model:
         return text[1:] if self.prefix and text.startswith(" ") else text
 
 
-def distinct_words(docs: DataFrame, model: Model) -> DataFrame:
-    """(split, word): the distinct words of each part of the input."""
+def planes(numbers: np.ndarray) -> bytes:
+    """Small numbers as four rows of bytes, which compress well; `unplaned` reads them."""
+    return np.ascontiguousarray(np.ascontiguousarray(numbers, "<u4").view(np.uint8).reshape(-1, 4).T).tobytes()
+
+
+def unplaned(data: bytes) -> np.ndarray:
+    return np.ascontiguousarray(np.frombuffer(data, np.uint8).reshape(4, -1).T).view("<u4").ravel()
+
+
+def taken(values: np.ndarray, first: np.ndarray, sizes: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The runs of `values` with these beginnings and sizes at the given places, one after another, and their sizes."""
+    n = sizes[at]
+    return values[np.repeat(first[at] - (np.cumsum(n) - n), n) + np.arange(int(n.sum()))], n
+
+
+class _Parts(dict):
+    """A number for each part, given at first sight. A part is what stands between blanks, or (text,) for a whole text."""
+
+    def __init__(self, model: Model):
+        self.model, self.words, self.of_part, self.sizes = model, {}, array("I"), array("I")
+
+    def __missing__(self, part) -> int:
+        number = self[part] = len(self)
+        if isinstance(part, tuple):
+            found = self.model.words(part[0])
+        else:
+            found = (" " + part,) if part.isalpha() else self.model.cut.findall(" " + part)
+        words = self.words
+        self.of_part.extend([words.setdefault(w, len(words)) for w in found])
+        self.sizes.append(len(found))
+        return number
 
-    def scan(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        last, held, raw = None, set(), set()
 
-        def report() -> pd.DataFrame:
-            for r in raw:
-                held.update(model.cut.findall(" " + r))
-            out = pd.DataFrame({"split": last, "word": list(held)})
-            held.clear(), raw.clear()
-            return out
+class _Block:
+    """Documents as numbers of distinct words."""
 
+    def __init__(self, model: Model):
+        self.model, self.parts, self.seq = model, _Parts(model), array("I")
+        self.ids, self.n, self.kept, self.chars = [], array("i"), [], 0
+
+    def add(self, doc_id: int | None, text: str | None) -> None:
+        parts = self.model.raw_words(text) if text else ()
+        if parts is None:
+            parts = ((text,),)
+            if "".join(self.model.words(text)) != " " * self.model.prefix + text:
+                self.kept.append((len(self.ids), text))
+        self.seq.extend(map(self.parts.__getitem__, parts))
+        self.ids.append(doc_id)
+        self.n.append(-1 if text is None else len(parts))
+        self.chars += len(text or "")
+
+    def full(self) -> bool:
+        return len(self.parts) >= BLOCK_PARTS or self.chars >= BLOCK_CHARS
+
+    def rows(self, block: int, buckets: int) -> pa.RecordBatch:
+        words = list(self.parts.words)
+        bucket = np.fromiter((crc32(w.encode()) % buckets for w in words), np.int64, len(words))
+        order = np.argsort(bucket, kind="stable")
+        number = np.empty(len(order), np.int32)
+        number[order] = np.arange(len(order), dtype=np.int32)
+        of_part, sizes = np.frombuffer(self.parts.of_part, np.uint32), np.frombuffer(self.parts.sizes, np.uint32).astype(np.int32)
+        seq, n = taken(number[of_part], np.cumsum(sizes) - sizes, sizes, np.frombuffer(self.seq, np.uint32))
+        ends = np.r_[0, np.cumsum(n, dtype=np.int64)]
+        parts = np.frombuffer(self.n, np.int32)
+        last = np.cumsum(np.maximum(parts, 0))
+        count = np.where(parts < 0, -1, ends[last] - ends[last - np.maximum(parts, 0)])
+        words = pa.array(words, pa.string()).take(pa.array(order))
+        one = {"doc_id": pa.array([self.ids], pa.list_(pa.int64())), "n": pa.array([count], pa.list_(pa.int64())), "seq": pa.array([planes(seq)], pa.large_binary()), "words": pa.ListArray.from_arrays([0, len(words)], words)}
+        one |= {"kept": pa.array([[k for k, _ in self.kept]], pa.list_(pa.int64())), "texts": pa.array([[t for _, t in self.kept]], pa.list_(pa.large_string()))}
+        sink = pa.BufferOutputStream()
+        whole = pa.table(one)
+        with pa.ipc.new_stream(sink, whole.schema, options=pa.ipc.IpcWriteOptions(compression=pa.Codec("zstd", 3))) as w:
+            w.write_table(whole)
+        own, first = np.unique(bucket[order], return_index=True)
+        lists = pa.ListArray.from_arrays(pa.array(np.r_[first, len(words)], pa.int32()), words)
+        return pa.RecordBatch.from_arrays([
+            pa.array(np.r_[own, -1 - block], pa.int64()), pa.array(np.full(len(own) + 1, block), pa.int64()),
+            pa.concat_arrays([lists, pa.nulls(1, pa.list_(pa.string()))]), pa.array([None] * len(own) + [sink.getvalue().to_pybytes()], pa.binary()),
+        ], ["key", "block", "words", "docs"])
+
+
+def blocks(docs: DataFrame, model: Model, buckets: int) -> DataFrame:
+    """(key, block, words, docs): the words of each bucket (key >= 0) of each block, and its documents (key = -1 - block).
+
+    Blocks are numbered by task and place, so a task that runs again gives the same ones.
+    """
+
+    def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        number, held = TaskContext.get().partitionId() << 24, _Block(model)
         for b in batches:
-            for split, text in zip(b.split, b.text):
-                if (held or raw) and (split != last or len(raw) >= WORDS_HELD):
-                    yield report()
-                last = split
-                parts = model.raw_words(text) if text else None
-                raw.update(parts) if parts is not None else held.update(model.words(text))
-        if held or raw:
-            yield report()
-
-    return docs.select("split", "text").mapInPandas(scan, "split long, word string")
-
-
-def lattice(words: DataFrame, model: Model) -> DataFrame:
-    """(word, n, edges): the pieces that are substrings of each word, as (start, stop, score, id)."""
-    spark = words.sparkSession
-    n = F.char_length("word")
-    shown = words.select("word", F.translate("word", " ", BLANK).alias("shown"), n.alias("n"))
-    starts = shown.select("word", "shown", "n", F.explode(F.sequence(F.lit(0), F.col("n") - 1)).alias("start"))
-    spans = starts.select("word", "shown", "start", F.explode(F.sequence(F.lit(1), F.least(F.lit(model.longest), F.col("n") - F.col("start")))).alias("size"))
-    rows = spans.select("word", "start", (F.col("start") + F.col("size")).alias("stop"), F.expr("substring(shown, start + 1, size)").alias("piece"))
-    edges = rows.join(F.broadcast(model.table(spark)), "piece").groupBy("word").agg(F.collect_list(F.struct("start", "stop", "score", "id")).alias("edges"))
-    return words.join(edges, "word", "left").select("word", n.alias("n"), F.coalesce("edges", F.array().cast(edges.schema["edges"].dataType)).alias("edges"))
+            for doc_id, text in zip(b.column(0).to_pylist(), b.column(1)):
+                held.add(doc_id, text.as_py())
+                if held.full():
+                    yield held.rows(number, buckets)
+                    number, held = number + 1, _Block(model)
+        if held.ids:
+            yield held.rows(number, buckets)
 
+    return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(scan, "key long, block long, words array<string>, docs binary")
 
-def merge_fold(n: Column, edges: Column) -> Column:
-    """Edges on the path of a BPE model: of all pieces that join two neighbours the best is merged, until none is left.
 
-    Cuts are the bits of a long. An edge can be merged if both its ends are cuts and one cut lies between them.
+def bucket_words(dealt: DataFrame) -> DataFrame:
+    """(bucket, word): the distinct words of all blocks."""
+
+    def spread(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: dict[int, list] = {}
+
+        def report() -> Iterator[pa.RecordBatch]:
+            for k, (found,) in held.items():
+                yield pa.RecordBatch.from_arrays([pa.array(np.full(len(found), k), pa.int64()), found], ["bucket", "word"])
+            held.clear()
+
+        def compact() -> int:
+            for k, found in held.items():
+                held[k] = [pc.unique(pa.concat_arrays(found))]
+            return sum(len(found) for found, in held.values())
+
+        size = 0
+        for b in batches:
+            for k, words in zip(b.column(0).to_pylist(), b.column(2)):
+                if k >= 0:
+                    held.setdefault(k, []).append(words.values)
+                    size += len(words.values)
+            if size >= 2 * WORDS_HELD:
+                size = compact()
+                if size >= WORDS_HELD:
+                    yield from report()
+                    size = 0
+        compact()
+        yield from report()
+
+    return dealt.mapInArrow(spread, "bucket long, word string")
+
+
+def lattice(words: DataFrame, model: Model, edge: Column) -> DataFrame:
+    """words with n, edges and odd: the pieces that are substrings of each word, and whether an odd piece is among them.
+
+    `edge` is made of place, start, size and score. A character without a piece has an edge of its own, at STRANGE. The
+    words are dealt before they are exploded, so their edges are grouped where they arise.
     """
-    one = F.lit(1).cast("long")
-    shift = lambda c: F.call_function("shiftleft", one, c)
-    multi = F.filter(edges, lambda e: e["stop"] - e["start"] > 1)
-    ranked = F.array_sort(F.transform(multi, lambda e: F.struct((-e["score"]).alias("r"), e["start"].alias("start"), (shift(e["start"]).bitwiseOR(shift(e["stop"]))).alias("ends"), (shift(e["stop"]) - shift(e["start"] + 1)).alias("inner"))))
+    keys = words.columns
+    shown = words.select(*keys, F.translate("word", " ", BLANK).alias("shown"), F.char_length("word").alias("n"))
+    starts = shown.select("*", F.explode(F.sequence(F.lit(0), F.col("n") - 1)).alias("start"))
+    spans = starts.select(*keys, "shown", "start", F.explode(F.sequence(F.lit(1), F.least(F.lit(model.longest), F.col("n") - F.col("start")))).alias("size"))
+    rows = spans.select(*keys, "start", "size", F.expr("substring(shown, start + 1, size)").alias("piece"))
+    met = rows.join(F.broadcast(model.table(words.sparkSession)), "piece", "left").filter("place is not null or size = 1").withColumn("place", F.coalesce("place", F.lit(STRANGE)))
+    edges = met.groupBy(*keys).agg(F.collect_list(edge).alias("edges"), F.bool_or(F.coalesce("odd", F.lit(False))).alias("odd"))
+    return edges.withColumn("n", F.char_length("word"))
 
-    def step(state: Column, _: Column) -> Column:
-        fits = lambda e: (state["cuts"].bitwiseAND(e["ends"]) == e["ends"]) & (F.bit_count(state["cuts"].bitwiseAND(e["inner"])) == 1)
-        best = F.get(F.filter(state["todo"], fits), 0)
-        next_ = F.struct(F.coalesce(state["cuts"].bitwiseAND(F.bitwise_not(best["inner"])), state["cuts"]).alias("cuts"), state["todo"].alias("todo"), best.isNull().alias("done"))
-        return F.when(state["done"], state).otherwise(next_)
 
-    start = F.struct((shift(n + 1) - 1).alias("cuts"), ranked.alias("todo"), (F.size(multi) == 0).alias("done"))
-    end = F.aggregate(F.sequence(F.lit(1), n), start, step, lambda s: s["cuts"])
-    return bound(end, lambda bits: F.filter(F.sequence(F.lit(0), n), lambda i: F.call_function("shiftright", bits, i).bitwiseAND(one) == 1))
+def packed_edge() -> Column:
+    long = lambda c, bits: F.shiftleft(F.col(c).cast("long"), bits)
+    return long("place", START_BITS + SIZE_BITS).bitwiseOR(long("start", SIZE_BITS)).bitwiseOR(F.col("size").cast("long"))
 
 
-def viterbi_fold(n: Column, edges: Column, floor: float) -> Column:
-    """Cuts of the best path of a unigram model; characters without a piece pass at the score `floor`."""
-    none = -1e300
-    single = F.transform(F.filter(F.sequence(F.lit(0), n - 1), lambda i: ~F.exists(edges, lambda e: (e["start"] == i) & (e["stop"] == i + 1))), lambda i: F.struct(i.alias("start"), (i + 1).alias("stop"), F.lit(floor).alias("score"), F.lit(-1).alias("id")))
-    every = F.array_sort(F.concat(edges, single))
-    start = F.transform(F.sequence(F.lit(0), n), lambda i: F.struct(F.when(i == 0, 0.0).otherwise(none).alias("score"), F.lit(-1).alias("back")))
+def scored_edge() -> Column:
+    return F.struct((F.col("start") + F.col("size")).alias("stop"), "start", "score", "place")
 
-    def step(best: Column, e: Column) -> Column:
-        score = F.get(best, e["start"])["score"] + e["score"]
-        return F.transform(best, lambda b, i: F.when((i == e["stop"]) & (score > b["score"]), F.struct(score.alias("score"), e["start"].alias("back"))).otherwise(b))
-
-    back = lambda best: F.aggregate(F.sequence(F.lit(1), n), F.array(n), lambda path, _: F.when(F.get(path, 0) > 0, F.concat(F.array(F.get(best, F.get(path, 0))["back"]), path)).otherwise(path))
-    return bound(F.aggregate(every, start, step), back)
-
-
-def path_ids(word: Column, cuts: Column, edges: Column, model: Model) -> Column:
-    """Ids of the pieces between cuts; a span without a piece is spelled in bytes, or unknown."""
-    by_byte = F.array(*[F.lit(model.bytes_[b]) for b in range(256)]) if len(model.bytes_) == 256 else None
-
-    def spell(start: Column, stop: Column) -> Column:
-        if by_byte is None:
-            return F.array(F.lit(model.unknown))
-        hex_ = F.hex(F.encode(F.substring(F.translate(word, " ", BLANK), start + 1, stop - start), "utf-8"))
-        at = F.sequence(F.lit(1), (F.length(hex_) / 2).cast("int"))
-        return F.transform(at, lambda k: F.get(by_byte, F.conv(F.substring(hex_, 2 * k - 1, F.lit(2)), 16, 10).cast("int")))
-
-    spans = bound(cuts, lambda c: F.transform(F.sequence(F.lit(0), F.size(c) - 2), lambda i: F.struct(F.get(c, i).alias("start"), F.get(c, i + 1).alias("stop"))))
-    known = lambda s: F.get(F.filter(edges, lambda e: (e["start"] == s["start"]) & (e["stop"] == s["stop"])), 0)["id"]
-    return F.flatten(F.transform(spans, lambda s: bound(known(s), lambda k: F.when(k.isNotNull(), F.array(k)).otherwise(spell(s["start"], s["stop"])))))
-
-
-def _long_merge(n: pd.Series, edges: pd.Series) -> pd.Series:
-    """merge_fold for words of any length: a heap of merges."""
-    import heapq
-
-    def one(n: int, edges) -> list[int]:
-        score = {(e["start"], e["stop"]): e["score"] for e in edges}
-        left, right = list(range(-1, n)), list(range(1, n + 2))
-        alive, heap = [True] * (n + 1), []
-        push = lambda a, c: (s := score.get((a, c))) is not None and heapq.heappush(heap, (-s, a, c))
-        for i in range(n - 1):
-            push(i, i + 2)
-        while heap:
-            _, a, c = heapq.heappop(heap)
-            if not (alive[a] and alive[c]) or right[a] == c or right[right[a]] != c:
-                continue
-            alive[right[a]] = False
-            right[a], left[c] = c, a
-            if left[a] >= 0:
-                push(left[a], c)
-            if c < n:
-                push(a, right[c])
-        return [i for i in range(n + 1) if alive[i]]
 
-    return pd.Series([one(int(k), e) for k, e in zip(n, edges)])
+def _masks(e: Column) -> tuple[Column, Column]:
+    """The cuts at both ends of a packed edge, and those between."""
+    one = F.lit(1).cast("long")
+    shift = lambda by: F.call_function("shiftleft", one, by)
+    start = F.shiftright(e, SIZE_BITS).bitwiseAND(F.lit((1 << START_BITS) - 1)).cast("int")
+    stop = start + e.bitwiseAND(F.lit((1 << SIZE_BITS) - 1)).cast("int")
+    return shift(start).bitwiseOR(shift(stop)), shift(stop) - shift(start + 1)
 
 
-def word_ids(words: DataFrame, model: Model) -> DataFrame:
-    """(word, ids) of distinct words."""
-    found = lattice(words, model)
-    if model.kind == BPE:
-        long_merge = F.pandas_udf(_long_merge, "array<int>")
-        short = found.filter(F.col("n") <= FAST).withColumn("cuts", merge_fold(F.col("n"), F.col("edges")))
-        cut = short.unionByName(found.filter(F.col("n") > FAST).withColumn("cuts", long_merge("n", "edges")))
-    else:
-        floor = min((s for _, s, t in model.pieces if t == NORMAL), default=0.0) - 10.0
-        cut = found.withColumn("cuts", viterbi_fold(F.col("n"), F.col("edges"), floor))
-    return cut.select("word", path_ids(F.col("word"), F.col("cuts"), F.col("edges"), model).alias("ids"))
+def merge_fold(n: Column, edges: Column) -> Column:
+    """Places of the pieces of a BPE model's word, by one pass over its packed edges from the best merge to the worst.
 
+    Cuts are the bits of a long. A merge is done if both its ends are cuts and one cut lies between them. A piece that
+    is not odd is built by better merges inside it, so it can be merged when its turn comes or never.
+    """
 
-class _Packed(dict):
-    """Packed ids of the parts between blanks; the first PARTS_HELD are kept."""
+    def step(cuts: Column, e: Column) -> Column:
+        ends, inner = _masks(e)
+        return F.when((cuts.bitwiseAND(ends) == ends) & (F.bit_count(cuts.bitwiseAND(inner)) == 1), cuts.bitwiseAND(F.bitwise_not(inner))).otherwise(cuts)
 
-    def __init__(self, ids: dict[str, bytes], cut):
-        self.ids, self.cut = ids, cut
+    def path(cuts: Column) -> Column:
+        def on(e: Column) -> Column:
+            ends, inner = _masks(e)
+            return (cuts.bitwiseAND(ends) == ends) & (cuts.bitwiseAND(inner) == 0)
 
-    def __missing__(self, raw: str) -> bytes:
-        out = b"".join(map(self.ids.__getitem__, self.cut.findall(" " + raw)))
-        if len(self) < PARTS_HELD:
-            self[raw] = out
-        return out
+        by_start = lambda e: F.shiftleft(F.shiftright(e, SIZE_BITS).bitwiseAND(F.lit((1 << START_BITS) - 1)), 20).bitwiseOR(F.shiftright(e, START_BITS + SIZE_BITS))
+        return F.transform(F.sort_array(F.transform(F.filter(edges, on), by_start)), lambda x: x.bitwiseAND(F.lit((1 << 20) - 1)).cast("int"))
 
+    whole = F.call_function("shiftleft", F.lit(1).cast("long"), n + 1) - 1
+    return bound(F.aggregate(F.sort_array(edges), whole, step), path)
 
-class _Apply:
-    """Documents as ids, from the entries of their part of the input."""
 
-    def __init__(self, model: Model, check: bool):
-        self.model, self.check = model, check
+def viterbi_fold(n: Column, edges: Column, floor: float) -> Column:
+    """Places of the pieces on the best path of a unigram model; characters without a piece pass at the score `floor`.
 
-    def lookup(self, entries: pd.DataFrame) -> _Packed:
-        return _Packed(dict(zip(entries.key, entries.ids)), self.model.cut)
+    Of equal paths the one whose last piece is longest is taken.
+    """
+    start = F.transform(F.sequence(F.lit(0), n), lambda i: F.struct(F.when(i == 0, 0.0).otherwise(-1e300).alias("score"), F.lit(-1).alias("back"), F.lit(-1).alias("place")))
 
-    def packed(self, lookup: _Packed, text: str | None) -> bytes:
-        parts = self.model.raw_words(text) if text else None
-        if parts is None:
-            return b"".join(map(lookup.ids.__getitem__, self.model.words(text)))
-        return b"".join(map(lookup.__getitem__, parts))
+    def step(best: Column, e: Column) -> Column:
+        score = F.get(best, e["start"])["score"] + F.coalesce(e["score"], F.lit(floor))
+        return F.transform(best, lambda b, i: F.when((i == e["stop"]) & (score > b["score"]), F.struct(score.alias("score"), e["start"].alias("back"), e["place"].alias("place"))).otherwise(b))
+
+    def back(best: Column) -> Column:
+        none = F.struct(n.alias("at"), F.array().cast("array<int>").alias("path"))
+        node = lambda s: F.get(best, s["at"])
+        return F.aggregate(F.sequence(F.lit(1), n), none, lambda s, _: F.when(s["at"] > 0, F.struct(node(s)["back"].alias("at"), F.concat(F.array(node(s)["place"]), s["path"]).alias("path"))).otherwise(s), lambda s: s["path"])
+
+    return bound(F.aggregate(F.array_sort(edges), start, step), back)
+
+
+def merged(n: int, edges: list[int], score: np.ndarray) -> list[int]:
+    """merge_fold for words of any length and any pieces: a heap of merges. `score` goes by place."""
+    place = {}
+    for e in edges:
+        start = e >> SIZE_BITS & (1 << START_BITS) - 1
+        place[start, start + (e & (1 << SIZE_BITS) - 1)] = e >> START_BITS + SIZE_BITS
+    left, right = list(range(-1, n)), list(range(1, n + 2))
+    alive, heap = [True] * (n + 1), []
+    push = lambda a, c: (p := place.get((a, c))) is not None and heapq.heappush(heap, (-score[p], a, c))
+    for i in range(n - 1):
+        push(i, i + 2)
+    while heap:
+        _, a, c = heapq.heappop(heap)
+        if not (alive[a] and alive[c]) or right[a] == c or right[right[a]] != c:
+            continue
+        alive[right[a]] = False
+        right[a], left[c] = c, a
+        if left[a] >= 0:
+            push(left[a], c)
+        if c < n:
+            push(a, right[c])
+    cuts = [i for i in range(n + 1) if alive[i]]
+    return [place[a, b] for a, b in zip(cuts, cuts[1:])]
+
+
+def best_path(n: int, edges: list[dict], floor: float) -> list[int]:
+    """viterbi_fold for words of any length."""
+    best = [(0.0, -1, -1)] + [(-1e300, -1, -1)] * n
+    for e in sorted(edges, key=lambda e: (e["stop"], e["start"])):
+        score = best[e["start"]][0] + (floor if e["score"] is None else e["score"])
+        if score > best[e["stop"]][0]:
+            best[e["stop"]] = (score, e["start"], e["place"])
+    path, at = [], n
+    while at > 0:
+        path.append(best[at][2])
+        at = best[at][1]
+    return path[::-1]
+
+
+def word_pieces(words: DataFrame, model: Model) -> DataFrame:
+    """words (distinct, with any keys), pieces and edges: the places of each word's pieces.
+
+    A word that is too long for a fold of bits, or has an odd piece, has its edges instead, for `folded`.
+    """
+    n, edges = F.col("n"), F.col("edges")
+    if model.kind == BPE:
+        found, fold = lattice(words, model, packed_edge()), merge_fold(n, edges)
+    else:
+        found, fold = lattice(words, model, scored_edge()), viterbi_fold(n, edges, model.floor)
+    slow = (n > FAST) | F.col("odd")
+    return found.select(*words.columns, F.when(~slow, fold).alias("pieces"), F.when(slow, edges).alias("edges"))
 
-    def score(self, lookup: _Packed, docs: pd.DataFrame) -> pd.DataFrame:
-        ids = [np.frombuffer(self.packed(lookup, t), ">u4").astype(np.int32) for t in docs.text]
-        if self.check:
-            return pd.DataFrame({"doc_id": docs.doc_id, "ids": ids, "round_trip": [self.model.decode(i) == (t or "") for i, t in zip(ids, docs.text)]})
-        return pd.DataFrame({"doc_id": docs.doc_id, "text": docs.text, "ids": ids})
+
+def folded(word: str, edges: list, model: Model) -> list[int]:
+    return merged(len(word), edges, model.scores) if model.kind == BPE else best_path(len(word), edges, model.floor)
+
+
+def spelled(word: str, places: list[int], model: Model) -> list[int]:
+    """Ids of a word from the places of its pieces."""
+    out, at = [], 0
+    for p in places:
+        if p == STRANGE:
+            out += [model.bytes_[x] for x in word[at].encode()] if len(model.bytes_) == 256 else [model.unknown]
+            at += 1
+        else:
+            out.append(int(model.by_place[p]))
+            at += len(model.pieces[model.by_place[p]][0])
+    return out
+
+
+def bucket_ids(entries: DataFrame, dealt: DataFrame, model: Model) -> DataFrame:
+    """(key, bucket, ids): for each block and bucket the number of ids of each word, and the ids."""
+
+    def assign(known: pa.Table, rows: pa.Table) -> pa.Table:
+        rows = rows.filter(pc.is_valid(rows["words"]))
+        key, bucket, data = [], [], []
+        if rows.num_rows:
+            words, pieces = known["word"].combine_chunks(), known["pieces"].combine_chunks()
+            sizes = pc.fill_null(pc.list_value_length(pieces), 0).to_numpy().astype(np.int64)
+            places = pieces.flatten().to_numpy()
+            first = np.cumsum(sizes) - sizes
+            ids = [model.by_place[np.minimum(places, len(model.by_place) - 1)]]
+            slow = dict.fromkeys(np.flatnonzero(pc.is_null(pieces).to_numpy(zero_copy_only=False)).tolist())
+            slow |= dict.fromkeys(np.unique(np.searchsorted(first + sizes, np.flatnonzero(places == STRANGE), "right")).tolist())
+            end = len(places)
+            for k in slow:
+                word, edges = words[k].as_py(), known["edges"][k].as_py()
+                own = spelled(word, pieces[k].as_py() if edges is None else folded(word, edges, model), model)
+                first[k], sizes[k] = end, len(own)
+                end += len(own)
+                ids.append(np.array(own, np.int64))
+            ids = np.concatenate(ids)
+            for k, b, w in zip(rows["key"].to_pylist(), rows["block"].to_pylist(), rows["words"]):
+                at = pc.index_in(w.values, value_set=words)
+                if at.null_count:
+                    raise LookupError("a block has a word that its bucket has no pieces for")
+                flat, n = taken(ids, first, sizes, at.to_numpy())
+                key.append(-1 - b), bucket.append(k), data.append(planes(np.r_[len(n), n, flat]))
+        return pa.table({"key": pa.array(key, pa.int64()), "bucket": pa.array(bucket, pa.int64()), "ids": pa.array(data, pa.binary())})
+
+    return entries.groupBy("bucket").cogroup(dealt.groupBy("key")).applyInArrow(assign, "key long, bucket long, ids binary")
 
 
 def encode(docs: DataFrame, model: Model, check: bool = False) -> DataFrame:
     """(doc_id, text, ids) of every document; with `check` (doc_id, ids, round_trip): whether the ids decode to the text."""
-    docs = with_split(docs)
-    pairs = stage(distinct_words(docs, model), "words")
-    ids = word_ids(pairs.select("word").distinct(), model)
-    packed = F.unhex(F.array_join(F.transform("ids", lambda i: F.lpad(F.hex(i), 8, "0")), ""))
-    return with_dictionary(docs, pairs.join(ids.select("word", packed.alias("ids")), "word").select("split", F.col("word").alias("key"), "ids"), "ids binary", _Apply(model, check), "doc_id long, ids array<int>, round_trip boolean" if check else "doc_id long, text string, ids array<int>")
+    width = shuffle_width(docs.sparkSession)
+    # every use below takes all columns, so the documents are read and dealt once
+    dealt = blocks(docs, model, 4 * width).repartition(width, "key")
+    words = bucket_words(dealt).repartition(width, "bucket").distinct()
+    found = bucket_ids(word_pieces(words, model), dealt, model)
+    last = ("round_trip", pa.bool_()) if check else ("text", pa.string())
+    names = ["doc_id", "ids", last[0]] if check else ["doc_id", "text", "ids"]
+    types = {"doc_id": pa.int64(), "ids": pa.list_(pa.int32()), last[0]: last[1]}
+
+    def finish(rows: pa.Table, found: pa.Table) -> pa.Table:
+        rows = rows.filter(pc.is_valid(rows["docs"]))
+        out = []
+        for data in rows["docs"]:
+            t = pa.ipc.open_stream(data.as_buffer()).read_all()
+            doc_id, count = t["doc_id"][0].values, t["n"][0].values.to_numpy()
+            words, seq = t["words"][0].values.to_pylist(), unplaned(t["seq"][0].as_py())
+            kept = dict(zip(t["kept"][0].as_py(), t["texts"][0].as_py()))
+            per_bucket = [unplaned(x.as_py()) for x in found.sort_by("bucket")["ids"]]
+            sizes = np.concatenate([x[1 : 1 + x[0]] for x in per_bucket] or [np.zeros(0, int)]).astype(np.int32)
+            ids = np.concatenate([x[1 + x[0] :] for x in per_bucket] or [np.zeros(0, int)]).astype(np.int32)
+            if len(sizes) != len(words):
+                raise LookupError("a block lacks the pieces of some of its words")
+            begin, stop = np.cumsum(sizes) - sizes, np.cumsum(np.maximum(count, 0))
+            group = 0
+            while group < len(count):  # a few documents at a time, so that what a task holds is bounded
+                first = stop[group - 1] if group else 0
+                last_ = max(group + 1, int(np.searchsorted(stop, first + (1 << 19), "right")))
+                part = seq[first : stop[last_ - 1]]
+                flat, n = taken(ids, begin, sizes, part)
+                ends = np.r_[0, np.cumsum(n)]
+                bounds = ends[np.r_[first, stop[group:last_]] - first]
+                lists = pa.ListArray.from_arrays(pa.array(bounds, pa.int32()), pa.array(flat, pa.int32()))
+                texts, numbers = [], part.tolist()
+                for k in range(group, last_):
+                    s, e = int(stop[k] - max(count[k], 0) - first), int(stop[k] - first)
+                    texts.append(None if count[k] < 0 else kept[k] if k in kept else "".join(map(words.__getitem__, numbers[s:e]))[int(model.prefix) :])
+                if check:
+                    texts = [model.decode(flat[a:b]) == (x or "") for a, b, x in zip(bounds, bounds[1:], texts)]
+                cols = {"doc_id": doc_id.slice(group, last_ - group), "ids": lists, last[0]: pa.array(texts, last[1])}
+                out.append(pa.RecordBatch.from_arrays([cols[c] for c in names], names))
+                group = last_
+        schema = pa.schema([(c, types[c]) for c in names])
+        return pa.Table.from_batches(out, schema)
+
+    return dealt.groupBy("key").cogroup(found.groupBy("key")).applyInArrow(finish, "doc_id long, ids array<int>, round_trip boolean" if check else "doc_id long, text string, ids array<int>")
 
 
 def decode(df: DataFrame, model: Model, ids: str = "ids", name: str = "decoded") -> DataFrame:
