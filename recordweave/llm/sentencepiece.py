@@ -42,8 +42,10 @@ NORMAL, UNKNOWN, USER, BYTE = 1, 2, 4, 6
 #: Words of more characters are folded in Python over the same edges: a fold's cuts are the bits of a long.
 FAST = 62
 #: A block ends with the document that brings it to so many distinct parts or characters.
-BLOCK_PARTS = 1 << 20
-BLOCK_CHARS = 1 << 25
+BLOCK_PARTS = 1 << 18
+BLOCK_CHARS = 1 << 23
+#: Words of documents that are written out at a time.
+PIECE = 1 << 18
 #: Distinct words that one task holds before it passes them on.
 WORDS_HELD = 1 << 20
 #: An edge is a long: the piece's place in the order of merges, the start, the size.
@@ -198,7 +200,9 @@ def unplaned(data: bytes) -> np.ndarray:
 def taken(values: np.ndarray, first: np.ndarray, sizes: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """The runs of `values` with these beginnings and sizes at the given places, one after another, and their sizes."""
     n = sizes[at]
-    return values[np.repeat(first[at] - (np.cumsum(n) - n), n) + np.arange(int(n.sum()))], n
+    out = np.arange(int(n.sum()), dtype=np.int32)
+    out += np.repeat((first[at] - (np.cumsum(n) - n)).astype(np.int32), n)
+    return values[out], n
 
 
 class _Parts(dict):
@@ -488,11 +492,13 @@ def bucket_ids(entries: DataFrame, dealt: DataFrame, model: Model) -> DataFrame:
                 end += len(own)
                 ids.append(np.array(own, np.int64))
             ids = np.concatenate(ids)
-            for k, b, w in zip(rows["key"].to_pylist(), rows["block"].to_pylist(), rows["words"]):
-                at = pc.index_in(w.values, value_set=words)
-                if at.null_count:
-                    raise LookupError("a block has a word that its bucket has no pieces for")
-                flat, n = taken(ids, first, sizes, at.to_numpy())
+            asked = rows["words"].combine_chunks()
+            at = pc.index_in(asked.flatten(), value_set=words)
+            if at.null_count:
+                raise LookupError("a block has a word that its bucket has no pieces for")
+            at, ends = at.to_numpy(), np.cumsum(pc.list_value_length(asked).to_numpy())
+            for k, b, s, e in zip(rows["key"].to_pylist(), rows["block"].to_pylist(), [0, *ends], ends):
+                flat, n = taken(ids, first, sizes, at[s:e])
                 key.append(-1 - b), bucket.append(k), data.append(planes(np.r_[len(n), n, flat]))
         return pa.table({"key": pa.array(key, pa.int64()), "bucket": pa.array(bucket, pa.int64()), "ids": pa.array(data, pa.binary())})
 
@@ -501,9 +507,9 @@ def bucket_ids(entries: DataFrame, dealt: DataFrame, model: Model) -> DataFrame:
 
 def encode(docs: DataFrame, model: Model, check: bool = False) -> DataFrame:
     """(doc_id, text, ids) of every document; with `check` (doc_id, ids, round_trip): whether the ids decode to the text."""
-    width = shuffle_width(docs.sparkSession)
+    width = 2 * shuffle_width(docs.sparkSession)
     # every use below takes all columns, so the documents are read and dealt once
-    dealt = blocks(docs, model, 4 * width).repartition(width, "key")
+    dealt = blocks(docs, model, 2 * width).repartition(width, "key")
     words = bucket_words(dealt).repartition(width, "bucket").distinct()
     found = bucket_ids(word_pieces(words, model), dealt, model)
     last = ("round_trip", pa.bool_()) if check else ("text", pa.string())
@@ -527,7 +533,7 @@ def encode(docs: DataFrame, model: Model, check: bool = False) -> DataFrame:
             group = 0
             while group < len(count):  # a few documents at a time, so that what a task holds is bounded
                 first = stop[group - 1] if group else 0
-                last_ = max(group + 1, int(np.searchsorted(stop, first + (1 << 19), "right")))
+                last_ = max(group + 1, int(np.searchsorted(stop, first + PIECE, "right")))
                 part = seq[first : stop[last_ - 1]]
                 flat, n = taken(ids, begin, sizes, part)
                 ends = np.r_[0, np.cumsum(n)]
