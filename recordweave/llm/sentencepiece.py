@@ -40,7 +40,7 @@ BLANK = "▁"
 UNIGRAM, BPE = 1, 2
 NORMAL, UNKNOWN, USER, BYTE = 1, 2, 4, 6
 #: Words of more characters are folded in Python over the same edges: a fold's cuts are the bits of a long.
-FAST = 62
+FAST = 61
 #: A block ends with the document that brings it to so many distinct parts or characters.
 BLOCK_PARTS = 1 << 18
 BLOCK_CHARS = 1 << 23
@@ -48,8 +48,8 @@ BLOCK_CHARS = 1 << 23
 PIECE = 1 << 18
 #: Distinct words that one task holds before it passes them on.
 WORDS_HELD = 1 << 20
-#: An edge is a long: the piece's place in the order of merges, the start, the size.
-START_BITS, SIZE_BITS = 31, 12
+#: An edge is a long: the piece's place in the order of merges, the start, the low bits of the stop.
+START_BITS, STOP_BITS = 31, 12
 #: The place of a character without a piece.
 STRANGE = (1 << 20) - 1
 CUT = regex.compile(r" *[\p{L}\p{M}]+| *[^\p{L}\p{M} ]+| +")
@@ -111,7 +111,7 @@ class Model:
         self.longest = max(map(len, usable), default=1)
         # places: usable pieces from the best score to the worst
         order = sorted((i for i, p in enumerate(self.pieces) if p[2] in (NORMAL, USER)), key=lambda i: (-self.pieces[i][1], i))
-        if len(order) >= STRANGE or self.longest >= 1 << SIZE_BITS:
+        if len(order) >= STRANGE or self.longest >= 1 << STOP_BITS:
             raise ValueError("the piece table is too large for packed edges")
         self.by_place = np.array([*order, -1], np.int64)
         self.place = {self.pieces[i][0]: k for k, i in enumerate(order)}
@@ -129,8 +129,9 @@ class Model:
             return cls(f.read())
 
     def _odd(self, order: list[int]) -> set[int]:
-        """Places of pieces that one pass over the merges, best first, may miss: tied scores, and pieces that it doesn't build."""
-        odd = {k for k in range(len(order)) for n in (k - 1, k + 1) if 0 <= n < len(order) and self.pieces[order[k]][1] == self.pieces[order[n]][1]}
+        """Places of merges that one pass, best first, may miss: those with tied scores, and pieces that it doesn't build."""
+        long = [k for k, i in enumerate(order) if len(self.pieces[i][0]) > 1]
+        odd = {k for pair in zip(long, long[1:]) for k in pair if self.pieces[order[pair[0]]][1] == self.pieces[order[pair[1]]][1]}
         for k, i in enumerate(order):
             piece = self.pieces[i][0]
             n = len(piece)
@@ -197,6 +198,17 @@ def unplaned(data: bytes) -> np.ndarray:
     return np.ascontiguousarray(np.frombuffer(data, np.uint8).reshape(4, -1).T).view("<u4").ravel()
 
 
+def zipped(whole: pa.Table) -> bytes:
+    sink = pa.BufferOutputStream()
+    with pa.ipc.new_stream(sink, whole.schema, options=pa.ipc.IpcWriteOptions(compression=pa.Codec("zstd", 3))) as w:
+        w.write_table(whole)
+    return sink.getvalue().to_pybytes()
+
+
+def unzipped(data: pa.Scalar) -> pa.Table:
+    return pa.ipc.open_stream(data.as_buffer()).read_all()
+
+
 def taken(values: np.ndarray, first: np.ndarray, sizes: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """The runs of `values` with these beginnings and sizes at the given places, one after another, and their sizes."""
     n = sizes[at]
@@ -259,22 +271,16 @@ class _Block:
         words = pa.array(words, pa.string()).take(pa.array(order))
         one = {"doc_id": pa.array([self.ids], pa.list_(pa.int64())), "n": pa.array([count], pa.list_(pa.int64())), "seq": pa.array([planes(seq)], pa.large_binary()), "words": pa.ListArray.from_arrays([0, len(words)], words)}
         one |= {"kept": pa.array([[k for k, _ in self.kept]], pa.list_(pa.int64())), "texts": pa.array([[t for _, t in self.kept]], pa.list_(pa.large_string()))}
-        sink = pa.BufferOutputStream()
-        whole = pa.table(one)
-        with pa.ipc.new_stream(sink, whole.schema, options=pa.ipc.IpcWriteOptions(compression=pa.Codec("zstd", 3))) as w:
-            w.write_table(whole)
         own, first = np.unique(bucket[order], return_index=True)
-        lists = pa.ListArray.from_arrays(pa.array(np.r_[first, len(words)], pa.int32()), words)
-        return pa.RecordBatch.from_arrays([
-            pa.array(np.r_[own, -1 - block], pa.int64()), pa.array(np.full(len(own) + 1, block), pa.int64()),
-            pa.concat_arrays([lists, pa.nulls(1, pa.list_(pa.string()))]), pa.array([None] * len(own) + [sink.getvalue().to_pybytes()], pa.binary()),
-        ], ["key", "block", "words", "docs"])
+        lists = [zipped(pa.table({"word": words[s:e]})) for s, e in zip(first.tolist(), [*first[1:].tolist(), len(words)])]
+        keys, none = np.r_[own, -1 - block], [None]
+        return pa.RecordBatch.from_arrays([pa.array(keys, pa.int64()), pa.array(np.full(len(keys), block), pa.int64()), pa.array(lists + none, pa.binary()), pa.array(none * len(own) + [zipped(pa.table(one))], pa.binary())], ["key", "block", "words", "docs"])
 
 
 def blocks(docs: DataFrame, model: Model, buckets: int) -> DataFrame:
     """(key, block, words, docs): the words of each bucket (key >= 0) of each block, and its documents (key = -1 - block).
 
-    Blocks are numbered by task and place, so a task that runs again gives the same ones.
+    Both are compressed Arrow tables. Blocks are numbered by task and place, so a task that runs again gives the same ones.
     """
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -288,7 +294,7 @@ def blocks(docs: DataFrame, model: Model, buckets: int) -> DataFrame:
         if held.ids:
             yield held.rows(number, buckets)
 
-    return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(scan, "key long, block long, words array<string>, docs binary")
+    return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(scan, "key long, block long, words binary, docs binary")
 
 
 def bucket_words(dealt: DataFrame) -> DataFrame:
@@ -311,8 +317,8 @@ def bucket_words(dealt: DataFrame) -> DataFrame:
         for b in batches:
             for k, words in zip(b.column(0).to_pylist(), b.column(2)):
                 if k >= 0:
-                    held.setdefault(k, []).append(words.values)
-                    size += len(words.values)
+                    held.setdefault(k, []).append(unzipped(words)["word"].combine_chunks())
+                    size += len(held[k][-1])
             if size >= 2 * WORDS_HELD:
                 size = compact()
                 if size >= WORDS_HELD:
@@ -342,43 +348,36 @@ def lattice(words: DataFrame, model: Model, edge: Column) -> DataFrame:
 
 def packed_edge() -> Column:
     long = lambda c, bits: F.shiftleft(F.col(c).cast("long"), bits)
-    return long("place", START_BITS + SIZE_BITS).bitwiseOR(long("start", SIZE_BITS)).bitwiseOR(F.col("size").cast("long"))
+    stop = (F.col("start") + F.col("size")).bitwiseAND(F.lit((1 << STOP_BITS) - 1))
+    return long("place", START_BITS + STOP_BITS).bitwiseOR(long("start", STOP_BITS)).bitwiseOR(stop.cast("long"))
 
 
 def scored_edge() -> Column:
     return F.struct((F.col("start") + F.col("size")).alias("stop"), "start", "score", "place")
 
 
-def _masks(e: Column) -> tuple[Column, Column]:
-    """The cuts at both ends of a packed edge, and those between."""
-    one = F.lit(1).cast("long")
-    shift = lambda by: F.call_function("shiftleft", one, by)
-    start = F.shiftright(e, SIZE_BITS).bitwiseAND(F.lit((1 << START_BITS) - 1)).cast("int")
-    stop = start + e.bitwiseAND(F.lit((1 << SIZE_BITS) - 1)).cast("int")
-    return shift(start).bitwiseOR(shift(stop)), shift(stop) - shift(start + 1)
-
-
 def merge_fold(n: Column, edges: Column) -> Column:
     """Places of the pieces of a BPE model's word, by one pass over its packed edges from the best merge to the worst.
 
     Cuts are the bits of a long. A merge is done if both its ends are cuts and one cut lies between them. A piece that
     is not odd is built by better merges inside it, so it can be merged when its turn comes or never.
     """
+    bit = lambda at: F.call_function("shiftleft", F.lit(1).cast("long"), at.bitwiseAND(F.lit(63)).cast("int"))
 
-    def step(cuts: Column, e: Column) -> Column:
-        ends, inner = _masks(e)
-        return F.when((cuts.bitwiseAND(ends) == ends) & (F.bit_count(cuts.bitwiseAND(inner)) == 1), cuts.bitwiseAND(F.bitwise_not(inner))).otherwise(cuts)
+    def masked(e: Column) -> Column:
+        low, high = bit(F.shiftright(e, STOP_BITS)), bit(e)
+        return F.struct(e.alias("e"), low.bitwiseOR(high).alias("ends"), (high - F.shiftleft(low, 1)).alias("inner"))
 
-    def path(cuts: Column) -> Column:
-        def on(e: Column) -> Column:
-            ends, inner = _masks(e)
-            return (cuts.bitwiseAND(ends) == ends) & (cuts.bitwiseAND(inner) == 0)
+    def step(cuts: Column, m: Column) -> Column:
+        fits = (cuts.bitwiseAND(m["ends"]) == m["ends"]) & (F.bit_count(cuts.bitwiseAND(m["inner"])) == 1)
+        return F.when(fits, cuts.bitwiseAND(F.bitwise_not(m["inner"]))).otherwise(cuts)
 
-        by_start = lambda e: F.shiftleft(F.shiftright(e, SIZE_BITS).bitwiseAND(F.lit((1 << START_BITS) - 1)), 20).bitwiseOR(F.shiftright(e, START_BITS + SIZE_BITS))
-        return F.transform(F.sort_array(F.transform(F.filter(edges, on), by_start)), lambda x: x.bitwiseAND(F.lit((1 << 20) - 1)).cast("int"))
+    def path(cuts: Column, found: Column) -> Column:
+        on = F.filter(found, lambda m: (cuts.bitwiseAND(m["ends"]) == m["ends"]) & (cuts.bitwiseAND(m["inner"]) == 0))
+        by_start = lambda e: F.shiftleft(F.shiftright(e, STOP_BITS).bitwiseAND(F.lit((1 << START_BITS) - 1)), 20).bitwiseOR(F.shiftright(e, START_BITS + STOP_BITS))
+        return F.transform(F.sort_array(F.transform(on, lambda m: by_start(m["e"]))), lambda x: x.bitwiseAND(F.lit((1 << 20) - 1)).cast("int"))
 
-    whole = F.call_function("shiftleft", F.lit(1).cast("long"), n + 1) - 1
-    return bound(F.aggregate(F.sort_array(edges), whole, step), path)
+    return bound(F.transform(F.sort_array(edges), masked), lambda found: bound(F.aggregate(found, bit(n + 1) - 1, step), lambda cuts: path(cuts, found)))
 
 
 def viterbi_fold(n: Column, edges: Column, floor: float) -> Column:
@@ -404,8 +403,8 @@ def merged(n: int, edges: list[int], score: np.ndarray) -> list[int]:
     """merge_fold for words of any length and any pieces: a heap of merges. `score` goes by place."""
     place = {}
     for e in edges:
-        start = e >> SIZE_BITS & (1 << START_BITS) - 1
-        place[start, start + (e & (1 << SIZE_BITS) - 1)] = e >> START_BITS + SIZE_BITS
+        start = e >> STOP_BITS & (1 << START_BITS) - 1
+        place[start, start + (e - start & (1 << STOP_BITS) - 1)] = e >> START_BITS + STOP_BITS
     left, right = list(range(-1, n)), list(range(1, n + 2))
     alive, heap = [True] * (n + 1), []
     push = lambda a, c: (p := place.get((a, c))) is not None and heapq.heappush(heap, (-score[p], a, c))
@@ -492,11 +491,11 @@ def bucket_ids(entries: DataFrame, dealt: DataFrame, model: Model) -> DataFrame:
                 end += len(own)
                 ids.append(np.array(own, np.int64))
             ids = np.concatenate(ids)
-            asked = rows["words"].combine_chunks()
-            at = pc.index_in(asked.flatten(), value_set=words)
+            asked = [unzipped(w)["word"].combine_chunks() for w in rows["words"]]
+            at = pc.index_in(pa.concat_arrays(asked), value_set=words)
             if at.null_count:
                 raise LookupError("a block has a word that its bucket has no pieces for")
-            at, ends = at.to_numpy(), np.cumsum(pc.list_value_length(asked).to_numpy())
+            at, ends = at.to_numpy(), np.cumsum([len(x) for x in asked])
             for k, b, s, e in zip(rows["key"].to_pylist(), rows["block"].to_pylist(), [0, *ends], ends):
                 flat, n = taken(ids, first, sizes, at[s:e])
                 key.append(-1 - b), bucket.append(k), data.append(planes(np.r_[len(n), n, flat]))
@@ -520,7 +519,7 @@ def encode(docs: DataFrame, model: Model, check: bool = False) -> DataFrame:
         rows = rows.filter(pc.is_valid(rows["docs"]))
         out = []
         for data in rows["docs"]:
-            t = pa.ipc.open_stream(data.as_buffer()).read_all()
+            t = unzipped(data)
             doc_id, count = t["doc_id"][0].values, t["n"][0].values.to_numpy()
             words, seq = t["words"][0].values.to_pylist(), unplaned(t["seq"][0].as_py())
             kept = dict(zip(t["kept"][0].as_py(), t["texts"][0].as_py()))
