@@ -5,6 +5,8 @@ from __future__ import annotations
 import tempfile
 import uuid
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -36,6 +38,17 @@ def stage(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def unused(df: DataFrame, *names: str) -> list[str]:
+    """The names, each with underscores behind it until df has no such column."""
+    held, out = {c.lower() for c in df.columns}, []
+    for name in names:
+        while name.lower() in held:
+            name += "_"
+        held.add(name.lower())
+        out.append(name)
+    return out
+
+
 def ascii_lower(c: Column) -> Column:
     return F.translate(c, UPPER, LOWER)
 
@@ -107,91 +120,21 @@ def components(nodes_edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
     return edges.select(F.col("u").alias("node"), F.col("v").alias("component")).union(roots)
 
 
-def with_split(docs: DataFrame) -> DataFrame:
-    """doc_id and text with split: a number for the piece of a file that a row stands in.
+def planes(numbers: np.ndarray) -> bytes:
+    """Small numbers as four rows of bytes, which compress well; `unplaned` reads them."""
+    return np.ascontiguousarray(np.ascontiguousarray(numbers, "<u4").view(np.uint8).reshape(-1, 4).T).tobytes()
 
-    Where the pieces begin is found once, and stored; a row belongs to the piece that holds its place in the file, in
-    whatever pieces Spark reads the file later. There are as many pieces as tasks that read the files. Rows that have no
-    place in a file are dealt by hash instead; that is as correct, only less compact.
-    """
-    from pyspark.errors import AnalysisException
 
-    at = [F.col(f"_metadata.{k}").alias(f"{k}_") for k in ("file_path", "file_block_start", "row_index")]
-    try:
-        places, docs_at = docs.select(*at), docs.select("doc_id", "text", at[0], at[2])
-    except AnalysisException:
-        return docs.select("doc_id", "text", F.pmod(F.xxhash64("doc_id", "text"), F.lit(1 << 10)).alias("split"))
-    first = places.groupBy("file_path_", "file_block_start_").agg(F.min("row_index_").alias("first"))
-    starts = stage(first.groupBy("file_path_").agg(F.collect_list("first").alias("starts_")), "starts")
-    piece = F.array_max(F.filter("starts_", lambda x: x <= F.col("row_index_")))
-    return docs_at.join(F.broadcast(starts), "file_path_", "left").select("doc_id", "text", F.xxhash64("file_path_", piece).alias("split"))
+def unplaned(data: bytes) -> np.ndarray:
+    return np.ascontiguousarray(np.frombuffer(data, np.uint8).reshape(4, -1).T).view("<u4").ravel()
 
 
-def with_dictionary(docs: DataFrame, dictionary: DataFrame, values: str, apply, schema: str) -> DataFrame:
-    """Run `apply(lookup, batches)` where lookup is the dictionary of just the split that the batches were read from.
+def zipped(whole: pa.Table) -> bytes:
+    sink = pa.BufferOutputStream()
+    with pa.ipc.new_stream(sink, whole.schema, options=pa.ipc.IpcWriteOptions(compression=pa.Codec("zstd", 3))) as w:
+        w.write_table(whole)
+    return sink.getvalue().to_pybytes()
 
-    docs: doc_id, text and split; dictionary: split, key and the columns that `values` names. A global dictionary that
-    grows with the corpus is never broadcast: each split meets the entries that occur in it. Documents travel as
-    compressed blocks; within a partition a split's entries come first, then its documents stream by.
-    """
-    import pandas as pd
-    import pyarrow as pa
-
-    fields = [f.split()[0] for f in values.split(", ")]
-    block_bytes = 1 << 20
-
-    def pack(batches):
-        def block(split, rows):
-            sink = pa.BufferOutputStream()
-            tab = pa.table({"doc_id": pa.array([r[0] for r in rows], pa.int64()), "text": pa.array([r[1] for r in rows], pa.large_string())})
-            with pa.ipc.new_stream(sink, tab.schema, options=pa.ipc.IpcWriteOptions(compression=pa.Codec("zstd", 3))) as w:
-                w.write_table(tab)
-            return {"split": split, "block": sink.getvalue().to_pybytes()}
-
-        for b in batches:
-            rows, size, last, out = [], 0, None, []
-            for split, doc_id, text in zip(b.split, b.doc_id, b.text):
-                if rows and (split != last or size >= block_bytes):
-                    out.append(block(last, rows))
-                    rows, size = [], 0
-                rows.append((None if pd.isna(doc_id) else int(doc_id), text))
-                size += len(text or "")
-                last = split
-            if rows:
-                out.append(block(last, rows))
-            yield pd.DataFrame(out, columns=["split", "block"])
-
-    def unpack(data):
-        return pa.ipc.open_stream(data).read_all().to_pandas(types_mapper={pa.int64(): pd.Int64Dtype()}.get)
-
-    none = {f: F.lit(None).cast(t) for f, t in (x.split() for x in values.split(", "))}
-    key_type = dict(dictionary.dtypes)["key"]
-    entries = dictionary.select("split", "key", *fields, F.lit(None).cast("binary").alias("block"))
-    blocks = docs.select("split", "doc_id", "text").mapInPandas(pack, "split long, block binary")
-    blocks = blocks.select("split", F.lit("0").cast(key_type).alias("key"), *[c.alias(f) for f, c in none.items()], "block")
-    both = entries.unionByName(blocks).repartition(shuffle_width(docs.sparkSession), "split").sortWithinPartitions("split", F.col("block").isNotNull())
-
-    def stream(batches):
-        last, held, lookup = None, [], None
-        for b in batches:
-            splits = b.split.to_numpy()
-            cut = [0, *(1 + (splits[1:] != splits[:-1]).nonzero()[0]).tolist(), len(b)]
-            for s, e in zip(cut, cut[1:]):
-                if s == e:
-                    continue
-                part = b.iloc[s:e]
-                if splits[s] != last:
-                    last, held, lookup = splits[s], [], None
-                is_block = part.block.notna()
-                if (~is_block).any():
-                    held.append(part.loc[~is_block, ["key", *fields]])
-                if is_block.any():
-                    if lookup is None:
-                        entries = pd.concat(held, ignore_index=True) if held else part.iloc[:0][["key", *fields]]
-                        held = []
-                        lookup = apply.lookup(entries)
-                        del entries
-                    for data in part.block[is_block]:
-                        yield apply.score(lookup, unpack(data))
-
-    return both.mapInPandas(stream, schema)
+
+def unzipped(data: pa.Scalar) -> pa.Table:
+    return pa.ipc.open_stream(data.as_buffer()).read_all()
