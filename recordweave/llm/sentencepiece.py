@@ -29,11 +29,12 @@ import pandas as pd
 import pyarrow as pa
 import pyarrow.compute as pc
 import regex
+import xxhash
 from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from recordweave.llm.common import bound, shuffle_width, table
+from recordweave.llm.common import bound, planes, shuffle_width, table, unplaned, unzipped, zipped
 
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 BLANK = "▁"
@@ -189,26 +190,6 @@ class Model:
         return text[1:] if self.prefix and text.startswith(" ") else text
 
 
-def planes(numbers: np.ndarray) -> bytes:
-    """Small numbers as four rows of bytes, which compress well; `unplaned` reads them."""
-    return np.ascontiguousarray(np.ascontiguousarray(numbers, "<u4").view(np.uint8).reshape(-1, 4).T).tobytes()
-
-
-def unplaned(data: bytes) -> np.ndarray:
-    return np.ascontiguousarray(np.frombuffer(data, np.uint8).reshape(4, -1).T).view("<u4").ravel()
-
-
-def zipped(whole: pa.Table) -> bytes:
-    sink = pa.BufferOutputStream()
-    with pa.ipc.new_stream(sink, whole.schema, options=pa.ipc.IpcWriteOptions(compression=pa.Codec("zstd", 3))) as w:
-        w.write_table(whole)
-    return sink.getvalue().to_pybytes()
-
-
-def unzipped(data: pa.Scalar) -> pa.Table:
-    return pa.ipc.open_stream(data.as_buffer()).read_all()
-
-
 def taken(values: np.ndarray, first: np.ndarray, sizes: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """The runs of `values` with these beginnings and sizes at the given places, one after another, and their sizes."""
     n = sizes[at]
@@ -235,19 +216,25 @@ class _Parts(dict):
         return number
 
 
+def digest(text: str) -> int:
+    return xxhash.xxh3_64_intdigest(text.encode("utf-8", "surrogatepass"))
+
+
 class _Block:
-    """Documents as numbers of distinct words."""
+    """Documents as numbers of distinct words; with their digests if they are to be checked, else with what spells them."""
 
-    def __init__(self, model: Model):
-        self.model, self.parts, self.seq = model, _Parts(model), array("I")
-        self.ids, self.n, self.kept, self.chars = [], array("i"), [], 0
+    def __init__(self, model: Model, check: bool):
+        self.model, self.check, self.parts, self.seq = model, check, _Parts(model), array("I")
+        self.ids, self.n, self.kept, self.digests, self.chars = [], array("i"), [], array("Q"), 0
 
     def add(self, doc_id: int | None, text: str | None) -> None:
         parts = self.model.raw_words(text) if text else ()
         if parts is None:
             parts = ((text,),)
-            if "".join(self.model.words(text)) != " " * self.model.prefix + text:
+            if not self.check and "".join(self.model.words(text)) != " " * self.model.prefix + text:
                 self.kept.append((len(self.ids), text))
+        if self.check:
+            self.digests.append(digest(text or ""))
         self.seq.extend(map(self.parts.__getitem__, parts))
         self.ids.append(doc_id)
         self.n.append(-1 if text is None else len(parts))
@@ -269,28 +256,31 @@ class _Block:
         last = np.cumsum(np.maximum(parts, 0))
         count = np.where(parts < 0, -1, ends[last] - ends[last - np.maximum(parts, 0)])
         words = pa.array(words, pa.string()).take(pa.array(order))
-        one = {"doc_id": pa.array([self.ids], pa.list_(pa.int64())), "n": pa.array([count], pa.list_(pa.int64())), "seq": pa.array([planes(seq)], pa.large_binary()), "words": pa.ListArray.from_arrays([0, len(words)], words)}
-        one |= {"kept": pa.array([[k for k, _ in self.kept]], pa.list_(pa.int64())), "texts": pa.array([[t for _, t in self.kept]], pa.list_(pa.large_string()))}
+        one = {"doc_id": pa.array([self.ids], pa.list_(pa.int64())), "n": pa.array([count], pa.list_(pa.int64())), "seq": pa.array([planes(seq)], pa.large_binary()), "size": pa.array([len(words)], pa.int64())}
+        if self.check:
+            one |= {"digest": pa.array([np.frombuffer(self.digests, np.uint64)], pa.list_(pa.uint64()))}
+        else:
+            one |= {"words": pa.ListArray.from_arrays([0, len(words)], words), "kept": pa.array([[k for k, _ in self.kept]], pa.list_(pa.int64())), "texts": pa.array([[t for _, t in self.kept]], pa.list_(pa.large_string()))}
         own, first = np.unique(bucket[order], return_index=True)
         lists = [zipped(pa.table({"word": words[s:e]})) for s, e in zip(first.tolist(), [*first[1:].tolist(), len(words)])]
         keys, none = np.r_[own, -1 - block], [None]
         return pa.RecordBatch.from_arrays([pa.array(keys, pa.int64()), pa.array(np.full(len(keys), block), pa.int64()), pa.array(lists + none, pa.binary()), pa.array(none * len(own) + [zipped(pa.table(one))], pa.binary())], ["key", "block", "words", "docs"])
 
 
-def blocks(docs: DataFrame, model: Model, buckets: int) -> DataFrame:
+def blocks(docs: DataFrame, model: Model, buckets: int, check: bool = False) -> DataFrame:
     """(key, block, words, docs): the words of each bucket (key >= 0) of each block, and its documents (key = -1 - block).
 
     Both are compressed Arrow tables. Blocks are numbered by task and place, so a task that runs again gives the same ones.
     """
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        number, held = TaskContext.get().partitionId() << 24, _Block(model)
+        number, held = TaskContext.get().partitionId() << 24, _Block(model, check)
         for b in batches:
             for doc_id, text in zip(b.column(0).to_pylist(), b.column(1)):
                 held.add(doc_id, text.as_py())
                 if held.full():
                     yield held.rows(number, buckets)
-                    number, held = number + 1, _Block(model)
+                    number, held = number + 1, _Block(model, check)
         if held.ids:
             yield held.rows(number, buckets)
 
@@ -505,10 +495,10 @@ def bucket_ids(entries: DataFrame, dealt: DataFrame, model: Model) -> DataFrame:
 
 
 def encode(docs: DataFrame, model: Model, check: bool = False) -> DataFrame:
-    """(doc_id, text, ids) of every document; with `check` (doc_id, ids, round_trip): whether the ids decode to the text."""
+    """(doc_id, text, ids) of every document; with `check` (doc_id, ids, round_trip): whether the ids decode to a text with the text's digest."""
     width = 2 * shuffle_width(docs.sparkSession)
     # every use below takes all columns, so the documents are read and dealt once
-    dealt = blocks(docs, model, 2 * width).repartition(width, "key")
+    dealt = blocks(docs, model, 2 * width, check).repartition(width, "key")
     words = bucket_words(dealt).repartition(width, "bucket").distinct()
     found = bucket_ids(word_pieces(words, model), dealt, model)
     last = ("round_trip", pa.bool_()) if check else ("text", pa.string())
@@ -521,12 +511,15 @@ def encode(docs: DataFrame, model: Model, check: bool = False) -> DataFrame:
         for data in rows["docs"]:
             t = unzipped(data)
             doc_id, count = t["doc_id"][0].values, t["n"][0].values.to_numpy()
-            words, seq = t["words"][0].values.to_pylist(), unplaned(t["seq"][0].as_py())
-            kept = dict(zip(t["kept"][0].as_py(), t["texts"][0].as_py()))
+            seq = unplaned(t["seq"][0].as_py())
+            if check:
+                digests = t["digest"][0].as_py()
+            else:
+                words, kept = t["words"][0].values.to_pylist(), dict(zip(t["kept"][0].as_py(), t["texts"][0].as_py()))
             per_bucket = [unplaned(x.as_py()) for x in found.sort_by("bucket")["ids"]]
             sizes = np.concatenate([x[1 : 1 + x[0]] for x in per_bucket] or [np.zeros(0, int)]).astype(np.int32)
             ids = np.concatenate([x[1 + x[0] :] for x in per_bucket] or [np.zeros(0, int)]).astype(np.int32)
-            if len(sizes) != len(words):
+            if len(sizes) != t["size"][0].as_py():
                 raise LookupError("a block lacks the pieces of some of its words")
             begin, stop = np.cumsum(sizes) - sizes, np.cumsum(np.maximum(count, 0))
             group = 0
@@ -538,13 +531,14 @@ def encode(docs: DataFrame, model: Model, check: bool = False) -> DataFrame:
                 ends = np.r_[0, np.cumsum(n)]
                 bounds = ends[np.r_[first, stop[group:last_]] - first]
                 lists = pa.ListArray.from_arrays(pa.array(bounds, pa.int32()), pa.array(flat, pa.int32()))
-                texts, numbers = [], part.tolist()
-                for k in range(group, last_):
-                    s, e = int(stop[k] - max(count[k], 0) - first), int(stop[k] - first)
-                    texts.append(None if count[k] < 0 else kept[k] if k in kept else "".join(map(words.__getitem__, numbers[s:e]))[int(model.prefix) :])
                 if check:
-                    texts = [model.decode(flat[a:b]) == (x or "") for a, b, x in zip(bounds, bounds[1:], texts)]
-                cols = {"doc_id": doc_id.slice(group, last_ - group), "ids": lists, last[0]: pa.array(texts, last[1])}
+                    shown = [digest(model.decode(flat[a:b])) == x for a, b, x in zip(bounds, bounds[1:], digests[group:last_])]
+                else:
+                    shown, numbers = [], part.tolist()
+                    for k in range(group, last_):
+                        s, e = int(stop[k] - max(count[k], 0) - first), int(stop[k] - first)
+                        shown.append(None if count[k] < 0 else kept[k] if k in kept else "".join(map(words.__getitem__, numbers[s:e]))[int(model.prefix) :])
+                cols = {"doc_id": doc_id.slice(group, last_ - group), "ids": lists, last[0]: pa.array(shown, last[1])}
                 out.append(pa.RecordBatch.from_arrays([cols[c] for c in names], names))
                 group = last_
         schema = pa.schema([(c, types[c]) for c in names])
