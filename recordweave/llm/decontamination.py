@@ -18,7 +18,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from recordweave.llm.common import SPACE, bound, stage, table
+from recordweave.llm.common import SPACE, bound, stage, table, unused
 
 WIDTH = 5
 NUM, DEN = 75, 100
@@ -95,11 +95,13 @@ def contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
 
 def clean(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """docs without those that hold a benchmark item; all columns stay."""
-    keys = contaminated(docs.select(F.xxhash64("text").alias("doc_id"), "text"), benchmark).select(F.col("doc_id").alias("bad_key")).distinct()
-    keys = stage(keys, "contaminated")
-    if keys.count() <= BROADCAST_CANDIDATES:
-        keys = F.broadcast(keys)
-    return docs.join(keys, F.xxhash64(docs["text"]) == F.col("bad_key"), "left_anti")
+    id_, key = unused(docs, "bad_id", "bad_key")
+    rows = docs.select(F.struct("doc_id", F.xxhash64("text").alias("key")).alias("doc_id"), "text")
+    bad = contaminated(rows, benchmark).select(F.col("doc_id.doc_id").alias(id_), F.col("doc_id.key").alias(key)).distinct()
+    bad = stage(bad, "contaminated")
+    if bad.count() <= BROADCAST_CANDIDATES:
+        bad = F.broadcast(bad)
+    return docs.join(bad, F.col(id_).eqNullSafe(docs["doc_id"]) & (F.xxhash64(docs["text"]) == F.col(key)), "left_anti")
 
 
 def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -7,11 +7,13 @@ whatever order the tokens are put in, as long as it is one order for all. The st
 1. One pass counts tokens: windows of the input report those that they hold more than once. The HEAVY_KEPT most
    frequent ones go last in every order, rarest first; that only makes prefixes selective, any order is correct.
 2. Under the first order every set's prefix is dealt by token (heavy tokens salted) and met sets are kept.
-3. Families: each set is compared with the neighbour that it shares most prefix tokens with, then with the most
+3. Families: each set is paired with the neighbour that it shares most prefix tokens with, then with the most
    central set of its crowded tokens; links make components.
-4. The rest: pairs of sets in different components that share a prefix token, pass the size and position bounds, and
-   also share prefix tokens under every further order, are verified exactly, likely ones first, so that families are
-   joined before their pairs are listed.
+4. The rest: pairs of sets in different components that share a prefix token and pass the size and position bounds,
+   likely ones first, so that families are joined before their pairs are listed.
+
+Pairs of both steps must share prefix tokens under every further order too; what is left is verified on whole sets.
+Sets are told apart by 64-bit hashes.
 
 Pairs within a component are never listed, and no pair of different components that could link is left out. Texts
 without words have an empty set and link with nothing; fewer than five words make one shingle. Null doc_ids and
@@ -28,7 +30,7 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from recordweave.llm.common import components, shuffle_width, stage, table, words_of
+from recordweave.llm.common import components, shuffle_width, stage, table, unused
 
 WIDTH = 5
 #: Similarity as a fraction: 100 * both >= 75 * any.
@@ -49,6 +51,9 @@ SMALL_GROUP = 32
 
 _RANDOM = np.random.default_rng(20240301)
 _BYTE = _RANDOM.integers(1, 1 << 63, 256, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
+_BYTE[65:91] = _BYTE[97:123]  # A-Z count as a-z
+_PLACE = _RANDOM.integers(1, 1 << 63, WIDTH, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
+_WHITE = np.isin(np.arange(256), [9, 10, 11, 12, 13, 32])
 _BASE = 0x9FB21C651E98DF25
 _POWERS: list[np.ndarray] = [np.ones(1, np.uint64), np.ones(1, np.uint64)]
 
@@ -71,19 +76,25 @@ def mixed(h: np.ndarray, multiplier: int = 0xBF58476D1CE4E5B9) -> np.ndarray:
 
 
 def shingles(text: str | None) -> np.ndarray:
-    """Distinct shingle hashes of a whole text, ascending: a polynomial over random 64-bit values of the bytes."""
-    w = words_of(text)
-    if not w:
+    """Distinct shingle hashes of a whole text, ascending. A word's hash is a polynomial over random values of its bytes."""
+    if not text:
+        return np.zeros(0, np.uint64)
+    raw = np.frombuffer(text.encode("utf-8", "surrogatepass"), np.uint8)
+    inside = np.zeros(len(raw) + 2, bool)
+    np.logical_not(_WHITE[raw], out=inside[1:-1])
+    edge = np.flatnonzero(inside[1:] != inside[:-1])
+    first, last = edge[::2], edge[1::2]
+    if not len(first):
         return np.zeros(0, np.uint64)
-    raw = np.frombuffer(b" ".join(w), np.uint8)
-    size = np.fromiter(map(len, w), np.int64, len(w))
-    end = np.cumsum(size + 1) - 1
-    run = min(WIDTH, len(w))
-    first, last = (end - size)[: len(w) - run + 1], end[run - 1 :]
     power, inverse = _powers(len(raw) + 1)
     sums = np.zeros(len(raw) + 1, np.uint64)
     np.cumsum(_BYTE[raw] * power[: len(raw)], out=sums[1:])
-    return np.unique(mixed((sums[last] - sums[first]) * inverse[first] + (last - first).astype(np.uint64)))
+    word = mixed((sums[last] - sums[first]) * inverse[first] + (last - first).astype(np.uint64))
+    run = min(WIDTH, len(word))
+    n = len(word) - run + 1
+    out = mixed(sum(word[k : k + n] * _PLACE[k] for k in range(run)))
+    out.sort()
+    return out[np.r_[True, out[1:] != out[:-1]]]
 
 
 def set_id(tokens: np.ndarray) -> int:
@@ -94,17 +105,35 @@ def prefix_length(n: int) -> int:
     return n - -(-NUM * n // DEN) + 1
 
 
-def ordered(tokens: np.ndarray, heavy: np.ndarray, count: np.ndarray, multiplier: int | None) -> tuple[np.ndarray, np.ndarray]:
-    """The prefix of a set under one global order (heavy tokens last, else by mixed hash), and its tokens' counts."""
+def ordered(tokens: np.ndarray, heavy: np.ndarray, count: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The prefix of a set under the first global order (heavy tokens last, rarest first), and its tokens' counts."""
+    most = prefix_length(len(tokens))
     c = np.zeros(len(tokens), np.int64)
     if len(heavy):
         at = np.minimum(np.searchsorted(heavy, tokens), len(heavy) - 1)
         c = np.where(heavy[at] == tokens, count[at], 0)
-    key = tokens if multiplier is None else mixed(tokens, multiplier)
-    first = np.lexsort((key, c))[: prefix_length(len(tokens))]
+    light = np.flatnonzero(c == 0)[:most]
+    if len(light) == most:
+        return tokens[light], c[light]
+    first = np.lexsort((tokens, c))[:most]
     return tokens[first], c[first]
 
 
+def further_prefix(tokens: np.ndarray, multiplier: int) -> np.ndarray:
+    """The prefix of a set under a further global order, that of another hash; ascending places in that order."""
+    n = prefix_length(len(tokens))
+    return np.sort(np.partition(mixed(tokens, multiplier), n - 1)[:n])
+
+
+def meet_in_all(a: list[np.ndarray], b: list[np.ndarray]) -> bool:
+    """Whether two sets share prefix tokens under every further order."""
+    for x, y in zip(a, b):
+        at = np.searchsorted(x, y)
+        if not (x[np.minimum(at, len(x) - 1)] == y).any():
+            return False
+    return True
+
+
 def survey(docs: DataFrame) -> DataFrame:
     """One pass: rows of kind 0 describe documents (doc_id, n, set, key), rows of kind 1 frequent tokens (set, n)."""
 
@@ -189,7 +218,7 @@ def meetings(docs: DataFrame, heavy: np.ndarray, count: np.ndarray) -> DataFrame
                 if not len(t) or s in seen:
                     continue
                 seen.add(s)
-                p, c = ordered(t, heavy, count, None)
+                p, c = ordered(t, heavy, count)
                 parts = c // SALT_ROWS + 1
                 rows.append((p.view(np.int64), np.full(len(p), s), (len(t) << 32) + np.arange(len(p)), (parts << 32) + s % parts))
                 if len(rows) >= 500:
@@ -225,7 +254,10 @@ def texts_of(docs: DataFrame, sets: DataFrame) -> DataFrame:
 
 
 def verified(pairs: DataFrame, texts: DataFrame) -> DataFrame:
-    """The pairs (a, b) of sets whose similarity reaches the bound, by their whole texts."""
+    """The pairs (a, b) of sets whose similarity reaches the bound, by their whole texts.
+
+    The pairs share a prefix token under the first order; those that share none under a further one go uncompared.
+    """
     pairs = stage(pairs.select("a", "b"), "ngram-tries")
     need = pairs.select(F.explode(F.array("a", "b")).alias("set")).distinct()
     if pairs.count() <= BROADCAST_KEYS // 2:
@@ -234,13 +266,18 @@ def verified(pairs: DataFrame, texts: DataFrame) -> DataFrame:
     b = texts.select(F.col("set").alias("b"), F.col("text").alias("tb"))
 
     def exact(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        last, mine = None, None
+        last, mine, filters = None, None, None
+        orders = lambda t: [further_prefix(t, m) for m in ORDERS]
         for x in batches:
             ok = []
             for hub, ta, tb in zip(x.b, x.ta, x.tb):
                 if last != hub:
                     last, mine = hub, shingles(tb)
+                    filters = orders(mine)
                 other = shingles(ta)
+                if not meet_in_all(filters, orders(other)):
+                    ok.append(False)
+                    continue
                 both = len(np.intersect1d(mine, other, assume_unique=True))
                 ok.append(DEN * both >= NUM * (len(mine) + len(other) - both))
             yield x.loc[ok, ["a", "b"]]
@@ -253,15 +290,14 @@ def _merge(links: DataFrame, more: DataFrame | None) -> tuple[DataFrame, DataFra
     return links, stage(components(links).withColumnRenamed("node", "set"), "ngram-components")
 
 
-def further_prefixes(texts: DataFrame, heavy: np.ndarray, count: np.ndarray) -> DataFrame:
+def further_prefixes(texts: DataFrame) -> DataFrame:
     """(set, p0, p1, ..): prefixes under the further orders, as 32-bit halves of the hashes: a filter may let more pass."""
-    sent = texts.sparkSession.sparkContext.broadcast((heavy, count))
     names = [f"p{k}" for k in range(len(ORDERS))]
 
     def emit(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
             t = [shingles(x) for x in b.text]
-            yield pd.DataFrame({"set": b.set, **{name: [(ordered(x, *sent.value, m)[0] >> np.uint64(32)).astype(np.uint32).view(np.int32) for x in t] for name, m in zip(names, ORDERS)}})
+            yield pd.DataFrame({"set": b.set, **{name: [(further_prefix(x, m) >> np.uint64(32)).astype(np.uint32).view(np.int32) for x in t] for name, m in zip(names, ORDERS)}})
 
     return texts.mapInPandas(emit, "set long, " + ", ".join(f"{n} array<int>" for n in names))
 
@@ -339,7 +375,7 @@ def join_classes(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     pairs = stage(pairs, "ngram-pairs")
     if not pairs.isEmpty():
         some = texts.join(pairs.select(F.explode(F.array("a", "b")).alias("set")).distinct(), "set", "left_semi")
-        more = stage(further_prefixes(some, heavy, count), "ngram-orders")
+        more = stage(further_prefixes(some), "ngram-orders")
         side = lambda s: more.select(F.col("set").alias(s), *[F.col(f"p{k}").alias(f"{s}{k}") for k in range(len(ORDERS))])
         every = F.lit(True)
         for k in range(len(ORDERS)):
@@ -378,11 +414,12 @@ def deduplicated(docs: DataFrame) -> DataFrame:
     rank = F.struct(F.col("doc_id").isNull().alias("none"), F.coalesce("doc_id", F.lit(0)).alias("id"), F.col("key").alias("text"))
     rows = stage(rows.filter("n > 0").select("doc_id", "key", "component", rank.alias("rank")), "ngram-ranked")
     first = rows.groupBy("component").agg(F.min("rank").alias("first"))
-    gone = rows.join(first, "component").filter("rank != first").select(F.col("doc_id").alias("gone_id"), F.col("key").alias("gone_key")).distinct()
+    id_, key = unused(docs, "gone_id", "gone_key")
+    gone = rows.join(first, "component").filter("rank != first").select(F.col("doc_id").alias(id_), F.col("key").alias(key)).distinct()
     gone = stage(gone, "ngram-gone")
     if gone.count() <= BROADCAST_KEYS:
         gone = F.broadcast(gone)
-    left = docs.join(gone, F.col("gone_id").eqNullSafe(docs["doc_id"]) & (F.col("gone_key") == F.xxhash64(docs["text"])), "left_anti")
+    left = docs.join(gone, F.col(id_).eqNullSafe(docs["doc_id"]) & (F.col(key) == F.xxhash64(docs["text"])), "left_anti")
     repeated = rows.groupBy("doc_id", "key").count().filter("count > 1")
     return left if repeated.isEmpty() else left.dropDuplicates(["doc_id", "text"])
 
