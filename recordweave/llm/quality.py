@@ -18,7 +18,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from recordweave.llm.common import labelled_sample, remainder, table
+from recordweave.llm.common import labelled_sample, remainder, table, unused
 
 #: Most labelled rows that the trees are fitted on.
 MAX_TRAIN = 20_000
@@ -121,7 +121,10 @@ def fit_trees(x: np.ndarray, y: np.ndarray, trees: int = 60, depth: int = 3, bin
 
 
 def train(docs: DataFrame, labels: DataFrame, label: str = "quality", most: int = MAX_TRAIN) -> Trees:
-    """Fit on at most `most` labelled documents outside the held-out fold. Only their statistics reach the driver."""
+    """Fit on at most `most` labelled documents outside the held-out fold. Only their statistics reach the driver.
+
+    Of documents that repeat a labelled doc_id the one with the smallest statistics is learnt from.
+    """
     sample = F.broadcast(labelled_sample(labels, label, FOLDS, most))
     rows = docs.select("doc_id", "text").join(sample, "doc_id").select("doc_id", "label", "text")
 
@@ -129,7 +132,7 @@ def train(docs: DataFrame, labels: DataFrame, label: str = "quality", most: int
         for b in batches:
             yield pd.DataFrame({"doc_id": b.doc_id, "label": b.label, "x": list(matrix(b.text))})
 
-    got = rows.mapInPandas(features, "doc_id long, label int, x array<double>").dropDuplicates(["doc_id"]).limit(most).toPandas().sort_values("doc_id")
+    got = rows.mapInPandas(features, "doc_id long, label int, x array<double>").groupBy("doc_id").agg(F.min(F.struct("x", "label")).alias("r")).select("doc_id", "r.*").limit(most).toPandas().sort_values("doc_id")
     return fit_trees(np.stack(got.x) if len(got) else np.zeros((0, len(NAMES))), got.label.to_numpy(float))
 
 
@@ -143,6 +146,12 @@ def score(docs: DataFrame, model: Trees, name: str = "score") -> DataFrame:
     return docs.withColumn(name, scored("text"))
 
 
+def clean(docs: DataFrame, labels: DataFrame) -> DataFrame:
+    """docs without those that are scored bad; all columns stay."""
+    (name,) = unused(docs, "quality")
+    return score(docs, train(docs, labels), name).filter(F.col(name) >= THRESHOLD).drop(name)
+
+
 def op4_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     scored = score(docs, train(docs, table(spark, sf_dir, "labels")))
