@@ -5,7 +5,8 @@ Blocks under tags that never hold an article (menus, headers, footers ...) and i
 Forms and elements with class words of menus, adverts and the like have none either, unless the element holds the
 page's largest article or most of its text: then it is a wrapper of the page. For every other path the text length and the punctuation of its blocks are aggregated into two
 ratios per block; both are fused with those of the enclosing container, smoothed over neighbouring blocks in page
-order, and paths above a share of the best one are the content.
+order, and paths above a share of the best one are the content. In an article element the other blocks stay too, but for
+those that are mostly links.
 
 Null, empty and tag-only pages give an empty text. Unclosed, truncated and badly nested tags are repaired as browsers
 do for the common cases; a truncated tag at the end is dropped. Nothing is capped: very long pages are read whole.
@@ -23,10 +24,12 @@ from pyspark.sql import functions as F
 
 from recordweave.llm.common import table
 
+#: A quote opens a value only after an equals sign, as in browsers; any other quote is a character like the rest.
+_ATTRIBUTES = r"(?>=\s*\"[^\"]*\"|=\s*'[^']*'|[^>])*+"
 TOKEN = re.compile(
     r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*>"
-    r"|<(?P<raw>script|style|noscript|template|iframe|svg|math|object|textarea|select|title)\b(?:[^>\"']|\"[^\"]*\"|'[^']*')*>.*?(?:</(?P=raw)\s*>|\Z)"
-    r"|<(?P<end>/?)(?P<tag>[a-zA-Z][a-zA-Z0-9:-]*)(?P<attrs>(?:[^>\"']|\"[^\"]*\"|'[^']*')*)>"
+    r"|<(?P<raw>script|style|noscript|template|iframe|svg|math|object|textarea|select|title)\b" + _ATTRIBUTES + r">.*?(?:</(?P=raw)\s*>|\Z)"
+    r"|<(?P<end>/?)(?P<tag>[a-zA-Z][a-zA-Z0-9:-]*)(?P<attrs>" + _ATTRIBUTES + r")>"
     r"|<[a-zA-Z/][^>]*\Z|(?P<text>[^<]+|<)",
     re.S | re.I,
 )
@@ -151,7 +154,8 @@ def content(found: list[tuple[str, str, str, int, bool]], share: float = SHARE,
     """Texts of the blocks whose tag paths are content, in page order."""
     if not found:
         return []
-    if any(f[4] for f in found):
+    article = any(f[4] for f in found)
+    if article:
         found = [f for f in found if f[4]]
     sums: dict[str, list[float]] = defaultdict(lambda: [0.0, 0.0, 0.0])
     for container, path, text, linked, _ in found:
@@ -167,7 +171,7 @@ def content(found: list[tuple[str, str, str, int, bool]], share: float = SHARE,
     for f, v in zip(found, smooth):
         by_path[f[1]] = max(v, by_path.get(f[1], 0.0))
     least = share * max(by_path.values())
-    return [f[2] for f in found if by_path[f[1]] >= least]
+    return [f[2] for f in found if by_path[f[1]] >= least or article and 2 * f[3] < len(f[2])]
 
 
 def main_text(page: str | None) -> str:
