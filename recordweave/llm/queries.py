@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from recordweave.llm import decontamination
+from recordweave.llm import decontamination, url_filters, warc
 from recordweave.llm.decontamination import op10_decontamination
 from recordweave.llm.embedding_dedup import op8_embedding_dedup
 from recordweave.llm.html_extraction import op6_html_extraction
@@ -26,4 +26,4 @@ QUERIES = {
     "op9_lm_scoring": op9_lm_scoring,
     "op10_decontamination": op10_decontamination,
 }
-ORACLE_SQL = {"op10_decontamination": decontamination.SQL}
+ORACLE_SQL = {"op2_url_filters": url_filters.SQL, "op7_warc": warc.SQL, "op10_decontamination": decontamination.SQL}

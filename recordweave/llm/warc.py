@@ -215,3 +215,14 @@ def export_files(bundles: DataFrame, folder: str) -> None:
 def op7_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     bundles = stage(write_bundles(with_references(table(spark, sf_dir, "pages"))), "warc-bundles")
     return read_bundles(bundles).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
+#: Digests are spelled from the 160 bits of SHA-1, five at a time.
+SQL = """
+WITH p AS (SELECT page_id, coalesce(html, '') AS h FROM pages), m AS (SELECT h, max(page_id) AS top, count(*) AS copies FROM p GROUP BY h),
+d AS (SELECT *, array_to_string(list_transform(string_split(sha1(h), ''), lambda x: ['0000', '0001', '0010', '0011', '0100', '0101', '0110', '0111', '1000', '1001', '1010', '1011', '1100', '1101', '1110', '1111'][strpos('0123456789abcdef', x)]), '') AS bits FROM m)
+SELECT page_id, CAST(strlen(d.h) AS BIGINT) AS payload_bytes,
+  array_to_string(list_transform(range(32), lambda i: substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', CAST(1 + 16 * CAST(bits[5 * i + 1] AS INT) + 8 * CAST(bits[5 * i + 2] AS INT) + 4 * CAST(bits[5 * i + 3] AS INT) + 2 * CAST(bits[5 * i + 4] AS INT) + CAST(bits[5 * i + 5] AS INT) AS INT), 1)), '') AS payload_digest,
+  CASE WHEN page_id = top THEN 'response' ELSE 'revisit' END AS record_type, CASE WHEN page_id <> top THEN top END AS refers_to
+FROM p JOIN d ON p.h = d.h
+"""
