@@ -24,8 +24,9 @@ from pyspark.sql.types import DoubleType, StructField, StructType
 
 from recordweave.llm.common import labelled_sample, remainder, stage, table, unused
 
-#: Most labelled rows that the classifier is fitted on.
-MAX_TRAIN = 8_000
+#: Most labelled rows that the log-count ratios are taken from, and most of these that the regression is fitted on.
+MAX_TRAIN = 20_000
+MAX_FIT = 4_000
 REGULARISATION = 1e-3
 FOLDS = 5
 THRESHOLD = 0.5
@@ -126,7 +127,7 @@ class Weights:
 
 
 def train(docs: DataFrame, labels: DataFrame, label: str = "toxic", most: int = MAX_TRAIN) -> Weights:
-    """Fit on at most `most` labelled documents outside the held-out fold."""
+    """Fit on at most `most` labelled documents outside the held-out fold, the regression on at most MAX_FIT of them."""
     sample = F.broadcast(labelled_sample(labels, label, FOLDS, most))
     rows = docs.select("doc_id", "text").join(sample, "doc_id").groupBy("doc_id", "label").agg(F.min("text").alias("text"))
     rows = stage(rows.repartition(8), "toxic-sample")
@@ -147,7 +148,8 @@ def train(docs: DataFrame, labels: DataFrame, label: str = "toxic", most: int =
                 yield pd.DataFrame({"label": part.label.astype(float), "features": xs})
 
     schema = StructType([StructField("label", DoubleType()), StructField("features", VectorUDT())])
-    data = stage(rows.mapInPandas(features, schema), "toxic-features")
+    fitted = rows.join(F.broadcast(labelled_sample(labels, label, FOLDS, min(most, MAX_FIT)).select("doc_id")), "doc_id", "left_semi")
+    data = fitted.mapInPandas(features, schema)
     model = LogisticRegression(maxIter=30, regParam=REGULARISATION, standardization=False).fit(data)
     return Weights(float(model.intercept), model.coefficients.toArray() * sent.value)
 
