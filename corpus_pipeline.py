@@ -14,13 +14,11 @@ from recordweave.llm.common import stage, table
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    model = toxicity.train(docs, table(spark, sf_dir, "labels"))
-    return toxicity.score(docs, model, "toxicity_").filter(f"toxicity_ < {toxicity.THRESHOLD}").select(docs.columns)
+    return toxicity.clean(docs, table(spark, sf_dir, "labels"))
 
 
 def drop_low_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    model = quality.train(docs, table(spark, sf_dir, "labels"))
-    return quality.score(docs, model, "quality_").filter(f"quality_ >= {quality.THRESHOLD}").select(docs.columns)
+    return quality.clean(docs, table(spark, sf_dir, "labels"))
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
