@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from recordweave.functions.text import all_groups, clean, first_group, is_valid
 
+#: Patterns of capacities.
 MW = r"(?i)([\d,]+\.?\d*)\s*MW"
 COMMISSIONED = r"(?i)([\d,]+\.?\d*)\s*MW[^()]{0,80}?\(?\s*Commissioned\s*\)?"
 COMMISSIONED_STRICT = r"(?i)([\d,]+\.?\d*)\s*MW(?:(?!MW)[^()]){0,80}?\(?\s*Commissioned\s*\)?"
@@ -14,6 +15,7 @@ TECHNOLOGY = r"(?i)(solar\+wind|solar|wind|bess|ess|hydro|hybrid|thermal|psp|pum
 #: Technology words and the category each counts for.
 CATEGORY = {"solar": "solar", "wind": "wind", "bess": "ess", "ess": "ess", "hydro": "hydro", "psp": "hydro", "pump storage": "hydro", "hybrid": "hybrid", "solar+wind": "hybrid", "thermal": "thermal"}
 CATEGORIES = ("solar", "wind", "ess", "hydro", "hybrid", "thermal")
+#: Forms of dates.
 DATE_FORMS = (r"\b\d{2}[./-]\d{2}[./-]\d{4}\b", r"\b\d{4}[./-]\d{2}[./-]\d{2}\b", r"\b\d{1,2}\s+[A-Za-z]{3,9}\s+\d{4}\b")
 MONTHS = ("january", "february", "march", "april", "may", "june", "july", "august", "september", "october", "november", "december")
 

@@ -18,13 +18,13 @@ STATES = (
 NULL_WORDS = ("null", "none", "na", "n/a", "-", "--")
 INVALID_WORDS = ("", "none", "null", "na", "n/a", "-", "--", "nan")
 BLANK_WORDS = ("", "nan", "none", "null")
+#: Patterns of identifiers, company endings and bay lists.
 ENHANCEMENT = r"(?i)\b(5\.?2|regulation\s*5\.?2|enhancement|revision)\b"
 STAGE_TWO = r"(?i)\b(stage\s*ii|st\s*ii|gna/st\s*ii)\b"
 COMPANY_SUFFIX = r"\s*(pvt\.?\s*ltd\.?|ltd\.?|llp|private\s+limited|limited)\s*$"
-BAY_LIST = r"([A-Z]?\d+[A-Z]?(?:\s*(?:,|/|&|and)\s*[A-Z]?\d+[A-Z]?)*)(?:\b|[^A-Za-z0-9])"
 BAY_PATTERNS = (
-    r"(?i)\bbay(?:s)?\s*(?:no\.?|nos\.?|number)?\s*[:\-]?\s*" + BAY_LIST,
-    r"(?i)\bbay(?:s)?\s*(?:allocated|provided|identified|proposed)\s*[:\-]?\s*" + BAY_LIST,
+    r"(?i)\bbay(?:s)?\s*(?:no\.?|nos\.?|number)?\s*[:\-]?\s*([A-Z]?\d+[A-Z]?(?:\s*(?:,|/|&|and)\s*[A-Z]?\d+[A-Z]?)*)(?:\b|[^A-Za-z0-9])",
+    r"(?i)\bbay(?:s)?\s*(?:allocated|provided|identified|proposed)\s*[:\-]?\s*([A-Z]?\d+[A-Z]?(?:\s*(?:,|/|&|and)\s*[A-Z]?\d+[A-Z]?)*)(?:\b|[^A-Za-z0-9])",
 )
 STANDARD_VOLTAGES = ("765", "400", "220", "132", "110", "66", "33")
 
@@ -154,6 +154,7 @@ def without_parentheses(c: Column) -> Column:
     return F.trim(F.regexp_replace(c, r"\(.*?\)", ""))
 
 
+#: Marks of pump storage.
 PUMP = r"(?i)\b(pump\s*storage|psp)\b"
 
 

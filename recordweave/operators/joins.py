@@ -162,11 +162,11 @@ def names_match(name: Column, entity: Column) -> Column:
     return whole | ((a != "") & (b != "") & (x != "") & (y != "") & (x.contains(y) | y.contains(x)))
 
 
-def name_join(left: DataFrame, entries: DataFrame, blocked: bool = True, k: int = 3) -> DataFrame:
+def name_join(left: DataFrame, entries: DataFrame, blocked: bool = True, k: int = 5) -> DataFrame:
     """left rows (row_id, developer, voltage_key) with the entries of the same voltage whose name fits one of theirs.
 
-    Blocked, a pair must share the first k characters of the shorter name within the longer one: both directions of
-    containment are equi-joins on a gram.
+    Blocked, the shorter name of a pair meets the longer one on its rarest run of k characters, or as a whole if it is
+    shorter: both directions of containment are equi-joins, and a beginning that many names share is no key.
     """
     ents = entries.withColumn("entity", F.explode(F.filter(F.transform(F.split("entity_name", ";"), lambda x: F.trim(x)), lambda x: x != "")))
     if not blocked:
@@ -175,14 +175,17 @@ def name_join(left: DataFrame, entries: DataFrame, blocked: bool = True, k: int
     key = lambda c: F.array_distinct(F.filter(F.array(T.name_key(c), T.name_key(T.without_parentheses(c))), lambda x: x != ""))
     names = left.select("voltage_key", "developer").distinct().withColumn("n", F.explode(key(F.col("developer"))))
     whole = ents.select("voltage_key", "entity").distinct().withColumn("e", F.explode(key(F.col("entity"))))
-    head = lambda c: F.substring(c, 1, k)
     sides = []
     for needle, hay, n, h in ((names, whole, "n", "e"), (whole, names, "e", "n")):
-        a = needle.withColumn("g", head(F.col(n)))
-        b = hay.withColumn("g", F.explode(F.when(F.length(h) >= k, grams(F.col(h), k)).otherwise(F.array(F.col(h)))))
         short = F.length(n) < k
-        long_ = a.filter(~short).join(b, ["voltage_key", "g"]).filter(F.col(h).contains(F.col(n)))
-        few = a.filter(short).drop("g").join(b.drop("g").distinct(), "voltage_key").filter(F.col(h).contains(F.col(n)))
+        lengths = needle.filter(short).select(F.length(n).alias("l_")).distinct()
+        runs = hay.filter(F.length(h) >= k).withColumn("g", F.explode(grams(F.col(h), k)))
+        often = runs.groupBy("voltage_key", "g").agg(F.count("*").alias("often_"))
+        asked = needle.filter(~short).select("voltage_key", n, F.explode(grams(F.col(n), k)).alias("g")).distinct()
+        rarest = asked.join(often, ["voltage_key", "g"]).groupBy("voltage_key", n).agg(F.min_by("g", F.struct("often_", "g")).alias("g"))
+        long_ = needle.join(rarest, ["voltage_key", n]).join(runs, ["voltage_key", "g"]).filter(F.col(h).contains(F.col(n)))
+        parts = hay.join(F.broadcast(lengths), F.length(h) >= F.col("l_")).withColumn("g", F.explode(F.array_distinct(F.transform(F.sequence(F.lit(1), F.length(h) - F.col("l_") + 1), lambda i: F.substring(h, i, F.col("l_"))))))
+        few = needle.filter(short).withColumn("g", F.col(n)).join(parts, ["voltage_key", "g"])
         sides += [x.select("voltage_key", "developer", "entity") for x in (long_, few)]
     pairs = reduce(DataFrame.unionByName, sides).distinct().filter(names_match(F.col("developer"), F.col("entity")))
     return left.join(pairs, ["voltage_key", "developer"]).join(ents, ["voltage_key", "entity"]).drop("entity").distinct()
@@ -216,6 +219,18 @@ def dimension(left: DataFrame, mapping: dict[str, str], column: str, keep_unknow
     return out if keep_unknown else out.filter(F.col(column).isNotNull())
 
 
+def find_column(df: DataFrame, *candidates: str) -> str | None:
+    """The first candidate that df has, whatever its case, as df spells it."""
+    held = {c.lower(): c for c in reversed(df.columns)}
+    return next((held[c.lower()] for c in candidates if c.lower() in held), None)
+
+
+def first_value(df: DataFrame, *candidates: str) -> Column:
+    """Per row the first non-empty value of the candidates that df has, whatever their case; else ''."""
+    found = [x for x in (find_column(df, c) for c in candidates) if x]
+    return F.coalesce(*[F.nullif(F.trim(F.col(x)), F.lit("")) for x in found], F.lit(""))
+
+
 def any_of(conditions: list[Column]) -> Column:
     return reduce(operator.or_, conditions)
 

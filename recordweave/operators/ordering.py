@@ -18,6 +18,11 @@ def top_per(df: DataFrame, key: list, order: list, n: int) -> DataFrame:
     return df.withColumn("rank_", F.row_number().over(Window.partitionBy(*key).orderBy(*order))).filter(F.col("rank_") <= n).drop("rank_")
 
 
+def first_in_all(df: DataFrame, order: list, n: int) -> DataFrame:
+    """The first n rows of all, each task handing on n at most; a negative n keeps all."""
+    return df if n < 0 else df.orderBy(*order).limit(n)
+
+
 def first_or_unkeyed(df: DataFrame, key: Column, order: list, empty: Column) -> DataFrame:
     """First row of each key; rows whose key is empty are all kept, and never meet in one window."""
     keyed = df.withColumn("key_", key)

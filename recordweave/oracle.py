@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
+from recordweave.functions import names as N
 from recordweave.functions import text as T
 from recordweave.sources import adapters as A
 
 
-def _dialect(sql: str) -> str:
+def dialect(sql: str) -> str:
     return sql.replace("as string)", "as varchar)").replace("'dd.MM.yyyy'", "'%d.%m.%Y'").replace("'dd-MM-yyyy'", "'%d-%m-%Y'").replace("'yyyy/MM/dd'", "'%Y/%m/%d'").replace("date_format(", "strftime(").replace("{", "").replace("}", "")
 
 
@@ -22,7 +23,7 @@ from lineitem group by l_orderkey
 
 def views(*names: str) -> str:
     """A WITH clause of the named views; more definitions may follow after a comma."""
-    text = {n: (COORDINATION if n == "coordination" else _dialect(sql)) for n, (sql, _) in A.VIEWS.items()}
+    text = {n: (COORDINATION if n == "coordination" else dialect(sql)) for n, (sql, _) in A.VIEWS.items()}
     return "WITH " + ", ".join(f"{n} AS ({text[n]})" for n in names) if all(n in text for n in names) else ""
 
 
@@ -114,3 +115,106 @@ def mw_total(c: str, commissioned: bool = False) -> str:
 
 def is_effective(c: str) -> str:
     return f"(contains(lower({c}), 'effective') AND NOT regexp_matches(lower({c}), '\\bnot\\s+effective\\b|\\bnon[\\s-]?effective\\b'))"
+
+
+# --- names made of titles: the rules in SQL ---------------------------------------------------------------------------
+def spaced(c: str) -> str:
+    return f"trim(regexp_replace(replace({c}, '_', ' '), '\\s+', ' ', 'g'))"
+
+
+def stem(c: str) -> str:
+    return f"regexp_replace({dialect(c)}, '\\.[^.]*$', '')"
+
+
+def extension(c: str) -> str:
+    return f"lower(coalesce(nullif(regexp_extract({dialect(c)}, '(\\.[^.]*)$', 1), ''), '.pdf'))"
+
+
+def unnumbered(c: str) -> str:
+    return spaced(f"trim(regexp_replace(regexp_replace({c}, '^\\d{{6,}}', ''), '^[_\\- ]+', ''))")
+
+
+def ordinal(n: str) -> str:
+    return f"({n} || CASE WHEN ({n}) % 100 BETWEEN 10 AND 20 THEN 'th' WHEN ({n}) % 10 = 1 THEN 'st' WHEN ({n}) % 10 = 2 THEN 'nd' WHEN ({n}) % 10 = 3 THEN 'rd' ELSE 'th' END)"
+
+
+def group(c: str, pattern: str, k: int = 1) -> str:
+    return f"nullif(regexp_extract({c}, '{pattern}', {k}), '')"
+
+
+def nct_name(c: str) -> str:
+    s, number = spaced(stem(c)), f"CAST({group(spaced(stem(c)), chr(92) + 'b(' + chr(92) + 'd{1,3})' + chr(92) + 'b')} AS INT)"
+    shown = f"lower({group(s, '(?i)' + chr(92) + 'b(' + chr(92) + 'd{1,3}(?:st|nd|rd|th))' + chr(92) + 'b')})"
+    return f"coalesce(coalesce({shown}, {ordinal(number)}) || '_NCT_MoM' || {extension(c)}, coalesce(nullif({s}, ''), 'file') || {extension(c)})"
+
+
+def meeting_label(c: str) -> str:
+    s = spaced(f"regexp_replace(regexp_replace({dialect(c)}, '\\d{{10,}}', '', 'g'), '^\\d+[_\\-\\s]*', '')")
+    p = "(?i)(\\d{1,3})(st|nd|rd|th)?\\s*CMETS[-\\s]*([A-Z]{2,3})"
+    special = f"CASE WHEN regexp_matches(lower({s}), 'additional\\s*agenda[-\\s]*\\d*') THEN 'Additional Agenda_' WHEN contains(lower({s}), 'revised agenda') THEN 'Revised Agenda_' WHEN contains(lower({s}), 'corrigendum') THEN 'Minutes Corrigendum_' WHEN contains(lower({s}), 'addendum') THEN 'Addendum of Minutes_' WHEN regexp_matches(lower({s}), 'annex|exhibit') THEN 'Annex_' ELSE '' END"
+    return f"({special}) || coalesce({group(s, p)} || coalesce({group(s, p, 2)}, 'th') || ' CMETS-' || upper({group(s, p, 3)}), {group(s, '(?i)(' + chr(92) + 'd{1,3})' + chr(92) + 's*CMETS')} || 'th CMETS', {s})"
+
+
+def coordination_label(c: str, notice: str) -> str:
+    s = f"regexp_replace({spaced('trim(regexp_replace(' + dialect(c) + ', ' + chr(39) + '^' + chr(92) + 'd+[_' + chr(92) + '-' + chr(92) + 's]*' + chr(39) + ', ' + chr(39) + chr(39) + '))')}, '\\s*\\(\\d+\\)\\s*$', '')"
+
+    def without(x: str, *openings: str) -> str:
+        for o in openings:
+            x = f"trim(regexp_replace({x}, '(?i)^{o}\\s*', ''))"
+        return x
+
+    told = without(s, "meeting\\s+notice\\s*&\\s*agenda\\s*(for)?", "meeting\\s+notice\\s*(for)?", "notice\\s*(for)?", "agenda\\s*(for)?")
+    s = f"(CASE WHEN {notice} THEN {told} ELSE {without(s, 'minutes' + chr(92) + 's*(of)?', 'mom' + chr(92) + 's*(of)?')} END)"
+    has = lambda p: f"regexp_matches({s}, '(?i){p}')"
+    word = lambda k: has(chr(92) + "b" + k + chr(92) + "b")
+    kind = f"CASE WHEN {word('jcc')} THEN 'JCC' WHEN {word('jccm')} THEN 'JCCM' WHEN {word('jcm')} THEN 'JCM' END"
+    region = "CASE " + " ".join(f"WHEN {word(k)} THEN '{k}'" for k in ("NER", "NR", "ER", "WR", "SR")) + f" WHEN {has('north[ -]eastern')} THEN 'NER' WHEN {has('northern')} THEN 'NR' WHEN {has('western')} THEN 'WR' WHEN {has('southern')} THEN 'SR' WHEN {has('eastern')} THEN 'ER' END"
+    number = f"lower({group(s, '(?i)' + chr(92) + 'b(' + chr(92) + 'd{1,3}(?:st|nd|rd|th))' + chr(92) + 'b')})"
+    codes = "(?i)\\b(NER|NR|ER|WR|SR)(?:\\s*[-/]\\s*(NER|NR|ER|WR|SR))+\\b"
+    return (
+        f"coalesce({number} || ' ' || ({kind}) || '-' || ({region}), CASE WHEN {word('special')} THEN coalesce('Special ' || coalesce({kind}, 'JCC') || ' ' || upper({group(s, codes)}) || '-' || upper({group(s, codes, 2)}),"
+        f" 'Special ' || ({kind}) || '-' || ({region})) END, {s})"
+    )
+
+
+def calendar_name(c: str) -> str:
+    junk = "(?i)\\b(annexure[-\\s]*a|draft|approved|final|dated|as on dated|as on)\\b"
+    s = f"trim(regexp_replace(regexp_replace(regexp_replace(replace({stem(c)}, '_', ' '), '^\\d+\\s*', ''), '{junk}', '', 'g'), '\\s+', ' ', 'g'))"
+    d = f"replace({group(s, '(' + chr(92) + 'd{2}[-.]' + chr(92) + 'd{2}[-.]' + chr(92) + 'd{2,4})')}, '.', '-')"
+    return f"'Bidding Calendar' || coalesce(' ' || CASE WHEN length({d}) = 8 THEN left({d}, 6) || '20' || right({d}, 2) ELSE {d} END, '') || {extension(c)}"
+
+
+def bulk_name(c: str) -> str:
+    s = unnumbered(stem(c))
+    year, month = group(s, "(20\\d{2})[\\s_]?(\\d{2})"), group(s, "(20\\d{2})[\\s_]?(\\d{2})", 2)
+    run = lambda k: group(s, "(\\d{2})(\\d{2})(20\\d{2})", k)
+    last = f"CASE WHEN CAST({month} AS INT) IN (1, 3, 5, 7, 8, 10, 12) THEN '31' WHEN CAST({month} AS INT) IN (4, 6, 9, 11) THEN '30' ELSE '28' END"
+    return f"'Bulk Consumer' || coalesce(' ' || coalesce({group(s, '(' + chr(92) + 'd{2}-' + chr(92) + 'd{2}-' + chr(92) + 'd{4})')}, ({last}) || '-' || {month} || '-' || {year}, {run(1)} || '-' || {run(2)} || '-' || {run(3)}), '') || {extension(c)}"
+
+
+def revocation_name(c: str) -> str:
+    s = unnumbered(stem(c))
+    date = f"coalesce({group(f'lower({s})', 'upto' + chr(92) + 's+([a-z]+[' + chr(39) * 2 + chr(92) + '-' + chr(92) + 'd]*)')}, {group(f'lower({s})', 'published' + chr(92) + 's+in' + chr(92) + 's+([a-z]+' + chr(92) + 'd{2,4})')})"
+    upto = f"coalesce(' upto ' || replace(replace({date}, {chr(39) * 4}, {chr(39) * 2}), '-', {chr(39) * 2}), '')"
+    return f"(CASE WHEN contains(lower({s}), 'excluded') THEN 'Excluded from' || {upto} WHEN regexp_matches(lower({s}), 'revocation|upto') THEN 'Revocation' || {upto} ELSE coalesce(nullif({s}, ''), 'file') END) || {extension(c)}"
+
+
+def margin_name(c: str) -> str:
+    s = unnumbered(stem(c))
+    squeezed = lambda x: f"trim(regexp_replace({x}, '\\s+', ' ', 'g'))"
+    plain = lambda x: squeezed(f"regexp_replace(regexp_replace({x}, '(?i)\\b(approved|final|rev[-\\d]*)\\b', '', 'g'), '[-_]', ' ', 'g')")
+    bays = squeezed(f"regexp_replace({s}, '(?i)\\b(approved|final|r\\d+)\\b', '', 'g')")
+    has = lambda x: f"contains(lower({s}), '{x}')"
+    cut = f"regexp_replace({s}, '(?i)^re\\s+', '')"
+    return f"(CASE WHEN {has('allocation of bays')} THEN {bays} WHEN {has('non re ss margin')} THEN {plain(s)} WHEN {has('re ss margin')} THEN {plain(cut)} ELSE coalesce(nullif({s}, ''), 'file') END) || {extension(c)}"
+
+
+def report_category(title: str) -> str:
+    t = f"({dialect(title)} || ' ' || page_id || '.pdf')"
+    has = lambda p: f"regexp_matches({t}, '{p}')"
+    dated = f"regexp_matches(lower({t}), 'commissioned_(during|in)')"
+    return f"CASE WHEN {has(N.RTM)} THEN 'rtm_uc' WHEN {has(N.TBCB)} AND {has(N.COMPLETED)} THEN 'tbcb_completed' WHEN {has(N.TBCB)} AND {has(N.UNDER_CONSTRUCTION)} THEN 'tbcb_uc' WHEN {has(N.UNDER_CONSTRUCTION)} AND NOT {dated} THEN 'tbcb_uc' WHEN {has(N.COMPLETED)} AND NOT {dated} THEN 'tbcb_completed' END"
+
+
+def keyword_in(c: str) -> str:
+    return "CASE " + " ".join(f"WHEN regexp_matches({dialect(c)}, '(?i)(^|[^A-Za-z]){w}([^A-Za-z]|$)') THEN '{w}'" for w in N.KEYWORDS) + " END"

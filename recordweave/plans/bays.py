@@ -11,7 +11,10 @@ from recordweave.operators import joins as J
 from recordweave.operators import ordering as R
 
 c = F.col
-CELLS = ["sl_no", "name_of_substation", "substation_coordinates", "bay_no_220kv", "name_of_entity_220kv", "bay_no_400kv", "name_of_entity_400kv"]
+#: Cells of a substation that later rows of its group inherit, and those of each voltage.
+HEADER = ["sl_no", "name_of_substation", "substation_coordinates", "region", "capacity_planned_mva", "capacity_existing_mva", "capacity_under_implementation_mva"]
+VOLTAGE_CELLS = ["bay_no", "quantum", "name_of_entity", "margin_bay_no", "margin"]
+CELLS = HEADER + [f"{x}_{v}kv" for v in ("220", "400") for x in VOLTAGE_CELLS]
 PAGE, ORDER = ["source_pdf", "page_number"], ["row_idx"]
 TARGET_HEADERS = ("sl", "substation", "coordinates", "bay", "entity", "margin")
 
@@ -55,8 +58,9 @@ def is_target_table(header: Column, least: int = 3) -> Column:
 
 
 def has_data() -> Column:
-    bay = [F.when(is_section_text(c(x)), F.lit("")).otherwise(c(x)) for x in ("bay_no_220kv", "bay_no_400kv")]
-    return J.any_of([F.coalesce(F.trim(x) != "", F.lit(False)) for x in [*bay, c("name_of_entity_220kv"), c("name_of_entity_400kv")]])
+    """Whether any of the ten cells of both voltages is filled; a section's name in a bay cell is no bay."""
+    shown = lambda x: F.when(is_section_text(c(x)), F.lit("")).otherwise(c(x)) if x.startswith("bay_no") else c(x)
+    return J.any_of([F.coalesce(F.trim(shown(x)) != "", F.lit(False)) for x in CELLS[len(HEADER) :]])
 
 
 def starts_group() -> Column:
@@ -67,15 +71,28 @@ def parse(rows: DataFrame) -> DataFrame:
     """Rows with section, substation group (0: before any start) and the header values their group has shown so far."""
     grouped = rows.withColumns({"section": R.carry_last(F.when(is_section_text(c("bay_no_220kv")), c("bay_no_220kv")), PAGE, ORDER), "group_no": R.group_number(starts_group(), PAGE, ORDER)})
     by = [*PAGE, "group_no"]
-    fill = {f"{x}_filled": R.carry_first(T.none_if_empty(c(x)), by, ORDER) for x in ("sl_no", "name_of_substation", "substation_coordinates")}
+    fill = {f"{x}_filled": R.carry_first(T.none_if_empty(c(x)), by, ORDER) for x in HEADER}
     return grouped.withColumns(fill)
 
 
+def records(parsed: DataFrame) -> DataFrame:
+    """Data rows with all cells, page, place and section; empty header cells are filled from the row's substation."""
+    filled_ = [F.coalesce(T.none_if_empty(c(x)), c(f"{x}_filled"), F.lit("")).alias(x) for x in HEADER]
+    return parsed.filter(has_data()).select(*PAGE, "row_idx", "section", *filled_, *CELLS[len(HEADER) :])
+
+
 def entries(parsed: DataFrame) -> DataFrame:
-    """One row for each voltage of a data row: bay, entity and the inherited substation."""
-    sides = [F.struct(F.lit(f"{v}kv").alias("voltage_key"), F.when(is_section_text(c(f"bay_no_{v}kv")), F.lit("")).otherwise(c(f"bay_no_{v}kv")).alias("bay_no"), c(f"name_of_entity_{v}kv").alias("entity_name")) for v in ("220", "400")]
-    out = parsed.filter(has_data()).withColumn("e", F.explode(F.array(*sides))).select(*PAGE, "row_idx", "group_no", "section", c("name_of_substation_filled").alias("name_of_substation"), c("substation_coordinates_filled").alias("substation_coordinates"), "e.*")
-    return out.filter((c("bay_no") != "") | (c("entity_name") != ""))
+    """One row for each bay of a data row: voltage, quantum, entity, margins and the inherited substation, with its search fields."""
+
+    def side(v: str) -> Column:
+        of = lambda x: c(f"{x}_{v}kv")
+        bay = F.when(is_section_text(of("bay_no")), F.lit("")).otherwise(of("bay_no"))
+        return F.struct(F.lit(f"{v}kv").alias("voltage_key"), F.lit(f"{v} kV").alias("voltage"), bay.alias("bay_no"), of("quantum").alias("connectivity_quantum_mw"), of("name_of_entity").alias("entity_name"), of("margin_bay_no").alias("margin_bay_no"), of("margin").alias("margin_available_mw"))
+
+    held = [c(f"{x}_filled").alias(x) for x in ("name_of_substation", "substation_coordinates", "region", "sl_no")]
+    out = parsed.filter(has_data()).withColumn("e", F.explode(F.array(side("220"), side("400")))).select(*PAGE, "row_idx", "group_no", "section", *held, "e.*").filter("bay_no <> ''")
+    search = F.struct(c("entity_name").alias("entity"), c("name_of_substation").alias("substation"), c("substation_coordinates").alias("coordinates"), "voltage", "connectivity_quantum_mw", "bay_no")
+    return out.withColumns({"entities": entities(c("entity_name")), "search_fields": search})
 
 
 def lookup(found: DataFrame) -> DataFrame:

@@ -35,12 +35,13 @@ HEADERS = {
 }
 #: Places and companies whose names mark a cell.
 PLACES = (
-    "Aligarh Amargarh Barmer Bhadla Bikaner Fatehgarh Kishtwar Merta Pali Ramgarh Sanchore Ajmer Jodhpur Jaipur Bhilwara Kota Udaipur Sikar Tonk Chittorgarh Nagaur Jhunjhunu "
-    "Alwar Bhiwani Hisar Mahendragarh Narnaul Rewari Moga Bathinda Ludhiana Amritsar Jalandhar Anta Gwalior Indore Ujjain Bhopal Rewa Raipur Bareilly Agra Kanpur Lucknow "
-    "Gorakhpur Dharamshala Nalagarh Parwanoo Shimla Jammu Srinagar Leh Kargil Ranchi Dhanbad Bokaro Deoghar Patna Muzaffarpur Bhagalpur Kolkata Durgapur Kharagpur Hyderabad "
-    "Warangal Vijayawada Kurnool Raichur Chennai Madurai Salem Tirunelveli Bengaluru Mysuru Hubballi Bellary Ahmedabad Gandhinagar Surat Vadodara Pune Mumbai Nagpur Nashik "
-    "Aurangabad Bhubaneswar Rourkela Cuttack"
-).split()
+    "Aligarh", "Amargarh", "Barmer", "Bhadla", "Bikaner", "Fatehgarh", "Kishtwar", "Merta", "Pali", "Ramgarh", "Sanchore", "Ajmer", "Jodhpur", "Jaipur", "Bhilwara", "Kota", "Udaipur",
+    "Sikar", "Tonk", "Chittorgarh", "Nagaur", "Jhunjhunu", "Alwar", "Bhiwani", "Hisar", "Mahendragarh", "Narnaul", "Rewari", "Moga", "Bathinda", "Ludhiana", "Amritsar", "Jalandhar", "Anta",
+    "Gwalior", "Indore", "Ujjain", "Bhopal", "Rewa", "Raipur", "Bareilly", "Agra", "Kanpur", "Lucknow", "Gorakhpur", "Dharamshala", "Nalagarh", "Parwanoo", "Shimla", "Jammu", "Srinagar",
+    "Leh", "Kargil", "Ranchi", "Dhanbad", "Bokaro", "Deoghar", "Patna", "Muzaffarpur", "Bhagalpur", "Kolkata", "Durgapur", "Kharagpur", "Hyderabad", "Warangal", "Vijayawada", "Kurnool",
+    "Raichur", "Chennai", "Madurai", "Salem", "Tirunelveli", "Bengaluru", "Mysuru", "Hubballi", "Bellary", "Ahmedabad", "Gandhinagar", "Surat", "Vadodara", "Pune", "Mumbai", "Nagpur",
+    "Nashik", "Aurangabad", "Bhubaneswar", "Rourkela", "Cuttack",
+)
 COMPANIES = (
     "ACME", "Adani", "Tata", "NTPC", "NHPC", "SJVN", "Greenko", "ReNew", "Azure", r"Hero\s+Future", "JSW", "Torrent", "Sembcorp", "Sprng", "Ayana", r"SB\s+Energy", "Avaada", "CleanMax",
     r"Fourth\s+Partner", "Engie", r"O2\s+Power", r"Amp\s+Energy", r"Vikram\s+Solar", r"Sterling\s+Wilson", "Waaree", "Suzlon", "Inox", "THDC", "CESC", "BSES", r"AM\s+Green", r"Altra\s+Xergi",
@@ -48,8 +49,8 @@ COMPANIES = (
 #: A run of words before `(PG)` is bounded, which leaves the number of matches as it is and the matcher's stack shallow.
 #: Texts of cells that mark a column; two occurrences make it active.
 VALUES = {
-    "developer": (r"\b(?:Private\s+Limited|Pvt\.?\s*Ltd|Limited|LLP|Corporation)\b", r"\b(?:" + "|".join(COMPANIES) + r")\b"),
     "substation": (r"\b(?:" + "|".join(PLACES) + r")(?:\s*[-‐–]\s*(?:I{1,4}V?|V?I{0,3}|[0-9]+))?\b", r"\b[A-Z][a-z]+(?:\s+[A-Z][a-z]+){0,8}\s*\((?:PG|PGCIL|PS)\)",),
+    "developer": (r"\b(?:Private\s+Limited|Pvt\.?\s*Ltd|Limited|LLP|Corporation)\b", r"\b(?:" + "|".join(COMPANIES) + r")\b"),
     "project_type": (r"\bSolar\s*\+?\s*BESS\b", r"\bHybrid\s*\+?\s*BESS\b", r"\bHydro\s*\+?\s*BESS\b", r"\b(?:Solar|Wind|Hybrid|BESS|Hydro|Thermal)\b"),
     "gna_id": (r"\b(?:12|22|11)\d{8}\b", r"\bST[\s-]*II\b"),
     "lta_id": (r"\b(?:04|41)\d{7,8}\b", r"\bLTA\s*:"),

@@ -53,9 +53,22 @@ def registry(as_of: Column) -> dict[str, Column]:
         "voltage_level": T.voltage_text(c("voltage_raw")),
         "gna_operational_date": op,
         "gna_operational_flag": V.in_future(V.parse_date(op), as_of),
+        "substation": T.clean(c("substation_raw")),
+        "applied_quantum_mw": T.clean(c("quantum_raw")),
+        "granted_quantum_mw": T.clean(c("granted_raw")),
+        "submission_date": V.date_text(c("submitted_raw")),
+        "start_date": V.date_text(c("start_raw")),
+        "added_date": V.date_text(c("added_raw")),
+        **dict(zip(("psp_mwh", "psp_injection_mw", "psp_drawl_mw"), stored(T.pump_storage, ["psp_mwh_raw", "psp_injection_raw", "psp_drawl_raw"], c("mode_raw")))),
+        **dict(zip(("battery_mwh", "battery_injection_mw", "battery_drawl_mw"), stored(T.battery, ["battery_mwh_raw", "battery_injection_raw", "battery_drawl_raw"], c("mode_raw"), c("type_raw")))),
     }
 
 
+def stored(rule, raw: list[str], *context: Column) -> list[Column]:
+    """The values that a rule finds in the raw columns and their context, else the raw values."""
+    return [T.clean(F.coalesce(T.none_if_empty(found), c(x))) for found, x in zip(rule(*[c(x) for x in raw], *context), raw)]
+
+
 def normalise(rows: DataFrame, as_of: Column) -> DataFrame:
     """Valid rows with the registry's columns; rows whose identifiers vanish when normalised go."""
     ok = rows.filter(valid_row(c("gna_raw"), c("lta_raw"), c("enh_raw"), c("nature_raw")))
@@ -84,10 +97,13 @@ def overwrite(base: Column, new: Column) -> Column:
 
 
 def merge_effectiveness(m: DataFrame) -> DataFrame:
-    parts = [F.coalesce(c(x), F.lit(0.0)) for x in ("solar_mw", "wind_mw", "ess_mw")]
-    total = parts[0] + parts[1] + parts[2]
+    """Valid values of the record overwrite the application's; region, project type and MW columns are the record's."""
+    total = sum((F.coalesce(c(x), F.lit(0.0)) for x in ("solar_mw", "wind_mw", "ess_mw", "hydro_mw")), F.lit(0.0))
     hybrid = T.categories(c("type_of_project"))["hybrid"] & (total > 0)
-    return m.withColumns({"developer": overwrite(c("developer_raw"), c("name_of_applicant")), "hybrid_mw": F.when(hybrid, total)})
+    return m.withColumns({
+        "developer": overwrite(c("developer_raw"), c("name_of_applicant")), "merged_substation": overwrite(c("substation_raw"), c("substation")), "merged_state": overwrite(T.state(c("location_raw")), c("state")),
+        "quantum": overwrite(c("quantum_raw"), c("installed_capacity_raw")), "merged_region": F.when(T.is_valid(c("region")), c("region")), "merged_type": F.when(T.is_valid(c("type_of_project")), c("type_of_project")), "hybrid_mw": F.when(hybrid, total),
+    })
 
 
 def operational_date(m: DataFrame, as_of: Column) -> DataFrame:
@@ -105,20 +121,33 @@ def breakup_capacity(m: DataFrame) -> DataFrame:
     """MW by technology: the record's plus those in the type text; hybrid sums all where several technologies meet."""
     zero = lambda x: F.coalesce(x, F.lit(0.0))
     tech, cats = V.technology_mw(c("type_raw")), T.categories(c("type_of_project"))
-    eff = {"solar": c("solar_mw"), "wind": c("wind_mw"), "ess": c("ess_mw")}
+    eff = {"solar": c("solar_mw"), "wind": c("wind_mw"), "ess": c("ess_mw"), "hydro": c("hydro_mw")}
     eff_all = sum((F.greatest(zero(v), F.lit(0.0)) for v in eff.values()), F.lit(0.0))
     text_all = sum((zero(v) for v in tech.values()), F.lit(0.0))
     several = sum((v.cast("int") for v in cats.values()), F.lit(0)) > 1
     hybrid = F.when(cats["hybrid"] | several, eff_all + text_all).when(tech["hybrid"].isNotNull(), eff_all + tech["hybrid"]).otherwise(0.0)
     some = lambda x: F.when(x > 0, x)
     on = c("match_source").isNotNull()
-    return m.withColumns({"solar": F.when(on, some(zero(eff["solar"]) + zero(tech["solar"]))), "wind": F.when(on, some(zero(eff["wind"]) + zero(tech["wind"]))), "hydro": F.when(on, some(zero(tech["hydro"]))), "hybrid": F.when(on, some(hybrid))})
+    return m.withColumns({"solar": F.when(on, some(zero(eff["solar"]) + zero(tech["solar"]))), "wind": F.when(on, some(zero(eff["wind"]) + zero(tech["wind"]))), "hydro": F.when(on, some(zero(eff["hydro"]) + zero(tech["hydro"]))), "hybrid": F.when(on, some(hybrid))})
 
 
 def match_statistics(m: DataFrame) -> DataFrame:
     return m.groupBy(F.coalesce("match_source", F.lit("unmatched")).alias("match_source")).agg(F.count("*").alias("n_rows"))
 
 
+def job_statistics(m: DataFrame) -> DataFrame:
+    """One row of the mapping job's counters: rows by match, dates updated, kept or missing, capacities computed or skipped."""
+    base, theirs = V.parse_date(c("op_date_raw")), V.parse_date(c("expected_date_raw"))
+    matched = c("match_source").isNotNull()
+    some = J.any_of([c(x).isNotNull() for x in ("solar", "wind", "hydro", "hybrid")])
+    n = lambda x, name: F.count_if(F.coalesce(x, F.lit(False))).alias(name)
+    return m.agg(
+        *[n(c("match_source") == k, f"matched_{k.lower().replace('.', '')}") for k in ("GNA", "LTA", "5.2")], n(~matched, "unmatched"), F.count("*").alias("total_rows"),
+        n(matched & (theirs > F.coalesce(base, F.lit("0001-01-01").cast("date"))), "dates_updated"), n(matched & base.isNotNull() & (theirs.isNull() | (theirs <= base)), "dates_kept"), n(matched & base.isNull() & theirs.isNull(), "no_date"),
+        n(matched & some, "computed"), n(~matched, "skipped"),
+    )
+
+
 def mapping(apps: DataFrame, rows: DataFrame, as_of: Column) -> DataFrame:
     return breakup_capacity(additional_date(operational_date(merge_effectiveness(match_effectiveness(apps, rows)), as_of)))
 
@@ -148,6 +177,7 @@ def coordination_layer(records: DataFrame, rows: DataFrame) -> DataFrame:
 
 
 # --- pages ----------------------------------------------------------------------------------------------------------
+#: Words that are counted to tell the class of a meeting.
 GNA_WORDS = (r"\bGNA\b", r"\bST[\s-]*II\b", r"\bStage[\s-]*II\b", r"\bGNA/ST\s*II\b")
 LTA_WORDS = (r"\bLTA\b", r"\bLong\s+Term\s+Access\b")
 
@@ -182,6 +212,7 @@ def with_meetings(rows: DataFrame, found: DataFrame) -> DataFrame:
     return rows.join(J.checked_broadcast(found), "source_pdf", "left")
 
 
+#: Words near which a voltage counts, and voltages.
 CONTEXT = re.compile(r"voltage|connectivity|sub[\s-]?station|bus|level", re.I)
 VOLTAGE = re.compile(r"\b(\d{2,3})\s*kV\b", re.I)
 
@@ -238,7 +269,7 @@ def document_chunks(pages: DataFrame, most: int = 10_000) -> DataFrame:
 
 # --- stored answers -------------------------------------------------------------------------------------------------
 ANSWER_ROW = "gna_id string, type string, quantum string"
-#: Producer's key -> column.
+#: The producer's keys and their columns.
 KEYS = {"gna_id": "gna_raw", "type": "type_raw", "quantum": "applied_quantum_mw"}
 
 

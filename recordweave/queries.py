@@ -170,10 +170,17 @@ def c20(spark, sf):
     return A.view(spark, sf, "page_text").select("page_number", jobs.page_voltage(c("text")).alias("voltage"))
 
 
-@query("w12_chunks", O.views("page_text") + " SELECT source_pdf, CAST(sum(length(text)) AS BIGINT) AS chars FROM page_text GROUP BY source_pdf")
+_CHUNKS = O.views("page_text").replace("WITH ", "WITH RECURSIVE ", 1) + """, p AS MATERIALIZED (SELECT source_pdf, page_number, length(text) AS n, row_number() OVER (PARTITION BY source_pdf ORDER BY page_number, text) AS k FROM page_text),
+w AS (SELECT source_pdf, k, page_number AS first_page, n AS size, 0 AS chunk_no FROM p WHERE k = 1
+  UNION ALL SELECT p.source_pdf, p.k, CASE WHEN w.size = 0 OR w.size + p.n > 10000 THEN p.page_number ELSE w.first_page END, CASE WHEN w.size > 0 AND w.size + p.n > 10000 THEN p.n ELSE w.size + p.n END,
+    CASE WHEN w.size > 0 AND w.size + p.n > 10000 THEN w.chunk_no + 1 ELSE w.chunk_no END FROM w JOIN p ON p.source_pdf = w.source_pdf AND p.k = w.k + 1)
+SELECT source_pdf, chunk_no, arg_max(first_page, k) AS first_page, CAST(arg_max(size, k) AS INT) AS chars FROM w GROUP BY source_pdf, chunk_no HAVING arg_max(size, k) > 0"""
+
+
+@query("w12_chunks", _CHUNKS)
 def w12(spark, sf):
     chunks = jobs.document_chunks(A.view(spark, sf, "page_text"), 10_000)
-    return chunks.groupBy("source_pdf").agg(F.sum(F.length("chunk")).alias("chars"))
+    return chunks.select("source_pdf", "chunk_no", "first_page", F.length("chunk").alias("chars"))
 
 
 # --- linking ---------------------------------------------------------------------------------------------------------
@@ -222,12 +229,18 @@ def d1(spark, sf):
     return R.first_per(rows.withColumn("key", key), ["source_pdf", "page_number", "key"], ["row_id"]).select("source_pdf", "page_number", "row_id")
 
 
+_STORED = ("psp_mwh", "psp_injection_mw", "psp_drawl_mw", "battery_mwh", "battery_injection_mw", "battery_drawl_mw")
+
+
 @query("e1_normalise_applications", O.views("applications") + f""" SELECT row_id, {O.developer('developer_raw')} AS developer, {O.numeric_ids('gna_raw')} AS gna_id, {O.numeric_ids_strip('lta_raw')} AS lta_id,
   CASE WHEN enh_raw IS NOT NULL THEN {O.long_numbers('enh_raw')}[1] END AS enhancement_id, {O.mode_bucket('mode_raw')} AS mode, {O.status('status_raw')} AS status, {O.state('location_raw')} AS state,
-  {O.project_type('type_raw')} AS project_type, {O.voltage_text('voltage_raw')} AS voltage_level, {O.date_text('op_date_raw')} AS gna_operational_date
+  {O.project_type('type_raw')} AS project_type, {O.voltage_text('voltage_raw')} AS voltage_level, {O.date_text('op_date_raw')} AS gna_operational_date,
+  trim(substation_raw) AS substation, nullif(quantum_raw, 'NA') AS applied_quantum_mw, nullif(granted_raw, '-') AS granted_quantum_mw, submitted_raw AS submission_date, start_raw AS start_date, replace(added_raw, 'from ', '') AS added_date,
+  CASE row_id % 11 WHEN 0 THEN '600' ELSE psp_mwh_raw END AS psp_mwh, CASE row_id % 11 WHEN 0 THEN '100' END AS psp_injection_mw, CASE row_id % 11 WHEN 0 THEN '90' ELSE psp_drawl_raw END AS psp_drawl_mw,
+  nullif(battery_mwh_raw, 'NA') AS battery_mwh, battery_injection_raw AS battery_injection_mw, battery_drawl_raw AS battery_drawl_mw
 FROM applications WHERE coalesce(gna_raw, lta_raw, enh_raw) IS NOT NULL AND NOT contains(lower(nature_raw), 'bulk consumer')""")
 def e1(spark, sf):
-    return jobs.normalise(A.view(spark, sf, "applications"), F.lit("1995-06-15").cast("date")).select("row_id", "developer", "gna_id", "lta_id", "enhancement_id", "mode", "status", "state", "project_type", "voltage_level", "gna_operational_date")
+    return jobs.normalise(A.view(spark, sf, "applications"), F.lit("1995-06-15").cast("date")).select("row_id", "developer", "gna_id", "lta_id", "enhancement_id", "mode", "status", "state", "project_type", "voltage_level", "gna_operational_date", "substation", "applied_quantum_mw", "granted_quantum_mw", "submission_date", "start_date", "added_date", *_STORED)
 
 
 _MATCH = O.views("applications", "effectiveness") + _EFF + _CASCADE + ", hit AS (SELECT row_id, match_source, eff.*, row_number() OVER (PARTITION BY row_id ORDER BY pri, p) AS k FROM cand JOIN eff ON id = application_id), m AS (SELECT a.*, h.* EXCLUDE (row_id) FROM applications a LEFT JOIN (SELECT * FROM hit WHERE k = 1) h ON a.row_id = h.row_id)"
@@ -238,9 +251,10 @@ def _matched(spark, sf):
 
 
 @query("e2_a14_merge_effectiveness", _MATCH + """ SELECT row_id, match_source, CASE WHEN name_of_applicant IS NOT NULL THEN name_of_applicant ELSE developer_raw END AS developer, solar_mw, wind_mw, ess_mw,
-  CASE WHEN contains(lower(type_of_project), 'hybrid') THEN solar_mw + wind_mw + coalesce(ess_mw, 0) END AS hybrid_mw FROM m""")
+  hydro_mw, CASE WHEN contains(lower(type_of_project), 'hybrid') THEN solar_mw + wind_mw + coalesce(ess_mw, 0) + coalesce(hydro_mw, 0) END AS hybrid_mw, CASE WHEN substation LIKE 'PS%' THEN substation ELSE substation_raw END AS substation,
+  """ + f"CASE WHEN m.state = 'Gujarat' THEN m.state ELSE {O.state('location_raw')} END AS state, coalesce(installed_capacity_raw, quantum_raw) AS quantum, region, type_of_project FROM m")
 def e2(spark, sf):
-    return jobs.merge_effectiveness(_matched(spark, sf)).select("row_id", "match_source", "developer", "solar_mw", "wind_mw", "ess_mw", "hybrid_mw")
+    return jobs.merge_effectiveness(_matched(spark, sf)).select("row_id", "match_source", "developer", "solar_mw", "wind_mw", "ess_mw", "hydro_mw", "hybrid_mw", c("merged_substation").alias("substation"), c("merged_state").alias("state"), "quantum", c("merged_region").alias("region"), c("merged_type").alias("type_of_project"))
 
 
 @query("e3_operational_date", _MATCH + f""" SELECT row_id, strftime(greatest({O.parse_date('op_date_raw')}, CASE WHEN match_source IN ('GNA', 'LTA') THEN {O.parse_date('expected_date_raw')} END), '%d.%m.%Y') AS op_date,
@@ -255,11 +269,11 @@ def e4(spark, sf):
     return jobs.additional_date(_matched(spark, sf)).select("row_id", "added_date")
 
 
-@query("e5_breakup_capacity", _MATCH + """, x AS (SELECT row_id, application_id, type_of_project, coalesce(solar_mw, 0) AS s, coalesce(wind_mw, 0) AS w, coalesce(ess_mw, 0) AS e, row_id % 5 AS t FROM m WHERE application_id IS NOT NULL)
+@query("e5_breakup_capacity", _MATCH + """, x AS (SELECT row_id, application_id, type_of_project, coalesce(solar_mw, 0) AS s, coalesce(wind_mw, 0) AS w, coalesce(ess_mw, 0) + coalesce(hydro_mw, 0) AS e, coalesce(hydro_mw, 0) AS h, row_id % 5 AS t FROM m WHERE application_id IS NOT NULL)
 SELECT row_id, nullif(s + CASE t WHEN 0 THEN 300.0 ELSE 0 END, 0) AS solar, nullif(w + CASE t WHEN 2 THEN 12.0 ELSE 0 END, 0) AS wind,
-  nullif(CASE WHEN type_of_project IN ('Hybrid', 'Solar + ESS') THEN s + w + e + CASE t WHEN 0 THEN 300.0 WHEN 1 THEN 500.0 WHEN 2 THEN 31.0 ELSE 0 END WHEN t = 1 THEN s + w + e + 500.0 ELSE 0 END, 0) AS hybrid FROM x""")
+  nullif(CASE WHEN type_of_project IN ('Hybrid', 'Solar + ESS') THEN s + w + e + CASE t WHEN 0 THEN 300.0 WHEN 1 THEN 500.0 WHEN 2 THEN 31.0 ELSE 0 END WHEN t = 1 THEN s + w + e + 500.0 ELSE 0 END, 0) AS hybrid, nullif(h, 0) AS hydro FROM x""")
 def e5(spark, sf):
-    return jobs.breakup_capacity(_matched(spark, sf)).filter("application_id is not null").select("row_id", "solar", "wind", "hybrid")
+    return jobs.breakup_capacity(_matched(spark, sf)).filter("application_id is not null").select("row_id", "solar", "wind", "hybrid", "hydro")
 
 
 @query("a3_match_statistics", _MATCH + " SELECT coalesce(match_source, 'unmatched') AS match_source, count(*) AS n_rows FROM m GROUP BY 1")
@@ -267,6 +281,14 @@ def a3(spark, sf):
     return jobs.match_statistics(_matched(spark, sf))
 
 
+@query("a3_a15_job_statistics", _MATCH + f""", d AS (SELECT *, {O.parse_date('op_date_raw')} AS base, {O.parse_date('expected_date_raw')} AS theirs FROM m)
+SELECT count(*) FILTER (match_source = 'GNA') AS matched_gna, count(*) FILTER (match_source = 'LTA') AS matched_lta, count(*) FILTER (match_source = '5.2') AS matched_52, count(*) FILTER (match_source IS NULL) AS unmatched, count(*) AS total_rows,
+  count(*) FILTER (match_source IS NOT NULL AND theirs IS NOT NULL AND (base IS NULL OR theirs > base)) AS dates_updated, count(*) FILTER (match_source IS NOT NULL AND base IS NOT NULL AND (theirs IS NULL OR theirs <= base)) AS dates_kept,
+  count(*) FILTER (match_source IS NOT NULL AND base IS NULL AND theirs IS NULL) AS no_date, count(*) FILTER (match_source IS NOT NULL AND solar_mw + wind_mw > 0) AS computed, count(*) FILTER (match_source IS NULL) AS skipped FROM d""")
+def a3_job(spark, sf):
+    return jobs.job_statistics(jobs.mapping(A.view(spark, sf, "applications"), A.view(spark, sf, "effectiveness"), F.lit("1995-06-15").cast("date")))
+
+
 @query("e12_mapping_job", _MATCH + f""" SELECT row_id, match_source, CASE WHEN name_of_applicant IS NOT NULL THEN name_of_applicant ELSE developer_raw END AS developer, solar_mw,
   strftime(greatest({O.parse_date('op_date_raw')}, CASE WHEN match_source IN ('GNA', 'LTA') THEN {O.parse_date('expected_date_raw')} END), '%d.%m.%Y') AS op_date,
   strftime(greatest({O.parse_date('op_date_raw')}, {O.parse_date('expected_date_raw')}), '%d.%m.%Y') AS added_date FROM m""")
@@ -306,11 +328,17 @@ def j4(spark, sf):
     return jobs.coordination_layer(A.view(spark, sf, "effectiveness"), A.view(spark, sf, "coordination"))
 
 
-@query("c30_c31_c32_scores", O.views("coordination") + " SELECT row_idx, 1.0 AS same, contains(lower(connectivity_applicant), 'supplier') AS inside FROM coordination")
+@query("c30_c31_c32_scores", O.views("coordination") + f""", n AS (SELECT row_idx, length({O.squeeze('connectivity_applicant')}) AS a, length({O.squeeze('pooling_station')}) AS p, connectivity_applicant, status_text FROM coordination)
+SELECT row_idx, 1.0 AS same, 2.0 * a / (2 * a + 3) AS longer, 2.0 * (a - 4) / (2 * a - 4) AS shorter, contains(lower(connectivity_applicant), 'supplier') AS inside,
+  0.5 * least(1.0, 2.0 * a / (2 * a + 3) + 0.15) + 0.5 * CASE WHEN row_idx % 2 = 0 THEN 1.0 ELSE 0.0 END AS score FROM n""")
 def c30(spark, sf):
+    """Texts against themselves with a part more or less, where the ratio has a closed form."""
     rows = A.view(spark, sf, "coordination")
-    n = T.normalize(c("connectivity_applicant"))
-    return rows.select("row_idx", J.similarity(n, n).alias("same"), T.contains_either(F.lit("Supplier"), c("connectivity_applicant")).alias("inside"))
+    n, p = T.normalize(c("connectivity_applicant")), T.normalize(c("pooling_station"))
+    more, other = F.concat(n, F.lit("|~^")), F.when(c("row_idx") % 2 == 0, p).otherwise("")
+    rows = rows.withColumns({"n": n, "more": more, "less": F.expr("right(lower(trim(connectivity_applicant)), length(connectivity_applicant) - 4)"), "p": p, "other": other})
+    score = J.combined(J.similarity("n", "more"), J.similarity("other", "p"), F.lit(True), c("other") != "")
+    return rows.select("row_idx", J.similarity("n", "n").alias("same"), J.similarity("n", "more").alias("longer"), J.similarity("n", "less").alias("shorter"), T.contains_either(F.lit("Supplier"), c("connectivity_applicant")).alias("inside"), score.alias("score"))
 
 
 from recordweave import queries_more  # noqa: E402,F401  registers the rest

@@ -10,6 +10,7 @@ from recordweave.functions import text as T
 from recordweave.operators import joins as J
 from recordweave.operators import ordering as R
 from recordweave.plans import bays as B
+from recordweave.plans import headers as H
 from recordweave.plans import jobs
 from recordweave.queries import columns, query
 from recordweave.sources import adapters as A
@@ -19,22 +20,23 @@ from recordweave.streaming import incremental
 
 c = F.col
 _SECTION = "regexp_matches(bay_no_220kv, '(?i)^section[\\s\\-]*[a-z]')"
-_FILLED = "len(list_filter([sl_no, name_of_substation, substation_coordinates, bay_no_220kv, name_of_entity_220kv, bay_no_400kv, name_of_entity_400kv], lambda x: x <> ''))"
-_DATA = f"((CASE WHEN {_SECTION} THEN '' ELSE bay_no_220kv END) <> '' OR bay_no_400kv <> '' OR name_of_entity_220kv <> '' OR name_of_entity_400kv <> '')"
+_FILLED = f"len(list_filter([{', '.join(B.CELLS)}], lambda x: x <> ''))"
+_DATA = f"((CASE WHEN {_SECTION} THEN '' ELSE bay_no_220kv END) <> '' OR {' OR '.join(f"{x} <> ''" for x in B.CELLS if x.endswith('kv') and x != 'bay_no_220kv')})"
+_HELD = ", ".join(f"first_value(nullif({x}, '') IGNORE NULLS) OVER w AS {x}" for x in B.HEADER)
+_SIDE = "SELECT source_pdf, page_number, row_idx, group_no, section, name_of_substation, substation_coordinates, region, sl_no, '{v}kv' AS voltage_key, {bay} AS bay_no, quantum_{v}kv AS connectivity_quantum_mw, name_of_entity_{v}kv AS entity_name, margin_bay_no_{v}kv AS margin_bay_no, margin_{v}kv AS margin_available_mw FROM p WHERE {data}"
 _PARSED = O.views("bay_cells") + f""", g AS (SELECT *, last_value(CASE WHEN {_SECTION} THEN bay_no_220kv END IGNORE NULLS) OVER w AS section,
   sum(CASE WHEN regexp_matches(sl_no, '^\\d+(?:\\.\\d+)?$') OR (name_of_substation <> '' AND substation_coordinates <> '') THEN 1 ELSE 0 END) OVER w AS group_no FROM bay_cells WINDOW w AS (PARTITION BY source_pdf, page_number ORDER BY row_idx ROWS UNBOUNDED PRECEDING)),
-p AS (SELECT * EXCLUDE (name_of_substation, substation_coordinates), first_value(nullif(name_of_substation, '') IGNORE NULLS) OVER w AS name_of_substation, first_value(nullif(substation_coordinates, '') IGNORE NULLS) OVER w AS substation_coordinates FROM g WINDOW w AS (PARTITION BY source_pdf, page_number, group_no ORDER BY row_idx ROWS UNBOUNDED PRECEDING)),
-e AS (SELECT source_pdf, page_number, row_idx, group_no, section, name_of_substation, substation_coordinates, '220kv' AS voltage_key, CASE WHEN {_SECTION} THEN '' ELSE bay_no_220kv END AS bay_no, name_of_entity_220kv AS entity_name FROM p WHERE {_DATA}
-  UNION ALL SELECT source_pdf, page_number, row_idx, group_no, section, name_of_substation, substation_coordinates, '400kv', bay_no_400kv, name_of_entity_400kv FROM p WHERE {_DATA}),
-x AS (SELECT * FROM e WHERE bay_no <> '' OR entity_name <> ''),
+p AS (SELECT * EXCLUDE ({', '.join(B.HEADER)}), {_HELD} FROM g WINDOW w AS (PARTITION BY source_pdf, page_number, group_no ORDER BY row_idx ROWS UNBOUNDED PRECEDING)),
+e AS ({_SIDE.format(v='220', bay=f"CASE WHEN {_SECTION} THEN '' ELSE bay_no_220kv END", data=_DATA)} UNION ALL {_SIDE.format(v='400', bay='bay_no_400kv', data=_DATA)}),
+x AS (SELECT * FROM e WHERE bay_no <> ''),
 l AS (SELECT source_pdf, page_number, group_no, voltage_key, bay_no, arg_max(entity_name, row_idx) AS entity_name, min(row_idx) AS pos, min(name_of_substation) AS name_of_substation, min(substation_coordinates) AS substation_coordinates FROM x WHERE bay_no <> '' GROUP BY ALL HAVING arg_max(entity_name, row_idx) <> '')"""
 
 columns("f10_f11_f12_f13_row_kinds", "bay_cells", "row_idx", {
-    "section": (lambda: B.is_section(B.cells()), f"{_FILLED} = 1 AND {_SECTION}"), "total_row": (lambda: B.is_total(B.cells()), f"{_FILLED} = 1 AND coalesce(try_cast(coalesce(nullif(sl_no, ''), nullif(bay_no_220kv, ''), nullif(bay_no_400kv, '')) AS DOUBLE) IS NOT NULL, false)"),
+    "section": (lambda: B.is_section(B.cells()), f"{_FILLED} = 1 AND {_SECTION}"), "total_row": (lambda: B.is_total(B.cells()), f"{_FILLED} = 1 AND coalesce(try_cast(coalesce({', '.join(f"nullif({x}, '')" for x in B.CELLS)}) AS DOUBLE) IS NOT NULL, false)"),
     "sub_header": (lambda: B.is_sub_header(B.cells()), "false"), "has_data": (lambda: B.has_data(), _DATA),
 })
 columns("p6_f9_named_cells", "bay_cells", "row_idx", {
-    "first_cell": (lambda: B.named(B.cells(), ["a", "b"])[0], "sl_no"), "beyond": (lambda: B.named(B.cells(), list("abcdefgh"))[7], "''"), "header": (lambda: B.is_inline_header(B.cells()), "false"),
+    "first_cell": (lambda: B.named(B.cells(), ["a", "b"])[0], "sl_no"), "fifth": (lambda: B.named(B.cells(), list("abcdefgh"))[4], "capacity_planned_mva"), "beyond": (lambda: B.named(B.cells(), list("abcdefghijklmnopqr"))[17], "''"), "header": (lambda: B.is_inline_header(B.cells()), "false"),
 })
 
 
@@ -54,9 +56,16 @@ def w3(spark, sf):
     return B.parse(A.view(spark, sf, "bay_cells")).select("row_idx", "section", "group_no", c("name_of_substation_filled").alias("name_of_substation"), c("substation_coordinates_filled").alias("substation_coordinates"))
 
 
-@query("p11_e9_allocation_entries", _PARSED + " SELECT row_idx, voltage_key, bay_no, entity_name, section, name_of_substation FROM x")
+@query("p11_e9_allocation_entries", _PARSED + " SELECT row_idx, voltage_key, bay_no, entity_name, section, name_of_substation, connectivity_quantum_mw, margin_bay_no, margin_available_mw, region, sl_no, bay_no || '/' || entity_name AS searched FROM x")
 def p11(spark, sf):
-    return B.entries(B.parse(A.view(spark, sf, "bay_cells"))).select("row_idx", "voltage_key", "bay_no", "entity_name", "section", "name_of_substation")
+    found = B.entries(B.parse(A.view(spark, sf, "bay_cells")))
+    searched = F.concat("search_fields.bay_no", F.lit("/"), "search_fields.entity").alias("searched")
+    return found.select("row_idx", "voltage_key", "bay_no", "entity_name", "section", "name_of_substation", "connectivity_quantum_mw", "margin_bay_no", "margin_available_mw", "region", "sl_no", searched)
+
+
+@query("p10_bay_records", _PARSED + f" SELECT row_idx, section, {', '.join(f'coalesce({x}, {chr(39) * 2}) AS {x}' for x in B.HEADER)}, {', '.join(B.CELLS[len(B.HEADER):])} FROM p WHERE {_DATA}")
+def p10(spark, sf):
+    return B.records(B.parse(A.view(spark, sf, "bay_cells"))).drop("source_pdf", "page_number")
 
 
 def _lookup(spark, sf):
@@ -94,9 +103,11 @@ def j6(spark, sf):
     return hits.select("row_id", "page_number", "group_no", "bay_no")
 
 
-@query("j7_routes", O.views("applications") + _APPS + " SELECT row_id, CASE WHEN coordination_bay IS NOT NULL THEN 'coordination' WHEN voltage_key IS NULL THEN 'no_voltage' ELSE 'search' END AS route FROM a")
+@query("j7_routes", O.views("applications") + _APPS + " SELECT row_id, CASE WHEN coordination_bay IS NOT NULL THEN 'coordination' WHEN row_id % 11 = 0 THEN 'has_coordinates' WHEN row_id % 13 = 1 THEN 'has_bay' WHEN voltage_key IS NULL THEN 'no_voltage' WHEN row_id % 17 = 0 THEN 'no_developer' ELSE 'search' END AS route FROM a")
 def j7(spark, sf):
-    return _apps(spark, sf).select("row_id", "route")
+    bay = F.when(c("row_id") % 13 == 1, "B12").when(c("row_id") % 13 == 2, "5").otherwise("nan")
+    there = F.when(c("row_id") % 11 == 0, "12N 70E").when(c("row_id") % 11 == 1, " ")
+    return _apps(spark, sf).select("row_id", B.route(bay, there, c("coordination_bay"), c("voltage_key"), F.when(c("row_id") % 17 != 0, c("developer"))).alias("route"))
 
 
 @query("e10_d4_a13_bay_mapping", _BAYS + """, one AS (SELECT *, row_number() OVER (PARTITION BY row_id, bay_no ORDER BY page_number, pos, group_no) AS k FROM hits), s AS (SELECT row_id, string_agg(bay_no, ' | ' ORDER BY page_number, pos, bay_no) AS bays FROM one WHERE k = 1 GROUP BY 1)
@@ -114,6 +125,12 @@ def e15(spark, sf):
     return L.latest(A.view(spark, sf, "ledger_events"), ["handler", "pdf_name"], ["seq"]).select("handler", "pdf_name", "status", "seq")
 
 
+@query("e15_run_lifecycle", O.views("ledger_events") + """, s AS (SELECT handler, pdf_name, arg_max(status, seq) AS last_status, count(*) AS events, count(*) FILTER (status = 'failed') AS failures, min(seq) AS registered_at, max(seq) FILTER (status = 'completed') AS completed_at, max(seq) FILTER (status <> 'failed') AS worked_at FROM ledger_events GROUP BY 1, 2)
+SELECT handler, pdf_name, CASE WHEN last_status = 'pending' AND events > 1 THEN 'in_progress' ELSE last_status END AS state, events, failures, registered_at, coalesce(completed_at, -1) AS completed_at, last_status = 'completed' AS is_extracted FROM s""")
+def e15_lifecycle(spark, sf):
+    return L.lifecycle(A.view(spark, sf, "ledger_events"), ["handler", "pdf_name"], "seq").na.fill(-1, ["completed_at"])
+
+
 @query("a5_handler_status", _LATEST + ", n AS (SELECT handler, count(*) AS events FROM ledger_events GROUP BY 1) SELECT handler, count(*) AS files, count(*) FILTER (status = 'completed') AS completed, count(*) FILTER (status = 'pending') AS pending, count(*) FILTER (status = 'failed') AS failed, any_value(events) AS events FROM st JOIN n USING (handler) GROUP BY handler")
 def a5(spark, sf):
     return L.handler_status(A.view(spark, sf, "ledger_events"))
@@ -144,11 +161,11 @@ def j10(spark, sf):
     return ev.select("pdf_name").distinct().join(ev.filter("seq < 500"), "pdf_name", "left_anti")
 
 
-@query("j14_d10_insert_or_ignore", O.views("ledger_events") + " SELECT pdf_name, CASE WHEN min(seq) < 500 THEN min(seq) ELSE min(seq) END AS seq FROM ledger_events GROUP BY 1")
+@query("j14_d10_insert_or_ignore", O.views("ledger_events") + " SELECT pdf_name, min(seq) FILTER (seq % 3 = 0) AS seq FROM ledger_events GROUP BY 1 HAVING seq IS NOT NULL UNION ALL SELECT pdf_name, min(seq) FROM ledger_events GROUP BY 1 HAVING count(*) FILTER (seq % 3 = 0) = 0")
 def j14(spark, sf):
     ev = A.view(spark, sf, "ledger_events").select("pdf_name", "seq")
-    held = R.first_per(ev.filter("seq < 500"), ["pdf_name"], ["seq"])
-    return J.insert_or_ignore(held, ev.filter("seq >= 500"), ["pdf_name"], ["seq"])
+    held = R.first_per(ev.filter("seq % 3 = 0"), ["pdf_name"], ["seq"])
+    return J.insert_or_ignore(held, ev.filter("seq % 3 <> 0"), ["pdf_name"], ["seq"])
 
 
 @query("d8_upsert_records", O.views("ledger_events") + ", k AS (SELECT *, 'UNKNOWN::NO_LTA::' || handler || '::' || pdf_name AS record_key FROM ledger_events) SELECT record_key, max(seq) AS seq FROM k GROUP BY 1")
@@ -189,6 +206,13 @@ _LINKS = """WITH t AS (SELECT page_id, url, unnest(regexp_extract_all(html, '(?i
 k AS (SELECT page_id, url, CAST(pos AS INT) AS pos, regexp_extract(a, '(?i)href="([^"]*)"', 1) AS href, trim(regexp_replace(regexp_replace(a, '<[^>]+>', ' ', 'g'), '\\s+', ' ', 'g')) AS label FROM t)"""
 
 
+_SECTIONS = """WITH t AS (SELECT page_id, regexp_extract_all(html, '(?is)<h[1-6][^>]*>.*?</h[1-6]>|<a\\s[^>]*href="[^"]*"[^>]*>.*?</a>') AS found FROM pages),
+x AS (SELECT page_id, unnest(found) AS m, generate_subscripts(found, 1) AS place FROM t),
+y AS (SELECT page_id, place, lower(substr(m, 2, 1)) = 'a' AS is_link, regexp_extract(m, '(?i)href="([^"]*)"', 1) AS href, trim(regexp_replace(regexp_replace(m, '<[^>]+>', ' ', 'g'), '\\s+', ' ', 'g')) AS label FROM x),
+z AS (SELECT *, last_value(CASE WHEN NOT is_link THEN label END IGNORE NULLS) OVER (PARTITION BY page_id ORDER BY place ROWS UNBOUNDED PRECEDING) AS section FROM y),
+l AS (SELECT page_id, href, label, section, CAST(row_number() OVER (PARTITION BY page_id ORDER BY place) - 1 AS INT) AS pos FROM z WHERE is_link)"""
+
+
 def _links(spark, sf):
     return S.links(A.table(spark, sf, "pages"))
 
@@ -198,14 +222,16 @@ def s10(spark, sf):
     return _links(spark, sf).select("page_id", "pos", "href", "label")
 
 
-@query("f23_f22_link_filters", _LINKS + " SELECT page_id, pos FROM k WHERE contains(lower(href), 'en') AND length(label) > 3")
+@query("f23_link_filters", _SECTIONS + " SELECT page_id, pos, section FROM l WHERE contains(lower(href), '/t') AND regexp_matches(lower(href), '^[^?#]*[a-z]([?#]|$)') AND contains(lower(label), 'e') AND coalesce(section, '') <> 'Menu'")
 def f23(spark, sf):
-    return _links(spark, sf).filter(F.lower("href").contains("en") & (F.length("label") > 3)).select("page_id", "pos")
+    links = S.sectioned_links(A.table(spark, sf, "pages"))
+    return S.keep_links(links, path="/t", suffix=r"[a-z]", label="e").filter(F.coalesce("section", F.lit("")) != "Menu").select("page_id", "pos", "section")
 
 
-@query("f22_keyword_in_title", "SELECT doc_id, CASE WHEN regexp_matches(text, '(?i)(^|[^A-Za-z])the([^A-Za-z]|$)') THEN 'the' WHEN regexp_matches(text, '(?i)(^|[^A-Za-z])and([^A-Za-z]|$)') THEN 'and' END AS word FROM documents")
+@query("f22_keyword_in_title", f"SELECT page_id, {O.keyword_in(A.TENDER_TITLE)} AS word, contains(lower({O.dialect(A.TENDER_TITLE)}), 'tender 1') AND NOT contains(lower({O.dialect(A.TENDER_TITLE)}), 'consultant') AS wanted FROM pages")
 def f22(spark, sf):
-    return A.table(spark, sf, "documents").select("doc_id", N.keyword_in(c("text"), ("the", "and")).alias("word"))
+    title = F.expr(A.TENDER_TITLE)
+    return A.table(spark, sf, "pages").select("page_id", N.keyword_in(title).alias("word"), N.title_matches(title, "Tender 1").alias("wanted"))
 
 
 @query("d5_first_url", _LINKS + " SELECT href, min(page_id * 1000 + pos) AS first_at FROM k GROUP BY 1")
@@ -224,11 +250,16 @@ def w7(spark, sf):
     return named.select("page_id", "pos", R.collision_name("name", ["page_id", "pos"]).alias("name"))
 
 
-@query("w8_w9_top_n", _LINKS + ", n AS (SELECT *, row_number() OVER (PARTITION BY page_id ORDER BY pos) AS r FROM k) SELECT page_id, pos FROM n WHERE r <= 2")
+@query("w8_top_n", _LINKS + ", n AS (SELECT *, row_number() OVER (PARTITION BY page_id ORDER BY pos) AS r FROM k) SELECT page_id, pos FROM n WHERE r <= 2")
 def w8(spark, sf):
     return R.top_per(_links(spark, sf), ["page_id"], ["pos"], 2).select("page_id", "pos")
 
 
+@query("w9_global_limit", _LINKS + " SELECT page_id, pos FROM k ORDER BY page_id, pos LIMIT 25")
+def w9(spark, sf):
+    return R.first_in_all(_links(spark, sf), ["page_id", "pos"], 25).select("page_id", "pos")
+
+
 @query("w11_f24_one_per_month", O.views("ledger_events") + ", n AS (SELECT *, strftime(ts, '%Y-%m') AS ym, row_number() OVER (PARTITION BY strftime(ts, '%Y-%m'), handler ORDER BY seq) AS r FROM ledger_events) SELECT ym, handler, pdf_name FROM n WHERE r = 1 AND ym >= strftime((SELECT max(ts) FROM ledger_events) - INTERVAL 23 MONTH, '%Y-%m')")
 def w11(spark, sf):
     ev = A.view(spark, sf, "ledger_events").withColumn("ym", F.date_format("ts", "yyyy-MM"))
@@ -239,17 +270,17 @@ def w11(spark, sf):
 columns_pages = [
     ("c44_url_file_name", {"name": (lambda: N.url_file_name(c("url")), "trim(regexp_replace(string_split(regexp_replace(url, '[?#].*$', ''), '/')[-1], '[\\\\/:*?\"<>|]', '_', 'g'), '._')")}),
     ("c58_type_from_path", {"kind": (lambda: N.type_from_path(F.regexp_extract("url", "://[^/]*(/[^?#]*)", 1), "en"), "CASE WHEN string_split(regexp_extract(url, '://[^/]*(/[^?#]*)', 1), '/')[2] = 'en' THEN string_split(regexp_extract(url, '://[^/]*(/[^?#]*)', 1), '/')[3] END")}),
-    ("c45_c49_strip_numbers", {"a": (lambda: N.strip_timestamp(F.concat(F.lit("1234567890pdf_"), c("page_id").cast("string"), F.lit("x"))), "page_id || 'x'"), "b": (lambda: N.strip_number(F.concat(F.lit("123456 n"), c("page_id").cast("string"))), "'n' || page_id")}),
-    ("c52_ordinal_word", {"word": (lambda: N.ordinal_word(c("page_id")), "page_id || CASE WHEN page_id % 100 BETWEEN 10 AND 20 THEN 'th' WHEN page_id % 10 = 1 THEN 'st' WHEN page_id % 10 = 2 THEN 'nd' WHEN page_id % 10 = 3 THEN 'rd' ELSE 'th' END")}),
+    ("c45_c49_strip_numbers", {"a": (lambda: N.strip_timestamp(F.expr(A.STAMPED_FILE)), f"regexp_replace({O.dialect(A.STAMPED_FILE)}, '^\\d{{9,}}([pP][dD][fF])?[_\\-\\s]*', '')"), "b": (lambda: N.strip_number(F.expr(A.STAMPED_FILE)), f"regexp_replace({O.dialect(A.STAMPED_FILE)}, '^\\d{{6,}}[_\\-\\s]*', '')")}),
+    ("c52_ordinal_word", {"word": (lambda: N.ordinal_word(c("page_id")), f"{O.ordinal('page_id')}"), "file": (lambda: N.nct_name(F.expr(A.NCT_FILE)), O.nct_name(A.NCT_FILE))}),
     ("c46_c47_labels", {
-        "meeting": (lambda: N.meeting_label(F.concat((c("page_id") % 90 + 30).cast("string"), F.lit("th meeting of NR"))), "(page_id % 90 + 30) || CASE WHEN (page_id % 90 + 30) % 100 BETWEEN 10 AND 20 THEN 'th' WHEN page_id % 10 = 1 THEN 'st' WHEN page_id % 10 = 2 THEN 'nd' WHEN page_id % 10 = 3 THEN 'rd' ELSE 'th' END || ' CMETS-NR'"),
-        "coordination": (lambda: N.coordination_label(F.concat(F.lit("Minutes of JCC WR and SR "), (c("page_id") % 5 + 4).cast("string"))), "(page_id % 5 + 4) || 'th Minutes WR-SR'"),
+        "meeting": (lambda: N.meeting_label(F.expr(A.MEETING_STEM)), O.meeting_label(A.MEETING_STEM)),
+        "coordination": (lambda: N.coordination_label(F.expr(A.COORDINATION_STEM), c("page_id") % 2 == 1), O.coordination_label(A.COORDINATION_STEM, "page_id % 2 = 1")),
     }),
-    ("c48_c53_dated_names", {"calendar": (lambda: N.calendar_name(F.concat(F.lit("as of 5.6."), (c("page_id") % 10 + 20).cast("string"))), "'05-06-20' || (page_id % 10 + 20)"), "bulk": (lambda: N.dated_name(F.concat(F.lit("list Feb 20"), (c("page_id") % 10 + 20).cast("string"))), "'20' || (page_id % 10 + 20) || '-02-28'")}),
+    ("c48_c53_dated_names", {"calendar": (lambda: N.calendar_name(F.expr(A.CALENDAR_FILE)), O.calendar_name(A.CALENDAR_FILE)), "bulk": (lambda: N.bulk_name(F.expr(A.BULK_FILE)), O.bulk_name(A.BULK_FILE))}),
     ("c50_c51_c56_titles", {
-        "revoked": (lambda: N.revocation_name(F.when(c("page_id") % 2 == 0, "Revocation upto March").otherwise("Excluded from list upto May")), "CASE WHEN page_id % 2 = 0 THEN 'Revocation upto March' ELSE 'Excluded from upto May' END"),
-        "margin": (lambda: N.margin_name(F.when(c("page_id") % 2 == 0, "RE Margin list").otherwise("Bay list")), "CASE WHEN page_id % 2 = 0 THEN 'RE Margin' ELSE 'Bay Allocation' END"),
-        "report": (lambda: N.report_category(F.when(c("page_id") % 3 == 0, "RTM report").when(c("page_id") % 3 == 1, "TBCB completed lines").otherwise("TBCB lines")), "CASE page_id % 3 WHEN 0 THEN 'RTM' WHEN 1 THEN 'TBCB completed' ELSE 'TBCB under construction' END"),
+        "revoked": (lambda: N.revocation_name(F.expr(A.REVOCATION_FILE)), O.revocation_name(A.REVOCATION_FILE)),
+        "margin": (lambda: N.margin_name(F.expr(A.MARGIN_FILE)), O.margin_name(A.MARGIN_FILE)),
+        "report": (lambda: N.report_category(F.expr(A.REPORT_TITLE), F.expr("concat(cast(page_id as string), '.pdf')")), O.report_category(A.REPORT_TITLE)),
     }),
 ]
 for _name, _made in columns_pages:
@@ -312,3 +343,33 @@ def s6(spark, sf):
 def f17(spark, sf):
     rows = A.view(spark, sf, "effectiveness").filter(((c("application_id") != "") | (c("name_of_applicant") != "")) & c("source_file").isin("eff_1", "eff_2"))
     return rows.select("pos", F.coalesce(T.none_if_empty(F.trim("application_id")), "name_of_applicant").alias("label"))
+
+
+@query("p8_resolved_columns", O.views("effectiveness") + " SELECT pos, source_file, application_id AS id, coalesce(nullif(trim(expected_date_raw), ''), nullif(trim(name_of_applicant), ''), '') AS label FROM effectiveness")
+def p8(spark, sf):
+    rows = A.view(spark, sf, "effectiveness")
+    found = J.find_column(rows, "Application No", "APPLICATION_ID")
+    return rows.select("pos", "source_file", c(found).alias("id"), J.first_value(rows, "Remarks", "Expected_Date_Raw", "Name_Of_Applicant").alias("label"))
+
+
+@query("p15_serialised_rows", O.views("applications") + """ SELECT source_pdf, page_number, row_id, json_object('Name of Developers', developer_raw, 'GNA/ST II Application ID', gna_raw, 'Status of application', status_raw, 'meeting_meta', json_object('page', page_number)) AS row_json FROM applications""")
+def p15(spark, sf):
+    names = {"developer_raw": "Name of Developers", "gna_raw": "GNA/ST II Application ID", "status_raw": "Status of application"}
+    rows = A.view(spark, sf, "applications")
+    return rows.select("source_pdf", "page_number", "row_id", S.serialised(names, {"page": c("page_number")}).alias("row_json"))
+
+
+# --- tables read by their headers ------------------------------------------------------------------------------------
+_FIELD = "CASE " + " ".join(f"WHEN k = '{h}' THEN '{f}'" for h, f in H.HEADERS.items()) + " " + " ".join(f"WHEN k <> '' AND contains(k, '{h}') THEN '{f}'" for h, f in H.HEADERS.items()) + " END"
+
+
+@query("p7_header_mapping", O.views("table_rows") + f""", r AS (SELECT *, string_split(cells, '|') AS a FROM table_rows), h AS (SELECT *, contains(lower(cells), 'application') OR contains(lower(cells), 'sl. no') OR contains(lower(cells), 'si no') AS is_header FROM r),
+w AS (SELECT *, max(CASE WHEN is_header THEN row_idx END) OVER (PARTITION BY source_pdf ORDER BY row_idx ROWS UNBOUNDED PRECEDING) AS head FROM h),
+cell AS (SELECT source_pdf, row_idx, unnest(a) AS cell, generate_subscripts(a, 1) AS i FROM r), m AS (SELECT c.source_pdf, c.row_idx AS head, i, {_FIELD} AS field FROM (SELECT *, trim(regexp_replace(lower(cell), '\\s+', ' ', 'g')) AS k FROM cell) c),
+f AS (SELECT w.source_pdf, w.row_idx, m.field, c.cell, row_number() OVER (PARTITION BY w.source_pdf, w.row_idx, m.field ORDER BY c.i DESC) AS r FROM w JOIN m ON m.source_pdf = w.source_pdf AND m.head = w.head JOIN cell c ON c.source_pdf = w.source_pdf AND c.row_idx = w.row_idx AND c.i = m.i WHERE NOT is_header AND m.field IS NOT NULL)
+SELECT row_idx, max(cell) FILTER (field = 'application_id') AS application_id, max(cell) FILTER (field = 'name_of_applicant') AS name_of_applicant, max(cell) FILTER (field = 'installed_capacity_mw') AS installed_capacity_mw, max(cell) FILTER (field = 'expected_date') AS expected_date
+FROM f WHERE r = 1 GROUP BY row_idx HAVING coalesce(max(cell) FILTER (field = 'application_id'), '') <> '' OR coalesce(max(cell) FILTER (field = 'name_of_applicant'), '') <> ''""")
+def p7(spark, sf):
+    rows = A.view(spark, sf, "table_rows").withColumn("cells", F.split("cells", r"\|"))
+    found = H.records(rows, "cells", ["source_pdf"], ["row_idx"])
+    return found.select("row_idx", *[c(x) for x in ("application_id", "name_of_applicant", "installed_capacity_mw", "expected_date")])

@@ -17,7 +17,12 @@ select o_orderkey as row_id, concat('doc', cast(o_orderkey % 50 as string)) as s
   case o_orderkey % 3 when 0 then 'Site at 220kV' when 1 then 'Bus 400 KV' else '765' end as voltage_raw,
   concat('village ', cast(o_custkey as string), case o_orderkey % 3 when 0 then ', Rajasthan' when 1 then ', Andhra Pradesh.' else ', Atlantis' end) as location_raw,
   case o_orderkey % 6 when 5 then 'Bulk consumer' else 'Generator' end as nature_raw,
-  case when o_orderkey % 4 <> 3 then concat('SCoD ', date_format(o_orderdate, 'dd.MM.yyyy')) end as op_date_raw
+  case when o_orderkey % 4 <> 3 then concat('SCoD ', date_format(o_orderdate, 'dd.MM.yyyy')) end as op_date_raw,
+  concat(' SS-', cast(o_custkey % 100 as string)) as substation_raw, case o_orderkey % 4 when 0 then 'NA' else cast(o_orderkey % 500 as string) end as quantum_raw,
+  case o_orderkey % 7 when 0 then '-' else concat(cast(o_orderkey % 300 as string), ' MW') end as granted_raw, date_format(o_orderdate, 'dd-MM-yyyy') as submitted_raw,
+  case when o_orderkey % 3 = 1 then date_format(o_orderdate, 'yyyy/MM/dd') end as start_raw, case when o_orderkey % 5 = 1 then concat('from ', date_format(o_orderdate, 'dd.MM.yyyy')) end as added_raw,
+  case o_orderkey % 11 when 0 then 'Pump Storage for 600 MWh' when 1 then '400 MWh' end as psp_mwh_raw, case when o_orderkey % 11 = 0 then 'max injection: 100' end as psp_injection_raw, case when o_orderkey % 11 < 2 then 'drawl 90' end as psp_drawl_raw,
+  case o_orderkey % 13 when 0 then '200 MWh' when 1 then 'NA' end as battery_mwh_raw, case when o_orderkey % 13 = 0 then 'BESS injection 50' end as battery_injection_raw, case when o_orderkey % 13 = 2 then '40' end as battery_drawl_raw
 from {orders} join {customer} on o_custkey = c_custkey
 """
 EFFECTIVENESS = """
@@ -28,7 +33,8 @@ select concat('eff_', cast(l_linenumber as string)) as source_file, l_partkey as
   concat('1,', cast(100 + cast(l_quantity as int) as string)) as installed_capacity_raw,
   l_quantity as solar_mw, l_quantity * 2 as wind_mw, case when l_returnflag = 'R' then cast(5.0 as double) end as ess_mw,
   case when l_returnflag = 'A' then date_format(l_shipdate, 'dd-MM-yyyy') when l_returnflag = 'R' then date_format(l_shipdate, 'yyyy/MM/dd') else 'N/A' end as expected_date_raw,
-  l_suppkey as tie1, l_extendedprice as tie2
+  case l_suppkey % 3 when 0 then concat('PS-', cast(l_partkey % 50 as string)) when 1 then 'N/A' end as substation, case l_suppkey % 3 when 1 then 'Gujarat' else '-' end as state, case l_suppkey % 2 when 0 then 'NR' end as region,
+  case when l_returnflag = 'N' then cast(7.0 as double) end as hydro_mw, l_suppkey as tie1, l_extendedprice as tie2
 from {lineitem}
 """
 COORDINATION = """
@@ -46,7 +52,12 @@ select 'bays' as source_pdf, cast(p_partkey % 20 as int) as page_number, p_partk
   case when p_partkey % 100 < 20 and p_size % 2 = 0 then concat(cast(p_size as string), 'N') else '' end as substation_coordinates,
   case when p_partkey % 31 = 0 then 'Section-A' when p_size % 3 = 0 then '' else cast(p_partkey % 17 as string) end as bay_no_220kv,
   case when p_size % 5 = 0 then '' else concat('Customer#', lpad(cast(p_partkey % 1500 as string), 9, '0'), ' Ltd. (50.6); ', p_brand) end as name_of_entity_220kv,
-  case when p_size % 4 = 0 then cast(p_partkey % 13 as string) else '' end as bay_no_400kv, p_brand as name_of_entity_400kv
+  case when p_size % 4 = 0 then cast(p_partkey % 13 as string) else '' end as bay_no_400kv, case when p_size % 7 = 0 then '' else p_brand end as name_of_entity_400kv,
+  case when p_partkey % 100 < 20 and p_size % 3 < 2 then concat('R', cast(p_size % 3 as string)) else '' end as region, case when p_partkey % 50 < 10 and p_size % 4 = 1 then '500' else '' end as capacity_planned_mva,
+  case when p_partkey % 50 < 10 then cast(p_size as string) else '' end as capacity_existing_mva, case when p_partkey % 100 = 3 then '315' else '' end as capacity_under_implementation_mva,
+  case when p_size % 5 = 1 then cast(p_size * 10 as string) else '' end as quantum_220kv, case when p_size % 8 = 0 then cast(p_size + 1 as string) else '' end as quantum_400kv,
+  case when p_size % 10 = 3 then cast(p_partkey % 9 as string) else '' end as margin_bay_no_220kv, case when p_size % 10 = 3 then '120' else '' end as margin_220kv,
+  case when p_size % 14 = 0 then 'M1' else '' end as margin_bay_no_400kv, case when p_size % 14 < 2 then '60' else '' end as margin_400kv
 from {part}
 """
 PAGE_TEXT = """
@@ -61,11 +72,42 @@ select event_id as seq, ts, case event_type when 'view' then 'cmets' when 'click
   concat('f', cast(user_id as string), '.pdf') as pdf_name, case when event_type = 'error' then 'failed' when value > 100 then 'completed' else 'pending' end as status, props as data_json
 from {events}
 """
+#: Rows of tables whose column order changes from header to header; the cells are one text, divided by bars.
+TABLE_ROWS = """
+select concat('doc', cast(p_partkey % 7 as string)) as source_pdf, p_partkey as row_idx,
+  case when p_partkey % 97 < 7 then concat('Sl. No.|Application  ID|Name of Applicant|Installed Capacity (MW)|Expected date', case when p_partkey % 2 = 0 then ' of connectivity|Remarks' else '' end)
+    when p_partkey % 97 < 14 and p_partkey % 97 >= 7 and p_size % 2 = 0 then 'Name of applicant company|Region|Total installed capacity|Application ID'
+    when p_partkey % 11 = 0 then '||||'
+    when p_size % 9 = 0 then concat('7|', cast(p_size as string))
+    else concat(cast(p_size as string), '|', cast(1200000000 + p_partkey as string), '|', p_brand, '|', cast(p_partkey % 500 as string), '|', '05-06-2025') end as cells
+from {part}
+"""
+#: Titles and file names of the listings' kinds, made of page numbers.
+MEETING_STEM = """case page_id % 8 when 0 then concat('1700000000123_', cast(page_id % 120 as string), 'th CMETS-NR agenda') when 1 then concat('Revised Agenda for ', cast(page_id % 120 as string), ' CMETS SR')
+  when 2 then concat('Minutes_of_', cast(page_id % 120 as string), 'st_cmets_WR') when 3 then concat('Corrigendum to minutes of ', cast(page_id % 120 as string), ' CMETS') when 4 then concat('Annexure II of ', cast(page_id % 120 as string), 'nd CMETS - ER')
+  when 5 then concat(cast(page_id as string), '_Notes  on connectivity') when 6 then concat('Additional Agenda-2 ', cast(page_id % 120 as string), 'rd CMETS-NER') else concat('Addendum_', cast(page_id as string), ' exhibit') end"""
+COORDINATION_STEM = """case page_id % 8 when 0 then concat('Minutes of ', cast(page_id % 40 as string), 'th JCC Northern Region') when 1 then concat('07_Meeting Notice & Agenda for ', cast(page_id % 40 as string), 'ST JCCM-WR')
+  when 2 then 'MoM Special JCC WR-ER-SR' when 3 then 'Notice for Special JCM Eastern Region (2)' when 4 then concat('MOM_of_', cast(page_id % 40 as string), 'nd_jcc_NER') when 5 then concat('Agenda for scheme ', cast(page_id as string))
+  when 6 then concat('12_Minutes of North-Eastern JCM ', cast(page_id % 40 as string), 'rd') else 'Agenda special meeting NR/WR' end"""
+CALENDAR_FILE = """case page_id % 5 when 0 then concat('12_Bidding_Calendar_as on dated 05.06.', cast(page_id % 10 + 20 as string), '.pdf') when 1 then concat('Final_Bidding Calendar 15-07-20', cast(page_id % 10 + 20 as string), '.PDF')
+  when 2 then 'Draft calendar.xlsx' when 3 then concat('calendar ', cast(page_id as string)) else concat('Annexure-A approved 01-02-', cast(page_id % 10 + 20 as string), ' list.pdf') end"""
+BULK_FILE = """case page_id % 6 when 0 then concat('1700000_list ', lpad(cast(page_id % 28 + 1 as string), 2, '0'), '-05-2024.pdf') when 1 then concat('Bulk 202', cast(page_id % 6 as string), '_', lpad(cast(page_id % 12 + 1 as string), 2, '0'), '.pdf')
+  when 2 then concat('as of ', lpad(cast(page_id % 28 + 1 as string), 2, '0'), '062025.pdf') when 3 then 'consumers' when 4 then concat('x_202', cast(page_id % 6 as string), '02.PDF') else concat('n 202', cast(page_id % 6 as string), ' ', lpad(cast(page_id % 12 + 1 as string), 2, '0')) end"""
+REVOCATION_FILE = """case page_id % 7 when 0 then concat('1234567_Revocation list upto Mar-', cast(page_id % 10 + 20 as string), '.pdf') when 1 then concat('Excluded_from list published in Jun', cast(page_id % 10 + 20 as string), '.PDF')
+  when 2 then 'Revocation of connectivity.pdf' when 3 then 'excluded' when 4 then concat('Status upto May', chr(39), cast(page_id % 10 + 20 as string), '.xlsx') when 5 then concat('123456_Other__list ', cast(page_id as string), '.pdf') else '1234567.pdf' end"""
+MARGIN_FILE = """case page_id % 6 when 0 then concat('1234567_Allocation of Bays_final R', cast(page_id % 9 as string), '.pdf') when 1 then concat('Non RE SS Margin-rev-', cast(page_id % 9 as string), '_approved.PDF')
+  when 2 then concat('RE RE SS Margin_', cast(page_id as string), ' Final.pdf') when 3 then concat('Status of Margins  ', cast(page_id as string)) when 4 then '7654321_-.pdf' else concat('Proposed_', cast(page_id as string), '.xlsx') end"""
+NCT_FILE = """case page_id % 4 when 0 then concat('minutes_', cast(page_id % 40 as string), 'TH_NCT.pdf') when 1 then concat('NCT meeting ', cast(page_id % 125 as string), '.PDF') when 2 then concat('NCT_', cast(2000 + page_id as string)) else 'agenda.pdf' end"""
+STAMPED_FILE = """case page_id % 4 when 0 then concat('1234567890pdf_', cast(page_id as string), 'x') when 1 then concat('1234567 - n', cast(page_id as string)) when 2 then concat('12345_', cast(page_id as string)) else concat('123456789012PDF', cast(page_id as string), '.pdf') end"""
+REPORT_TITLE = """case page_id % 9 when 0 then 'RTM projects under construction' when 1 then 'TBCB lines completed' when 2 then 'Tariff  based competitive bidding UC list' when 3 then 'Lines under construction' when 4 then 'Elements commissioned_during May'
+  when 5 then 'Comm list' when 6 then 'Monthly summary' when 7 then 'TBCB overview' else 'UC_list of regulated tariff mechanism' end"""
+TENDER_TITLE = """concat('Tender ', cast(page_id as string), case page_id % 8 when 0 then ' Corrigendum-1' when 1 then ' NRFP note' when 2 then ' RFP_CTS_Part A' when 3 then ' list of qualified bidders' when 4 then ' Consultant extension' when 5 then ' postponements' when 6 then ' Amendment2 to RFP' else ' map' end)"""
 VIEWS = {
     "applications": (APPLICATIONS, ("orders", "customer")),
     "effectiveness": (EFFECTIVENESS, ("lineitem",)),
     "coordination": (COORDINATION, ("lineitem",)),
     "bay_cells": (BAY_CELLS, ("part",)),
+    "table_rows": (TABLE_ROWS, ("part",)),
     "page_text": (PAGE_TEXT, ("documents",)),
     "ledger_events": (LEDGER_EVENTS, ("events",)),
 }

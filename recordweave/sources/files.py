@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from recordweave.operators.ordering import carry_last, group_number
+
 
 def read_json_cache(spark: SparkSession, folder: str, schema: str) -> DataFrame:
     """Whole-file JSON with an explicit schema and the file's name; unreadable files give a row of nulls that goes."""
@@ -48,3 +50,34 @@ def links(pages: DataFrame) -> DataFrame:
     rows = pages.select("page_id", "url", F.posexplode(anchors).alias("pos", "a"))
     label = F.trim(F.regexp_replace(F.regexp_replace("a", r"<[^>]+>", " "), r"\s+", " "))
     return rows.select("page_id", "url", "pos", F.regexp_extract("a", r'(?i)href="([^"]*)"', 1).alias("href"), label.alias("label"))
+
+
+def sectioned_links(pages: DataFrame) -> DataFrame:
+    """(page_id, url, pos, href, label, section): the links with the text of the last heading above each."""
+    found = F.regexp_extract_all("html", F.lit(r'(?is)<h[1-6][^>]*>.*?</h[1-6]>|<a\s[^>]*href="[^"]*"[^>]*>.*?</a>'), F.lit(0))
+    rows = pages.select("page_id", "url", F.posexplode(found).alias("at", "m"))
+    text = F.trim(F.regexp_replace(F.regexp_replace("m", r"<[^>]+>", " "), r"\s+", " "))
+    is_link = F.lower(F.substring("m", 2, 1)) == "a"
+    rows = rows.select("page_id", "url", "at", is_link.alias("is_link"), F.regexp_extract("m", r'(?i)href="([^"]*)"', 1).alias("href"), text.alias("label"))
+    rows = rows.withColumns({"section": carry_last(F.when(~F.col("is_link"), F.col("label")), ["page_id"], ["at"]), "pos": group_number(F.col("is_link"), ["page_id"], ["at"]).cast("int") - 1})
+    return rows.filter("is_link").drop("is_link", "at")
+
+
+def keep_links(links: DataFrame, path: str | None = None, suffix: str | None = r"\.pdf", label: str | None = None, section: str | None = None) -> DataFrame:
+    """Links whose address has a path fragment and ends (before ? or #) in a suffix pattern, with these words in label and section."""
+    low = F.lower("href")
+    if path:
+        links = links.filter(low.contains(path.lower()))
+    if suffix:
+        links = links.filter(low.rlike(rf"^[^?#]*{suffix}([?#]|$)"))
+    if label:
+        links = links.filter(F.lower("label").contains(label.lower()))
+    return links.filter(F.lower("section").contains(section.lower())) if section else links
+
+
+def serialised(names: dict[str, str], meta: dict[str, Column] | None = None) -> Column:
+    """A row as JSON under display names, with values of its document as `meeting_meta`; nulls are written."""
+    parts = [F.col(k).alias(v) for k, v in names.items()]
+    if meta:
+        parts.append(F.struct(*[v.alias(k) for k, v in meta.items()]).alias("meeting_meta"))
+    return F.to_json(F.struct(*parts), {"ignoreNullFields": "false"})

@@ -15,6 +15,32 @@ def latest(events: DataFrame, key: list[str], order: list[str]) -> DataFrame:
     return first_per(events, key, [F.desc(x) for x in order])
 
 
+def started(events: DataFrame, keys: DataFrame, order: str) -> DataFrame:
+    """events with one `pending` event for each of keys (one column set, new ones only), after all that are there."""
+    return _appended(events, keys.join(events.select(keys.columns).distinct(), keys.columns, "left_anti"), order, F.lit("pending"))
+
+
+def finished(events: DataFrame, results: DataFrame, order: str) -> DataFrame:
+    """events with one `completed` or `failed` event for each of results, by its boolean column `ok`."""
+    return _appended(events, results, order, F.when(c("ok"), "completed").otherwise("failed"))
+
+
+def _appended(events: DataFrame, rows: DataFrame, order: str, status: Column) -> DataFrame:
+    last = events.agg(F.coalesce(F.max(order), F.lit(0)).alias("last_"))
+    new = rows.withColumn("status", status).crossJoin(F.broadcast(last)).withColumn(order, c("last_") + 1).drop("last_", "ok")
+    return events.unionByName(new, allowMissingColumns=True)
+
+
+def lifecycle(events: DataFrame, key: list[str], order: str) -> DataFrame:
+    """Per key its state, events and failures: pending when registered, in_progress when taken up again, completed or failed."""
+    out = events.groupBy(*key).agg(
+        F.max_by("status", order).alias("last_"), F.count("*").alias("events"), F.count_if(c("status") == "failed").alias("failures"), F.min(order).alias("registered_at"),
+        F.max(F.when(c("status") == "completed", c(order))).alias("completed_at"),
+    )
+    state = F.when((c("last_") == "pending") & (c("events") > 1), "in_progress").otherwise(c("last_"))
+    return out.withColumns({"state": state, "is_extracted": c("last_") == "completed"}).drop("last_")
+
+
 def record_key(gna: Column, lta: Column, handler: Column, pdf: Column) -> Column:
     part = lambda x, default: F.coalesce(F.nullif(F.trim(x), F.lit("")), F.lit(default))
     return F.concat_ws("::", part(gna, "UNKNOWN"), part(lta, "NO_LTA"), handler, pdf)

@@ -26,7 +26,16 @@ CASES = [
     ("held", lambda c: V.meeting_date(c), [("11th November 2025 (Tuesday)", "11.11.2025"), ("November 3, 2025", "03.11.2025"), ("11/2025", None)]),
     ("best_voltage", lambda c: T.best_voltage(T.voltages_in(c)), [("220kV 400 kV 220 kV", "220 kV"), ("400kV or 220 kV", "400 kV"), ("11 kV", "11 kV"), ("x", None)]),
     ("file", lambda c: N.url_file_name(c), [("http://a.b/c/My%20File.pdf?x=1", "My File.pdf"), ("http://a.b/x+y.pdf", "x+y.pdf")]),
-    ("dated", lambda c: N.dated_name(c), [("as on 05.06.2024", "2024-06-05"), ("Feb 2024", "2024-02-28"), ("June-2023", "2023-06-30")]),
+    ("bulk", lambda c: N.bulk_name(c), [("1699999_as on 05-06-2024.PDF", "Bulk Consumer 05-06-2024.pdf"), ("list 2024_02", "Bulk Consumer 28-02-2024.pdf"), ("June 202306.pdf", "Bulk Consumer 30-06-2023.pdf"), ("as of 05062025.pdf", "Bulk Consumer 05-06-2025.pdf"), ("list.xlsx", "Bulk Consumer.xlsx")]),
+    ("meeting_label", lambda c: N.meeting_label(c), [("1690000000000_35th_CMETS-NR", "35th CMETS-NR"), ("Revised Agenda of 7 cmets sr", "Revised Agenda_7th CMETS-SR"), ("Corrigendum 12 CMETS", "Minutes Corrigendum_12th CMETS"), ("2_Additional Agenda-1 41st CMETS WR", "Additional Agenda_41st CMETS-WR"), ("Annexure  notes", "Annex_Annexure notes"), ("Some  note", "Some note")]),
+    ("coordination", lambda c: N.coordination_label(c, F.lit(False)), [("01_Minutes of 12th JCC of Northern Region", "12th JCC-NR"), ("MoM_Special JCC WR-ER-SR", "Special JCC WR-SR"), ("Minutes of special JCM eastern", "Special JCM-ER"), ("MOM of 3RD JCCM-ner (1)", "3rd JCCM-NER"), ("Minutes of scheme 4", "scheme 4")]),
+    ("coordination_notice", lambda c: N.coordination_label(c, F.lit(True)), [("Meeting Notice & Agenda for 21st JCC-WR", "21st JCC-WR"), ("Agenda for the scheme", "the scheme")]),
+    ("calendar", lambda c: N.calendar_name(c), [("12_Bidding_Calendar_as on 05.06.25.pdf", "Bidding Calendar 05-06-2025.pdf"), ("Final list 01-02-2024.PDF", "Bidding Calendar 01-02-2024.pdf"), ("calendar", "Bidding Calendar.pdf")]),
+    ("revocation", lambda c: N.revocation_name(c), [("1234567_Revocation list upto May'26.pdf", "Revocation upto may26.pdf"), ("Excluded published in Jun25.pdf", "Excluded from upto jun25.pdf"), ("upto Mar-26", "Revocation upto mar26.pdf"), ("Excluded", "Excluded from.pdf"), ("123456_Other__list.PDF", "Other list.pdf"), ("1234567.pdf", "file.pdf")]),
+    ("margin", lambda c: N.margin_name(c), [("Allocation of Bays_final R3.pdf", "Allocation of Bays.pdf"), ("Non RE SS Margin-rev-2_Approved.pdf", "Non RE SS Margin.pdf"), ("RE RE SS Margin_May.pdf", "RE SS Margin May.pdf"), ("Status of Margins  May.pdf", "Status of Margins May.pdf"), ("Proposed_list", "Proposed list.pdf")]),
+    ("nct", lambda c: N.nct_name(c), [("Minutes_21ST_NCT.pdf", "21st_NCT_MoM.pdf"), ("NCT 12 meeting.PDF", "12th_NCT_MoM.pdf"), ("NCT_2024", "NCT 2024.pdf")]),
+    ("report", lambda c: N.report_category(c, F.lit("a.pdf")), [("RTM under construction", "rtm_uc"), ("TBCB completed", "tbcb_completed"), ("Tariff based  competitive bidding UC", "tbcb_uc"), ("Comm list", "tbcb_completed"), ("commissioned_in May", None), ("summary", None)]),
+    ("keyword", lambda c: N.keyword_in(c), [("RFP_CTS_Part A", "RFP"), ("NRFP", None), ("amendment to rfp", "RFP"), ("qualified", "Qualified")]),
 ]
 
 

@@ -187,3 +187,37 @@ def test_chunks_stream_in_order(spark):
     got = jobs.document_chunks(spark.createDataFrame(rows, "source_pdf string, page_number int, text string"), 100)
     assert sorted(map(tuple, got.collect())) == sorted(want)
     assert "collect_list" not in got._jdf.queryExecution().toString()
+
+
+def test_records_by_header(spark):
+    rows = [
+        (1, ["x", "y"]), (2, ["Sl. No.", "Application  ID", "Name of Applicant", "Installed Capacity (MW)"]), (3, ["1", "42", "A", "300"]), (4, [None, "", "B"]), (5, ["3", "", ""]),
+        (6, ["Total Installed Capacity", "Applicant name", "Application ID of GNA", "Region", "Region"]), (7, ["12", "C", "43", "NR", "SR"]), (8, ["13"]),
+    ]
+    from recordweave.plans import headers as H
+
+    df = spark.createDataFrame([("d", i, x) for i, x in rows] + [("e", 9, ["1", "2", "3"])], "doc string, i int, cells array<string>")
+    got = {r.i: (r.application_id, r.name_of_applicant, r.installed_capacity_mw, r.region) for r in H.records(df, "cells", ["doc"], ["i"]).collect()}
+    assert got == {3: ("42", "A", "300", None), 4: ("", "B", None, None), 7: ("43", None, "12", "SR")}
+
+
+def test_columns_and_links_by_name(spark):
+    df = spark.createDataFrame([(" a ", "", "x"), (None, "b", "y")], "Name_1 string, other string, Third string")
+    assert J.find_column(df, "no", "NAME_1") == "Name_1" and J.find_column(df, "no") is None
+    assert [r[0] for r in df.select(J.first_value(df, "OTHER", "missing", "name_1")).collect()] == ["a", "b"]
+    pages = spark.createDataFrame([(1, "u", '<a href="/x/a.pdf">top</a><h2>Minutes <b>of</b></h2><a href="/uploads/X/b.PDF?v=1">Second</a><a href="/x/c.html">Third</a>')], "page_id int, url string, html string")
+    links = S.sectioned_links(pages)
+    assert [(r.pos, r.href, r.section) for r in links.orderBy("pos").collect()] == [(0, "/x/a.pdf", None), (1, "/uploads/X/b.PDF?v=1", "Minutes of"), (2, "/x/c.html", "Minutes of")]
+    assert [r.pos for r in S.keep_links(links, path="/uploads/x/", label="second", section="minutes").collect()] == [1]
+    assert [r.pos for r in R.first_in_all(links, ["pos"], 2).collect()] == [0, 1]
+    row = spark.createDataFrame([("v", None, 3)], "a string, b string, p int").select(S.serialised({"a": "Name A", "b": "B"}, {"page": F.col("p")}).alias("j")).first().j
+    assert row == '{"Name A":"v","B":null,"meeting_meta":{"page":3}}'
+
+
+def test_ledger_transitions(spark):
+    schema = "handler string, pdf_name string, status string, seq long"
+    events = spark.createDataFrame([("h", "a", "pending", 1), ("h", "a", "completed", 2)], schema)
+    events = L.started(events, spark.createDataFrame([("h", "a"), ("h", "b"), ("h", "c")], "handler string, pdf_name string"), "seq")
+    events = L.finished(events, spark.createDataFrame([("h", "b", True), ("h", "c", False)], "handler string, pdf_name string, ok boolean"), "seq")
+    got = {r.pdf_name: (r.state, r.events, r.failures, r.is_extracted) for r in L.lifecycle(events, ["handler", "pdf_name"], "seq").collect()}
+    assert got == {"a": ("completed", 2, 0, True), "b": ("completed", 2, 0, True), "c": ("failed", 2, 1, False)}
