@@ -72,18 +72,19 @@ def test_parts_do_not_depend_on_how_files_are_split(spark, tmp_path):
 
 
 def test_unknown_keys_are_errors():
-    lookup = lm_scoring._Lookup(np.array([lm_scoring.word_key(b"a"), 5, 9]), np.array([1.0, 2.0, 3.0]))
-    assert lookup.of_grams(np.array([5, 9])).tolist() == [2.0, 3.0] and lookup.of_word(b"a") == 1.0
-    for ask in (lambda: lookup.of_grams(np.array([5, 6])), lambda: lookup.of_word(b"b")):
+    keys = np.array([5, 9])
+    assert lm_scoring.find(keys, np.array([9, 5])).tolist() == [1, 0] and len(lm_scoring.find(keys[:0], keys[:0])) == 0
+    for held, wanted in ((keys, [5, 6]), (keys, [10]), (keys[:0], [5])):
         with pytest.raises(LookupError):
-            ask()
+            lm_scoring.find(held, np.array(wanted))
 
 
 # --- 1 --------------------------------------------------------------------------------------------------------------
 def test_sentencepiece_equals_library(spark):
     spm = pytest.importorskip("sentencepiece")
     lib = spm.SentencePieceProcessor(model_file=sentencepiece.MODEL)
-    texts = [*ODD, "Hello, naïve wörld! 3.14\n\nfoo_bar", "trail ", "ABcdE" * 30]
+    rng = random.Random(12)
+    texts = [*ODD, "Hello, naïve wörld! 3.14\n\nfoo_bar", "trail ", "ABcdE" * 30, *["".join(rng.choice("aeinrstühl") for _ in range(n)) for n in range(57, 67)], "lines\n\n  of    blanks\t日本語\u0378x", "x" + " " * 40 + "y"]
     got = sentencepiece.encode(docs_of(spark, texts), sentencepiece.Model.load()).collect()
     assert len(got) == len(texts)
     for r in got:
@@ -359,6 +360,117 @@ def test_decontamination_equals_brute_force(spark):
     assert decontamination.contaminated(docs_of(spark, []).limit(0), bench).count() == 0
 
 
+def plain_places(text):
+    """Hash places of all character n-grams, one by one."""
+    t, out = f" {' '.join(text.lower().split())} ", set()
+    for n in toxicity.SIZES:
+        for i in range(len(t) - n + 1):
+            key = sum(ord(ch) * int(f) for ch, f in zip(t[i : i + n], toxicity._FACTORS)) % 2**64
+            out.add(((key ^ (key >> 29)) * 0xBF58476D1CE4E5B9 % 2**64) >> 44)
+    return out
+
+
+def test_toxicity_equals_plain_sums(spark):
+    texts = ["Zwei drei 日本語 \U0001f642 drei", "a", "", None, "word " * 3000, "Über  die\nBrücke " * 40]
+    weight = np.random.default_rng(1).standard_normal(toxicity.BUCKETS)
+    got = [r.score for r in toxicity.score(docs_of(spark, texts), toxicity.Weights(-0.3, weight)).orderBy("doc_id").collect()]
+    for t, g in zip(texts, got):
+        at = sorted(plain_places(t)) if t else []
+        z = -0.3 + (weight[at].sum() / len(at) ** 0.5 if at else 0.0)
+        assert abs(g - 1 / (1 + np.exp(-z))) < 1e-9
+    long = "ab cd ef " * (toxicity.CHUNK // 4)  # more than one piece
+    assert set(toxicity.Presence().of(long).tolist()) == plain_places("ab cd ef " * 20)
+
+
+def test_trees_equal_plain_walk(spark):
+    rng = np.random.default_rng(3)
+    x = rng.standard_normal((300, 4))
+    trees = quality.fit_trees(x, (x[:, 0] + x[:, 1] > 0).astype(float), trees=7)
+    for row, got in zip(x[:50], trees.score(x[:50])):
+        total = trees.base
+        for f, t, v in zip(trees.feature, trees.threshold, trees.value):
+            node = 0
+            while node < len(f):
+                node = 2 * node + (2 if row[f[node]] > t[node] else 1)
+            total += v[node - len(f)]
+        assert abs(got - 1 / (1 + np.exp(-total))) < 1e-12
+    assert np.mean((trees.score(x) > 0.5) == (x[:, 0] + x[:, 1] > 0)) > 0.9
+
+
+def test_html_attributes_and_article_parts():
+    page = "<article><p data-x=don't>First one, that goes.</p><p title=\"5\" tall\">Second, it goes on.</p><p>It's 'fine', yes.</p></article>"
+    assert html_extraction.main_text(page) == "First one, that goes.\n\nSecond, it goes on.\n\nIt's 'fine', yes."
+    body = "<p>A long paragraph, with many words, and more of them, in it, for sure.</p><p>Another long paragraph, with many words, and more.</p>"
+    page = f"<article>{body}<ul><li>one item</li><li>two</li></ul><table><tr><td>cell</td></tr></table><blockquote>said so</blockquote></article>"
+    assert html_extraction.main_text(page).split("\n\n")[2:] == ["one item", "two", "cell", "said so"]
+
+
+def test_clashing_names_and_repeats(spark):
+    rng = random.Random(21)
+    docs, labels = labelled(spark, rng, 120)
+    docs = docs.unionByName(docs.limit(40)).unionByName(docs_of(spark, ["other text for a held id"], [7]))
+    extra = ("gone_id", "gone_key", "bad_id", "bad_key", "toxicity", "quality", "score", "component", "key", "set")
+    wide = docs.withColumns({x: F.lit("clash") for x in extra})
+    for made in (ngram_join.deduplicated(wide), decontamination.clean(wide, spark.createDataFrame([(1, "w1 w2")], "item_id long, text string")), toxicity.clean(wide, labels), quality.clean(wide, labels)):
+        rows = made.collect()
+        assert made.columns == wide.columns and rows and all(r.gone_id == "clash" for r in rows)
+    for module, label in ((quality, "quality"), (toxicity, "toxic")):
+        scores = [[(r.doc_id, r.score) for r in module.score(docs, module.train(docs.repartition(n), labels, label)).orderBy("doc_id", "text").collect()] for n in (1, 5)]
+        assert all(a == b and abs(x - y) < 1e-6 for (a, x), (b, y) in zip(*scores))
+
+
+def test_empty_tables(spark, tmp_path):
+    import corpus_pipeline
+
+    pages = spark.createDataFrame([], "page_id long, url string, html string")
+    assert url_filters.judge(pages, spark.createDataFrame([], "rule_id long, tokens array<string>, confidence double, support double")).count() == 0
+    assert html_extraction.extract(pages).count() == 0
+    for name, schema in (("documents", DOC), ("labels", "doc_id long, quality int, toxic int"), ("benchmark", "item_id long, text string")):
+        spark.createDataFrame([], schema).write.parquet(str(tmp_path / f"{name}.parquet"))
+    assert corpus_pipeline.run(spark, str(tmp_path)).count() == 0
+
+
+CONTRACT = {
+    "op1_sentencepiece": ("documents", "doc_id:bigint n_tokens:bigint ids:array<int>"), "op2_url_filters": ("pages", "page_id:bigint host:string path:string rule:string verdict:string"),
+    "op3_ngram_jaccard_join": ("documents", "doc_id:bigint n_shingles:bigint component_id:bigint"), "op4_quality_classifier": ("documents", "doc_id:bigint held_out:boolean score:double predicted:int"),
+    "op5_toxicity": ("documents", "doc_id:bigint held_out:boolean score:double predicted:int"), "op6_html_extraction": ("pages", "page_id:bigint url:string text:string n_chars:bigint"),
+    "op7_warc": ("pages", "page_id:bigint payload_bytes:bigint payload_digest:string record_type:string refers_to:bigint"), "op8_embedding_dedup": ("embeddings", "vec_id:bigint n_links:bigint component_id:bigint kept:boolean"),
+    "op9_lm_scoring": ("documents", "doc_id:bigint held_out:boolean n_tokens:bigint n_known:bigint train_tokens:bigint base_score:double score:double"), "op10_decontamination": (None, "doc_id:bigint item_id:bigint"),
+}
+
+
+@pytest.mark.parametrize("name", CONTRACT)
+def test_queries(spark, name):
+    import os
+
+    from recordweave.llm import queries
+
+    sf, (source, columns) = "/root/testdata/sf0.001", CONTRACT[name]
+    if not os.path.isdir(sf):
+        pytest.skip("driver tables are not here")
+    made = queries.QUERIES[name](spark, sf)
+    types = dict(made.dtypes)
+    for c in columns.split():
+        c, kind = c.split(":")
+        assert types[c] == kind
+    rows = made.collect()
+    if source:
+        assert len(rows) == common.table(spark, sf, source).count()
+    if "held_out" in types:
+        modulus = 10 if name == "op9_lm_scoring" else 5
+        assert all(r.held_out == (zlib.crc32(str(r.doc_id).encode()) % modulus == 0) for r in rows)
+    if name in queries.ORACLE_SQL:
+        import duckdb
+
+        con = duckdb.connect()
+        for t in ("documents", "pages", "benchmark"):
+            con.sql(f"create view {t} as select * from '{sf}/{t}.parquet'")
+        want = con.sql(queries.ORACLE_SQL[name]).df()
+        assert sorted(want.columns) == sorted(types)
+        show = lambda df: sorted(repr([None if v is None or v != v else v for v in r]) for r in df[sorted(types)].astype(object).to_numpy().tolist())
+        assert show(made.toPandas()) == show(want)
+
+
 def test_pipeline(spark):
     import os
 
