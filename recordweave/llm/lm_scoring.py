@@ -29,7 +29,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from recordweave.llm.common import planes, remainder, shuffle_width, stage, table, unplaned, unzipped, words_of, zipped
+from recordweave.llm.common import planes, remainder, shuffle_width, stage, table, trim, unplaned, unzipped, words_of, zipped
 
 DEPTH = 5
 FOLDS = 10
@@ -165,8 +165,11 @@ def blocks(docs: DataFrame, buckets: int) -> DataFrame:
                 if held.chars >= BLOCK_CHARS:
                     yield held.rows(number, buckets)
                     number, held = number + 1, _Block()
+                    trim()
         if held.ids:
             yield held.rows(number, buckets)
+        del held
+        trim()
 
     return docs.select(F.col("doc_id").cast("long"), "text", "train").mapInArrow(scan, "key long, block long, entries binary, docs binary")
 
@@ -397,6 +400,7 @@ def finished(docs: DataFrame, found: DataFrame, tokens: int, kinds: int, buckets
                 score = np.add.reduceat(value[find(key, own)][place], np.cumsum(n) - n)
                 cols = {"doc_id": d["doc_id"].slice(first, last - first), "n_tokens": size[first:last], "n_known": n_known[first:last], "train_tokens": np.full(last - first, tokens), "base_score": base_score[first:last], "score": score, "bits_per_byte": -score * np.log2(10) / n}
                 out.append(pa.RecordBatch.from_arrays([pa.array(cols[c]) for c in names], schema=schema))
+        trim()
         return pa.Table.from_batches(out, schema)
 
     return docs.groupBy("key").cogroup(found.groupBy("key")).applyInArrow(finish, SCORES)

@@ -30,7 +30,7 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from recordweave.llm.common import components, shuffle_width, stage, table, unused
+from recordweave.llm.common import components, shuffle_width, stage, table, trim, unused
 
 WIDTH = 5
 #: Similarity as a fraction: 100 * both >= 75 * any.
@@ -160,6 +160,7 @@ def survey(docs: DataFrame) -> DataFrame:
                     yield report()
             yield pd.DataFrame({"kind": 0, "doc_id": ids, "n": ns, "set": sets, "key": b.key})
         yield report()
+        trim()
 
     return docs.select("doc_id", "text", F.xxhash64("text").alias("key")).mapInPandas(scan, "kind int, doc_id long, n long, set long, key long")
 
@@ -238,6 +239,7 @@ def meetings(docs: DataFrame, heavy: np.ndarray, count: np.ndarray) -> DataFrame
             rest = rows[cut:]
             yield _partners(rows[:cut])
         yield _partners(rest)
+        trim()
 
     rows = docs.select("text").mapInPandas(emit, "token long, set long, n_pos long, deal long")
     dealt = rows.repartition(shuffle_width(docs.sparkSession), "token", "deal").sortWithinPartitions("token", "deal", "set")

@@ -34,7 +34,7 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from recordweave.llm.common import bound, planes, shuffle_width, table, unplaned, unzipped, zipped
+from recordweave.llm.common import bound, planes, shuffle_width, table, trim, unplaned, unzipped, zipped
 
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 BLANK = "▁"
@@ -281,8 +281,11 @@ def blocks(docs: DataFrame, model: Model, buckets: int, check: bool = False) ->
                 if held.full():
                     yield held.rows(number, buckets)
                     number, held = number + 1, _Block(model, check)
+                    trim()
         if held.ids:
             yield held.rows(number, buckets)
+        del held
+        trim()
 
     return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(scan, "key long, block long, words binary, docs binary")
 
@@ -316,6 +319,7 @@ def bucket_words(dealt: DataFrame) -> DataFrame:
                     size = 0
         compact()
         yield from report()
+        trim()
 
     return dealt.mapInArrow(spread, "bucket long, word string")
 
@@ -541,8 +545,8 @@ def encode(docs: DataFrame, model: Model, check: bool = False) -> DataFrame:
                 cols = {"doc_id": doc_id.slice(group, last_ - group), "ids": lists, last[0]: pa.array(shown, last[1])}
                 out.append(pa.RecordBatch.from_arrays([cols[c] for c in names], names))
                 group = last_
-        schema = pa.schema([(c, types[c]) for c in names])
-        return pa.Table.from_batches(out, schema)
+        trim()
+        return pa.Table.from_batches(out, pa.schema([(c, types[c]) for c in names]))
 
     return dealt.groupBy("key").cogroup(found.groupBy("key")).applyInArrow(finish, "doc_id long, ids array<int>, round_trip boolean" if check else "doc_id long, text string, ids array<int>")
 
