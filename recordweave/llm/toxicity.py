@@ -7,8 +7,8 @@ is the weight of a place. A text's score is the logistic of the sum of the weigh
 
 Null and empty texts have no n-gram and get the score of the intercept. Repeated rows get equal scores. With no
 labelled rows of both kinds every score is the base rate (0.001 if there are none at all). Of documents that repeat a
-labelled doc_id the one with the smallest text is learnt from. Places are ranked and kept as a model's choice of features
-(without it held-out recall on the given labels falls from nearly all to nearly none); no text or row is left out.
+labelled doc_id the one with the smallest text is learnt from. Places are ranked and kept as the model's choice of
+features (the README has what was tried instead); no text or row is left out.
 """
 
 from __future__ import annotations
