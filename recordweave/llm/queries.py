@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from recordweave.llm import decontamination, url_filters, warc
+from recordweave.llm import decontamination, filter_audit, url_filters, warc
 from recordweave.llm.decontamination import op10_decontamination
 from recordweave.llm.embedding_dedup import op8_embedding_dedup
+from recordweave.llm.filter_audit import op13_filter_audit
 from recordweave.llm.html_extraction import op6_html_extraction
 from recordweave.llm.lm_scoring import op9_lm_scoring
 from recordweave.llm.ngram_join import op3_ngram_jaccard_join
@@ -25,5 +26,6 @@ QUERIES = {
     "op8_embedding_dedup": op8_embedding_dedup,
     "op9_lm_scoring": op9_lm_scoring,
     "op10_decontamination": op10_decontamination,
+    "op13_filter_audit": op13_filter_audit,
 }
-ORACLE_SQL = {"op2_url_filters": url_filters.SQL, "op7_warc": warc.SQL, "op10_decontamination": decontamination.SQL}
+ORACLE_SQL = {"op2_url_filters": url_filters.SQL, "op7_warc": warc.SQL, "op10_decontamination": decontamination.SQL, "op13_filter_audit": filter_audit.SQL}
