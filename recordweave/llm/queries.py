@@ -9,6 +9,7 @@ from recordweave.llm.filter_audit import op13_filter_audit
 from recordweave.llm.html_extraction import op6_html_extraction
 from recordweave.llm.lm_scoring import op9_lm_scoring
 from recordweave.llm.ngram_join import op3_ngram_jaccard_join
+from recordweave.llm.packing import op12_best_fit_packing
 from recordweave.llm.quality import op4_quality_classifier
 from recordweave.llm.sentencepiece import op1_sentencepiece
 from recordweave.llm.toxicity import op5_toxicity
@@ -26,6 +27,7 @@ QUERIES = {
     "op8_embedding_dedup": op8_embedding_dedup,
     "op9_lm_scoring": op9_lm_scoring,
     "op10_decontamination": op10_decontamination,
+    "op12_best_fit_packing": op12_best_fit_packing,
     "op13_filter_audit": op13_filter_audit,
 }
 ORACLE_SQL = {"op2_url_filters": url_filters.SQL, "op7_warc": warc.SQL, "op10_decontamination": decontamination.SQL, "op13_filter_audit": filter_audit.SQL}
