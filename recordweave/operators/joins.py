@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType
 
 from recordweave.functions import text as T
+from recordweave.sources.staging import staged
 
 #: Sides of at most so many rows are broadcast; larger ones are shuffled.
 BROADCAST_ROWS = 200_000
@@ -95,54 +96,95 @@ def combined(sub: Column, dev: Column, sub_in: Column, dev_in: Column) -> Column
     return 0.5 * bonus(sub, sub_in) + 0.5 * bonus(dev, dev_in)
 
 
-def rare_characters(x: Column, share: Column | float) -> Column:
-    """The first characters of x, numbered by occurrence, higher (rarer) numbers first, of which texts that share at least
-    `share` of x's length with x must have one."""
+def numbered(x: Column) -> Column:
+    """The characters of x, each with the number of its occurrence: what two texts share is what both lists have."""
     chars = F.array_sort(F.filter(F.split(x, ""), lambda ch: ch != ""))
-    numbered = F.transform(chars, lambda ch, i: F.concat(F.lpad((100_000_000 - (i - F.array_position(chars, ch) + 2)).cast("string"), 9, "0"), ch))
-    keep = F.length(x) - F.ceil(F.length(x) * share - 1e-9) + 1
-    return F.slice(F.array_sort(numbered), F.lit(1), keep.cast("int"))
+    return F.transform(chars, lambda ch, i: F.concat(ch, (i - F.array_position(chars, ch) + 1).cast("string")))
 
 
-def name_pairs(left: DataFrame, rows: DataFrame, ratio: float) -> DataFrame:
-    """left (d) with rows (c): all pairs whose names can have a similarity of `ratio` (0 to 1, exclusive), by an equi-join.
+def similar_names(left: DataFrame, right: DataFrame, ratio: float) -> DataFrame:
+    """(d, c): all pairs of distinct names whose similarity can reach `ratio` (over 0), by an equi-join.
 
-    A ratio r = 2 M / (|d| + |c|) needs |c| >= |d| r / (2 - r), so M >= |d| r / (2 - r), and the same for c. Both
-    names then share one of their first characters in any fixed order, so they meet on it and on the length of c.
-    Distinct names meet, then their rows.
+    A ratio r of names with m and n characters needs ceil(r (m + n) / 2) shared ones, so both must have one of the same
+    few characters that come first in any fixed order of all. Rare characters come first, and names meet on both lengths
+    and such a character, so a key that many names share is only met where lengths leave nothing rarer.
     """
-    share = ratio / (2 - ratio)
-    lengths = F.sequence(F.ceil(F.length("d") * share - 1e-9), F.floor(F.length("d") / share + 1e-9))
-    d = left.filter("d <> ''").select("d").distinct().withColumn("size_", F.explode(lengths)).withColumn("t_", F.explode(rare_characters(F.col("d"), share)))
-    c = rows.filter("c <> ''").select("c").distinct().select("c", F.length("c").cast("long").alias("size_"), F.explode(rare_characters(F.col("c"), share)).alias("t_"))
-    pairs = d.join(c, ["t_", "size_"]).filter(similarity_bound(F.col("d"), F.col("c")) >= ratio - 1e-9).select("d", "c").distinct()
-    return left.join(pairs, "d").join(rows, "c")
+
+    def characters(names: DataFrame, name: str) -> DataFrame:
+        return names.filter(F.col(name) != "").select(name).distinct().select(name, F.length(name).alias("own"), F.explode(numbered(F.col(name))).alias("token"))
+
+    d, c = characters(left, "d"), characters(right, "c")
+    often = d.select("token").unionAll(c.select("token")).groupBy("token").agg(F.count("*").alias("often"))
+    lengths = {n: [r[0] for r in names.select("own").distinct().collect()] for n, names in (("c", d), ("d", c))}  # numbers up to the longest name
+
+    def first_ones(names: DataFrame, name: str) -> DataFrame:
+        placed = names.join(often, "token").withColumn("place", F.row_number().over(Window.partitionBy(name).orderBy("often", "token")))
+        need = lambda n: F.ceil((F.col("own") + n) * ratio / 2 - 1e-9)
+        others = F.filter(F.lit(lengths[name]).cast("array<int>"), lambda n: (need(n) <= F.least(F.col("own"), n)) & (F.col("place") <= F.col("own") - need(n) + 1))
+        return placed.select(name, "token", "own", F.explode(others).alias("other"))
+
+    keys = first_ones(d, "d").join(first_ones(c, "c").select("c", "token", F.col("own").alias("other"), F.col("other").alias("own")), ["token", "own", "other"])
+    return keys.select("d", "c").distinct().filter(similarity_bound(F.col("d"), F.col("c")) >= ratio - 1e-9)
+
+
+#: Scores that best matches are looked for at, from the highest down; each record is done with the first that gives it one.
+SCORES = (0.8, 0.65, 0.55)
+BONUS = 0.15
+
+
+def holds(x: Column, y: Column) -> Column:
+    """Whether one of two texts contains the other."""
+    return (x != "") & (y != "") & (x.contains(y) | y.contains(x))
+
+
+def reaching(open_: DataFrame, rows: DataFrame, score: float) -> DataFrame:
+    """open_ (left_id, s, d) with rows (row_idx, p, c): all pairs whose score can reach `score`.
+
+    A score is the mean of two parts, so one part reaches it, and reaches twice as much where the other text of the
+    record is empty or shares no character with any row. A part is a ratio and the bonus.
+    """
+
+    def by(part: str, name: str, other: str, theirs: str) -> DataFrame:
+        known = rows.select(F.explode(numbered(F.col(theirs))).alias("token")).distinct()
+        texts = open_.filter(F.col(other) != "").select(other).distinct().select(other, F.explode(numbered(F.col(other))).alias("token"))
+        counts = texts.join(known, "token", "left_semi").select(other).distinct()
+        sides = [(open_.join(counts, other, "left_semi"), score)]
+        if 2 * score <= 1:
+            sides.append((open_.join(counts, other, "left_anti"), 2 * score))
+        out = []
+        for side, least in sides:
+            pairs = similar_names(side.select(F.col(part).alias("d")), rows.select(F.col(name).alias("c")), least - BONUS)
+            scored = pairs.withColumn("r", F.least(F.lit(1.0), similarity("d", "c") + F.when(holds(F.col("d"), F.col("c")), BONUS).otherwise(0.0))).filter(F.col("r") >= least - 1e-9)
+            out.append(side.join(scored.select(F.col("d").alias(part), F.col("c").alias(name)), part).join(rows, name))
+        return reduce(DataFrame.unionByName, out)
+
+    s, d, p, c = (F.col(x) for x in "sdpc")
+    either = by("s", "p", "d", "c").unionByName(by("d", "c", "s", "p"))
+    bound = combined(similarity_bound(s, p), similarity_bound(d, c), holds(s, p), holds(d, c))
+    return either.filter(bound >= score - 1e-9).dropDuplicates(["left_id", "row_idx"])
 
 
 def best_match(left: DataFrame, rows: DataFrame, hits: DataFrame, threshold: float = 0.45) -> DataFrame:
     """(left_id, row_idx, id_hits, score): most identifier hits, then the higher score, then the first row.
 
     left: left_id, substation, developer; rows: row_idx, pooling_station, connectivity_applicant; hits: left_id, row_idx,
-    id_hits. Pairs without a hit are compared only where an upper bound of their score reaches the threshold. Records
-    without a substation meet rows by an equi-join on their names; others by an inequality join, in which the rows are
-    broadcast if they are few.
+    id_hits. Records without a hit meet rows where one of both texts is alike enough, by equi-joins that lose no pair, at
+    one score after another: a record that has a match at a score has its best one there, and goes no further.
     """
-    a = left.select("left_id", T.normalize(F.col("substation")).alias("s"), T.normalize(F.col("developer")).alias("d"))
-    b = rows.select("row_idx", T.normalize(F.col("pooling_station")).alias("p"), T.normalize(F.col("connectivity_applicant")).alias("c"))
-    inside = lambda x, y: (x != "") & (y != "") & (x.contains(y) | y.contains(x))
-    si, di = inside(F.col("s"), F.col("p")), inside(F.col("d"), F.col("c"))
-    hit_pairs = hits.join(a, "left_id").join(b, "row_idx")
-    length = lambda x, y: F.when((x == "") | (y == ""), 0.0).otherwise(2.0 * F.least(F.length(x), F.length(y)) / (F.length(x) + F.length(y)))
-    possible = combined(length(F.col("s"), F.col("p")), length(F.col("d"), F.col("c")), si, di) >= threshold
-    bounded = combined(similarity_bound(F.col("s"), F.col("p")), similarity_bound(F.col("d"), F.col("c")), si, di) >= threshold
-    no_hit = a.join(hits.select("left_id").distinct(), "left_id", "left_anti").withColumn("s", F.coalesce("s", F.lit(""))).withColumn("d", F.coalesce("d", F.lit("")))
-    names_only = name_pairs(no_hit.filter("s = ''"), b, 2 * threshold - 0.15).filter(possible & bounded)
-    others = checked_broadcast(b).join(no_hit.filter("s <> ''"), possible & bounded)
-    fuzzy = names_only.unionByName(others).withColumn("id_hits", F.lit(0).cast("long"))
-    names = ["left_id", "row_idx", "id_hits", "s", "d", "p", "c"]
-    scored = hit_pairs.select(names).unionByName(fuzzy.select(names)).withColumn("score", combined(similarity("s", "p"), similarity("d", "c"), si, di))
-    ok = scored.filter((F.col("id_hits") > 0) | (F.col("score") >= threshold))
-    best = ok.withColumn("rank_", F.row_number().over(Window.partitionBy("left_id").orderBy(F.desc("id_hits"), F.desc("score"), "row_idx")))
+    text = lambda x: F.coalesce(T.normalize(F.col(x)), F.lit(""))
+    a = left.select("left_id", text("substation").alias("s"), text("developer").alias("d"))
+    b = rows.select("row_idx", text("pooling_station").alias("p"), text("connectivity_applicant").alias("c"))
+    s, d, p, c = (F.col(x) for x in "sdpc")
+    score = combined(similarity("s", "p"), similarity("d", "c"), holds(s, p), holds(d, c))
+    found = hits.join(a, "left_id").join(b, "row_idx").select("left_id", "row_idx", "id_hits", score.alias("score"))
+    open_ = staged(a.join(hits.select("left_id").distinct(), "left_id", "left_anti"))
+    b = staged(b)
+    for least in [x for x in SCORES if x > threshold] + [threshold]:
+        pairs = reaching(open_, b, least).select("left_id", "row_idx", F.lit(0).cast("long").alias("id_hits"), score.alias("score")).filter(F.col("score") >= least)
+        pairs = staged(pairs)
+        open_ = staged(open_.join(pairs.select("left_id").distinct(), "left_id", "left_anti"))
+        found = found.unionByName(pairs)
+    best = found.withColumn("rank_", F.row_number().over(Window.partitionBy("left_id").orderBy(F.desc("id_hits"), F.desc("score"), "row_idx")))
     return best.filter("rank_ = 1").select("left_id", "row_idx", "id_hits", "score")
 
 

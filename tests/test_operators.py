@@ -141,9 +141,10 @@ def test_coordination_layer_equals_plain_python(spark):
     rng = random.Random(9)
     w = ["alpha", "beta", "gamma", "power", "solar", "aab", "ltd"]
     mk = lambda: " ".join(rng.choice(w) for _ in range(rng.randint(1, 4)))
-    records = [("" if i % 3 == 0 else str(9_000_000 + i), mk()) for i in range(60)] + [("1200001", "alpha"), ("7777777", "")]
-    rows = [(i, mk() + (" (1200001)" if i in (4, 7) else ""), f"PS-{i}", "", "Effective") for i in range(40)]
-    left = spark.createDataFrame(records, "application_id string, name_of_applicant string")
+    place = lambda: rng.choice(["", "N/A", "#~", f"PS-{rng.randint(1, 40)}", mk()])
+    records = [("" if i % 3 == 0 else str(9_000_000 + i), mk(), place()) for i in range(90)] + [("1200001", "alpha", "beta"), ("7777777", "", ""), ("", "", "PS-7"), ("", "", "")]
+    rows = [(i, mk() + (" (1200001)" if i in (4, 7) else ""), rng.choice([f"PS-{i}", mk(), ""]), "", "Effective") for i in range(40)]
+    left = spark.createDataFrame(records, "application_id string, name_of_applicant string, substation string")
     right = spark.createDataFrame(rows, "row_idx int, connectivity_applicant string, pooling_station string, schedule_text string, status_text string")
     got = {r.left_id: (r.row_idx, r.id_hits) for r in jobs.coordination_layer(left, right).collect()}
 
@@ -151,15 +152,28 @@ def test_coordination_layer_equals_plain_python(spark):
         s = difflib.SequenceMatcher(None, a, b).ratio() if a and b else 0.0
         return min(1.0, s + (0.15 if a and b and (a in b or b in a) else 0.0))
 
-    norm = {x: r.n for x in {n for _, n in records} | {r[1] for r in rows} for r in [spark.createDataFrame([(x,)], "x string").select(T.normalize(F.col("x")).alias("n")).first()]}
+    norm = {x: r.n for x in {n for _, *both in records for n in both} | {n for r in rows for n in r[1:3]} for r in [spark.createDataFrame([(x,)], "x string").select(T.normalize(F.col("x")).alias("n")).first()]}
     unknown = 0
-    for id_, name in set(records):
+    for id_, name, sub in set(records) - {("", "", "")}:
         hit = [r for r in rows if id_ and id_ in r[1]]
-        pool = [(0.5 * one(norm[name], norm[r[1]]), -r[0]) for r in hit or rows]
-        best = max((x for x in pool if hit or x[0] >= 0.45 - 1e-12), default=None)
-        assert got[f"{id_}|{name}"] == ((None, None) if best is None else (-best[1], len(hit) and 1)), (id_, name)
+        pool = [(0.5 * one(norm[sub], norm[r[2]]) + 0.5 * one(norm[name], norm[r[1]]), -r[0]) for r in hit or rows]
+        best = max((x for x in pool if hit or x[0] >= 0.45), default=None)
+        assert got[f"{id_}|{name}|{sub}"] == ((None, None) if best is None else (-best[1], len(hit) and 1)), (id_, name, sub)
         unknown += bool(id_ and not hit and best)
-    assert unknown > 3
+    assert unknown > 3 and len(got) == len(set(records)) - 1
+
+
+def test_similar_names_lose_no_pair_and_plan_no_nested_loop(spark):
+    rng = random.Random(4)
+    mk = lambda: "".join(rng.choice("aabcd 12") for _ in range(rng.randint(1, 14))).strip()
+    left, right = sorted({mk() for _ in range(70)} | {""}), sorted({mk() for _ in range(70)} | {""})
+    a, b = spark.createDataFrame([(x,) for x in left], "d string"), spark.createDataFrame([(x,) for x in right], "c string")
+    for ratio in (0.3, 0.5, 0.65, 0.9):
+        out = J.similar_names(a, b, ratio)
+        got = {tuple(r) for r in out.collect()}
+        assert {(x, y) for x in left for y in right if x and y and difflib.SequenceMatcher(None, x, y).ratio() >= ratio} <= got
+        plan = out._jdf.queryExecution().toString()
+        assert "NestedLoop" not in plan and "Cartesian" not in plan
 
 
 def test_scan_of_all_pages_has_no_cap(spark, tmp_path):
