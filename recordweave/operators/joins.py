@@ -84,11 +84,18 @@ def similarity(a: pd.Series, b: pd.Series) -> pd.Series:
     return pd.Series([difflib.SequenceMatcher(None, x, y).ratio() if x and y else 0.0 for x, y in zip(a, b)], dtype=float)
 
 
-def similarity_bound(a: Column, b: Column) -> Column:
-    """No ratio exceeds this: twice the shared characters, counted by character, over both lengths."""
-    chars = lambda c: F.split(c, "")
-    shared = F.aggregate(F.array_distinct(chars(a)), F.lit(0), lambda acc, x: acc + F.least(F.length(a) - F.length(F.replace(a, x, F.lit(""))), F.length(b) - F.length(F.replace(b, x, F.lit("")))))
-    return F.when((a == "") | (b == ""), 0.0).otherwise(2.0 * shared / (F.length(a) + F.length(b)))
+def numbered(x: Column) -> Column:
+    """The characters of x as numbers, each with the number of its occurrence: what two texts share is what both lists have."""
+    chars = F.array_sort(F.filter(F.split(x, ""), lambda ch: ch != ""))
+    return F.transform(chars, lambda ch, i: (F.ascii(ch) * 1024 + F.least(i - F.array_position(chars, ch) + 1, F.lit(1023))).cast("int"))
+
+
+def similarity_bound(a: Column, b: Column, shared: Column | None = None) -> Column:
+    """No ratio exceeds this: twice the shared characters over both lengths; `shared` if it is known."""
+    if shared is None:
+        shared = F.size(F.array_intersect(numbered(a), numbered(b)))
+    # occurrences beyond the 1,023rd count as one, so very long texts have no bound below 1
+    return F.when((a == "") | (b == ""), 0.0).when(F.greatest(F.length(a), F.length(b)) > 1023, 1.0).otherwise(2.0 * shared / (F.length(a) + F.length(b)))
 
 
 def combined(sub: Column, dev: Column, sub_in: Column, dev_in: Column) -> Column:
@@ -96,12 +103,6 @@ def combined(sub: Column, dev: Column, sub_in: Column, dev_in: Column) -> Column
     return 0.5 * bonus(sub, sub_in) + 0.5 * bonus(dev, dev_in)
 
 
-def numbered(x: Column) -> Column:
-    """The characters of x, each with the number of its occurrence: what two texts share is what both lists have."""
-    chars = F.array_sort(F.filter(F.split(x, ""), lambda ch: ch != ""))
-    return F.transform(chars, lambda ch, i: F.concat(ch, (i - F.array_position(chars, ch) + 1).cast("string")))
-
-
 def similar_names(left: DataFrame, right: DataFrame, ratio: float) -> DataFrame:
     """(d, c): all pairs of distinct names whose similarity can reach `ratio` (over 0), by an equi-join.
 
@@ -128,7 +129,7 @@ def similar_names(left: DataFrame, right: DataFrame, ratio: float) -> DataFrame:
 
 
 #: Scores that best matches are looked for at, from the highest down; each record is done with the first that gives it one.
-SCORES = (0.8, 0.65, 0.55)
+SCORES = (0.75, 0.6)
 BONUS = 0.15
 
 
@@ -138,15 +139,15 @@ def holds(x: Column, y: Column) -> Column:
 
 
 def reaching(open_: DataFrame, rows: DataFrame, score: float) -> DataFrame:
-    """open_ (left_id, s, d) with rows (row_idx, p, c): all pairs whose score can reach `score`.
+    """open_ (left_id, s, d) with rows (row_idx, p, c), all with characters (s_ and so on): all pairs whose score can reach `score`.
 
     A score is the mean of two parts, so one part reaches it, and reaches twice as much where the other text of the
     record is empty or shares no character with any row. A part is a ratio and the bonus.
     """
 
     def by(part: str, name: str, other: str, theirs: str) -> DataFrame:
-        known = rows.select(F.explode(numbered(F.col(theirs))).alias("token")).distinct()
-        texts = open_.filter(F.col(other) != "").select(other).distinct().select(other, F.explode(numbered(F.col(other))).alias("token"))
+        known = rows.select(F.explode(f"{theirs}_").alias("token")).distinct()
+        texts = open_.select(other, F.explode(f"{other}_").alias("token"))
         counts = texts.join(known, "token", "left_semi").select(other).distinct()
         sides = [(open_.join(counts, other, "left_semi"), score)]
         if 2 * score <= 1:
@@ -160,7 +161,8 @@ def reaching(open_: DataFrame, rows: DataFrame, score: float) -> DataFrame:
 
     s, d, p, c = (F.col(x) for x in "sdpc")
     either = by("s", "p", "d", "c").unionByName(by("d", "c", "s", "p"))
-    bound = combined(similarity_bound(s, p), similarity_bound(d, c), holds(s, p), holds(d, c))
+    shared = lambda x, y: F.size(F.array_intersect(F.col(f"{x}_"), F.col(f"{y}_")))
+    bound = combined(similarity_bound(s, p, shared("s", "p")), similarity_bound(d, c, shared("d", "c")), holds(s, p), holds(d, c))
     return either.filter(bound >= score - 1e-9).dropDuplicates(["left_id", "row_idx"])
 
 
@@ -177,8 +179,9 @@ def best_match(left: DataFrame, rows: DataFrame, hits: DataFrame, threshold: flo
     s, d, p, c = (F.col(x) for x in "sdpc")
     score = combined(similarity("s", "p"), similarity("d", "c"), holds(s, p), holds(d, c))
     found = hits.join(a, "left_id").join(b, "row_idx").select("left_id", "row_idx", "id_hits", score.alias("score"))
-    open_ = staged(a.join(hits.select("left_id").distinct(), "left_id", "left_anti"))
-    b = staged(b)
+    with_characters = lambda df, names: staged(df.withColumns({f"{n}_": numbered(F.col(n)) for n in names}))
+    open_ = with_characters(a.join(hits.select("left_id").distinct(), "left_id", "left_anti"), "sd")
+    b = with_characters(b, "pc")
     for least in [x for x in SCORES if x > threshold] + [threshold]:
         pairs = reaching(open_, b, least).select("left_id", "row_idx", F.lit(0).cast("long").alias("id_hits"), score.alias("score")).filter(F.col("score") >= least)
         pairs = staged(pairs)
