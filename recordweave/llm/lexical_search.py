@@ -32,8 +32,9 @@ from recordweave.llm.common import planes, stage, table, trim, unplaned
 #: Bytes of terms stay (A-Z lower-cased), others become blanks; bytes of characters beyond ASCII are parts of terms.
 TERMS = bytes(b if b >= 0x80 or chr(b) in "0123456789abcdefghijklmnopqrstuvwxyz" else b + 32 if 65 <= b <= 90 else 32 for b in range(256))
 #: A block ends with the document that brings it to so many documents or grid points.
-BLOCK_DOCS = 1 << 12
-BLOCK_POINTS = 1 << 20
+BLOCK_DOCS = 1 << 11
+BLOCK_POINTS = 1 << 19
+POSTINGS = ["terms", "doc_ids", "sizes", "df", "column", "tf"]
 #: Items that are sent to the tasks at a time.
 ITEMS_AT_ONCE = 2000
 #: Ranges of documents that are opened at a time.
@@ -190,8 +191,8 @@ def impacts(tf: np.ndarray, size: np.ndarray, n: int, total: int) -> np.ndarray:
     return 1_000_000_000 * tf // (1000 * tf + 12 * m)
 
 
-def index(dealt: DataFrame, n: int, total: int) -> DataFrame:
-    """(terms, doc_ids, height, masks, less) of each block: its treap over the impacts, which follow from n and total."""
+def builder(n: int, total: int):
+    """A function from batches of blocks to batches of their treaps over impacts, which follow from n and total."""
 
     def build(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
@@ -203,7 +204,12 @@ def index(dealt: DataFrame, n: int, total: int) -> DataFrame:
                 yield pa.RecordBatch.from_arrays([one_list(terms.values), pa.array([ids.tobytes()], pa.binary()), pa.array([treap.height], pa.int32()), *[pa.array([x], pa.binary()) for x in packed]], ["terms", "doc_ids", "height", "masks", "less"])
         trim()
 
-    return dealt.select("terms", "doc_ids", "sizes", "df", "column", "tf").mapInArrow(build, "terms array<binary>, doc_ids binary, height int, masks binary, less binary")
+    return build
+
+
+def index(dealt: DataFrame, n: int, total: int) -> DataFrame:
+    """(terms, doc_ids, height, masks, less) of each block: an index to be written, for `searcher`."""
+    return dealt.select(POSTINGS).mapInArrow(builder(n, total), "terms array<binary>, doc_ids binary, height int, masks binary, less binary")
 
 
 # --- search ---------------------------------------------------------------------------------------------------------
@@ -266,8 +272,8 @@ def descend(treap: Treap, ids: np.ndarray, rows: np.ndarray, weight: np.ndarray,
             wait.append((level + 1, begin[keep], bound[keep], below[keep]))
 
 
-def search(indexed: DataFrame, queries: dict[int, dict[bytes, int]], most: int = 20) -> DataFrame:
-    """(item, doc_id, score): the best documents of each item in each task's blocks; queries are weights of terms."""
+def searcher(queries: dict[int, dict[bytes, int]], most: int):
+    """A function from batches of treaps to (item, doc_id, score): each item's best documents in them; queries are weights of terms."""
 
     def look(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         best = {item: Best(most) for item in queries}
@@ -288,7 +294,21 @@ def search(indexed: DataFrame, queries: dict[int, dict[bytes, int]], most: int =
                 yield pa.RecordBatch.from_arrays([pa.array(np.full(len(x.score), item)), pa.array(x.doc_id), pa.array(x.score)], ["item", "doc_id", "score"])
         trim()
 
-    return indexed.mapInArrow(look, "item long, doc_id long, score long")
+    return look
+
+
+FOUND = "item long, doc_id long, score long"
+
+
+def search(dealt: DataFrame, n: int, total: int, queries: dict[int, dict[bytes, int]], most: int) -> DataFrame:
+    """The best documents in each task's blocks, whose treaps are built one at a time and searched at once."""
+    build, look = builder(n, total), searcher(queries, most)
+    return dealt.select(POSTINGS).mapInArrow(lambda batches: look(build(batches)), FOUND)
+
+
+def search_index(indexed: DataFrame, queries: dict[int, dict[bytes, int]], most: int) -> DataFrame:
+    """The same over a written index."""
+    return indexed.mapInArrow(searcher(queries, most), FOUND)
 
 
 def item_terms(items: DataFrame) -> DataFrame:
@@ -305,7 +325,7 @@ def item_terms(items: DataFrame) -> DataFrame:
 def ranked(docs: DataFrame, items: DataFrame, most: int = 20) -> DataFrame:
     """(item_id, rank, doc_id, score): each item's best documents.
 
-    Items go to the tasks in groups of ITEMS_AT_ONCE, so what is sent is bounded; documents are indexed once.
+    Items go to the tasks in groups of ITEMS_AT_ONCE, so what is sent is bounded; documents are cut into terms once.
     """
     dealt = stage(blocks(docs), "blocks")
     n, total = totals(dealt)
@@ -315,9 +335,9 @@ def ranked(docs: DataFrame, items: DataFrame, most: int = 20) -> DataFrame:
     df = counts.join(asked.select("term").distinct(), "term", "left_semi").groupBy("term").agg(F.sum("df").alias("df"))
     weighed = asked.join(df, "term").withColumn("weight", weight).filter("weight > 0 and item_id is not null")
     weighed = stage(weighed.groupBy("item_id").agg(F.collect_list(F.struct("term", "weight")).alias("terms")), "weights")
-    indexed, found = stage(index(dealt, n, total), "treaps"), None
+    found = None
     for batch in batched(weighed):
-        part = search(indexed, batch, most)
+        part = search(dealt, n, total, batch, most)
         found = part if found is None else found.unionByName(part)
     if found is None:
         return items.sparkSession.createDataFrame([], "item_id long, rank int, doc_id long, score long")
