@@ -218,6 +218,16 @@ def best_voltage(found: Column) -> Column:
     return F.concat(F.get(ranked, 0)["v"], F.lit(" kV"))
 
 
+#: The cells of a row that are searched for a voltage, in this order.
+VOLTAGE_CELLS = ("substation_raw", "location_raw", "developer_raw", "mode_raw", "nature_raw", "type_raw")
+
+
+def voltage_of_row(own: Column, cells: list[Column]) -> Column:
+    """The first voltage of the row's own value, else the best one that its cells name."""
+    first = F.concat(F.get(voltages_in(own), 0), F.lit(" kV"))
+    return F.coalesce(first, best_voltage(voltages_in(F.concat_ws(" ", *cells))))
+
+
 def to_string(c: Column) -> Column:
     v = F.trim(F.translate(c, "\n", " "))
     return F.when(~v.isin("", "N/A", "null"), v)

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from recordweave.sources.staging import staged
+
 
 def first_per(df: DataFrame, key: list, order: list) -> DataFrame:
     """One row for each key: the first in the given order."""
@@ -60,6 +62,25 @@ def ordinal(by: list, order: list) -> Column:
     return F.lpad(F.row_number().over(Window.partitionBy(*by).orderBy(*order)).cast("string"), 2, "0")
 
 
+def in_ranges(df: DataFrame, keys: list, rows: int = 20_000) -> DataFrame:
+    """df dealt by range of the keys into parts of about `rows` rows, written with its part (`part_`) and place (`seq_`)."""
+    width = max(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-df.count() // rows))
+    dealt = df.repartitionByRange(width, *keys).sortWithinPartitions(*keys)
+    return staged(dealt.withColumns({"part_": F.spark_partition_id(), "seq_": F.monotonically_increasing_id()}))
+
+
+def global_number(df: DataFrame, group: list[str], order: list[str], name: str = "n") -> DataFrame:
+    """df with 1, 2, .. in each group, or in all rows without one, by an order that tells rows apart.
+
+    No window holds a whole group: rows are numbered within ranges, and the counts of the ranges before are added.
+    """
+    dealt = in_ranges(df, [*group, *order])
+    own = F.row_number().over(Window.partitionBy(*group, "part_").orderBy("seq_"))
+    counts = dealt.groupBy(*group, "part_").agg(F.count("*").alias("rows_"))
+    before = counts.withColumn("before_", F.sum("rows_").over(Window.partitionBy(*group).orderBy("part_")) - F.col("rows_")).drop("rows_")
+    return dealt.withColumn("own_", own).join(before, [*group, "part_"]).withColumn(name, F.col("own_") + F.col("before_")).drop("own_", "before_", "part_", "seq_")
+
+
 def collision_name(name: str, order: list) -> Column:
     """The second and further rows of a name get -2, -3, .. before the extension."""
     k = F.row_number().over(Window.partitionBy(name).orderBy(*order))

@@ -14,7 +14,8 @@ c = F.col
 #: Cells of a substation that later rows of its group inherit, and those of each voltage.
 HEADER = ["sl_no", "name_of_substation", "substation_coordinates", "region", "capacity_planned_mva", "capacity_existing_mva", "capacity_under_implementation_mva"]
 VOLTAGE_CELLS = ["bay_no", "quantum", "name_of_entity", "margin_bay_no", "margin"]
-CELLS = HEADER + [f"{x}_{v}kv" for v in ("220", "400") for x in VOLTAGE_CELLS]
+BY_VOLTAGE = [f"{x}_{v}kv" for v in ("220", "400") for x in VOLTAGE_CELLS]
+CELLS = HEADER + BY_VOLTAGE + ["space_provision_220kv", "space_provision_400kv", "remarks"]
 PAGE, ORDER = ["source_pdf", "page_number"], ["row_idx"]
 TARGET_HEADERS = ("sl", "substation", "coordinates", "bay", "entity", "margin")
 
@@ -53,14 +54,26 @@ def is_inline_header(row: Column) -> Column:
 
 
 def is_target_table(header: Column, least: int = 3) -> Column:
-    low = F.lower(header)
-    return sum((low.contains(h).cast("int") for h in TARGET_HEADERS), F.lit(0)) >= least
+    """Whether a header has enough of the words, with or without what stands between its letters."""
+    low, tight = F.lower(header), T.compact(header)
+    return sum(((low.contains(h) | tight.contains(h)).cast("int") for h in TARGET_HEADERS), F.lit(0)) >= least
+
+
+def first_target_tables(rows: DataFrame, by: list[str], leading: int = 3) -> DataFrame:
+    """Per page the first table, of two rows or more, whose leading rows together are a target header.
+
+    rows: `by`, table_no, row_idx (from 0 in a table), cells (array). Only leading rows are gathered.
+    """
+    table = [*by, "table_no"]
+    head = F.array_sort(F.collect_list(F.when(c("row_idx") < leading, F.struct("row_idx", F.array_join(F.transform("cells", T.squeeze), " ").alias("text")))))
+    tables = rows.groupBy(*table).agg(F.array_join(F.transform(head, lambda x: x["text"]), " ").alias("header"), F.count("*").alias("n_rows"))
+    return tables.filter((c("n_rows") >= 2) & is_target_table(c("header"))).groupBy(*by).agg(F.min_by(F.struct("table_no", "n_rows"), "table_no").alias("t")).select(*by, "t.*")
 
 
 def has_data() -> Column:
     """Whether any of the ten cells of both voltages is filled; a section's name in a bay cell is no bay."""
     shown = lambda x: F.when(is_section_text(c(x)), F.lit("")).otherwise(c(x)) if x.startswith("bay_no") else c(x)
-    return J.any_of([F.coalesce(F.trim(shown(x)) != "", F.lit(False)) for x in CELLS[len(HEADER) :]])
+    return J.any_of([F.coalesce(F.trim(shown(x)) != "", F.lit(False)) for x in BY_VOLTAGE])
 
 
 def starts_group() -> Column:
@@ -87,9 +100,9 @@ def entries(parsed: DataFrame) -> DataFrame:
     def side(v: str) -> Column:
         of = lambda x: c(f"{x}_{v}kv")
         bay = F.when(is_section_text(of("bay_no")), F.lit("")).otherwise(of("bay_no"))
-        return F.struct(F.lit(f"{v}kv").alias("voltage_key"), F.lit(f"{v} kV").alias("voltage"), bay.alias("bay_no"), of("quantum").alias("connectivity_quantum_mw"), of("name_of_entity").alias("entity_name"), of("margin_bay_no").alias("margin_bay_no"), of("margin").alias("margin_available_mw"))
+        return F.struct(F.lit(f"{v}kv").alias("voltage_key"), F.lit(f"{v} kV").alias("voltage"), bay.alias("bay_no"), of("quantum").alias("connectivity_quantum_mw"), of("name_of_entity").alias("entity_name"), of("margin_bay_no").alias("margin_bay_no"), of("margin").alias("margin_available_mw"), of("space_provision").alias("space_provision"))
 
-    held = [c(f"{x}_filled").alias(x) for x in ("name_of_substation", "substation_coordinates", "region", "sl_no")]
+    held = [*[c(f"{x}_filled").alias(x) for x in ("name_of_substation", "substation_coordinates", "region", "sl_no")], c("remarks")]
     out = parsed.filter(has_data()).withColumn("e", F.explode(F.array(side("220"), side("400")))).select(*PAGE, "row_idx", "group_no", "section", *held, "e.*").filter("bay_no <> ''")
     search = F.struct(c("entity_name").alias("entity"), c("name_of_substation").alias("substation"), c("substation_coordinates").alias("coordinates"), "voltage", "connectivity_quantum_mw", "bay_no")
     return out.withColumns({"entities": entities(c("entity_name")), "search_fields": search})

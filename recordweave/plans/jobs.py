@@ -5,6 +5,7 @@ from __future__ import annotations
 import re
 from collections import Counter
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -135,17 +136,22 @@ def match_statistics(m: DataFrame) -> DataFrame:
     return m.groupBy(F.coalesce("match_source", F.lit("unmatched")).alias("match_source")).agg(F.count("*").alias("n_rows"))
 
 
-def job_statistics(m: DataFrame) -> DataFrame:
-    """One row of the mapping job's counters: rows by match, dates updated, kept or missing, capacities computed or skipped."""
+def job_counters() -> list[Column]:
+    """The mapping job's counters: rows by match, dates updated, kept or missing, capacities computed or skipped."""
     base, theirs = V.parse_date(c("op_date_raw")), V.parse_date(c("expected_date_raw"))
     matched = c("match_source").isNotNull()
     some = J.any_of([c(x).isNotNull() for x in ("solar", "wind", "hydro", "hybrid")])
     n = lambda x, name: F.count_if(F.coalesce(x, F.lit(False))).alias(name)
-    return m.agg(
+    return [
         *[n(c("match_source") == k, f"matched_{k.lower().replace('.', '')}") for k in ("GNA", "LTA", "5.2")], n(~matched, "unmatched"), F.count("*").alias("total_rows"),
         n(matched & (theirs > F.coalesce(base, F.lit("0001-01-01").cast("date"))), "dates_updated"), n(matched & base.isNotNull() & (theirs.isNull() | (theirs <= base)), "dates_kept"), n(matched & base.isNull() & theirs.isNull(), "no_date"),
         n(matched & some, "computed"), n(~matched, "skipped"),
-    )
+    ]
+
+
+def job_statistics(m: DataFrame) -> DataFrame:
+    """One row of the mapping job's counters."""
+    return m.agg(*job_counters())
 
 
 def mapping(apps: DataFrame, rows: DataFrame, as_of: Column) -> DataFrame:
@@ -235,38 +241,79 @@ def page_voltage(texts: pd.Series) -> pd.Series:
     return texts.map(voltage_near_context)
 
 
-def document_chunks(pages: DataFrame, most: int = 10_000) -> DataFrame:
-    """(source_pdf, chunk_no, first_page, chunk): pages joined in order into chunks of at most `most` characters.
+def chunk_steps(lengths: np.ndarray, most: int) -> pd.DataFrame:
+    """What pages of these lengths make of an open chunk: for sizes up to `upto` (ascending), the size that is open at
+    their end and how many chunks were closed on the way.
 
-    A chunk closes when one more page would pass `most`. Sorted pages stream by with one open chunk held; a document
-    is walked by one task, however long it is.
+    A chunk of size s is first cut before the page that brings it over `most`; from there on s no longer matters. So
+    there is one step for each page that can be the first cut, and neighbours that end alike are one step.
     """
+    m, total = len(lengths), np.r_[0, np.cumsum(lengths)]
+    # next_[j]: the page that closes a chunk begun with page j, m if none does; empty chunks are never closed
+    over, some = np.searchsorted(total[1:], total[:-1] + most, "right"), np.searchsorted(total, total[:-1], "right")
+    next_ = np.minimum(np.maximum(over, some), m)
+    open_, closed = np.zeros(m + 1, np.int64), np.zeros(m + 1, np.int64)
+    for j in range(m - 1, -1, -1):
+        k = next_[j]
+        open_[j], closed[j] = (total[m] - total[j], 0) if k == m else (open_[k], closed[k] + 1)
+    # s > 0 is cut at page j where most - total[j + 1] < s <= most - total[j]; where s passes all pages it grows by them
+    rows = [(0, int(open_[0]), int(closed[0]), False)] + ([(most - int(total[m]), int(total[m]), 0, True)] if total[m] < most else [])
+    for j in range(m - 1, -1, -1):
+        upto = most - int(total[j]) if j else 1 << 62
+        if upto > max(0, most - int(total[j + 1])):
+            rows.append((upto, int(open_[j]), int(closed[j]) + 1, False))
+    out = pd.DataFrame(rows, columns=["upto", "open", "closed", "grows"])
+    like_next = (out[["open", "closed", "grows"]] == out[["open", "closed", "grows"]].shift(-1)).all(axis=1) & (out["upto"] > 0)
+    return out[~like_next]
+
+
+def document_chunks(pages: DataFrame, most: int = 10_000, rows: int = 20_000) -> DataFrame:
+    """(source_pdf, chunk_no, first_page, chunk): pages joined in order into chunks of at most `most` characters.
 
-    def walk(batches):
-        doc, no, first, parts, size, seen = None, 0, None, [], 0, False
-        for b in batches:
-            out = []
-            for d, page, text in zip(b.source_pdf, b.page_number, b.text):
-                text = text or ""
-                if seen and d != doc or size and size + len(text) > most:
-                    if size:
-                        out.append((doc, no, first, "".join(parts)))
-                        no += 1
-                    parts, size = [], 0
-                if not seen or d != doc:
-                    doc, no, seen = d, 0, True
-                if not size:
-                    first = page
-                parts.append(text)
-                size += len(text)
-            yield pd.DataFrame(out, columns=["source_pdf", "chunk_no", "first_page", "chunk"])
-        if size:
-            yield pd.DataFrame([(doc, no, first, "".join(parts))], columns=["source_pdf", "chunk_no", "first_page", "chunk"])
-
-    width = int(pages.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    dealt = pages.select("source_pdf", c("page_number").cast("long").alias("page_number"), "text").repartition(width, "source_pdf")
-    ordered = dealt.sortWithinPartitions("source_pdf", "page_number", "text")
-    return ordered.mapInPandas(walk, "source_pdf string, chunk_no int, first_page long, chunk string")
+    A chunk closes when one more page would pass `most`. Pages are dealt by range, so a long document is walked by many
+    tasks: each range of pages first tells what it makes of a chunk that is open at its start (chunk_steps), the steps
+    of a document's ranges are followed one after another, and then all ranges are walked with the chunk that is open.
+    """
+    cut = R.in_ranges(pages.select("source_pdf", c("page_number").cast("long").alias("page_number"), F.coalesce("text", F.lit("")).alias("text")), ["source_pdf", "page_number", "text"], rows)
+
+    def steps(group: pd.DataFrame) -> pd.DataFrame:
+        group = group.sort_values("seq_")
+        return chunk_steps(group["size"].to_numpy(), most).assign(source_pdf=group["source_pdf"].iloc[0], part_=group["part_"].iloc[0])
+
+    def follow(group: pd.DataFrame) -> pd.DataFrame:
+        size = no = 0
+        out = []
+        for part, step in group.sort_values(["part_", "upto"]).groupby("part_"):
+            out.append((group["source_pdf"].iloc[0], part, size, no))
+            at = step.iloc[int(np.searchsorted(step["upto"].to_numpy(), size))]
+            size, no = (size + int(at["open"]) if at["grows"] else int(at["open"])), no + int(at["closed"])
+        return pd.DataFrame(out, columns=["source_pdf", "part_", "size", "no"])
+
+    def walk(group: pd.DataFrame) -> pd.DataFrame:
+        group = group.sort_values("seq_")
+        size, no, out = int(group["size"].iloc[0]), int(group["no"].iloc[0]), []
+        doc, part = group["source_pdf"].iloc[0], group["part_"].iloc[0]
+        first, parts = None, []
+        for page, text in zip(group["page_number"], group["text"]):
+            if size and size + len(text) > most:
+                out.append((doc, no, part, first, "".join(parts)))
+                size, no, first, parts = 0, no + 1, None, []
+            if not size:
+                first = page
+            parts.append(text)
+            size += len(text)
+        out.append((doc, no, part, first, "".join(parts)))
+        return pd.DataFrame(out, columns=["source_pdf", "chunk_no", "part_", "first_page", "text"]).astype({"first_page": "Int64"})
+
+    by = ["source_pdf", "part_"]
+    made = cut.select(*by, "seq_", F.length("text").cast("long").alias("size")).groupBy(*by).applyInPandas(steps, "upto long, open long, closed long, grows boolean, source_pdf string, part_ int")
+    states = made.groupBy("source_pdf").applyInPandas(follow, "source_pdf string, part_ int, size long, no int")
+    pieces = cut.join(states, by).groupBy(*by).applyInPandas(walk, "source_pdf string, chunk_no int, part_ int, first_page long, text string")
+    # a chunk that spans ranges is put together; only where its first filled page is, it has a first page that counts
+    parts = F.array_sort(F.collect_list(F.struct("part_", "text")))
+    chunk = F.array_join(F.transform(parts, lambda x: x["text"]), "")
+    first = F.min_by("first_page", F.struct((F.length("text") == 0), F.col("part_")))
+    return pieces.groupBy("source_pdf", "chunk_no").agg(first.alias("first_page"), chunk.alias("chunk")).filter("chunk <> ''").select("source_pdf", "chunk_no", "first_page", "chunk")
 
 
 # --- stored answers -------------------------------------------------------------------------------------------------

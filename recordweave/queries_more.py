@@ -21,9 +21,9 @@ from recordweave.streaming import incremental
 c = F.col
 _SECTION = "regexp_matches(bay_no_220kv, '(?i)^section[\\s\\-]*[a-z]')"
 _FILLED = f"len(list_filter([{', '.join(B.CELLS)}], lambda x: x <> ''))"
-_DATA = f"((CASE WHEN {_SECTION} THEN '' ELSE bay_no_220kv END) <> '' OR {' OR '.join(f"{x} <> ''" for x in B.CELLS if x.endswith('kv') and x != 'bay_no_220kv')})"
+_DATA = f"((CASE WHEN {_SECTION} THEN '' ELSE bay_no_220kv END) <> '' OR {' OR '.join(f"{x} <> ''" for x in B.BY_VOLTAGE if x != 'bay_no_220kv')})"
 _HELD = ", ".join(f"first_value(nullif({x}, '') IGNORE NULLS) OVER w AS {x}" for x in B.HEADER)
-_SIDE = "SELECT source_pdf, page_number, row_idx, group_no, section, name_of_substation, substation_coordinates, region, sl_no, '{v}kv' AS voltage_key, {bay} AS bay_no, quantum_{v}kv AS connectivity_quantum_mw, name_of_entity_{v}kv AS entity_name, margin_bay_no_{v}kv AS margin_bay_no, margin_{v}kv AS margin_available_mw FROM p WHERE {data}"
+_SIDE = "SELECT source_pdf, page_number, row_idx, group_no, section, name_of_substation, substation_coordinates, region, sl_no, '{v}kv' AS voltage_key, {bay} AS bay_no, quantum_{v}kv AS connectivity_quantum_mw, name_of_entity_{v}kv AS entity_name, margin_bay_no_{v}kv AS margin_bay_no, margin_{v}kv AS margin_available_mw, space_provision_{v}kv AS space_provision, remarks FROM p WHERE {data}"
 _PARSED = O.views("bay_cells") + f""", g AS (SELECT *, last_value(CASE WHEN {_SECTION} THEN bay_no_220kv END IGNORE NULLS) OVER w AS section,
   sum(CASE WHEN regexp_matches(sl_no, '^\\d+(?:\\.\\d+)?$') OR (name_of_substation <> '' AND substation_coordinates <> '') THEN 1 ELSE 0 END) OVER w AS group_no FROM bay_cells WINDOW w AS (PARTITION BY source_pdf, page_number ORDER BY row_idx ROWS UNBOUNDED PRECEDING)),
 p AS (SELECT * EXCLUDE ({', '.join(B.HEADER)}), {_HELD} FROM g WINDOW w AS (PARTITION BY source_pdf, page_number, group_no ORDER BY row_idx ROWS UNBOUNDED PRECEDING)),
@@ -36,7 +36,7 @@ columns("f10_f11_f12_f13_row_kinds", "bay_cells", "row_idx", {
     "sub_header": (lambda: B.is_sub_header(B.cells()), "false"), "has_data": (lambda: B.has_data(), _DATA),
 })
 columns("p6_f9_named_cells", "bay_cells", "row_idx", {
-    "first_cell": (lambda: B.named(B.cells(), ["a", "b"])[0], "sl_no"), "fifth": (lambda: B.named(B.cells(), list("abcdefgh"))[4], "capacity_planned_mva"), "beyond": (lambda: B.named(B.cells(), list("abcdefghijklmnopqr"))[17], "''"), "header": (lambda: B.is_inline_header(B.cells()), "false"),
+    "first_cell": (lambda: B.named(B.cells(), ["a", "b"])[0], "sl_no"), "fifth": (lambda: B.named(B.cells(), list("abcdefgh"))[4], "capacity_planned_mva"), "beyond": (lambda: B.named(B.cells(), list("abcdefghijklmnopqrstu"))[20], "''"), "header": (lambda: B.is_inline_header(B.cells()), "false"),
 })
 
 
@@ -56,11 +56,11 @@ def w3(spark, sf):
     return B.parse(A.view(spark, sf, "bay_cells")).select("row_idx", "section", "group_no", c("name_of_substation_filled").alias("name_of_substation"), c("substation_coordinates_filled").alias("substation_coordinates"))
 
 
-@query("p11_e9_allocation_entries", _PARSED + " SELECT row_idx, voltage_key, bay_no, entity_name, section, name_of_substation, connectivity_quantum_mw, margin_bay_no, margin_available_mw, region, sl_no, bay_no || '/' || entity_name AS searched FROM x")
+@query("p11_e9_allocation_entries", _PARSED + " SELECT row_idx, voltage_key, bay_no, entity_name, section, name_of_substation, connectivity_quantum_mw, margin_bay_no, margin_available_mw, space_provision, remarks, region, sl_no, bay_no || '/' || entity_name AS searched FROM x")
 def p11(spark, sf):
     found = B.entries(B.parse(A.view(spark, sf, "bay_cells")))
     searched = F.concat("search_fields.bay_no", F.lit("/"), "search_fields.entity").alias("searched")
-    return found.select("row_idx", "voltage_key", "bay_no", "entity_name", "section", "name_of_substation", "connectivity_quantum_mw", "margin_bay_no", "margin_available_mw", "region", "sl_no", searched)
+    return found.select("row_idx", "voltage_key", "bay_no", "entity_name", "section", "name_of_substation", "connectivity_quantum_mw", "margin_bay_no", "margin_available_mw", "space_provision", "remarks", "region", "sl_no", searched)
 
 
 @query("p10_bay_records", _PARSED + f" SELECT row_idx, section, {', '.join(f'coalesce({x}, {chr(39) * 2}) AS {x}' for x in B.HEADER)}, {', '.join(B.CELLS[len(B.HEADER):])} FROM p WHERE {_DATA}")
@@ -150,6 +150,14 @@ def j8(spark, sf):
     return incremental.run_batch(*_files(spark, sf), ["Minutes"]).select("pdf_name", "pdf_type")
 
 
+@query("j8_pending_of_a_run", _FILES.replace("status = 'completed')", "status = 'completed' AND seq % 5 = 0)") + " SELECT pdf_name, pdf_type FROM f WHERE pdf_name NOT IN (SELECT pdf_name FROM done) AND pdf_type = 'Minutes'")
+def j8_some(spark, sf):
+    """Pending files where only some of all completions are known."""
+    files, _ = _files(spark, sf)
+    known = A.view(spark, sf, "ledger_events").filter("status = 'completed' and seq % 5 = 0").select("pdf_name").distinct()
+    return incremental.run_batch(files, known, ["Minutes"]).select("pdf_name", "pdf_type")
+
+
 @query("j9_completed", _FILES + " SELECT pdf_name, pdf_type FROM f WHERE pdf_name IN (SELECT pdf_name FROM done)")
 def j9(spark, sf):
     return J.completed(*_files(spark, sf), "pdf_name").select("pdf_name", "pdf_type")
@@ -373,3 +381,6 @@ def p7(spark, sf):
     rows = A.view(spark, sf, "table_rows").withColumn("cells", F.split("cells", r"\|"))
     found = H.records(rows, "cells", ["source_pdf"], ["row_idx"])
     return found.select("row_idx", *[c(x) for x in ("application_id", "name_of_applicant", "installed_capacity_mw", "expected_date")])
+
+
+from recordweave import queries_plans  # noqa: E402,F401  registers the rest

@@ -57,7 +57,8 @@ select 'bays' as source_pdf, cast(p_partkey % 20 as int) as page_number, p_partk
   case when p_partkey % 50 < 10 then cast(p_size as string) else '' end as capacity_existing_mva, case when p_partkey % 100 = 3 then '315' else '' end as capacity_under_implementation_mva,
   case when p_size % 5 = 1 then cast(p_size * 10 as string) else '' end as quantum_220kv, case when p_size % 8 = 0 then cast(p_size + 1 as string) else '' end as quantum_400kv,
   case when p_size % 10 = 3 then cast(p_partkey % 9 as string) else '' end as margin_bay_no_220kv, case when p_size % 10 = 3 then '120' else '' end as margin_220kv,
-  case when p_size % 14 = 0 then 'M1' else '' end as margin_bay_no_400kv, case when p_size % 14 < 2 then '60' else '' end as margin_400kv
+  case when p_size % 14 = 0 then 'M1' else '' end as margin_bay_no_400kv, case when p_size % 14 < 2 then '60' else '' end as margin_400kv,
+  case when p_size % 6 = 1 then concat(cast(p_size % 4 as string), ' bays') else '' end as space_provision_220kv, case when p_size % 9 = 2 then 'yes' else '' end as space_provision_400kv, case when p_partkey % 23 = 5 then concat('see note ', cast(p_size as string)) else '' end as remarks
 from {part}
 """
 PAGE_TEXT = """
@@ -82,6 +83,37 @@ select concat('doc', cast(p_partkey % 7 as string)) as source_pdf, p_partkey as
     else concat(cast(p_size as string), '|', cast(1200000000 + p_partkey as string), '|', p_brand, '|', cast(p_partkey % 500 as string), '|', '05-06-2025') end as cells
 from {part}
 """
+#: Tables of pages: some have a target header in their first row or spread over three, some only further down, some none.
+PAGE_TABLES = """
+select 'tables' as source_pdf, page_number, table_no, row_idx,
+  case when (table_no = page_number % 6 or (page_number % 3 = 0 and table_no = (page_number + 1) % 6)) and page_number % 2 = 0 and row_idx = 0 then 'Sl. No.|Name of  Sub-station|Bay No.'
+    when table_no = page_number % 6 and page_number % 2 = 1 and row_idx < 3 then case row_idx when 0 then 'SL NO|' when 1 then 'Sub station|Coordinates' else 'Name of Entity' end
+    when table_no = 4 and row_idx = 3 then 'Sl|Substation|Bay|Margin' else concat('x|', cast(row_idx as string), '|y') end as cells
+from (select cast(p_partkey % 37 as int) as page_number, cast(floor(p_partkey / 37) as int) % 5 as table_no, cast(floor(p_partkey / 185) as int) as row_idx from {part})
+"""
+#: Listings as HTML tables of three rows with one of two headers, made of page numbers.
+LISTED_REGION = "case (page_id + k) % 7 when 0 then 'Northern Region' when 1 then ' southern region' when 2 then 'Western Region' when 3 then 'EASTERN REGION' when 4 then 'North-Eastern Region' when 5 then 'North Eastern Region' else 'All India' end"
+NOTICE_HREF = "concat('/uploads/meeting/n', cast(page_id % 31 as string), '.pdf')"
+AGENDA_FILE = "concat(cast((page_id * 3 + k) % 120 as string), 'th_CMETS-', case k when 0 then 'NR' else 'SR' end, '_agenda_', cast(cast(floor((page_id * 3 + k) / 2) as int) as string), '.PDF')"
+MINUTES_FILE = "concat('Corrigendum ', cast(page_id % 40 as string), ' CMETS ', cast(page_id * 3 + k as string), '.pdf')"
+AGENDA_HREF = f"concat(case when page_id % 5 = 0 then 'https://files.example.org' else '' end, '/uploads/meeting/', {AGENDA_FILE})"
+MINUTES_HREF = f"concat(case k when 2 then '/other/' else '/Uploads/meeting/' end, {MINUTES_FILE})"
+
+
+def _listed_row(k: int) -> str:
+    region, notice, agenda, minutes = (x.replace("+ k", f"+ {k}").replace("case k", f"case {k}") for x in (LISTED_REGION, NOTICE_HREF, AGENDA_HREF, MINUTES_HREF))
+    link = lambda href, label: f"'<a target=\"x\" href=\"', {href}, '\">{label}</a>'"
+    return (
+        f"case page_id % 2 when 0 then concat('<tr class=\"r\"><td>{k}</td><td>m</td><td>d</td><td>', {region}, '</td><td>', {link(notice, 'Notice')}, '</td><td>', {link(agenda, 'Agenda')}, '</td><td><p>', {link(minutes, 'Minutes')}, '</p></td></tr>') "
+        f"else concat('<tr><td>', {region}, '</td><td>', {link(minutes, 'MoM')}, '</td><td>', {link(agenda, 'Agenda')}, '</td><td>', {link(notice, 'Notice')}, '</td></tr>') end"
+    )
+
+
+LISTINGS = f"""
+select page_id, concat('<html><p>Displaying</p><TABLE id="t"><tr>', case page_id % 2 when 0 then '<th>S. No.</th><th>Meeting</th><th>Date</th><th>Region</th><th>Notice</th><th> Agenda </th><th>Minutes</th>'
+  else '<th> <b>Region</b></th><th>MoM</th><th>Agenda document</th><th>Meeting notice</th>' end, '</tr>', {', '.join(_listed_row(k) for k in range(3))}, '</TABLE><table><tr><td>foot</td></tr></table></html>') as html
+from {{pages}}
+"""
 #: Titles and file names of the listings' kinds, made of page numbers.
 MEETING_STEM = """case page_id % 8 when 0 then concat('1700000000123_', cast(page_id % 120 as string), 'th CMETS-NR agenda') when 1 then concat('Revised Agenda for ', cast(page_id % 120 as string), ' CMETS SR')
   when 2 then concat('Minutes_of_', cast(page_id % 120 as string), 'st_cmets_WR') when 3 then concat('Corrigendum to minutes of ', cast(page_id % 120 as string), ' CMETS') when 4 then concat('Annexure II of ', cast(page_id % 120 as string), 'nd CMETS - ER')
@@ -108,6 +140,8 @@ VIEWS = {
     "coordination": (COORDINATION, ("lineitem",)),
     "bay_cells": (BAY_CELLS, ("part",)),
     "table_rows": (TABLE_ROWS, ("part",)),
+    "page_tables": (PAGE_TABLES, ("part",)),
+    "listings": (LISTINGS, ("pages",)),
     "page_text": (PAGE_TEXT, ("documents",)),
     "ledger_events": (LEDGER_EVENTS, ("events",)),
 }

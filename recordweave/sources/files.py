@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from recordweave.operators.ordering import carry_last, group_number
@@ -39,6 +39,28 @@ def write_report(df: DataFrame, path: str, names: dict[str, str] | None = None)
     df.select(*[F.col(x).alias((names or {}).get(x, x)) for x in df.columns]).write.mode("overwrite").option("header", True).csv(path)
 
 
+def read_rows(spark: SparkSession, folder: str, schema: str) -> DataFrame:
+    """Rows of a cache of one folder a document (with the folders' column); lines that are no JSON go."""
+    df = spark.read.schema(schema + ", _corrupt string").option("columnNameOfCorruptRecord", "_corrupt").json(folder)
+    return df.filter("_corrupt is null").drop("_corrupt")
+
+
+def add_to_cache(df: DataFrame, folder: str, by: str = "source_pdf") -> None:
+    """Write the documents that the cache does not hold; those that it holds stay as they are, unread."""
+    held = discover(df.sparkSession, folder, "*.json").select(F.url_decode(F.regexp_extract("path", f"{by}=([^/]*)/", 1)).alias(by)).distinct()
+    write_json_cache(df.join(held, by, "left_anti"), folder, by)
+
+
+def write_observed(records: DataFrame, statistics: list[Column], folder: str, columns: list[str] | None = None) -> DataFrame:
+    """Write records (all columns, or these) and, beside them, statistics taken while they are written: one pass over the data."""
+    seen = Observation()
+    records.observe(seen, *statistics).select(columns or records.columns).write.mode("overwrite").json(f"{folder}/records")
+    names = records.agg(*statistics).schema
+    stats = records.sparkSession.createDataFrame([tuple(seen.get[f.name] for f in names)], names)
+    stats.coalesce(1).write.mode("overwrite").json(f"{folder}/stats")
+    return records.sparkSession.read.schema(names).json(f"{folder}/stats")
+
+
 def write_with_stats(records: DataFrame, stats: DataFrame, folder: str) -> None:
     records.write.mode("overwrite").json(f"{folder}/records")
     stats.write.mode("overwrite").json(f"{folder}/stats")

@@ -60,6 +60,15 @@ def handler_status(events: DataFrame) -> DataFrame:
     return counts.join(n, "handler")
 
 
+def run_totals(events: DataFrame, run: Column) -> DataFrame:
+    """Per run: files first seen in it, files completed, handlers whose exports a completion makes new, and events."""
+    file = F.struct("handler", "pdf_name")
+    first = events.groupBy("handler", "pdf_name").agg(F.min_by(run, c("seq")).alias("run")).groupBy("run").agg(F.count("*").alias("downloaded"))
+    done = c("status") == "completed"
+    own = events.groupBy(run.alias("run")).agg(F.count_distinct(F.when(done, file)).alias("extracted"), F.count_distinct(F.when(done, c("handler"))).alias("exports"), F.count("*").alias("records"))
+    return own.join(first, "run", "left").select("run", F.coalesce("downloaded", F.lit(0)).alias("downloaded"), "extracted", "exports", "records")
+
+
 def table_counts(tables: dict[str, DataFrame]) -> DataFrame:
     out = None
     for name, df in tables.items():

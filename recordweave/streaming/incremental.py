@@ -25,3 +25,13 @@ def stream_records(spark: SparkSession, folder: str, schema: str, sink: str, che
     rows = spark.readStream.schema(schema).json(folder)
     keyed = rows.withColumn("record_key", record_key(rows["gna_id"], rows["lta_id"], rows["handler"], rows["pdf_name"])).withWatermark("ts", delay)
     return keyed.dropDuplicatesWithinWatermark(["record_key"]).writeStream.format("parquet").option("path", sink).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+
+
+def stream_once(spark: SparkSession, folder: str, schema: str, sink: str, checkpoint: str, key: list[str]) -> StreamingQuery:
+    """Append the first record of each key, over all runs: a run takes the files that came since the last one.
+
+    The state store holds every key seen (set the RocksDB provider where keys outgrow executors' memory); where keys
+    repeat only within some time, stream_records drops them after it.
+    """
+    rows = spark.readStream.schema(schema).json(folder)
+    return rows.dropDuplicates(key).writeStream.format("parquet").option("path", sink).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()

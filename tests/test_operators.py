@@ -14,6 +14,7 @@ from recordweave.plans import gates as G
 from recordweave.plans import jobs
 from recordweave.sources import files as S
 from recordweave.sources import ledger as L
+from recordweave.sources import listings
 from recordweave.streaming import incremental
 
 
@@ -235,3 +236,88 @@ def test_ledger_transitions(spark):
     events = L.finished(events, spark.createDataFrame([("h", "b", True), ("h", "c", False)], "handler string, pdf_name string, ok boolean"), "seq")
     got = {r.pdf_name: (r.state, r.events, r.failures, r.is_extracted) for r in L.lifecycle(events, ["handler", "pdf_name"], "seq").collect()}
     assert got == {"a": ("completed", 2, 0, True), "b": ("completed", 2, 0, True), "c": ("failed", 2, 1, False)}
+
+
+def plain_chunks(lengths, most):
+    """(first page, characters) of each chunk, walked page by page."""
+    out, first, size = [], 0, 0
+    for k, n in enumerate(lengths):
+        if size and size + n > most:
+            out.append((first, size))
+            size = 0
+        if not size:
+            first = k
+        size += n
+    return out + [(first, size)] * bool(size)
+
+
+def test_chunks_of_long_documents_are_walked_in_ranges(spark):
+    rng = random.Random(8)
+    docs = {"a": [rng.choice([0, 1, 3, 7, 12, 40]) for _ in range(157)], "b": [0, 0, 0], "c": [25], "d": [rng.randint(0, 9) for _ in range(64)], "e": [0] * 9 + [11] + [0] * 9 + [3]}
+    rows = [(d, k, "x" * n) for d, ns in docs.items() for k, n in enumerate(ns)]
+    pages = spark.createDataFrame(rows + [("f", 0, None)], "source_pdf string, page_number int, text string")
+    for most, part in ((20, 5), (1, 7), (1000, 5), (20, 10_000)):
+        got = {d: [] for d in [*docs, "f"]}
+        for r in jobs.document_chunks(pages, most, part).orderBy("source_pdf", "chunk_no").collect():
+            assert r.chunk_no == len(got[r.source_pdf])
+            got[r.source_pdf].append((r.first_page, len(r.chunk)))
+        assert got == {**{d: plain_chunks(ns, most) for d, ns in docs.items()}, "f": []}
+
+
+def test_global_number_needs_no_window_over_a_group(spark):
+    rows = [("hot" if i % 3 else f"g{i % 5}", (i * 37) % 101, i) for i in range(300)]
+    df = spark.createDataFrame(rows, "g string, o int, i int")
+    for group in ([], ["g"]):
+        got = {r.i: r.n for r in R.global_number(df, group, ["o", "i"]).collect()}
+        want, seen = {}, {}
+        for g, _, i in sorted(rows, key=lambda r: r[1:]):
+            key = g if group else None
+            want[i] = seen[key] = seen.get(key, 0) + 1
+        assert got == want
+    assert R.global_number(df.limit(0), [], ["o"]).count() == 0
+
+
+def test_records_and_statistics_are_written_in_one_pass(spark, tmp_path):
+    df = spark.range(100).withColumn("v", F.col("id") % 7)
+    stats = S.write_observed(df, [F.count("*").alias("n"), F.count_if(F.col("v") == 3).alias("threes"), F.sum("v").alias("total")], str(tmp_path), ["id"])
+    assert [tuple(r) for r in stats.collect()] == [(100, 14, sum(i % 7 for i in range(100)))]
+    assert spark.read.json(str(tmp_path / "records")).columns == ["id"] and spark.read.json(str(tmp_path / "records")).count() == 100
+
+
+def test_cache_keeps_what_it_holds_and_skips_broken_lines(spark, tmp_path):
+    mk = lambda docs, v: spark.createDataFrame([(d, v) for d in docs], "source_pdf string, v int")
+    folder = str(tmp_path / "cache")
+    S.write_json_cache(mk(["a b", "c"], 1), folder)
+    S.add_to_cache(mk(["a b", "c", "d/e"], 2), folder)
+    S.write_json_cache(mk(["c"], 3), folder)
+    (tmp_path / "cache" / "source_pdf=x").mkdir()
+    (tmp_path / "cache" / "source_pdf=x" / "p.json").write_text('{"v": 5\n')
+    assert {tuple(r) for r in S.read_rows(spark, folder, "v int, source_pdf string").select("source_pdf", "v").collect()} == {("a b", 1), ("c", 3), ("d/e", 2)}
+
+
+def test_listings_are_read_by_their_header(spark):
+    row = lambda *cells: "<tr>" + "".join(f"<td>{x}</td>" for x in cells) + "</tr>"
+    link = lambda h: f'<a class="x" href="{h}">y</a>'
+    html = "<table><tr><th>MoM</th><th>REGION</th><th>Agenda (draft)</th></tr>" + row(link("/u/m1.pdf"), "northern region", link("http://o/u/a1.pdf") + link("/v/a2.pdf")) + row(link("/u/m2.pdf"), "Nowhere", "") + "</table>"
+    default = "<table><tr><th>a</th></tr>" + row("1", "m", "d", "Eastern Region", link("/u/n.pdf"), "", link("/u/m1.pdf")) + "</table>"
+    pages = spark.createDataFrame([(1, html), (2, default), (3, None), (4, "<p>no table</p>"), (5, "<table></table>")], "page_id int, html string")
+    links = listings.listed(pages, "https://r", "/u/")
+    got = sorted(tuple(r) for r in links.collect())
+    assert got == [(1, 0, 0, "Northern Region", "Agenda", "http://o/u/a1.pdf"), (1, 0, 1, "Northern Region", "Minutes", "https://r/u/m1.pdf"), (2, 0, 0, "Eastern Region", "Notice", "https://r/u/n.pdf"), (2, 0, 1, "Eastern Region", "Minutes", "https://r/u/m1.pdf")]
+    held = spark.createDataFrame([("https://r/u/m1.pdf", 4), ("https://r/u/old.pdf", 1)], "url string, held_n long")
+    plan = {r.url: (r.region, r.n, r.action) for r in listings.crawl_plan(links, held).collect()}
+    assert plan == {"http://o/u/a1.pdf": ("Northern Region", 1, "new"), "https://r/u/m1.pdf": ("Northern Region", 1, "shift"), "https://r/u/old.pdf": (None, None, "stale")}
+
+
+def test_first_target_table_of_a_page(spark):
+    rows = [("p", 1, 0, 0, ["x"]), ("p", 1, 0, 1, ["y"]), ("p", 1, 1, 0, ["Sl"]), ("p", 1, 1, 1, ["Sub-station", None]), ("p", 1, 1, 2, ["Bay"]), ("p", 1, 2, 0, ["Sl Substation Bay"]), ("p", 1, 2, 1, ["1"]), ("p", 2, 0, 0, ["Sl Substation Bay"]), ("p", 3, 0, 0, ["Sl"]), ("p", 3, 0, 3, ["Substation Bay"])]
+    df = spark.createDataFrame(rows, "source_pdf string, page_number int, table_no int, row_idx int, cells array<string>")
+    assert [tuple(r) for r in B.first_target_tables(df, B.PAGE).collect()] == [("p", 1, 1, 3)]
+
+
+def test_stream_takes_new_files_and_writes_a_key_once(spark, tmp_path):
+    (tmp_path / "in").mkdir()
+    for k, lines in enumerate(([(1, "a"), (2, "b"), (3, "a")], [(4, "b"), (5, "c")])):
+        (tmp_path / "in" / f"{k}.json").write_text("\n".join(json.dumps({"seq": s, "key": x}) for s, x in lines))
+        incremental.stream_once(spark, str(tmp_path / "in"), "seq long, key string", str(tmp_path / "sink"), str(tmp_path / "state"), ["key"]).awaitTermination()
+    assert sorted(r.key for r in spark.read.parquet(str(tmp_path / "sink")).collect()) == ["a", "b", "c"]
