@@ -11,7 +11,7 @@ import pytest
 pytest.importorskip("recordweave.llm")
 from pyspark.sql import functions as F  # noqa: E402
 
-from recordweave.llm import common, decontamination, embedding_dedup, html_extraction, lm_scoring, ngram_join, quality, sentencepiece, toxicity, url_filters, warc  # noqa: E402
+from recordweave.llm import common, decontamination, embedding_dedup, filter_audit, html_extraction, lexical_search, lm_scoring, ngram_join, packing, quality, sentencepiece, toxicity, url_filters, warc  # noqa: E402
 
 DOC = "doc_id long, text string, lang string, source string, n_chars long"
 ODD = [None, "", " ", "\n\t", "one", "Zwei\u00a0drei \u65e5\u672c\u8a9e \U0001f642", "a" * 5000, "word " * 3000, "x\u2581y", "  two  blanks "]
@@ -430,12 +430,210 @@ def test_empty_tables(spark, tmp_path):
     assert corpus_pipeline.run(spark, str(tmp_path)).count() == 0
 
 
+@pytest.mark.parametrize("name", "share-price social-study notice-period related-work menu-of-options header-text promo".split())
+def test_html_class_names_in_articles(name):
+    inner = "A part of the article, which says something, and goes on for a while, so that it is clearly prose and not a button."
+    page = f"<article><p>First of all, there is this.</p><div class='{name}'><p>{inner}</p></div><p>And last, there is that.</p></article>"
+    assert html_extraction.main_text(page) == f"First of all, there is this.\n\n{inner}\n\nAnd last, there is that."
+
+
+def test_html_short_parts_of_articles_and_comment_ends():
+    long = "First of all, there is this, " + "and this, " * 20 + "and no more."
+    page = f"<article><p>{long}</p><div class='share'><p>Share it!</p></div><div class='ad'><p>Buy now, all of you, and buy a lot of it, or else you will be sorry, very sorry.</p></div><p>And last, there is that.</p></article>"
+    assert html_extraction.main_text(page) == f"{long}\n\nAnd last, there is that."
+    for comment in ("<!-- a --!>", "<!-->", "<!--->", "<!-- <p> -- > -->"):
+        assert html_extraction.main_text(f"<p>One, two.</p>{comment}<p>Three, four.</p>") == "One, two.\n\nThree, four."
+
+
+def test_url_mining_of_long_urls(spark):
+    rng = random.Random(6)
+    deep = "/".join("abcdefghijklmnopqrstuvw"[k] * 3 for k in range(23))
+    rows = [(f"https://long-host-name.site.example.org/{deep}/{rng.choice(['x', 'y', 'z'])}/", int(i % 3 == 0)) for i in range(150)]
+    rows += [(f"https://www.spam.example.org/win/{rng.choice('pqr')}/", int(i % 10 > 0)) for i in range(60)]
+    rules = url_filters.mine(spark.createDataFrame(rows, "url string, bad int")).collect()
+    assert any("host:spam" in r.tokens and "path:win" in r.tokens for r in rules)
+    assert all(len(r.tokens) < 8 for r in rules)
+
+
+# --- filter audit ------------------------------------------------------------------------------------------------------
+def plain_audit(docs, labels):
+    from itertools import permutations
+
+    least = {}
+    for i, t, _ in docs:
+        if i is not None:
+            least[t or ""] = min(i, least.get(t or "", i))
+    rows = []
+    for i, t, lang in docs:
+        t = t or ""
+        w = [x for x in __import__("re").split(r"[\x20\x09-\x0D]+", t) if x]
+        fails = {"A": len(w) < 200, "B": 100 * len(set(w)) < 50 * len(w), "C": 100 * sum("A" <= x <= "Z" for x in t) > 3 * len(t), "D": any(x in "#$%&*|" for x in t), "E": i is not None and i > least[t]}
+        good, toxic = (any(a == i is not None and b == 1 for a, b in ((r[0], r[k]) for r in labels)) for k in (1, 2))
+        rows.append((lang or "", fails, good, toxic))
+    out = {}
+    for part in {r[0] for r in rows}:
+        own = [r for r in rows if r[0] == part]
+        first = {x: 0 for x in "ABCDE"}
+        for order in permutations("ABCDE"):
+            left = own
+            for step, x in enumerate(order, 1):
+                gone = [r for r in left if r[1][x]]
+                left = [r for r in left if not r[1][x]]
+                first[x] += len(gone)
+                out[part, "".join(order), step] = [len(left), len(gone), sum(r[1][x] for r in own) - len(gone), sum(r[1][x] and sum(r[1].values()) == 1 for r in own), sum(r[2] for r in gone), sum(r[3] for r in gone), x]
+        for key in [k for k in out if k[0] == part]:
+            out[key][-1] = first[out[key][-1]] if isinstance(out[key][-1], str) else out[key][-1]
+    return {k: tuple(v) for k, v in out.items()}
+
+
+def test_filter_audit_equals_plain_version(spark, monkeypatch):
+    rng = random.Random(31)
+    texts = [words(rng, rng.choice([3, 150, 210, 400]), rng.choice([40, 100, 900])) for _ in range(40)]
+    texts = [t.upper() if rng.random() < 0.2 else t + rng.choice(["", "", " #", " |x"]) for t in texts]
+    docs = [(i, rng.choice(texts), rng.choice(["en", "de", None])) for i in range(120)] + [(500 + k, t, "odd") for k, t in enumerate(ODD)] + [(3, texts[0], "en"), (None, texts[0], "en"), (None, None, None), (900, None, "en"), (901, "", "en")]
+    labels = [(i, rng.choice([0, 1, None]), rng.choice([0, 1])) for i in range(0, 120, 2)] + [(4, 1, 0), (None, 1, 1)]
+    df = spark.createDataFrame(docs, "doc_id long, text string, lang string").withColumns({x: F.lit("clash") for x in ("part", "h", "mask", "segment", "first", "quality", "n")})
+    marks = spark.createDataFrame(labels, "doc_id long, quality int, toxic int").withColumn("part", F.lit(1))
+    want = plain_audit(docs, labels)
+    for bound in (filter_audit.BROADCAST_BYTES, 0):
+        monkeypatch.setattr(filter_audit, "BROADCAST_BYTES", bound)
+        monkeypatch.setattr(filter_audit, "HELD", 16)
+        got = {(r.part, r.filter_order, r.step): (r.kept, r.removed, r.redundant, r.unique_fails, r.good_lost, r.toxic_lost, r.shapley) for r in filter_audit.interactions(filter_audit.mask_counts(df.repartition(5), marks)).collect()}
+        assert got == want
+    assert filter_audit.interactions(filter_audit.mask_counts(df.limit(0), marks.limit(0))).count() == 0
+
+
+# --- packing -----------------------------------------------------------------------------------------------------------
+def test_encoder_equals_library():
+    import public_tokenizers
+    from tokenizers import Tokenizer
+
+    library = Tokenizer.from_file(public_tokenizers.path(packing.MODEL))
+    rng = random.Random(2)
+    texts = [t or "" for t in ODD] + ["don't we'll'S", "a<|endoftext|>b <|ENDOFTEXT|>", "\x1c a\x85b", "\u03a9\u03c3\u03c2 \u0391\u03a3 \u0130x \u00c4\u00df\u00d7\u00f7", "aaaaaaaaaaaa" * 9, "\u00e9 e\u0301 \u00bd\u00b2", "x_1--!!2024", "'s't''"]
+    texts += ["".join(rng.choice("abeinrstAB'.,-019 \u00e4\u00df\u00f1%$") for _ in range(rng.randint(1, 80))) for _ in range(300)]
+    encoder = packing.Encoder()
+    parts = [t.encode().split() for t in texts]
+    flat, n = encoder.encode([w for p in parts for w in p])
+    ends, at = np.r_[0, np.cumsum(n)], 0
+    for t, p in zip(texts, parts):
+        assert flat[ends[at] : ends[at + len(p)]].tolist() == library.encode(t, add_special_tokens=False).ids, t
+        at += len(p)
+
+
+def test_packing_places_every_piece(spark):
+    rng = random.Random(12)
+    texts = [*ODD, "ab " * 3000, "cd " * 2047, "ef " * 2048] + [words(rng, rng.choice([5, 40, 300, 700])) for _ in range(60)] + [words(random.Random(1), 500)] * 20
+    docs = docs_of(spark, texts, [*range(len(texts) - 1), 0]).unionByName(docs_of(spark, ["null id"]).withColumn("doc_id", F.lit(None).cast("long"))).withColumns({x: F.lit(1) for x in ("row", "length", "piece", "kind", "rank")})
+    import public_tokenizers
+    from tokenizers import Tokenizer
+
+    library, want = Tokenizer.from_file(public_tokenizers.path(packing.MODEL)), []
+    for i, t in [*zip([*range(len(texts) - 1), 0], texts), (None, "null id")]:
+        ids = np.array([*library.encode(t or "", add_special_tokens=False).ids, 0], "<u4")
+        want += [(i, k, s, len(ids[s : s + 2048]), zlib.crc32(ids[s : s + 2048].tobytes())) for k, s in enumerate(range(0, len(ids), 2048))]
+    cut = common.stage(packing.pieces(docs.repartition(3)).select("row", "doc_id", "piece", "start", "length", F.crc32("ids").alias("crc")), "pieces")
+    rows = packing.packed(cut).collect()
+    key = lambda x: tuple((v is None, v) for v in x)
+    assert sorted([(r.doc_id, r.piece, r.start, r.length, r.crc) for r in rows], key=key) == sorted(want, key=key)
+    bins = {}
+    for r in rows:
+        bins.setdefault(r.sequence_id, []).append((r.offset, r.length))
+    for held in bins.values():
+        at = 0
+        for offset, length in sorted(held):
+            assert offset == at
+            at += length
+        assert at <= 2048
+    assert len(bins) <= 1.1 * sum(r.length for r in rows) / 2048 + 1
+    assert packing.packed(common.stage(packing.pieces(docs.limit(0)), "none")).count() == 0
+
+
+def test_packing_plans():
+    rng = np.random.default_rng(3)
+    for trial in range(6):
+        count = np.zeros(65, np.int64)
+        np.add.at(count, np.minimum(rng.integers(1, 64, rng.integers(1, 400)), 64 if trial % 2 else 20), 1)
+        of, sizes, need = packing.groups(count, 8)
+        assert all(sizes[of[x]] >= x for x in np.flatnonzero(of >= 0)) and need.sum() == count[17:64].sum() and len(sizes) <= 8
+        plan = packing.configurations(sizes, need, 64)
+        assert all((what @ sizes) <= 64 for what, _ in plan) and (sum((what * n for what, n in plan), np.zeros(len(sizes), int)) == need).all()
+        room = np.bincount(rng.integers(0, 60, 30), minlength=65)
+        small = np.where(np.arange(65) <= 16, count, 0)
+        where, opened = packing.best_fit(room, small)
+        left = {(r, k): r for r in range(64) for k in range(room[r])} | {(64, k): 64 for k in range(opened)}
+        for length in np.flatnonzero(small):
+            starts = [*where[length], (int(small[length]), 0, 0)]
+            for (rank, level, at), (stop, _, _) in zip(starts, starts[1:]):
+                for k in range(stop - rank):
+                    left[level, at + k] -= int(length)
+        assert min(left.values(), default=0) >= 0
+
+
+# --- lexical search ----------------------------------------------------------------------------------------------------
+def plain_search(docs, items, most=20):
+    import math
+    import re
+    from collections import Counter
+
+    low = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
+    terms = lambda t: re.findall("[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+", (t or "").translate(low))
+    held = [(i, Counter(terms(t))) for i, t in docs if terms(t)]
+    n, total = len(held), sum(sum(c.values()) for _, c in held)
+    df = Counter(x for _, c in held for x in c)
+    out = []
+    for item in {i for i, _ in items if i is not None}:
+        asked = Counter(x for i, t in items if i == item for x in terms(t))
+        found = []
+        for i, c in held:
+            m = 100 - 25 + (25 * sum(c.values()) * n) // total
+            score = sum(k * math.floor(1000 * math.log((2 * n + 2) / (2 * df[x] + 1))) * ((1_000_000_000 * c[x]) // (1000 * c[x] + 12 * m)) for x, k in asked.items() if c[x])
+            if score > 0:
+                found.append((-score, i is None, i or 0))
+        out += [(item, rank, None if gone else i, -score) for rank, (score, gone, i) in enumerate(sorted(found)[:most], 1)]
+    return sorted(out, key=lambda r: r[:2])
+
+
+def test_lexical_search_equals_plain_ranking(spark, monkeypatch):
+    rng = random.Random(17)
+    texts = [*ODD, "\u00c4rger-\u00e4RGER x1,y2", "!!! ???"] + [words(rng, rng.randint(1, 60), 80) for _ in range(150)] + [words(random.Random(4), 30, 80)] * 40
+    docs = list(enumerate(texts)) + [(5, texts[20]), (None, texts[21]), (None, texts[21])]
+    items = [(k, words(rng, rng.randint(1, 12), 80)) for k in range(8)] + [(8, None), (9, "..."), (10, "nowhere found"), (11, "W3 w3 w4"), (11, "w5"), (12, "word one A aaa"), (None, "w1 w2"), (13, texts[-1])]
+    df = spark.createDataFrame(docs, "doc_id long, text string").withColumns({x: F.lit("clash") for x in ("item", "score", "rank", "term", "df")})
+    asked = spark.createDataFrame(items, "item_id long, text string").withColumn("term", F.lit(0))
+    want = plain_search(docs, items)
+    for size in (1 << 11, 16):
+        monkeypatch.setattr(lexical_search, "BLOCK_DOCS", size)
+        monkeypatch.setattr(lexical_search, "AT_ONCE", 3 if size == 16 else 64)
+        monkeypatch.setattr(lexical_search, "ITEMS_AT_ONCE", 5 if size == 16 else 2000)
+        got = sorted((tuple(r) for r in lexical_search.ranked(df.repartition(3), asked).select("item_id", "rank", "doc_id", "score").collect()), key=lambda r: r[:2])
+        assert got == want
+    assert lexical_search.ranked(df.limit(0), asked).count() == 0 and lexical_search.ranked(df, asked.limit(0)).count() == 0
+
+
+def test_treap_finds_every_cell_and_survives_packing():
+    rng = np.random.default_rng(1)
+    cells = np.unique(rng.integers(0, 37 * 21, 120))
+    row, column, value = cells // 21, cells % 21, rng.integers(1, 1000, len(cells))
+    treap = lexical_search.Treap.build(row, column, value, 37, 21)
+    treap = lexical_search.Treap.unpacked(treap.height, *treap.packed())
+    held = dict(zip(zip(row.tolist(), column.tolist()), value.tolist()))
+    for r in range(37):
+        for c in range(21):
+            cell, h = np.zeros(1, np.int64), treap.height
+            for level in range(h):
+                cell = treap.child(level, cell, np.array([(r >> h - 1 - level & 1) << 1 | c >> h - 1 - level & 1]))
+            assert (treap.maxima[h][cell[0]] if cell[0] >= 0 else None) == held.get((r, c))
+
+
 CONTRACT = {
     "op1_sentencepiece": ("documents", "doc_id:bigint n_tokens:bigint ids:array<int>"), "op2_url_filters": ("pages", "page_id:bigint host:string path:string rule:string verdict:string"),
     "op3_ngram_jaccard_join": ("documents", "doc_id:bigint n_shingles:bigint component_id:bigint"), "op4_quality_classifier": ("documents", "doc_id:bigint held_out:boolean score:double predicted:int"),
     "op5_toxicity": ("documents", "doc_id:bigint held_out:boolean score:double predicted:int"), "op6_html_extraction": ("pages", "page_id:bigint url:string text:string n_chars:bigint"),
     "op7_warc": ("pages", "page_id:bigint payload_bytes:bigint payload_digest:string record_type:string refers_to:bigint"), "op8_embedding_dedup": ("embeddings", "vec_id:bigint n_links:bigint component_id:bigint kept:boolean"),
     "op9_lm_scoring": ("documents", "doc_id:bigint held_out:boolean n_tokens:bigint n_known:bigint train_tokens:bigint base_score:double score:double"), "op10_decontamination": (None, "doc_id:bigint item_id:bigint"),
+    "op11_lexical_search": (None, "item_id:bigint rank:int doc_id:bigint score:bigint"), "op12_best_fit_packing": (None, "doc_id:bigint piece:int start:bigint length:bigint ids_crc32:bigint sequence_id:bigint offset:bigint"),
+    "op13_filter_audit": (None, "part:string filter_order:string step:int kept:bigint removed:bigint redundant:bigint unique_fails:bigint good_lost:bigint toxic_lost:bigint shapley:bigint"),
 }
 
 
@@ -463,7 +661,7 @@ def test_queries(spark, name):
         import duckdb
 
         con = duckdb.connect()
-        for t in ("documents", "pages", "benchmark"):
+        for t in ("documents", "pages", "benchmark", "labels"):
             con.sql(f"create view {t} as select * from '{sf}/{t}.parquet'")
         want = con.sql(queries.ORACLE_SQL[name])
         assert sorted(want.columns) == sorted(types)
