@@ -44,11 +44,11 @@ NORMAL, UNKNOWN, USER, BYTE = 1, 2, 4, 6
 FAST = 61
 #: A block ends with the document that brings it to so many distinct parts or characters.
 BLOCK_PARTS = 1 << 18
-BLOCK_CHARS = 1 << 23
+BLOCK_CHARS = 6_000_000
 #: Words of documents that are written out at a time.
-PIECE = 1 << 18
+PIECE = 1 << 17
 #: Distinct words that one task holds before it passes them on.
-WORDS_HELD = 1 << 20
+WORDS_HELD = 1 << 19
 #: An edge is a long: the piece's place in the order of merges, the start, the low bits of the stop.
 START_BITS, STOP_BITS = 31, 12
 #: The place of a character without a piece.
@@ -493,6 +493,7 @@ def bucket_ids(entries: DataFrame, dealt: DataFrame, model: Model) -> DataFrame:
             for k, b, s, e in zip(rows["key"].to_pylist(), rows["block"].to_pylist(), [0, *ends], ends):
                 flat, n = taken(ids, first, sizes, at[s:e])
                 key.append(-1 - b), bucket.append(k), data.append(planes(np.r_[len(n), n, flat]))
+        trim()
         return pa.table({"key": pa.array(key, pa.int64()), "bucket": pa.array(bucket, pa.int64()), "ids": pa.array(data, pa.binary())})
 
     return entries.groupBy("bucket").cogroup(dealt.groupBy("key")).applyInArrow(assign, "key long, bucket long, ids binary")
