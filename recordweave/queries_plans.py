@@ -5,7 +5,9 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from recordweave import oracle as O
+from recordweave.functions import numbers as V
 from recordweave.functions import text as T
+from recordweave.operators import joins as J
 from recordweave.operators import ordering as R
 from recordweave.plans import bays as B
 from recordweave.plans import gates as G
@@ -141,3 +143,72 @@ def e13_stream(spark, sf):
 SELECT run, count(*) FILTER (k = 1) AS downloaded, count(DISTINCT handler || '/' || pdf_name) FILTER (status = 'completed') AS extracted, count(DISTINCT handler) FILTER (status = 'completed') AS exports, count(*) AS records FROM e GROUP BY run""")
 def a15_totals(spark, sf):
     return L.run_totals(A.view(spark, sf, "ledger_events"), F.to_date("ts"))
+
+
+# --- rules on varied values ------------------------------------------------------------------------------------------
+@query("c42_meeting_dates", "SELECT o_orderkey, strftime(o_orderdate + INTERVAL 120 MONTH, '%d.%m.%Y') AS held FROM orders")
+def c42_dates(spark, sf):
+    """Dates of meetings in both spelled forms, with and without the ending of the day."""
+    d = F.add_months("o_orderdate", 120)
+    day = F.concat(F.date_format(d, "d"), F.when(c("o_orderkey") % 3 == 0, "th").otherwise(""))
+    text = F.when(c("o_orderkey") % 2 == 0, F.concat(F.lit("held on "), day, F.lit(" "), F.date_format(d, "MMMM yyyy"), F.lit(" in Delhi"))).otherwise(F.concat(F.lit("No. 12 of "), F.date_format(d, "MMMM "), day, F.date_format(d, ", yyyy")))
+    return A.table(spark, sf, "orders").select("o_orderkey", V.meeting_date(text).alias("held"))
+
+
+@query("a11_technology_sums", "SELECT o_orderkey, CAST(o_orderkey % 300 + o_custkey % 7 AS DOUBLE) AS solar, CASE WHEN o_orderkey % 2 = 0 THEN CAST(o_orderkey % 70 AS DOUBLE) END AS wind, CASE WHEN o_orderkey % 3 = 0 THEN CAST(o_custkey % 50 AS DOUBLE) + 0.5 END AS ess FROM orders")
+def a11_sums(spark, sf):
+    """MW by technology where names repeat and numbers vary."""
+    k, n = c("o_orderkey"), c("o_custkey")
+    part = lambda name, value: F.concat(F.lit(name + " ("), value.cast("string"), F.lit(")"))
+    text = F.concat_ws(" + ", part("Solar", k % 300), F.when(k % 2 == 0, part("Wind", k % 70)), F.when(k % 3 == 0, part("BESS", n % 50 + F.lit(0.5))), part("solar", n % 7))
+    return A.table(spark, sf, "orders").select("o_orderkey", *[V.technology_mw(text)[x].alias(x) for x in ("solar", "wind", "ess")])
+
+
+_KINDS = [("220 kV", "", ""), ("Bay No.", "Name of Entity", "400kv"), ("400kv", "12", ""), ("", "", ""), ("Sl. No.", "Application ID", "")]
+
+
+@query("f9_f12_header_kinds", "SELECT p_partkey, p_size % 5 IN (0, 1) AS sub_header, p_size % 5 = 4 AS inline FROM part")
+def f9_f12(spark, sf):
+    """Sub-headers that leaked into rows, and header rows inside tables."""
+    rows = F.array(*[F.array(*map(F.lit, k)) for k in _KINDS])
+    return A.table(spark, sf, "part").withColumn("row", F.get(rows, (c("p_size") % 5).cast("int"))).select("p_partkey", B.is_sub_header(c("row")).alias("sub_header"), B.is_inline_header(c("row")).alias("inline"))
+
+
+_CONTEXT, _KV = "'(?i)voltage|connectivity|sub[\\s-]?station|bus|level'", "'(?i)\\b(\\d{2,3})\\s*kV\\b'"
+ORACLE_SQL["c20_voltage_of_page"] = O.views("page_text") + f""", p AS (SELECT page_number, text, string_split_regex(text, {_CONTEXT}) AS pieces, regexp_extract_all(text, {_CONTEXT}) AS words FROM page_text),
+m AS (SELECT *, unnest(range(1, len(words) + 1)) AS k FROM p), w AS (SELECT page_number, text, k, length(words[k]) AS n, CAST(list_sum(list_transform(pieces[1:k], lambda x: length(x))) + coalesce(list_sum(list_transform(words[1:k - 1], lambda x: length(x))), 0) AS INT) AS s FROM m),
+near AS (SELECT page_number, k, regexp_extract_all(substr(text, greatest(s - 80, 0) + 1, s + n + 80 - greatest(s - 80, 0)), {_KV}, 1) AS v FROM w), hits AS (SELECT page_number FROM near WHERE len(v) > 0 GROUP BY 1),
+a AS (SELECT page_number, k, v FROM near UNION ALL SELECT page_number, 0, regexp_extract_all(text, {_KV}, 1) FROM page_text WHERE page_number NOT IN (SELECT page_number FROM hits)),
+u AS (SELECT page_number, k, unnest(v) AS v, generate_subscripts(v, 1) AS i FROM a), g AS (SELECT page_number, v, v IN ('765', '400', '220', '132', '110', '66', '33') AS standard, count(*) AS n, min(k * 1000000 + i) AS first FROM u GROUP BY 1, 2),
+b AS (SELECT page_number, v, row_number() OVER (PARTITION BY page_number ORDER BY standard DESC, n DESC, first) AS r FROM g) SELECT p.page_number, v || ' kV' AS voltage FROM page_text p LEFT JOIN b ON b.page_number = p.page_number AND r = 1"""
+
+
+# --- files and functions of the user's -------------------------------------------------------------------------------
+@query("s5_discovered_files", "SELECT regexp_extract(url, '://[^/]*/([a-z]+)/', 1) AS folder, CAST(sum(octet_length(encode(url)) + 1) AS BIGINT) AS bytes FROM pages WHERE regexp_matches(url, '://[^/]*/[a-z]+/') GROUP BY 1")
+def s5(spark, sf):
+    """Files in nested folders, found by their pattern without being read."""
+    folder = new_path(spark, "found")
+    pages = A.table(spark, sf, "pages").select(F.regexp_extract("url", "://[^/]*/([a-z]+)/", 1).alias("lang"), c("url").alias("value")).filter("lang <> ''")
+    pages.withColumn("half", F.length("value") % 2).write.partitionBy("lang", "half").text(folder)
+    pages.write.partitionBy("lang").json(f"{folder}/other")
+    found = S.discover(spark, folder, "*.txt")
+    return found.groupBy(F.regexp_extract("path", "/lang=([a-z]+)/", 1).alias("folder")).agg(F.sum("length").alias("bytes"))
+
+
+@query("u2_plugged_extractor", O.views("page_text") + " SELECT page_number, unnest(list_distinct(regexp_extract_all(text, '\\b(?:GNA|LTA)\\b'))) AS word FROM page_text WHERE contains(text, 'LTA')")
+def u2(spark, sf):
+    """Rows that a user's function makes of gated pages: here each keyword of a page once."""
+
+    def words(frames):
+        for f in frames:
+            found = f.text.str.findall(r"\b(?:GNA|LTA)\b").map(set)
+            yield f.assign(word=found)[["page_number", "word"]].explode("word").dropna()
+
+    return jobs.extract(A.view(spark, sf, "page_text").filter(c("text").contains("LTA")).select(c("page_number").cast("long").alias("page_number"), "text"), words, "page_number long, word string")
+
+
+@query("u4_similarity_in_sql", "SELECT c_custkey, 1.0 AS same, 2.0 * length(c_name) / (2 * length(c_name) + 4) AS longer, 0.0 AS none FROM customer")
+def u4(spark, sf):
+    """The similarity as a function of SQL text, on pairs whose ratio has a closed form."""
+    spark.udf.register("similarity", J.similarity)
+    return spark.sql("select c_custkey, similarity(c_name, c_name) as same, similarity(c_name, concat(c_name, '|~^_')) as longer, similarity(c_name, '') as none from {customer}", customer=A.table(spark, sf, "customer"))
