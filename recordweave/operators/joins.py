@@ -138,26 +138,39 @@ def holds(x: Column, y: Column) -> Column:
     return (x != "") & (y != "") & (x.contains(y) | y.contains(x))
 
 
+def highest_part(texts: DataFrame, name: str, rows: DataFrame, theirs: str) -> DataFrame:
+    """(name, cap): no text of the rows gives a text a larger part of a score than its cap.
+
+    Only characters that some row has can be shared, and lengths are those that rows have. An empty text has 0.
+    """
+    known = rows.select(F.explode(f"{theirs}_").alias("token")).distinct()
+    held = texts.select(name, F.explode(f"{name}_").alias("token")).distinct().join(known, "token", "left_semi").groupBy(name).agg(F.count("*").alias("held"))
+    lengths = [r[0] for r in rows.filter(F.col(theirs) != "").select(F.length(theirs)).distinct().collect()]  # numbers up to the longest text
+    own, held_ = F.length(name), F.coalesce("held", F.lit(0))
+
+    def part(n: Column) -> Column:
+        inside = (n <= held_) | ((own == held_) & (own <= n))
+        ratio = F.when(F.greatest(own, n) > 1023, 1.0).otherwise(2.0 * F.least(held_, n) / (own + n))
+        return F.least(F.lit(1.0), ratio + F.when(inside, BONUS).otherwise(0.0))
+
+    parts = F.array_max(F.transform(F.lit(lengths).cast("array<int>"), part))
+    return texts.select(name).distinct().join(held, name, "left").select(name, F.when(own == 0, 0.0).otherwise(F.coalesce(parts, F.lit(0.0))).alias("cap"))
+
+
 def reaching(open_: DataFrame, rows: DataFrame, score: float) -> DataFrame:
     """open_ (left_id, s, d) with rows (row_idx, p, c), all with characters (s_ and so on): all pairs whose score can reach `score`.
 
-    A score is the mean of two parts, so one part reaches it, and reaches twice as much where the other text of the
-    record is empty or shares no character with any row. A part is a ratio and the bonus.
+    A score is the mean of two parts. So one part reaches it, and what it lacks of twice the score the other part must
+    be able to give: where a record's other text has a low cap, this part must reach more.
     """
 
     def by(part: str, name: str, other: str, theirs: str) -> DataFrame:
-        known = rows.select(F.explode(f"{theirs}_").alias("token")).distinct()
-        texts = open_.select(other, F.explode(f"{other}_").alias("token"))
-        counts = texts.join(known, "token", "left_semi").select(other).distinct()
-        sides = [(open_.join(counts, other, "left_semi"), score)]
-        if 2 * score <= 1:
-            sides.append((open_.join(counts, other, "left_anti"), 2 * score))
-        out = []
-        for side, least in sides:
-            pairs = similar_names(side.select(F.col(part).alias("d")), rows.select(F.col(name).alias("c")), least - BONUS)
-            scored = pairs.withColumn("r", F.least(F.lit(1.0), similarity("d", "c") + F.when(holds(F.col("d"), F.col("c")), BONUS).otherwise(0.0))).filter(F.col("r") >= least - 1e-9)
-            out.append(side.join(scored.select(F.col("d").alias(part), F.col("c").alias(name)), part).join(rows, name))
-        return reduce(DataFrame.unionByName, out)
+        need = F.greatest(F.lit(score), 2 * score - F.col("cap"))
+        side = open_.join(highest_part(open_, other, rows, theirs), other).withColumn("need", need).filter("need <= 1")
+        least = side.agg(F.min("need")).first()[0] or 1.0
+        pairs = similar_names(side.select(F.col(part).alias("d")), rows.select(F.col(name).alias("c")), least - BONUS)
+        made = pairs.select(F.col("d").alias(part), F.col("c").alias(name), F.least(F.lit(1.0), similarity("d", "c") + F.when(holds(F.col("d"), F.col("c")), BONUS).otherwise(0.0)).alias("reached"))
+        return side.join(made, part).filter(F.col("reached") >= F.col("need") - 1e-9).drop("cap", "need", "reached").join(rows, name)
 
     s, d, p, c = (F.col(x) for x in "sdpc")
     either = by("s", "p", "d", "c").unionByName(by("d", "c", "s", "p"))
