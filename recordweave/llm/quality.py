@@ -18,7 +18,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from recordweave.llm.common import labelled_sample, remainder, table, unused
+from recordweave.llm.common import labelled_sample, remainder, table, trim, unused
 
 #: Most labelled rows that the trees are fitted on.
 MAX_TRAIN = 20_000
@@ -131,6 +131,7 @@ def train(docs: DataFrame, labels: DataFrame, label: str = "quality", most: int
     def features(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
             yield pd.DataFrame({"doc_id": b.doc_id, "label": b.label, "x": list(matrix(b.text))})
+        trim()
 
     got = rows.mapInPandas(features, "doc_id long, label int, x array<double>").groupBy("doc_id").agg(F.min(F.struct("x", "label")).alias("r")).select("doc_id", "r.*").limit(most).toPandas().sort_values("doc_id")
     return fit_trees(np.stack(got.x) if len(got) else np.zeros((0, len(NAMES))), got.label.to_numpy(float))

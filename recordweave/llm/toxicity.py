@@ -22,7 +22,7 @@ from pyspark.ml.functions import array_to_vector
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from recordweave.llm.common import labelled_sample, remainder, stage, table, unused
+from recordweave.llm.common import labelled_sample, remainder, stage, table, trim, unused
 
 #: Most labelled rows that the classifier is fitted on.
 MAX_TRAIN = 20_000
@@ -35,6 +35,8 @@ SLICES = 16
 KEPT = 4096
 LEAST_TEXTS = 5
 CHUNK = 1 << 20
+#: Rows of features that are made at a time.
+AT_ONCE = 64
 _FACTORS = np.random.default_rng(20240302).integers(1, 1 << 63, max(SIZES), dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 
 
@@ -77,6 +79,8 @@ def counts(rows: DataFrame) -> DataFrame:
             for text, label in zip(b.text, b.label):
                 sums[label, present(text, seen)] += 1
         yield pd.DataFrame({"slice": range(SLICES), "other": [sums[0, i * width : (i + 1) * width].tobytes() for i in range(SLICES)], "toxic": [sums[1, i * width : (i + 1) * width].tobytes() for i in range(SLICES)]})
+        del seen, sums
+        trim()
 
     return rows.mapInPandas(local, "slice int, other binary, toxic binary")
 
@@ -134,15 +138,15 @@ def train(docs: DataFrame, labels: DataFrame, label: str = "toxic", most: int =
         slot, seen = np.full(BUCKETS, -1), np.zeros(BUCKETS, bool)
         slot[place] = np.arange(len(place))
         for b in batches:
-            xs = []
-            for text in b.text:
-                s = slot[present(text, seen)]
-                x = np.zeros(len(place))
-                s = s[s >= 0]
-                x[s] = ratio[s]
-                xs.append(x)
-            for i in range(0, len(b), 256):
-                yield pd.DataFrame({"label": b.label[i : i + 256].astype(float), "x": xs[i : i + 256]})
+            for i in range(0, len(b), AT_ONCE):  # rows are as wide as there are places, so few are held at a time
+                part = b[i : i + AT_ONCE]
+                x = np.zeros((len(part), len(place)))
+                for k, text in enumerate(part.text):
+                    s = slot[present(text, seen)]
+                    s = s[s >= 0]
+                    x[k, s] = ratio[s]
+                yield pd.DataFrame({"label": part.label.astype(float), "x": list(x)})
+        trim()
 
     data = rows.mapInPandas(features, "label double, x array<double>").select("label", array_to_vector("x").alias("features"))
     model = LogisticRegression(maxIter=30, regParam=1e-3, standardization=False).fit(data)
@@ -157,6 +161,8 @@ def score(docs: DataFrame, model: Weights, name: str = "score") -> DataFrame:
         one = model.scorer()
         for texts in batches:
             yield pd.Series([one(t) for t in texts], dtype=float)
+        del one
+        trim()
 
     return docs.withColumn(name, scored("text"))
 
