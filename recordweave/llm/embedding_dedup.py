@@ -1,7 +1,9 @@
 """Embedding near-duplicates by Euclidean p-stable hashing with exact cosine checks.
 
-Vectors are normalised; equal vectors of a label become one class. TABLES tables of BITS quantised Gaussian projections
-deal the classes into buckets. In each bucket every pair that met in no earlier table is compared by its exact cosine
+Vectors are normalised; equal vectors of a label become one class. Tables of quantised Gaussian projections deal the
+classes into buckets. The number of projections grows with the logarithm of a label's classes, so that a class meets
+about as many unrelated ones at every size, and the number of tables with it, so that a pair at the threshold is found
+with the same probability (RECALL). In each bucket every pair that met in no earlier table is compared by its exact cosine
 in double precision, so a link is counted once, however many tables it meets in, and no pair is ever emitted: a bucket
 gives each class its number of new links and one edge of a spanning forest. A bucket larger than TILE is cut into
 tiles, and every two tiles meet, so nothing is capped and no task holds more than two tiles.
@@ -13,6 +15,7 @@ vec_id count as vectors of their own. An empty table gives an empty result.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -23,15 +26,36 @@ from pyspark.sql import functions as F
 from recordweave.llm.common import components, shuffle_width, stage, table
 
 THRESHOLD = 0.93
-TABLES, BITS, WIDTH = 16, 10, 2.0
+#: Share of pairs at the threshold that meet in a table; pairs above it meet more often.
+RECALL = 0.97
+LEAST_BITS, WIDTH = 10, 2.0
+#: Unrelated classes that one meets over all tables, about.
+MET = 64
 TILE = 4096
 SEED = 20240229
 
 
-def projections(dim: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Gaussian directions (dim, TABLES * BITS), offsets, and odd multipliers that fold a table's BITS cells to 64 bits."""
+def same_cell(cosine: float) -> float:
+    """Probability that two unit vectors with this cosine share a cell of one projection."""
+    r = WIDTH / math.sqrt(2 - 2 * cosine)
+    return math.erf(r / math.sqrt(2)) - 2 / (math.sqrt(2 * math.pi) * r) * (1 - math.exp(-r * r / 2))
+
+
+def shape(size: int, threshold: float = THRESHOLD) -> tuple[int, int]:
+    """Tables, and projections of a table, for so many classes of one label."""
+    near, far = same_cell(threshold), same_cell(0.0)
+    bits = LEAST_BITS
+    while True:
+        tables = math.ceil(math.log(1 - RECALL) / math.log(1 - near**bits))
+        if size * tables * far**bits <= MET:
+            return tables, bits
+        bits += 1
+
+
+def projections(dim: int, tables: int, bits: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Gaussian directions (dim, tables * bits), offsets, and odd multipliers that fold a table's cells to 64 bits."""
     rng = np.random.default_rng(SEED + dim)
-    return rng.standard_normal((dim, TABLES * BITS)), rng.uniform(0, WIDTH, TABLES * BITS), rng.integers(1 << 62, size=BITS, dtype=np.int64) * 2 + 1
+    return rng.standard_normal((dim, tables * bits)), rng.uniform(0, WIDTH, tables * bits), rng.integers(1 << 62, size=bits, dtype=np.int64) * 2 + 1
 
 
 def unit(x: np.ndarray) -> np.ndarray:
@@ -40,10 +64,10 @@ def unit(x: np.ndarray) -> np.ndarray:
     return x / np.sqrt((x * x).sum(1, keepdims=True))
 
 
-def buckets(x: np.ndarray) -> np.ndarray:
-    """(vectors, TABLES) bucket numbers of unit vectors."""
-    a, b, m = projections(x.shape[1])
-    cells = np.floor((x @ a + b) / WIDTH).astype(np.int64).reshape(len(x), TABLES, BITS)
+def buckets(x: np.ndarray, tables: int, bits: int) -> np.ndarray:
+    """(vectors, tables) bucket numbers of unit vectors."""
+    a, b, m = projections(x.shape[1], tables, bits)
+    cells = np.floor((x @ a + b) / WIDTH).astype(np.int64).reshape(len(x), tables, bits)
     return (cells * m).sum(2)
 
 
@@ -104,11 +128,14 @@ def _compare(rows: np.ndarray, x: np.ndarray, key: np.ndarray, table_no: int, ti
 def links(found: DataFrame, threshold: float = THRESHOLD, tile: int = TILE) -> DataFrame:
     """(cid, n, other): new links of a class in one bucket, and a class it is connected with. `found` has classes()."""
 
+    most = found.groupBy("label", "dim").count().agg(F.max("count")).first()[0] or 0
+    tables, bits = shape(most, threshold)
+
     def keyed(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
             for dim, part in b.groupby("dim"):
                 x = unit(np.stack(part.vector.to_numpy()))
-                yield pd.DataFrame({"cid": part.cid, "label": part.label, "dim": dim, "n": part.n, "vector": [v.tobytes() for v in x], "keys": list(buckets(x))})
+                yield pd.DataFrame({"cid": part.cid, "label": part.label, "dim": dim, "n": part.n, "vector": [v.tobytes() for v in x], "keys": list(buckets(x, tables, bits))})
 
     wide = found.select("cid", "label", "dim", "n", "vector").mapInPandas(keyed, "cid long, label long, dim int, n long, vector binary, keys array<long>")
     wide = stage(wide, "vectors")
@@ -135,7 +162,7 @@ def links(found: DataFrame, threshold: float = THRESHOLD, tile: int = TILE) -> D
                 return None
             x = np.frombuffer(b"".join(b.vector), np.float64).reshape(len(b), -1)
             cid, n, t = b.cid.to_numpy(), b.n.to_numpy(), int(b.t.iat[0])
-            new, root = _compare(cid, x, buckets(x), t, b.tile.to_numpy(), b.ti.iat[0] == b.tj.iat[0], n, threshold)
+            new, root = _compare(cid, x, buckets(x, tables, bits), t, b.tile.to_numpy(), b.ti.iat[0] == b.tj.iat[0], n, threshold)
             at = np.flatnonzero(new)
             return pd.DataFrame({"cid": cid[at], "n": new[at], "other": cid[root[at]]}) if len(at) else None
 
