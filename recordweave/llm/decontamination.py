@@ -7,7 +7,8 @@ by its size in turn: it is probed with its own shingle hashes up to the bound of
 Probes meet sketches in one hash join, and every candidate pair is verified on the shingles themselves.
 
 Words are lower-cased runs of non-white characters, shingles five words; an item or text of fewer words is one
-shingle. Null and empty texts and items match nothing. Copies of a text are searched once. Repeated item_ids count as
+shingle. Null and empty texts and items match nothing. Every copy of a text is hashed, and candidates are pairs of different texts
+and items, so copies are verified once. Very long texts are hashed whole. Repeated item_ids count as
 items of their own, null doc_ids and item_ids are kept as they are. Empty tables give an empty result.
 """
 

@@ -12,7 +12,7 @@ all depths are mixed by their weighted block probabilities. Counts come from the
    block; blocks score their documents. The model is never broadcast.
 
 Null and empty texts consist of the end alone. Repeated rows count and score as often as they occur; a null doc_id is
-held out. With no training documents all estimates are 1/2 for a bit, and N is 0. A table without rows gives no rows.
+held out. A very long text makes a block of its own, whose size is the text's. With no training documents all estimates are 1/2 for a bit, and N is 0. A table without rows gives no rows.
 """
 
 from __future__ import annotations

@@ -689,3 +689,20 @@ def test_pipeline(spark):
             assert len(after & toxic) <= 0.2 * len(toxic)
     out = corpus_pipeline.STAGES[-1][1](spark, docs, sf).collect()
     assert {r.doc_id for r in out} == after and all(r.round_trip for r in out)
+
+
+def test_pipeline_of_odd_rows(spark, tmp_path):
+    import corpus_pipeline
+
+    rng = random.Random(41)
+    good = [words(rng, 300, 5000) for _ in range(12)]
+    rows = [(i, t) for i, t in enumerate([*ODD, *good, good[0], good[1] + " more", None])] + [(None, good[2]), (7, good[3]), (7, good[3])]
+    docs = spark.createDataFrame([(i, t, None, None, None) for i, t in rows], DOC).withColumns({"gone_id": F.lit(1), "score": F.lit("x")})
+    docs.write.parquet(str(tmp_path / "documents.parquet"))
+    spark.createDataFrame([(0, 1, 0), (None, 0, 1), (11, None, None)], "doc_id long, quality int, toxic int").write.parquet(str(tmp_path / "labels.parquet"))
+    spark.createDataFrame([(1, None), (2, ""), (2, " ".join(good[5].split()[:20]))], "item_id long, text string").write.parquet(str(tmp_path / "benchmark.parquet"))
+    out = corpus_pipeline.run(spark, str(tmp_path)).collect()
+    kept = {r.doc_id for r in out}
+    assert all(r.round_trip for r in out if "\u2581" not in (rows[r.doc_id][1] or "") or r.doc_id is None)
+    assert len(out) <= len(rows) and kept <= {i for i, _ in rows}
+    assert len(ODD) + 5 not in kept  # it holds an item
