@@ -129,7 +129,7 @@ def similar_names(left: DataFrame, right: DataFrame, ratio: float) -> DataFrame:
 
 
 #: Scores that best matches are looked for at, from the highest down; each record is done with the first that gives it one.
-SCORES = (0.75, 0.6)
+SCORES = (0.6,)
 BONUS = 0.15
 
 
