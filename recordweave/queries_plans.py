@@ -89,7 +89,7 @@ def c19_six(spark, sf):
 
 
 def _gate_sql() -> str:
-    """The page gate in SQL: the same patterns, counted and combined."""
+    """The page gate in SQL: the same patterns, counted and combined. Its engine knows ASCII words only, so other letters are shown as `_`."""
     text = lambda p: "'(?i)" + p.replace("'", "''") + "'"
     held = lambda p: f"regexp_matches(text, {text(p)})"
     count = lambda p: f"len(regexp_extract_all(text, {text(p)}))"
@@ -98,7 +98,8 @@ def _gate_sql() -> str:
     names = sorted({*header, *value})
     listed = ", ".join(f"CASE WHEN {' OR '.join(f'({d[n]})' for d in (header, value) if n in d)} THEN '{n}' END" for n in names)
     blocked = " OR ".join([held(p) for p in G.BLOCKED] + [f"{count(p)} >= 2" for p in G.BLOCKED_TWICE])
-    return O.views("page_text") + f", g AS (SELECT page_number, CASE WHEN {blocked} THEN [] ELSE list_filter([{listed}], lambda x: x IS NOT NULL) END AS active FROM page_text) SELECT page_number, len(active) >= 1 AS passes, array_to_string(active, ',') AS active FROM g"
+    shown = "SELECT page_number, regexp_replace(text, '[^\\x00-\\x7F‐–]', '_', 'g') AS text FROM page_text"
+    return O.views("page_text") + f", t AS ({shown}), g AS (SELECT page_number, CASE WHEN {blocked} THEN [] ELSE list_filter([{listed}], lambda x: x IS NOT NULL) END AS active FROM t) SELECT page_number, len(active) >= 1 AS passes, array_to_string(active, ',') AS active FROM g"
 
 
 ORACLE_SQL["f4_page_gate"] = _gate_sql()
