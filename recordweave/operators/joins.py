@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType
 
 from recordweave.functions import text as T
+from recordweave.operators.ordering import first_per
 from recordweave.sources.staging import staged
 
 #: Sides of at most so many rows are broadcast; larger ones are shuffled.
@@ -176,7 +177,8 @@ def reaching(open_: DataFrame, rows: DataFrame, score: float) -> DataFrame:
     either = by("s", "p", "d", "c").unionByName(by("d", "c", "s", "p"))
     shared = lambda x, y: F.size(F.array_intersect(F.col(f"{x}_"), F.col(f"{y}_")))
     bound = combined(similarity_bound(s, p, shared("s", "p")), similarity_bound(d, c, shared("d", "c")), holds(s, p), holds(d, c))
-    return either.filter(bound >= score - 1e-9).dropDuplicates(["left_id", "row_idx"])
+    found = either.withColumn("bound", bound).filter(F.col("bound") >= score - 1e-9)
+    return found.select("left_id", "row_idx", "s", "d", "p", "c", "bound").dropDuplicates(["left_id", "row_idx"])
 
 
 def best_match(left: DataFrame, rows: DataFrame, hits: DataFrame, threshold: float = 0.45) -> DataFrame:
@@ -196,8 +198,11 @@ def best_match(left: DataFrame, rows: DataFrame, hits: DataFrame, threshold: flo
     open_ = with_characters(a.join(hits.select("left_id").distinct(), "left_id", "left_anti"), "sd")
     b = with_characters(b, "pc")
     for least in [x for x in SCORES if x > threshold] + [threshold]:
-        pairs = reaching(open_, b, least).select("left_id", "row_idx", F.lit(0).cast("long").alias("id_hits"), score.alias("score")).filter(F.col("score") >= least)
-        pairs = staged(pairs)
+        pairs = staged(reaching(open_, b, least))
+        # the pair with the highest bound is scored first; only pairs that can reach its score are scored after it
+        tried = first_per(pairs, ["left_id"], [F.desc("bound"), "row_idx"]).select("left_id", score.alias("tried"))
+        pairs = pairs.join(tried, "left_id").filter(F.col("bound") >= F.col("tried") - 1e-9)
+        pairs = staged(pairs.select("left_id", "row_idx", F.lit(0).cast("long").alias("id_hits"), score.alias("score")).filter(F.col("score") >= least))
         open_ = staged(open_.join(pairs.select("left_id").distinct(), "left_id", "left_anti"))
         found = found.unionByName(pairs)
     best = found.withColumn("rank_", F.row_number().over(Window.partitionBy("left_id").orderBy(F.desc("id_hits"), F.desc("score"), "row_idx")))
