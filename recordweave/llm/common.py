@@ -10,6 +10,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 #: The words of the contracts: runs of anything but ASCII white space.
 SPACE = r"[\x20\x09-\x0D]+"
@@ -31,12 +32,15 @@ def scratch(spark: SparkSession) -> str:
     return found
 
 
-def stage(df: DataFrame, name: str) -> DataFrame:
-    """Write df to the shared folder and read it again: lineage ends there and lost executors lose nothing."""
+def stage(df: DataFrame, name: str, schema: StructType | None = None) -> DataFrame:
+    """Write df to the shared folder and read it again: lineage ends there and lost executors lose nothing.
+
+    A `schema` reads what is stored as other types of the same layout, as vectors of their four fields.
+    """
     spark = df.sparkSession
     path = f"{scratch(spark)}/{name}-{uuid.uuid4().hex}"
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    return spark.read.schema(schema or df.schema).parquet(path)
 
 
 def unused(df: DataFrame, *names: str) -> list[str]:

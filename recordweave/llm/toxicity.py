@@ -1,14 +1,14 @@
 """Toxicity: a linear classifier on character n-grams scaled by naive Bayes log-count ratios.
 
 A text is lower-cased, white space becomes one blank, and every n-gram of SIZES characters is hashed into BUCKETS
-places. In how many toxic and other training texts a place occurs gives its log-count ratio; the places with the
-largest ratios are kept, a logistic regression (Spark ML) is trained on presence times ratio, and the product of both
-is the weight of a place. A text's score is the logistic of the sum of the weights of the places it has.
+places. In how many toxic and other training texts a place occurs gives its log-count ratio. A place is a feature if its
+ratio is at least LEAST_Z standard errors away from zero, however many there are. A logistic regression (Spark ML, sparse
+vectors) is trained on presence times ratio, and the product of both is the weight of a place. A text's score is the
+logistic of the sum of the weights of the places it has.
 
 Null and empty texts have no n-gram and get the score of the intercept. Repeated rows get equal scores. With no
 labelled rows of both kinds every score is the base rate (0.001 if there are none at all). Of documents that repeat a
-labelled doc_id the one with the smallest text is learnt from. Places are ranked and kept as the model's choice of
-features (the README has what was tried instead); no text or row is left out.
+labelled doc_id the one with the smallest text is learnt from. No text, row or feature is left out for a count or size.
 """
 
 from __future__ import annotations
@@ -18,9 +18,10 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 from pyspark.ml.classification import LogisticRegression
-from pyspark.ml.functions import array_to_vector
+from pyspark.ml.linalg import VectorUDT
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import DoubleType, StructField, StructType
 
 from recordweave.llm.common import labelled_sample, remainder, stage, table, trim, unused
 
@@ -31,12 +32,14 @@ THRESHOLD = 0.5
 SIZES = (3, 4, 5)
 BUCKETS = 1 << 20
 SLICES = 16
-#: Places kept after ranking by log-count ratio, and the fewest texts that a place must occur in.
-KEPT = 4096
-LEAST_TEXTS = 5
+#: Standard errors between a place's log-count ratio and zero, and the regularisation: both chosen on an inner fold.
+LEAST_Z = 3.0
+REGULARISATION = 1e-3
 CHUNK = 1 << 20
 #: Rows of features that are made at a time.
-AT_ONCE = 64
+AT_ONCE = 256
+#: A sparse vector as Spark ML stores it.
+VECTOR = "struct<type tinyint, size int, indices array<int>, values array<double>>"
 _FACTORS = np.random.default_rng(20240302).integers(1, 1 << 63, max(SIZES), dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 
 
@@ -85,8 +88,11 @@ def counts(rows: DataFrame) -> DataFrame:
     return rows.mapInPandas(local, "slice int, other binary, toxic binary")
 
 
-def ratios(blobs: DataFrame, toxic: int, other: int, kept: int = KEPT) -> pd.DataFrame:
-    """(place, ratio) of the `kept` places with the largest absolute log-count ratio."""
+def ratios(blobs: DataFrame, toxic: int, other: int, least_z: float = LEAST_Z) -> pd.DataFrame:
+    """(place, ratio, texts) of the places whose log-count ratio is `least_z` standard errors or more from zero.
+
+    There are at most BUCKETS of them, whatever the input.
+    """
     width = BUCKETS // SLICES
 
     def add(key: tuple, parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -95,12 +101,12 @@ def ratios(blobs: DataFrame, toxic: int, other: int, kept: int = KEPT) -> pd.Dat
             for n, p in zip(b.other, b.toxic):
                 neg += np.frombuffer(n, np.int32)
                 pos += np.frombuffer(p, np.int32)
-        ok = np.flatnonzero(neg + pos >= LEAST_TEXTS)
-        r = np.log((pos[ok] + 1) / (toxic + 2)) - np.log((neg[ok] + 1) / (other + 2))
-        yield pd.DataFrame({"place": ok + int(key[0]) * width, "ratio": r, "texts": (neg + pos)[ok]})
+        r = np.log((pos + 1) / (toxic + 2)) - np.log((neg + 1) / (other + 2))
+        error = np.sqrt(1 / (pos + 1) - 1 / (toxic + 2) + 1 / (neg + 1) - 1 / (other + 2))
+        ok = np.flatnonzero((neg + pos > 0) & (np.abs(r) >= least_z * error))
+        yield pd.DataFrame({"place": ok + int(key[0]) * width, "ratio": r[ok], "texts": (neg + pos)[ok]})
 
-    found = blobs.groupBy("slice").applyInPandas(add, "place long, ratio double, texts long")
-    return found.orderBy(F.abs("ratio").desc(), "place").limit(kept).toPandas().sort_values("place")
+    return blobs.groupBy("slice").applyInPandas(add, "place long, ratio double, texts long").toPandas().sort_values("place")
 
 
 class Weights:
@@ -119,7 +125,7 @@ class Weights:
         return one
 
 
-def train(docs: DataFrame, labels: DataFrame, label: str = "toxic", most: int = MAX_TRAIN) -> Weights:
+def train(docs: DataFrame, labels: DataFrame, label: str = "toxic", most: int = MAX_TRAIN, least_z: float = LEAST_Z, regularisation: float = REGULARISATION) -> Weights:
     """Fit on at most `most` labelled documents outside the held-out fold."""
     sample = F.broadcast(labelled_sample(labels, label, FOLDS, most))
     rows = docs.select("doc_id", "text").join(sample, "doc_id").groupBy("doc_id", "label").agg(F.min("text").alias("text"))
@@ -129,27 +135,27 @@ def train(docs: DataFrame, labels: DataFrame, label: str = "toxic", most: int =
     if not toxic or not other:
         rate = np.clip(toxic / (toxic + other), 1e-3, 1 - 1e-3) if toxic + other else 1e-3
         return Weights(float(np.log(rate / (1 - rate))), np.zeros(0, int), np.zeros(0))
-    top = ratios(counts(rows), toxic, other)
+    top = ratios(counts(rows), toxic, other, least_z)
     place, ratio = top.place.to_numpy(), top.ratio.to_numpy()
     if not len(place):
         return Weights(float(np.log(toxic / other)), np.zeros(0, int), np.zeros(0))
 
     def features(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        slot, seen = np.full(BUCKETS, -1), np.zeros(BUCKETS, bool)
+        slot, seen = np.full(BUCKETS, -1, np.int32), np.zeros(BUCKETS, bool)
         slot[place] = np.arange(len(place))
         for b in batches:
-            for i in range(0, len(b), AT_ONCE):  # rows are as wide as there are places, so few are held at a time
-                part = b[i : i + AT_ONCE]
-                x = np.zeros((len(part), len(place)))
-                for k, text in enumerate(part.text):
+            for i in range(0, len(b), AT_ONCE):
+                part, x = b[i : i + AT_ONCE], []
+                for text in part.text:
                     s = slot[present(text, seen)]
-                    s = s[s >= 0]
-                    x[k, s] = ratio[s]
-                yield pd.DataFrame({"label": part.label.astype(float), "x": list(x)})
+                    s = np.sort(s[s >= 0])
+                    x.append({"type": 0, "size": len(place), "indices": s, "values": ratio[s]})
+                yield pd.DataFrame({"label": part.label.astype(float).to_numpy(), "features": pd.Series(x)})
         trim()
 
-    data = rows.mapInPandas(features, "label double, x array<double>").select("label", array_to_vector("x").alias("features"))
-    model = LogisticRegression(maxIter=30, regParam=1e-3, standardization=False).fit(data)
+    vectors = StructType([StructField("label", DoubleType()), StructField("features", VectorUDT())])
+    data = stage(rows.mapInPandas(features, f"label double, features {VECTOR}"), "toxic-features", vectors)
+    model = LogisticRegression(maxIter=30, regParam=regularisation, standardization=False).fit(data)
     return Weights(float(model.intercept), place, model.coefficients.toArray() * ratio)
 
 

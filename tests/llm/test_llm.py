@@ -382,6 +382,24 @@ def test_toxicity_equals_plain_sums(spark):
     assert set(toxicity.present(long, np.zeros(toxicity.BUCKETS, bool)).tolist()) == plain_places("ab cd ef " * 20)
 
 
+def test_toxicity_features_equal_plain_ratios(spark):
+    texts = [f"wort{i % 7} satz{i % 5} {'gift' if i % 6 == 0 else 'mild'}" for i in range(60)] + [None, "", "\U0001f642 ja"]
+    labels = [int(i % 6 == 0) for i in range(60)] + [0, 0, 1]
+    found = [plain_places(t) if t else set() for t in texts]
+    n = [labels.count(k) for k in (0, 1)]
+    want = {}
+    for p in set().union(*found):
+        neg, pos = (sum(p in f and b == k for f, b in zip(found, labels)) for k in (0, 1))
+        ratio = np.log((pos + 1) / (n[1] + 2)) - np.log((neg + 1) / (n[0] + 2))
+        if abs(ratio) >= 3 * np.sqrt(1 / (pos + 1) - 1 / (n[1] + 2) + 1 / (neg + 1) - 1 / (n[0] + 2)):
+            want[p] = (ratio, neg + pos)
+    rows = spark.createDataFrame(list(zip(texts, labels)), "text string, label int").repartition(4)
+    got = toxicity.ratios(toxicity.counts(rows), n[1], n[0], 3.0)
+    assert got.place.tolist() == sorted(want) and 0 < len(want) < len(set().union(*found))
+    for p, r, texts_ in zip(got.place, got.ratio, got.texts):
+        assert abs(r - want[p][0]) < 1e-12 and texts_ == want[p][1]
+
+
 def test_trees_equal_plain_walk(spark):
     rng = np.random.default_rng(3)
     x = rng.standard_normal((300, 4))
