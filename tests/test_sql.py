@@ -38,3 +38,8 @@ def test_id_hits_equal_sql_where_an_identifier_spans_two_numbers(both):
     # supplier#1200 (1200120005) holds 1200120012, which is the identifier of order 120,012
     got, want = both("a10_d6_id_hits", lineitem=[line(120_005, 1, 1200), line(120_012, 2, 7)])
     assert got == want and len(got) == 3
+
+
+def test_bay_numbers_equal_sql_where_a_bay_has_a_voltage_as_its_number(both):
+    got, want = both("c27_bay_numbers", lineitem=[line(4, 1, 219), line(8, 1, 399), line(12, 1, 6), line(13, 1, 6)])
+    assert got == want == ["['', 13]", "['', 4]", "['', 8]", "['7', 12]"]
