@@ -43,3 +43,8 @@ def test_id_hits_equal_sql_where_an_identifier_spans_two_numbers(both):
 def test_bay_numbers_equal_sql_where_a_bay_has_a_voltage_as_its_number(both):
     got, want = both("c27_bay_numbers", lineitem=[line(4, 1, 219), line(8, 1, 399), line(12, 1, 6), line(13, 1, 6)])
     assert got == want == ["['', 13]", "['', 4]", "['', 8]", "['7', 12]"]
+
+
+def test_page_scan_equals_sql_beyond_ten_thousand_pages(both):
+    got, want = both("s1_page_scan", documents=[{"doc_id": k, "text": "x", "lang": "en", "source": "s", "n_chars": 1} for k in (50, 9_950, 10_000, 10_050, 25_000)])
+    assert got == want == ["[25000, 5, 'doc0']"]
