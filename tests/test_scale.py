@@ -15,3 +15,20 @@ def test_numbers_meet_on_more_than_their_last_digits(spark):
     assert sorted(tuple(r) for r in out.select("needle", "hay").collect()) == sorted((a, b) for a in needles for b in hay if len(a) >= 3 and a in b)
     plan = out._jdf.queryExecution().toString()
     assert all(f"[0-9]{{{n},}}" in plan for n in (3, 6, 9, 12))
+
+
+def test_gates_look_for_a_text_first_and_lose_no_match(spark):
+    import re
+
+    from recordweave.plans import gates as G
+
+    rng = random.Random(11)
+    bits = ["REWARI", "Rewa", "bhadla-II", "Hero  Future", "renew", "Pvt. Ltd", "llp", "1212345678", "0412345678", "ST-II", "st ii", "LTA :", "Land BG Route", "SECI LOA", "Alpha Beta (PG)", "x (PGCIL)", "Bulk consumer", "GNARE", "MW", "\n", "Project", "Location", "Status", "İD", "ID", "wind", "Bess", "solar + BESS", "5.2", "enhancement"]
+    texts = [rng.choice((" ", "  ", ", ")).join(rng.choice(bits) for _ in range(rng.randint(0, 12))) for _ in range(300)]
+    df = spark.createDataFrame([(i, t) for i, t in enumerate(texts)] + [(999, None)], "i int, t string")
+    got = {r[0]: (r[1], r[2]) for r in df.select("i", G.value_columns(F.col("t")), G.has_values(F.col("t"), "substation")).collect()}
+    for i, t in enumerate(texts):
+        want = sorted(n for n, ps in G.VALUES.items() if sum(len(re.findall("(?ai)" + p, t)) for p in ps) >= 2)
+        assert got[i] == (want, "substation" in want), t
+    assert got[999] == ([], False)
+    assert G.needed(r"\b(?:12|22)\d{8}\b") == ("12", "22") and G.needed(r"\bLand\s+(?:BG\s+)?Route\b") == ("route",) and G.needed(r"a*|b") == ()
