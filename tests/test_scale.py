@@ -32,3 +32,12 @@ def test_gates_look_for_a_text_first_and_lose_no_match(spark):
         assert got[i] == (want, "substation" in want), t
     assert got[999] == ([], False)
     assert G.needed(r"\b(?:12|22)\d{8}\b") == ("12", "22") and G.needed(r"\bLand\s+(?:BG\s+)?Route\b") == ("route",) and G.needed(r"a*|b") == ()
+
+
+def test_meeting_dates_read_their_text_once(spark):
+    from recordweave.functions import numbers as V
+
+    texts = ["held on 5th  March 2024 and 6 april 2025", "112 november 2025", "No. 12 of may 7, 2031", "45 june 2020 or Jul 9 2021", "sept 4 2020", "", None]
+    out = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "i int, t string").select("i", V.meeting_date(F.reverse(F.reverse("t"))).alias("d"))
+    assert [r.d for r in out.orderBy("i").collect()] == ["05.03.2024", "12.11.2025", "07.05.2031", "09.07.2021", None, None, None]
+    assert out._jdf.queryExecution().optimizedPlan().toString().count("reverse(reverse(") == 1
