@@ -41,3 +41,16 @@ def test_meeting_dates_read_their_text_once(spark):
     out = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "i int, t string").select("i", V.meeting_date(F.reverse(F.reverse("t"))).alias("d"))
     assert [r.d for r in out.orderBy("i").collect()] == ["05.03.2024", "12.11.2025", "07.05.2031", "09.07.2021", None, None, None]
     assert out._jdf.queryExecution().optimizedPlan().toString().count("reverse(reverse(") == 1
+
+
+def test_similarity_of_texts_that_hold_each_other_is_difflibs():
+    import difflib
+
+    rng = random.Random(2)
+    word = lambda n: "".join(rng.choice("ab c") for _ in range(n))
+    for _ in range(500):
+        x = word(rng.randint(0, 12))
+        y = rng.choice([word(5) + x, x + word(3), word(9), x, word(250), "ab" * 120 + x])
+        for a, b in ((x, y), (y, x)):
+            assert J.ratio(a, b) == (difflib.SequenceMatcher(None, a, b).ratio() if a and b else 0.0)
+    assert J.ratio(None, "a") == 0.0
