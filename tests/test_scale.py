@@ -54,3 +54,14 @@ def test_similarity_of_texts_that_hold_each_other_is_difflibs():
         for a, b in ((x, y), (y, x)):
             assert J.ratio(a, b) == (difflib.SequenceMatcher(None, a, b).ratio() if a and b else 0.0)
     assert J.ratio(None, "a") == 0.0
+
+
+def test_runs_that_no_longer_name_has_leave_a_name_out(spark):
+    rng = random.Random(5)
+    part = lambda: rng.choice(("customer", "abc", "power", "xy", "ab"))
+    name = lambda: " ".join(part() for _ in range(rng.randint(1, 3))) + rng.choice(("", " Ltd.", " (50)"))
+    left = spark.createDataFrame([(i, name(), rng.choice(("220kv", "400kv"))) for i in range(60)], "row_id int, developer string, voltage_key string")
+    ents = spark.createDataFrame([(rng.choice(("220kv", "400kv")), f"{name()}; {name()}", str(i)) for i in range(40)], "voltage_key string, entity_name string, bay_no string")
+    plain, blocked = (J.name_join(left, ents, blocked=b).select("row_id", "bay_no") for b in (False, True))
+    assert sorted(map(tuple, plain.collect())) == sorted(map(tuple, blocked.collect()))
+    assert "SortMergeJoin" not in blocked._jdf.queryExecution().executedPlan().toString().split("parquet")[0] and blocked.count() > 0
