@@ -65,3 +65,14 @@ def test_runs_that_no_longer_name_has_leave_a_name_out(spark):
     plain, blocked = (J.name_join(left, ents, blocked=b).select("row_id", "bay_no") for b in (False, True))
     assert sorted(map(tuple, plain.collect())) == sorted(map(tuple, blocked.collect()))
     assert "SortMergeJoin" not in blocked._jdf.queryExecution().executedPlan().toString().split("parquet")[0] and blocked.count() > 0
+
+
+def test_technologies_and_dates_read_their_text_once(spark):
+    from recordweave.functions import numbers as V
+
+    df = spark.createDataFrame([("Solar (300) + BESS (19) + solar (2)", "05/06/2024"), ("hybrid", "on 2 March 2021"), (None, None)], "t string, d string")
+    once = F.lower(F.reverse(F.reverse("t")))
+    out = df.select(*[V.technology_struct(once)[x].alias(x) for x in ("solar",)], V.parse_date(F.trim(F.reverse(F.reverse("d")))).cast("string").alias("d"))
+    assert [tuple(r) for r in out.collect()] == [(302.0, "2024-06-05"), (None, "2021-03-02"), (None, None)]
+    plan = out._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("reverse(reverse(t") == 1 and plan.count("reverse(reverse(d") <= 3
