@@ -76,3 +76,43 @@ def test_technologies_and_dates_read_their_text_once(spark):
     assert [tuple(r) for r in out.collect()] == [(302.0, "2024-06-05"), (None, "2021-03-02"), (None, None)]
     plan = out._jdf.queryExecution().optimizedPlan().toString()
     assert plan.count("reverse(reverse(t") == 1 and plan.count("reverse(reverse(d") <= 3
+
+
+def test_best_match_scores_few_pairs_and_loses_none(spark, monkeypatch):
+    import difflib
+
+    import pandas as pd
+
+    rng = random.Random(9)
+    for _ in range(3000):
+        x, y = ("".join(rng.choice("ab 12") for _ in range(rng.randint(0, n))) for n in (20, rng.choice((30, 230))))
+        assert J.ratio(x, y) == (difflib.SequenceMatcher(None, x, y).ratio() if x and y else 0.0)
+
+    # a third of all substations is alike, as in the made-up tables; other names are alike, empty or without any match
+    stations = lambda n: rng.choice([f"PS-{rng.randrange(n)}"] * 6 + ["N/A", "", None, "Power Station " + "x" * rng.randrange(90)])
+    left = [(str(i), stations(9), rng.choice([f"Applicant {rng.randrange(40)}", f"Supplier#{rng.randrange(9)} (1200000{rng.randrange(999)})", "", "zzz"])) for i in range(60)]
+    rows = [(i, stations(300), rng.choice([f"Supplier#{rng.randrange(90)} ({1200000000 + i})", "", "Applicant 7"])) for i in range(400)]
+    monkeypatch.setattr(J, "RECORDS", 3)
+    monkeypatch.setattr(J, "CANDIDATES", 20)
+    none = spark.createDataFrame([], "left_id string, row_idx int, id_hits long")
+    out = J.best_match(spark.createDataFrame(left, "left_id string, substation string, developer string"), spark.createDataFrame(rows, "row_idx int, pooling_station string, connectivity_applicant string"), none)
+    assert "NestedLoop" not in out._jdf.queryExecution().toString() and "Cartesian" not in out._jdf.queryExecution().toString()
+    got = {r.left_id: (r.row_idx, r.score) for r in out.collect()}
+
+    def part(a, b):
+        a, b = (a or "").strip().lower(), (b or "").strip().lower()
+        s = difflib.SequenceMatcher(None, a, b).ratio() if a and b else 0.0
+        return min(1.0, s + (0.15 if a and b and (a in b or b in a) else 0.0))
+
+    want = {}
+    for i, s, d in left:
+        score, k = max((0.5 * part(s, p) + 0.5 * part(d, c), -k) for k, p, c in rows)
+        if score >= 0.45:
+            want[i] = (-k, score)
+    assert got == want and len({round(s, 1) for _, s in want.values()}) > 2
+
+    scored = []
+    monkeypatch.setattr(J, "ratio", lambda x, y, plain=J.ratio: scored.append(x) or plain(x, y))
+    cands = pd.DataFrame({"row_idx": range(3000), "value": [1.0 - k % 3 / 10 for k in range(3000)], "other": [f"supplier#{k % 100} ({1200000000 + 37 * k})" for k in range(3000)]})
+    found = J.best_of_block(pd.DataFrame({"text": ["applicant 5183"], "best": [0.45]}), cands)
+    assert len(found) == 1 and len(scored) < 150  # of 3,000 pairs
