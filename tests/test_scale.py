@@ -94,6 +94,8 @@ def test_best_match_scores_few_pairs_and_loses_none(spark, monkeypatch):
     rows = [(i, stations(300), rng.choice([f"Supplier#{rng.randrange(90)} ({1200000000 + i})", "", "Applicant 7"])) for i in range(400)]
     monkeypatch.setattr(J, "RECORDS", 3)
     monkeypatch.setattr(J, "CANDIDATES", 20)
+    monkeypatch.setattr(J, "PARTS", (0.9,))
+    monkeypatch.setattr(J, "FEW", 0)
     none = spark.createDataFrame([], "left_id string, row_idx int, id_hits long")
     out = J.best_match(spark.createDataFrame(left, "left_id string, substation string, developer string"), spark.createDataFrame(rows, "row_idx int, pooling_station string, connectivity_applicant string"), none)
     assert "NestedLoop" not in out._jdf.queryExecution().toString() and "Cartesian" not in out._jdf.queryExecution().toString()
