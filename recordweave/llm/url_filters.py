@@ -5,15 +5,16 @@ documents. Rules that pass the support, confidence and lift bounds are kept as a
 a url is blocked when all tokens of a rule are among its own.
 
 Null urls and urls without `://` have an empty host and path, match no rule and are allowed. Repeated pages and extra
-columns pass unchanged; deep urls have many tokens, of which MOST_ITEMS items are mined and all are matched; with no labels, or with labels of one kind, no rule is mined.
+columns pass unchanged; all tokens of deep urls are mined and matched; with no labels, or with labels of one kind, no rule is mined.
 """
 
 from __future__ import annotations
 
 import math
+from functools import reduce
 
 from pyspark.ml.fpm import FPGrowth
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from recordweave.llm.common import ascii_lower, stage, table
@@ -27,7 +28,7 @@ RULES = (
     ("net", "/fr/", "block"),
 )
 BAD = "=bad"
-#: Items of a url that rules are mined from, so no rule is longer.
+#: FP-growth lists all item sets, which double with every item; where a url has more items than this, `strict_sets` lists those that matter.
 MOST_ITEMS = 12
 #: Mined rules beyond this count are joined by a shuffle, not broadcast.
 BROADCAST_RULES = 200_000
@@ -78,11 +79,10 @@ def labelled_pages(pages: DataFrame, labels: DataFrame) -> DataFrame:
 
 
 def items_of(labelled: DataFrame, least: int) -> tuple[DataFrame, DataFrame]:
-    """(items) of each labelled url, and (item, tokens) of those that stand for several tokens.
+    """(row, bad, items) of each labelled url, and (item, tokens) of items that stand for several tokens.
 
     Tokens of fewer than `least` urls can be in no rule, and tokens of all urls say nothing: both are left out. Tokens that
-    are in exactly the same urls are one item. A url keeps its MOST_ITEMS items that go most with bad pages, which bounds
-    the item sets: without these rules every token doubles their number.
+    are in exactly the same urls are one item.
     """
     rows = labelled.select(F.monotonically_increasing_id().alias("row"), "url", "bad")
     rows = stage(rows, "labelled")
@@ -90,13 +90,38 @@ def items_of(labelled: DataFrame, least: int) -> tuple[DataFrame, DataFrame]:
     n = rows.count()
     counted = held.groupBy("token").agg(F.count("*").alias("n"), F.sum("bad").alias("n_bad"), F.sum(F.xxhash64("row").cast("decimal(38,0)")).alias("set_a"), F.sum(F.xxhash64("row", F.lit(1)).cast("decimal(38,0)")).alias("set_b"))
     counted = counted.filter((F.col("n") >= least) & (F.col("n") < n))
-    merged = counted.groupBy("n", "n_bad", "set_a", "set_b").agg(F.array_sort(F.collect_list("token")).alias("tokens")).select(F.get("tokens", 0).alias("item"), "tokens", (F.col("n_bad") / F.col("n")).alias("share"), "n")
+    merged = counted.groupBy("n", "n_bad", "set_a", "set_b").agg(F.array_sort(F.collect_list("token")).alias("tokens")).select(F.get("tokens", 0).alias("item"), "tokens")
     merged = stage(merged, "items")
-    own = held.join(merged.select(F.col("item").alias("token"), "share", "n"), "token").withColumn("k", F.row_number().over(Window.partitionBy("row").orderBy(F.desc("share"), F.desc("n"), "token"))).filter(F.col("k") <= MOST_ITEMS)
-    listed = own.groupBy("row").agg(F.collect_list("token").alias("items"))
-    none = F.array().cast("array<string>")
-    items = rows.join(listed, "row", "left").select(F.concat(F.coalesce("items", none), F.when(F.col("bad") == 1, F.array(F.lit(BAD))).otherwise(none)).alias("items"))
-    return stage(items, "baskets"), merged.select("item", "tokens")
+    listed = held.join(merged.select(F.col("item").alias("token")), "token").groupBy("row").agg(F.collect_list("token").alias("items"))
+    items = rows.join(listed, "row", "left").select("row", "bad", F.coalesce("items", F.array().cast("array<string>")).alias("items"))
+    return stage(items, "baskets"), merged
+
+
+def strict_sets(baskets: DataFrame, least: int) -> DataFrame:
+    """(items, n_bad, n_good): item sets of at least `least` bad urls in which every item keeps out some good url.
+
+    If an item keeps no good url out, the set without it goes with at least as many bad urls and the same good ones, so it
+    is a rule at least as strong; that holds for all larger sets too. So these sets give every rule that has no stronger
+    sub-rule, at any length. Sets grow by one item a step, from the urls that hold them.
+    """
+    held = baskets.select("row", "bad", F.explode("items").alias("item"))
+
+    def counted(cover: DataFrame) -> DataFrame:
+        return cover.groupBy("items").agg(F.sum("bad").cast("long").alias("n_bad"), F.count_if(F.col("bad") == 0).alias("n_good")).filter(F.col("n_bad") >= least)
+
+    cover = held.select(F.array("item").alias("items"), "row", "bad")
+    sets = stage(counted(cover), "sets")
+    own = stage(held.join(sets.select(F.get("items", 0).alias("item")), "item").select("row", "bad", "item"), "own")
+    cover, every = own.select(F.array("item").alias("items"), "row"), [sets]
+    while not sets.isEmpty():
+        wider = cover.join(own, "row").filter(F.col("item") > F.element_at("items", -1)).select(F.array_append("items", F.col("item")).alias("items"), "row", "bad")
+        more = stage(counted(wider), "more")
+        parts = more.select("items", "n_good", F.explode("items").alias("x")).select("items", "n_good", F.array_remove("items", F.col("x")).alias("part"))
+        strict = parts.join(sets.select(F.col("items").alias("part"), F.col("n_good").alias("without")), "part").filter("without > n_good").groupBy("items").count()
+        sets = stage(more.join(strict.filter(F.col("count") == F.size("items")), "items", "left_semi"), "sets")
+        cover = stage(wider.join(sets, "items", "left_semi").select("items", "row"), "cover")
+        every.append(sets)
+    return reduce(DataFrame.unionByName, every)
 
 
 def mine(labelled: DataFrame, min_support: float = 0.002, min_count: int = 12, min_confidence: float = 0.6, min_lift: float = 1.5) -> DataFrame:
@@ -107,9 +132,16 @@ def mine(labelled: DataFrame, min_support: float = 0.002, min_count: int = 12, m
     if n == 0:
         return spark.createDataFrame([], schema)
     support = max(min_support, min(1.0, min_count / n))
-    items, merged = items_of(labelled, math.ceil(support * n))
-    model = FPGrowth(itemsCol="items", minSupport=support, minConfidence=min_confidence).fit(items)
-    rules = model.associationRules.filter((F.element_at("consequent", 1) == BAD) & (F.col("lift") >= min_lift)).select(F.array_sort("antecedent").alias("items"), "confidence", "support")
+    least = math.ceil(support * n)
+    items, merged = items_of(labelled, least)
+    longest, n_bad = items.agg(F.max(F.size("items")), F.sum("bad")).first()
+    if longest <= MOST_ITEMS:
+        baskets = items.select(F.concat("items", F.when(F.col("bad") == 1, F.array(F.lit(BAD))).otherwise(F.array().cast("array<string>"))).alias("items"))
+        model = FPGrowth(itemsCol="items", minSupport=support, minConfidence=min_confidence).fit(baskets)
+        rules = model.associationRules.filter((F.element_at("consequent", 1) == BAD) & (F.col("lift") >= min_lift)).select(F.array_sort("antecedent").alias("items"), "confidence", "support")
+    else:
+        rules = strict_sets(items, least).select("items", (F.col("n_bad") / (F.col("n_bad") + F.col("n_good"))).alias("confidence"), (F.col("n_bad") / n).alias("support"))
+        rules = rules.filter((F.col("confidence") >= min_confidence) & (F.col("confidence") * n >= min_lift * n_bad))
     rules = stage(rules, "rules")
     r, s = rules.alias("r"), rules.select(F.col("items").alias("t2"), F.col("confidence").alias("c2"), F.explode("items").alias("first")).alias("s")
     weaker = (

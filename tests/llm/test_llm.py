@@ -473,6 +473,30 @@ def test_url_mining_of_long_urls(spark):
     assert all(len(r.tokens) < 8 for r in rules)
 
 
+def test_url_mining_leaves_no_item_out(spark, monkeypatch):
+    # thirteen words that go with bad pages, each in its own urls too, hide the pair that is a rule: each of its words alone is no rule
+    rng = random.Random(12)
+    words, rows = ["w" + chr(97 + k) * 2 for k in range(13)], []
+    for i in range(60):
+        rows.append(("http://h.org/" + "/".join([*words, "left", "right"]), 1))
+    for w in words:
+        rows += [(f"http://h.org/{w}", int(k < 4)) for k in range(6)]
+    rows += [(f"http://h.org/{rng.choice(['left', 'right'])}", 0) for _ in range(300)]
+    labelled = spark.createDataFrame(rows, "url string, bad int")
+    rules = {tuple(r.tokens): (round(r.confidence, 9), round(r.support, 9)) for r in url_filters.mine(labelled).collect()}
+    assert rules[("path:left", "path:right")] == (1.0, round(60 / len(rows), 9))
+
+    # every rule of all item sets, by FP-growth and by sets in which each item keeps out a good url
+    rows = [("http://h.org/" + "/".join(w for w in words[:7] if rng.random() < 0.5), int(rng.random() < 0.3)) for _ in range(500)]
+    rows += [("http://h.org/" + "/".join(words[a:b]), 1) for a, b in ((0, 3), (2, 6), (1, 2)) for _ in range(25)]
+    labelled = spark.createDataFrame(rows, "url string, bad int")
+    found = []
+    for most in (12, 0):
+        monkeypatch.setattr(url_filters, "MOST_ITEMS", most)
+        found.append({tuple(r.tokens): (round(r.confidence, 9), round(r.support, 9)) for r in url_filters.mine(labelled, min_confidence=0.4, min_lift=1.1).collect()})
+    assert found[0] == found[1] and any(len(t) > 1 for t in found[0])
+
+
 # --- filter audit ------------------------------------------------------------------------------------------------------
 def plain_audit(docs, labels):
     from itertools import permutations
