@@ -118,3 +118,77 @@ def test_best_match_scores_few_pairs_and_loses_none(spark, monkeypatch):
     cands = pd.DataFrame({"row_idx": range(3000), "value": [1.0 - k % 3 / 10 for k in range(3000)], "other": [f"supplier#{k % 100} ({1200000000 + 37 * k})" for k in range(3000)]})
     found = J.best_of_block(pd.DataFrame({"text": ["applicant 5183"], "best": [0.45]}), cands)
     assert len(found) == 1 and len(scored) < 150  # of 3,000 pairs
+
+
+def test_batched_ratios_are_difflibs(monkeypatch):
+    import difflib
+
+    rng = random.Random(6)
+    word = lambda n: "".join(rng.choice("ab c1é\0\U0001f600") for _ in range(rng.randint(0, n)))
+    pairs = [(rng.choice([None, "", word(20), word(300)]), rng.choice([None, "", word(9), word(30), word(80), word(250)])) for _ in range(1500)] + [("ab", "xabx"), ("abx", "ab")]
+    want = [difflib.SequenceMatcher(None, x, y).ratio() if x and y else 0.0 for x, y in pairs]
+    alone = []
+    monkeypatch.setattr(J, "BATCH", 100)
+    monkeypatch.setattr(J, "ratio", lambda x, y, plain=J.ratio: alone.append((x, y)) or plain(x, y))
+    assert J.ratios(*map(list, zip(*pairs))).tolist() == want
+    assert alone and all(len(x) > J.LONGEST or len(y) > J.BITS for x, y in alone)
+    assert J.ratios([], []).tolist() == []
+
+
+def test_best_of_block_works_out_few_ratios_and_takes_the_first_best(monkeypatch):
+    import pandas as pd
+
+    rng = random.Random(8)
+    word = lambda n: rng.choice(["", "zz", "".join(rng.choice("ab c1") for _ in range(rng.randrange(1, n)))])
+    for n in (6, 30, 290):
+        for pairs in (1, 60, 250_000):
+            monkeypatch.setattr(J, "PAIRS", pairs)
+            records = [(x, rng.choice((0.45, 0.5, 0.7))) for x in {word(n) for _ in range(25)}]
+            cands = [(k, rng.choice((1.0, 0.9, 0.5)), word(n)) for k in rng.sample(range(500), 40)]
+            want = {}
+            for text, least in records:
+                score = lambda v, x: 0.5 * v + 0.5 * min(1.0, J.ratio(text, x) + (J.BONUS if text and x and (x in text or text in x) else 0.0))  # noqa: B023,E731
+                best, k = max((score(v, x), -k) for k, v, x in cands)
+                if best >= least:
+                    want[text] = (best, -k)
+            found = J.best_of_block(pd.DataFrame(records, columns=["text", "best"]), pd.DataFrame(cands, columns=["row_idx", "value", "other"]))
+            assert {r.text: (r.score, r.row_idx) for r in found.itertuples()} == want
+
+    worked_out = []
+    monkeypatch.setattr(J, "matchings", lambda at, m, n, plain=J.matchings: worked_out.append(len(m)) or plain(at, m, n))
+    cands = pd.DataFrame({"row_idx": range(3000), "value": 1.0, "other": [f"supplier#{k % 100} ({1200000000 + 37 * k})" for k in range(3000)]})
+    assert len(J.best_of_block(pd.DataFrame({"text": [f"applicant {k}" for k in range(5000, 5050)], "best": 0.45}), cands)) == 50
+    assert sum(worked_out) < 5_000 and len(worked_out) < 60  # of 150,000 pairs, in few batches
+
+
+def test_records_meet_the_rows_of_their_identifier_once(spark, monkeypatch):
+    from recordweave.plans import jobs
+
+    rng = random.Random(12)
+    rows = [(i, f"Supplier#{i % 5} ({9_000_000 + i // (2 if i < 20 else 1)})", f"PS-{i % 7}", "5 MW; 7 MW", rng.choice(("Effective", "Not effective"))) for i in range(60)]
+    records = [(rng.choice([None, "", "12", "-", "nowhere77", f" 90000{rng.randrange(60):02d}"]), rng.choice([None, "", f"Applicant {rng.randrange(9)}", "Supplier#3"]), rng.choice([None, " ", f"PS-{rng.randrange(9)}"])) for _ in range(300)]
+    left = spark.createDataFrame(records * 2, "application_id string, name_of_applicant string, substation string")
+    right = spark.createDataFrame(rows, "row_idx int, connectivity_applicant string, pooling_station string, schedule_text string, status_text string")
+    got = []
+    for most in (J.BROADCAST_ROWS, 0):  # rows of an identifier that several have: few, or ranked with all others
+        monkeypatch.setattr(J, "BROADCAST_ROWS", most)
+        out = jobs.coordination_layer(left, right)
+        plan = out._jdf.queryExecution().optimizedPlan().toString()
+        assert "regexp_extract_all" not in plan and "NestedLoop" not in out._jdf.queryExecution().toString()  # capacities are made for each row before
+        got.append(sorted(map(tuple, out.collect()), key=str))
+    assert got[0] == got[1]
+
+    def one(a, b):
+        a, b = a.strip().lower(), b.strip().lower()
+        return min(1.0, J.ratio(a, b) + (0.15 if a and b and (a in b or b in a) else 0.0))
+
+    want = []
+    for id_, name, sub in {(i, n or "", (s or "").strip()) for i, n, s in records}:
+        if not (id_ or name or sub):
+            continue
+        hit = [r for r in rows if id_ and len(id_.strip()) > 2 and id_.strip() in r[1]]
+        score, k = max((0.5 * one(sub, r[2]) + 0.5 * one(name, r[1]), -r[0]) for r in hit or rows)
+        row = rows[-k] if hit or score >= 0.45 else None
+        value = row and [12.0 if row[4] == "Effective" else None, 0.0 if row[4] != "Effective" else None]
+        want.append(("|".join(x for x in (id_, name, sub) if x is not None), row and row[0], row and int(bool(hit)), row and round(score, 9), name or (row and row[1]), sub or (row and row[2]), row and value[0]))
+    assert [x[:7] for x in got[0]] == sorted(want, key=str) and len({x[2] for x in want}) == 3
